@@ -1,0 +1,13 @@
+"""Stemming hook (F3, F4).  Filled in by ranklight.functions.snowball; ``None`` means no stemming."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def stem_terms(t: DataFrame, stemmer: str | None) -> DataFrame:
+    if not stemmer:
+        return t
+    from ranklight.functions.snowball import apply_stemmer
+
+    return apply_stemmer(t, stemmer)
