@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 
 def _c(x) -> Column:
-    return x if isinstance(x, Column) else F.lit(x)
+    """Columns pass through, strings name columns, numbers become literals."""
+    if isinstance(x, Column):
+        return x
+    return F.col(x) if isinstance(x, str) else F.lit(x)
 
 
 def log_tf(tf) -> Column:

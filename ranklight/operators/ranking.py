@@ -44,13 +44,19 @@ def query_terms(index: TextIndex, queries: DataFrame, id_col: str = "query_id",
     vocabulary and the weights, so the index side is never shuffled for a search)."""
     q = index.analyze(queries, id_col, text_col, "query_id")
     q = q.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
+    buckets = index.extra.get("buckets")
+    if buckets:  # saved index: carry the term bucket so the joins prune partitions
+        q = q.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))
     small = bounded(q, max_broadcast_rows)
     side = F.broadcast(q) if small else q
-    return side.join(index.vocab, "term"), small  # Q7: inner join on the vocabulary before any norm
+    keys = ["bucket", "term"] if buckets else ["term"]
+    vocab = index.vocab.select(*keys, "df")
+    return side.join(vocab, keys), small  # Q7: inner join on the vocabulary before any norm
 
 
 def _join_weights(q: DataFrame, small: bool, weights: DataFrame) -> DataFrame:
-    return (F.broadcast(q) if small else q).join(weights, "term")
+    keys = ["bucket", "term"] if "bucket" in q.columns and "bucket" in weights.columns else ["term"]
+    return (F.broadcast(q) if small else q).join(weights, keys)
 
 
 def cosine_scores(index: TextIndex, queries: DataFrame, id_col: str = "query_id",
@@ -59,8 +65,9 @@ def cosine_scores(index: TextIndex, queries: DataFrame, id_col: str = "query_id"
     q, small = query_terms(index, queries, id_col, text_col)
     q = q.withColumn("qw", log_tf(F.col("qtf")) * log_idf(index.n_docs, F.col("df")))
     q = q.withColumn("qnorm", F.sqrt(F.sum(F.col("qw") * F.col("qw")).over(Window.partitionBy("query_id"))))
-    q = q.select("query_id", "term", F.try_divide(F.col("qw"), F.col("qnorm")).alias("qwn"))
-    cand = _join_weights(q, small, index.weights.select("term", "doc_id", "wn"))
+    extra = ["bucket"] if "bucket" in q.columns else []
+    q = q.select("query_id", *extra, "term", F.try_divide(F.col("qw"), F.col("qnorm")).alias("qwn"))
+    cand = _join_weights(q, small, index.weights.select(*extra, "term", "doc_id", "wn"))
     s = cand.groupBy("query_id", "doc_id").agg(F.sum(F.col("qwn") * F.col("wn")).alias("score"))
     return s.filter(F.col("score").isNotNull())
 
@@ -76,8 +83,9 @@ def bm25_scores(index: TextIndex, queries: DataFrame, id_col: str = "query_id",
     """M5 second backend: OR-match of the query terms, BM25 score (Robertson & Zaragoza).
     A query term repeated counts once per occurrence (``qtf`` multiplies its contribution)."""
     q, small = query_terms(index, queries, id_col, text_col)
-    q = q.select("query_id", "term", "qtf")
-    cand = _join_weights(q, small, index.weights.select("term", "doc_id", "tf", "df", "dl"))
+    extra = ["bucket"] if "bucket" in q.columns else []
+    q = q.select("query_id", *extra, "term", "qtf")
+    cand = _join_weights(q, small, index.weights.select(*extra, "term", "doc_id", "tf", "df", "dl"))
     avg_len = F.try_divide(index.total_len.cast("double"), index.n_docs.cast("double"))
     part = (F.col("qtf").cast("double") * bm25_idf(index.n_docs, F.col("df"))
             * bm25_tf(F.col("tf"), F.col("dl"), avg_len, k1, b))

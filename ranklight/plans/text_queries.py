@@ -51,3 +51,117 @@ def a6_norms(spark, sf_dir):
 def m4_cosine_batch(spark, sf_dir):
     hits = ranking.cosine_search(_index(spark, sf_dir), _queries(spark, sf_dir), K)
     return hits.select("query_id", "rank", "doc_id", r6("score").alias("score"))
+
+
+@register("m3_cosine_single",
+          f"WITH {IDX},\n" + duck.query_ctes("(SELECT * FROM benchmark ORDER BY item_id LIMIT 1)") +
+          f",\n{duck.cosine_ctes()}\n{duck.top_k_sql('scores', K)}")
+def m3_cosine_single(spark, sf_dir):
+    """One query string (the first benchmark item) against the whole corpus: the single-query API."""
+    one = _queries(spark, sf_dir).orderBy("query_id").limit(1)
+    hits = ranking.cosine_search(_index(spark, sf_dir), one, K)
+    return hits.select("query_id", "rank", "doc_id", r6("score").alias("score"))
+
+
+BM25_K1, BM25_B = 1.2, 0.75
+BM25_SQL = (
+    f"WITH {IDX},\n{QRY},\n"
+    "avgdl AS (SELECT (SELECT sum(tf) FROM postings)::DOUBLE / n AS a FROM nd),\n"
+    "bm AS (SELECT q.query_id, p.doc_id, sum(q.qtf * ln(1 + (nd.n - q.df + 0.5) / (q.df + 0.5)) * "
+    f"(p.tf * {BM25_K1 + 1}) / (p.tf + {BM25_K1} * ({1 - BM25_B} + {BM25_B} * m.dl / avgdl.a))) AS score "
+    "FROM qtf q JOIN postings p USING (term) JOIN norms m USING (doc_id) CROSS JOIN nd CROSS JOIN avgdl "
+    "GROUP BY q.query_id, p.doc_id)\n" + duck.top_k_sql("bm", K))
+
+
+@register("m5_bm25_batch", BM25_SQL)
+def m5_bm25_batch(spark, sf_dir):
+    hits = ranking.bm25_search(_index(spark, sf_dir), _queries(spark, sf_dir), K, k1=BM25_K1, b=BM25_B)
+    return hits.select("query_id", "rank", "doc_id", r6("score").alias("score"))
+
+
+@register("m7_search_with_text",
+          f"WITH {IDX},\n{QRY},\n{duck.cosine_ctes()},\nhits AS ({duck.top_k_sql('scores', K)})\n"
+          "SELECT h.query_id, h.rank, h.doc_id, d.lang AS language, d.source, d.text, h.score "
+          "FROM hits h JOIN documents d USING (doc_id)")
+def m7_search_with_text(spark, sf_dir):
+    """M7: hits with the source row's columns under result headers (one join, J3 + P1)."""
+    hits = ranking.search(_index(spark, sf_dir), _queries(spark, sf_dir), K, method="cosine")
+    docs = table(spark, sf_dir, "documents")
+    out = ranking.with_documents(hits.withColumn("score", r6("score")), docs,
+                                 {"lang": "language", "source": "source", "text": "text"})
+    return out
+
+
+@register("s3_saved_index_search",
+          f"WITH {IDX},\n{QRY},\n{duck.cosine_ctes()}\n{duck.top_k_sql('scores', K)}")
+def s3_saved_index_search(spark, sf_dir):
+    """S3/S4/S5 round trip: build, write (bucketed by term), reopen, search — equals m4."""
+    from ranklight.session import checkpoint_dir
+    from ranklight.sources import index_store
+    import uuid
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ranklight/index-{uuid.uuid4().hex}"
+    idx = index_store.replace_collection(table(spark, sf_dir, "documents"), path)
+    hits = ranking.cosine_search(idx, _queries(spark, sf_dir), K)
+    return hits.select("query_id", "rank", "doc_id", r6("score").alias("score"))
+
+
+@register("a4_posting_lists",
+          f"WITH {IDX} SELECT term, count(*)::BIGINT AS df, min(doc_id) AS first_doc, max(doc_id) AS last_doc, "
+          "arg_min(tf, doc_id) AS first_tf, sum(tf)::BIGINT AS cf FROM postings GROUP BY term")
+def a4_posting_lists(spark, sf_dir):
+    """A4/T4 export form, checked through its first/last entries (the list is sorted by doc id)."""
+    pl = indexing.posting_lists(_index(spark, sf_dir).postings)
+    return pl.select("term", "df", F.col("postings")[0]["doc_id"].alias("first_doc"),
+                     F.element_at("postings", -1)["doc_id"].alias("last_doc"),
+                     F.col("postings")[0]["tf"].alias("first_tf"),
+                     F.aggregate("postings", F.lit(0).cast("bigint"), lambda a, x: a + x["tf"]).alias("cf"))
+
+
+@register("a5_merge_partial_postings", f"WITH {IDX} SELECT term, doc_id, tf FROM postings")
+def a5_merge_partial_postings(spark, sf_dir):
+    """One independent build per language, unioned and summed = the whole-corpus postings."""
+    docs = table(spark, sf_dir, "documents")
+    langs = ["en", "fr", "de", "es"]
+    parts = [indexing.term_frequencies(docs.filter(F.col("lang") == l)).select("term", "doc_id", "tf")
+             for l in langs]
+    parts.append(indexing.term_frequencies(docs.filter(~F.col("lang").isin(langs) | F.col("lang").isNull()))
+                 .select("term", "doc_id", "tf"))
+    return indexing.merge_postings(*parts)
+
+
+@register("f19_packed_lookup",
+          f"WITH {IDX} SELECT term, min(doc_id) AS first_doc, arg_min(tf, doc_id) AS tf_first, "
+          "NULL::BIGINT AS tf_absent FROM postings GROUP BY term")
+def f19_packed_lookup(spark, sf_dir):
+    """look keys up in the packed ``map<doc_id, tf>`` form; an absent key gives NULL."""
+    pm = indexing.posting_maps(_index(spark, sf_dir).postings)
+    first = F.array_min(F.map_keys("tf_by_doc"))
+    return pm.select("term", first.alias("first_doc"), F.try_element_at("tf_by_doc", first).alias("tf_first"),
+                     F.try_element_at("tf_by_doc", F.lit(-1).cast("bigint")).alias("tf_absent"))
+
+
+@register("m6_prefix_sweep",
+          f"WITH {IDX},\n" + duck.tokens_cte("qkept", "benchmark", "item_id", "text", "query_id") + ",\n"
+          "ords AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS ordinal FROM documents),\n"
+          "sizes AS (SELECT DISTINCT ceil(n / power(2, i))::BIGINT AS n FROM nd, range(0, 6) t(i)),\n"
+          "sp AS (SELECT s.n, p.term, p.doc_id, p.tf FROM postings p JOIN ords o USING (doc_id) JOIN sizes s ON o.ordinal < s.n),\n"
+          "sv AS (SELECT n, term, count(*) AS df FROM sp GROUP BY n, term),\n"
+          "sw AS (SELECT sp.n, sp.term, sp.doc_id, (1 + log10(sp.tf::DOUBLE)) * log10(sp.n::DOUBLE / sv.df) AS w "
+          "FROM sp JOIN sv USING (n, term)),\n"
+          "sn AS (SELECT n, doc_id, sqrt(sum(w * w)) AS norm FROM sw GROUP BY n, doc_id),\n"
+          "qc AS (SELECT query_id, term, count(*) AS qtf FROM qkept GROUP BY query_id, term),\n"
+          "sq AS (SELECT sv.n, qc.query_id, qc.term, (1 + log10(qc.qtf::DOUBLE)) * log10(sv.n::DOUBLE / sv.df) AS qw "
+          "FROM qc JOIN sv USING (term)),\n"
+          "sqn AS (SELECT n, query_id, sqrt(sum(qw * qw)) AS qnorm FROM sq GROUP BY n, query_id),\n"
+          "sd AS (SELECT sq.n, sq.query_id, sw.doc_id, sum(sq.qw * sw.w) AS dot FROM sq JOIN sw USING (n, term) "
+          "GROUP BY sq.n, sq.query_id, sw.doc_id),\n"
+          "ss AS (SELECT sd.n, sd.query_id, sd.doc_id, sd.dot / nullif(sqn.qnorm * sn.norm, 0) AS score FROM sd "
+          "JOIN sqn USING (n, query_id) JOIN sn USING (n, doc_id))\n"
+          "SELECT n, query_id, rank, doc_id, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY n, "
+          "query_id ORDER BY round(score, 9) DESC, doc_id)::BIGINT AS rank FROM ss WHERE score IS NOT NULL) WHERE rank <= 5")
+def m6_prefix_sweep(spark, sf_dir):
+    from ranklight.operators.sweep import prefix_sweep
+
+    out = prefix_sweep(table(spark, sf_dir, "documents"), _queries(spark, sf_dir), k=5, levels=6)
+    return out.select("n", "query_id", "rank", "doc_id", r6("score").alias("score"))
