@@ -3,6 +3,7 @@
 Row ordinals (P4) are assigned without a single-partition window: the table is range-partitioned on
 its ordering key (hot key ranges are split by the sampler), each row gets its position inside its
 partition, and per-partition counts — one small row per partition and group — give the offsets.
+The positioned table is written once to the checkpoint folder so both consumers see the same split.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ranklight.sources.scratch import materialize
+
 _LOW33 = (1 << 33) - 1
 
 
@@ -25,6 +28,10 @@ def with_ordinal(df: DataFrame, order_by: list[str], group_by: list[str] | None
     r = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
            .withColumn("_mid", F.monotonically_increasing_id()))
     r = r.withColumn("_pid", F.shiftright("_mid", 33)).withColumn("_loc", F.col("_mid").bitwiseAND(F.lit(_LOW33)))
+    # The range bounds are sampled per exchange (seeded by RDD id), so two evaluations of ``r`` could
+    # split rows differently.  Writing ``r`` once fixes the positions for both consumers below and for
+    # any task recomputed after an executor loss.
+    r = materialize(r, "ordinals")
     stats = r.groupBy("_pid", *group_by).agg(F.min("_loc").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*group_by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
