@@ -38,4 +38,4 @@ def r6(c) -> F.Column:
 
 
 # Import the query modules so that their @register decorators run.
-from ranklight.plans import text_queries, vector_queries, feature_queries  # noqa: E402,F401
+from ranklight.plans import text_queries, vector_queries, feature_queries, table_queries  # noqa: E402,F401
