@@ -153,26 +153,42 @@ def _cut(q, c, d, k: int) -> np.ndarray:
     return order[rank < k]
 
 
-def _blocked_path(coll: DataFrame, queries: DataFrame, ckey: Column, qkeys: Column, mode: str, param: float,
-                  metric: str, block_rows: int = BLOCK_ROWS, box: float | None = None) -> DataFrame:
-    """Salted cogroup on ``key``.  ``ckey``: one key per collection row; ``qkeys``: array of keys a
-    query must meet.  Keys seen on only one side are dropped by the count join (pruning)."""
-    c = coll.withColumn("key", ckey)
-    q = queries.withColumn("key", F.explode(qkeys))
-    cn = c.groupBy("key").agg(F.count(F.lit(1)).alias("cn"))
-    qn = q.groupBy("key").agg(F.count(F.lit(1)).alias("qn"))
-    salts = (cn.join(qn, "key")
-               .withColumn("cs", F.greatest(F.lit(1), F.ceil(F.col("cn") / F.lit(block_rows))).cast("int"))
-               .withColumn("qs", F.greatest(F.lit(1), F.ceil(F.col("qn") / F.lit(block_rows))).cast("int"))
-               .select("key", "cs", "qs"))
-    c2 = (c.join(salts, "key")
-           .withColumn("csalt", F.pmod(F.xxhash64("vec_id"), F.col("cs")).cast("int"))
-           .withColumn("qsalt", F.explode(F.sequence(F.lit(0), F.col("qs") - 1)))
-           .select("key", "csalt", "qsalt", "vec_id", "cv"))
-    q2 = (q.join(salts, "key")
-           .withColumn("qsalt", F.pmod(F.xxhash64("query_id"), F.col("qs")).cast("int"))
-           .withColumn("csalt", F.explode(F.sequence(F.lit(0), F.col("cs") - 1)))
-           .select("key", "csalt", "qsalt", "query_id", "qv"))
+def _blocked_path(coll: DataFrame, queries: DataFrame, ckey: Column | None, qkeys: Column | None, mode: str,
+                  param: float, metric: str, block_rows: int = BLOCK_ROWS, box: float | None = None) -> DataFrame:
+    """Salted cogroup.  ``ckey``: one key per collection row; ``qkeys``: array of keys a query must meet;
+    both ``None`` means brute force (every query meets every row).
+
+    Keyed: per-key counts on both sides (keys seen on one side only are dropped here: pruning) give
+    ``ceil(rows/block_rows)`` salts per key and side.  Brute force: the same salting with the two table
+    counts as scalar subqueries, so there is no join at all, only ``explode(sequence(…))``."""
+    if ckey is None:
+        cs = F.greatest(F.lit(1), F.ceil(coll.select(F.count(F.lit(1))).scalar() / F.lit(block_rows))).cast("int")
+        qs = F.greatest(F.lit(1), F.ceil(queries.select(F.count(F.lit(1))).scalar() / F.lit(block_rows))).cast("int")
+        c2 = (coll.withColumn("key", F.lit(0)).withColumn("cs", cs).withColumn("qs", qs)
+                  .withColumn("csalt", F.pmod(F.xxhash64("vec_id"), F.col("cs")).cast("int"))
+                  .withColumn("qsalt", F.explode(F.sequence(F.lit(0), F.col("qs") - 1)))
+                  .select("key", "csalt", "qsalt", "vec_id", "cv"))
+        q2 = (queries.withColumn("key", F.lit(0)).withColumn("cs", cs).withColumn("qs", qs)
+                     .withColumn("qsalt", F.pmod(F.xxhash64("query_id"), F.col("qs")).cast("int"))
+                     .withColumn("csalt", F.explode(F.sequence(F.lit(0), F.col("cs") - 1)))
+                     .select("key", "csalt", "qsalt", "query_id", "qv"))
+    else:
+        c = coll.withColumn("key", ckey)
+        q = queries.withColumn("key", F.explode(qkeys))
+        cn = c.groupBy("key").agg(F.count(F.lit(1)).alias("cn"))
+        qn = q.groupBy("key").agg(F.count(F.lit(1)).alias("qn"))
+        salts = (cn.join(qn, "key")
+                   .withColumn("cs", F.greatest(F.lit(1), F.ceil(F.col("cn") / F.lit(block_rows))).cast("int"))
+                   .withColumn("qs", F.greatest(F.lit(1), F.ceil(F.col("qn") / F.lit(block_rows))).cast("int"))
+                   .select("key", "cs", "qs"))
+        c2 = (c.join(salts, "key")
+               .withColumn("csalt", F.pmod(F.xxhash64("vec_id"), F.col("cs")).cast("int"))
+               .withColumn("qsalt", F.explode(F.sequence(F.lit(0), F.col("qs") - 1)))
+               .select("key", "csalt", "qsalt", "vec_id", "cv"))
+        q2 = (q.join(salts, "key")
+               .withColumn("qsalt", F.pmod(F.xxhash64("query_id"), F.col("qs")).cast("int"))
+               .withColumn("csalt", F.explode(F.sequence(F.lit(0), F.col("cs") - 1)))
+               .select("key", "csalt", "qsalt", "query_id", "qv"))
 
     def run(qdf: pd.DataFrame, cdf: pd.DataFrame) -> pd.DataFrame:
         if qdf.empty or cdf.empty:
@@ -196,7 +212,7 @@ def _pairs(collection: DataFrame, queries: DataFrame, mode: str, param: float, m
     qs = _prepare(queries, query_id_col, query_vec_col, "query_id", "qv")
     if bounded(qs, max_broadcast_queries):
         return _broadcast_path(coll, qs, mode, param, metric)
-    return _blocked_path(coll, qs, F.lit(0), F.array(F.lit(0)), mode, param, metric, block_rows)
+    return _blocked_path(coll, qs, None, None, mode, param, metric, block_rows)
 
 
 # --------------------------------------------------------------------------------------------------
