@@ -66,7 +66,8 @@ def peak_normalize(v: Column) -> Column:
     """divide by the largest absolute value; an all-zero signal stays NULL-free zero."""
     v = as_double(v)
     peak = F.array_max(F.transform(v, lambda x: F.abs(x)))
-    return F.transform(v, lambda x: F.coalesce(F.try_divide(x, peak), F.lit(0.0)))
+    # the peak is spread into an array once; a lambda that referenced it would recompute it per element
+    return F.zip_with(v, F.array_repeat(peak, F.size(v)), lambda x, p: F.coalesce(F.try_divide(x, p), F.lit(0.0)))
 
 
 def full_windows(v: Column, width: int) -> Column:
@@ -77,6 +78,15 @@ def full_windows(v: Column, width: int) -> Column:
     return F.transform(idx, lambda i: F.slice(v, i * width + 1, width))
 
 
+def mean_rows(m: Column, width: int) -> Column:
+    """A9 on one matrix: element-wise mean of the rows of ``array<array<double>>`` (rows of ``width``);
+    an empty matrix gives NULL."""
+    n = F.size(m)
+    summed = F.aggregate(m, F.array_repeat(F.lit(0.0), width),
+                         lambda acc, row: F.zip_with(acc, row, lambda a, b: a + b))
+    return F.when(n > 0, F.transform(summed, lambda x: x / n))
+
+
 def element(v: Column, i: int) -> Column:
     """0-based element access."""
     return F.element_at(v, i + 1)

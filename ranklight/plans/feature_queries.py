@@ -54,10 +54,11 @@ ARR_W, ARR_SEG, ARR_OUT = 24, 20, 30
 def f12_f13_f9_array_features(spark, sf_dir):
     """F12 → F13 → F9 per window → mean over windows → F9, all as array expressions, then exploded."""
     e = table(spark, sf_dir, "embeddings")
-    wins = F.transform(V.full_windows(V.peak_normalize(F.col("embedding")), ARR_W), lambda w: V.pad_or_cut(w, ARR_SEG))
-    mean = F.transform(F.sequence(F.lit(0), F.lit(ARR_SEG - 1)),
-                       lambda j: F.aggregate(wins, F.lit(0.0), lambda acc, w: acc + w[j]) / F.size(wins))
-    out = e.select("vec_id", V.pad_or_cut(mean, ARR_OUT).alias("v"))
+    # each stage is its own column, so later lambdas read it instead of re-deriving it per element
+    e = e.select("vec_id", V.peak_normalize(F.col("embedding")).alias("y"))
+    e = e.select("vec_id", V.full_windows(F.col("y"), ARR_W).alias("raw"))
+    e = e.select("vec_id", F.transform("raw", lambda w: V.pad_or_cut(w, ARR_SEG)).alias("wins"))
+    out = e.select("vec_id", V.pad_or_cut(V.mean_rows(F.col("wins"), ARR_SEG), ARR_OUT).alias("v"))
     return out.select("vec_id", F.posexplode("v").alias("pos", "value")).select("vec_id", "pos", r6("value").alias("value"))
 
 
