@@ -1,0 +1,313 @@
+"""Snowball stemmers (F3 English "Porter2", F4 Spanish), written from the published rule sets
+(snowballstem.org), and the Spark job that applies them.
+
+The stemmer is a per-word helper; Spark does the work around it: the distinct vocabulary is stemmed by
+a vectorised pandas UDF (one call per Arrow batch of distinct terms, never per token), and the
+``term → stem`` table is joined back to the postings, whose frequencies are then re-summed per stem.
+"""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# ------------------------------------------------------------------------------------------------
+# English (Porter2).  Fixed values from the published algorithm.
+
+_V = "aeiouy"
+_DOUBLES = ("bb", "dd", "ff", "gg", "mm", "nn", "pp", "rr", "tt")
+_LI = "cdeghkmnrt"
+_EXCEPTIONS = {"skis": "ski", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie",
+               "idly": "idl", "gently": "gentl", "ugly": "ugli", "early": "earli", "only": "onli",
+               "singly": "singl", "sky": "sky", "news": "news", "howe": "howe", "atlas": "atlas",
+               "cosmos": "cosmos", "bias": "bias", "andes": "andes"}
+_AFTER_1A = {"inning", "outing", "canning", "herring", "earring", "proceed", "exceed", "succeed"}
+_R1_PREFIXES = ("gener", "commun", "arsen")
+_STEP2 = (("ization", "ize"), ("ational", "ate"), ("fulness", "ful"), ("ousness", "ous"), ("iveness", "ive"),
+          ("tional", "tion"), ("biliti", "ble"), ("lessli", "less"), ("entli", "ent"), ("ation", "ate"),
+          ("alism", "al"), ("aliti", "al"), ("ousli", "ous"), ("iviti", "ive"), ("fulli", "ful"),
+          ("enci", "ence"), ("anci", "ance"), ("abli", "able"), ("izer", "ize"), ("ator", "ate"),
+          ("alli", "al"), ("bli", "ble"), ("ogi", "og"), ("li", ""))
+_STEP3 = (("ational", "ate"), ("tional", "tion"), ("alize", "al"), ("icate", "ic"), ("iciti", "ic"),
+          ("ative", ""), ("ical", "ic"), ("ness", ""), ("ful", ""))
+_STEP4 = ("ement", "ance", "ence", "able", "ible", "ment", "ant", "ent", "ism", "ate", "iti", "ous", "ive", "ize",
+          "ion", "al", "er", "ic")
+
+
+def _region(w: str, start: int = 0, vowels: str = _V) -> int:
+    """Index after the first non-vowel that follows a vowel, searching from ``start``."""
+    for i in range(start + 1, len(w)):
+        if w[i] not in vowels and w[i - 1] in vowels:
+            return i + 1
+    return len(w)
+
+
+def _short_syllable_end(w: str) -> bool:
+    if len(w) >= 3 and w[-1] not in _V and w[-1] not in "wxY" and w[-2] in _V and w[-3] not in _V:
+        return True
+    return len(w) == 2 and w[0] in _V and w[1] not in _V
+
+
+def english(word: str) -> str:
+    if len(word) <= 2:
+        return word
+    if word in _EXCEPTIONS:
+        return _EXCEPTIONS[word]
+    w = word
+    if w.startswith("'"):
+        w = w[1:]
+    w = ("Y" + w[1:]) if w.startswith("y") else w
+    w = "".join("Y" if c == "y" and i > 0 and w[i - 1] in _V else c for i, c in enumerate(w))
+    r1 = next((len(p) for p in _R1_PREFIXES if w.startswith(p)), None)
+    if r1 is None:
+        r1 = _region(w)
+    r2 = _region(w, r1)
+
+    # step 0
+    for suf in ("'s'", "'s", "'"):
+        if w.endswith(suf):
+            w = w[: -len(suf)]
+            break
+    # step 1a
+    if w.endswith("sses"):
+        w = w[:-2]
+    elif w.endswith("ied") or w.endswith("ies"):
+        w = w[:-2] if len(w) > 4 else w[:-1]
+    elif w.endswith("us") or w.endswith("ss"):
+        pass
+    elif w.endswith("s"):
+        if any(c in _V for c in w[:-2]):
+            w = w[:-1]
+    if w in _AFTER_1A:
+        return w
+    # step 1b
+    for suf in ("eedly", "ingly", "edly", "eed", "ing", "ed"):
+        if w.endswith(suf):
+            if suf in ("eed", "eedly"):
+                if len(w) - len(suf) >= r1:
+                    w = w[: -len(suf)] + "ee"
+            elif any(c in _V for c in w[: -len(suf)]):
+                w = w[: -len(suf)]
+                if w.endswith(("at", "bl", "iz")):
+                    w += "e"
+                elif w.endswith(_DOUBLES):
+                    w = w[:-1]
+                elif r1 >= len(w) and _short_syllable_end(w):
+                    w += "e"
+            break
+    # step 1c
+    if len(w) > 2 and w[-1] in "yY" and w[-2] not in _V:
+        w = w[:-1] + "i"
+    # step 2
+    for suf, rep in _STEP2:
+        if w.endswith(suf):
+            if len(w) - len(suf) >= r1:
+                if suf == "ogi":
+                    if w[-4:-3] == "l":
+                        w = w[:-3] + rep
+                elif suf == "li":
+                    if w[-3:-2] and w[-3] in _LI:
+                        w = w[:-2]
+                else:
+                    w = w[: -len(suf)] + rep
+            break
+    # step 3
+    for suf, rep in _STEP3:
+        if w.endswith(suf):
+            if len(w) - len(suf) >= r1:
+                if suf == "ative":
+                    if len(w) - len(suf) >= r2:
+                        w = w[: -len(suf)]
+                else:
+                    w = w[: -len(suf)] + rep
+            break
+    # step 4
+    for suf in _STEP4:
+        if w.endswith(suf):
+            if len(w) - len(suf) >= r2:
+                if suf == "ion":
+                    if w[-4:-3] in ("s", "t"):
+                        w = w[:-3]
+                else:
+                    w = w[: -len(suf)]
+            break
+    # step 5
+    if w.endswith("e"):
+        if len(w) - 1 >= r2:
+            w = w[:-1]
+        elif len(w) - 1 >= r1 and not _short_syllable_end(w[:-1]):
+            w = w[:-1]
+    elif w.endswith("l") and len(w) - 1 >= r2 and w[-2:-1] == "l":
+        w = w[:-1]
+    return w.replace("Y", "y")
+
+
+# ------------------------------------------------------------------------------------------------
+# Spanish.  Fixed values from the published algorithm.
+
+_SV = "aeiouáéíóúü"
+_ACUTE = str.maketrans("áéíóú", "aeiou")
+_PRONOUNS = ("selas", "selos", "sela", "selo", "las", "les", "los", "nos", "me", "se", "la", "le", "lo")
+_PRONOUN_BEFORE = ("iéndo", "ándo", "ár", "ér", "ír", "ando", "iendo", "ar", "er", "ir", "yendo")
+_S1 = (
+    (("amientos", "imientos", "amiento", "imiento", "anzas", "ismos", "ables", "ibles", "istas", "anza", "icos",
+      "icas", "ismo", "able", "ible", "ista", "osos", "osas", "ico", "ica", "oso", "osa"), "delete"),
+    (("aciones", "adoras", "adores", "ancias", "adora", "ación", "antes", "ancia", "ador", "ante"), "ic"),
+    (("logías", "logía"), "log"),
+    (("uciones", "ución"), "u"),
+    (("encias", "encia"), "ente"),
+    (("amente",), "amente"),
+    (("mente",), "mente"),
+    (("idades", "idad"), "idad"),
+    (("ivas", "ivos", "iva", "ivo"), "iva"),
+)
+_S2A = ("yeron", "yendo", "yamos", "yais", "yan", "yen", "yas", "yes", "ya", "ye", "yo", "yó")
+_S2B_GU = ("emos", "éis", "en", "es")
+_S2B = ("aríamos", "eríamos", "iríamos", "iéramos", "iésemos", "aríais", "aremos", "eríais", "eremos", "iríais",
+        "iremos", "ierais", "ieseis", "asteis", "isteis", "ábamos", "áramos", "ásemos", "arían", "arías", "aréis",
+        "erían", "erías", "eréis", "irían", "irías", "iréis", "ieran", "iesen", "ieron", "iendo", "ieras", "ieses",
+        "abais", "arais", "aseis", "íamos", "arán", "arás", "aría", "erán", "erás", "ería", "irán", "irás",
+        "iría", "iera", "iese", "aste", "iste", "aban", "aran", "asen", "aron", "ando", "abas", "adas", "idas",
+        "aras", "ases", "íais", "imos", "amos", "ará", "aré", "erá", "eré", "irá", "iré", "aba", "ada", "ida",
+        "ara", "ase", "ían", "ado", "ido", "ías", "áis", "ía", "ad", "ed", "id", "an", "ió", "ar", "er", "ir",
+        "as", "ís")
+
+
+def _rv(w: str) -> int:
+    if len(w) < 2:
+        return len(w)
+    if w[1] not in _SV:
+        for i in range(2, len(w)):
+            if w[i] in _SV:
+                return i + 1
+        return len(w)
+    if w[0] in _SV and w[1] in _SV:
+        for i in range(2, len(w)):
+            if w[i] not in _SV:
+                return i + 1
+        return len(w)
+    return 3 if len(w) >= 3 else len(w)
+
+
+def _longest(w: str, suffixes) -> str | None:
+    best = None
+    for s in suffixes:
+        if w.endswith(s) and (best is None or len(s) > len(best)):
+            best = s
+    return best
+
+
+def spanish(word: str) -> str:
+    w = word
+    rv = _rv(w)
+    r1 = _region(w, 0, _SV)
+    r2 = _region(w, r1, _SV)
+
+    # step 0: attached pronoun
+    p = _longest(w, _PRONOUNS)
+    if p is not None:
+        stem = w[: -len(p)]
+        before = _longest(stem, _PRONOUN_BEFORE)
+        if before is not None and len(stem) - len(before) >= rv:
+            if before in ("iéndo", "ándo", "ár", "ér", "ír"):
+                w = stem[: -len(before)] + before.translate(_ACUTE)
+            elif before == "yendo":
+                if stem[: -len(before)].endswith("u"):
+                    w = stem
+            else:
+                w = stem
+    # step 1
+    done = False
+    suf = _longest(w, [s for group, _ in _S1 for s in group])
+    if suf is not None:
+        action = next(a for group, a in _S1 if suf in group)
+        base = len(w) - len(suf)
+        if action == "delete" and base >= r2:
+            w, done = w[:base], True
+        elif action == "ic" and base >= r2:
+            w, done = w[:base], True
+            if w.endswith("ic") and len(w) - 2 >= r2:
+                w = w[:-2]
+        elif action in ("log", "u", "ente") and base >= r2:
+            w, done = w[:base] + action, True
+        elif action == "amente" and base >= r1:
+            w, done = w[:base], True
+            if w.endswith("iv") and len(w) - 2 >= r2:
+                w = w[:-2]
+                if w.endswith("at") and len(w) - 2 >= r2:
+                    w = w[:-2]
+            else:
+                for pre in ("os", "ic", "ad"):
+                    if w.endswith(pre) and len(w) - 2 >= r2:
+                        w = w[:-2]
+                        break
+        elif action == "mente" and base >= r2:
+            w, done = w[:base], True
+            for pre in ("ante", "able", "ible"):
+                if w.endswith(pre) and len(w) - len(pre) >= r2:
+                    w = w[: -len(pre)]
+                    break
+        elif action == "idad" and base >= r2:
+            w, done = w[:base], True
+            for pre in ("abil", "ic", "iv"):
+                if w.endswith(pre) and len(w) - len(pre) >= r2:
+                    w = w[: -len(pre)]
+                    break
+        elif action == "iva" and base >= r2:
+            w, done = w[:base], True
+            if w.endswith("at") and len(w) - 2 >= r2:
+                w = w[:-2]
+    if not done:
+        # step 2a
+        s = _longest(w, _S2A)
+        if s is not None and len(w) - len(s) >= rv and w[: -len(s)].endswith("u"):
+            w = w[: -len(s)]
+        else:
+            # step 2b
+            s = _longest(w, _S2B_GU + _S2B)
+            if s is not None and len(w) - len(s) >= rv:
+                w = w[: -len(s)]
+                if s in _S2B_GU and w.endswith("gu"):
+                    w = w[:-1]
+    # step 3: residual suffix
+    s = _longest(w, ("os", "a", "o", "á", "í", "ó", "e", "é"))
+    if s is not None and len(w) - len(s) >= rv:
+        w = w[: -len(s)]
+        if s in ("e", "é") and w.endswith("gu") and len(w) - 1 >= rv:
+            w = w[:-1]
+    return w.translate(_ACUTE)
+
+
+STEMMERS = {"english": english, "spanish": spanish}
+
+
+# ------------------------------------------------------------------------------------------------
+# Spark side
+
+def _udf(language: str):
+    fn = STEMMERS[language]
+
+    @F.pandas_udf("string")
+    def stem(terms: pd.Series) -> pd.Series:
+        return terms.map(fn)
+
+    return stem
+
+
+def stem_table(terms: DataFrame, language: str) -> DataFrame:
+    """``(term, stem)`` for the distinct terms of ``terms``."""
+    if language not in STEMMERS:
+        raise ValueError(f"unknown stemmer {language!r}; choose one of {sorted(STEMMERS)}")
+    vocab = terms.select("term").distinct()
+    return vocab.select("term", _udf(language)(F.col("term")).alias("stem"))
+
+
+def apply_stemmer(t: DataFrame, language: str, weight: str | None = None) -> DataFrame:
+    """Replace ``term`` by its stem.  With ``weight`` (e.g. ``tf``) the rows are re-summed per stem, so
+    postings stay one row per (id, stem)."""
+    keys = [c for c in t.columns if c not in ("term", weight)]
+    s = t.join(stem_table(t, language), "term").drop("term").withColumnRenamed("stem", "term")
+    if weight:
+        return s.groupBy(*keys, "term").agg(F.sum(weight).cast("bigint").alias(weight))
+    return s.select(*keys, "term")

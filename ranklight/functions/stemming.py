@@ -1,13 +1,14 @@
-"""Stemming hook (F3, F4).  Filled in by ranklight.functions.snowball; ``None`` means no stemming."""
+"""Stemming hook (F3, F4): ``None`` means no stemming; ``"english"`` / ``"spanish"`` run the Snowball
+stemmers of :mod:`ranklight.functions.snowball` on the distinct vocabulary and join the stems back."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 
-def stem_terms(t: DataFrame, stemmer: str | None) -> DataFrame:
+def stem_terms(t: DataFrame, stemmer: str | None, weight: str | None = None) -> DataFrame:
     if not stemmer:
         return t
     from ranklight.functions.snowball import apply_stemmer
 
-    return apply_stemmer(t, stemmer)
+    return apply_stemmer(t, stemmer, weight)

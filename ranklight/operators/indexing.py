@@ -56,10 +56,11 @@ class TextIndex:
 
 def term_frequencies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stopwords=None,
                      stemmer: str | None = None) -> DataFrame:
-    """A1: ``(doc_id, term, tf)``, one row per posting."""
+    """A1: ``(doc_id, term, tf)``, one row per posting.  With a stemmer, the postings (not the raw
+    tokens) are mapped to stems and re-summed, so the stem join sees one row per posting."""
     t = tokens(docs, id_col, text_col, stopwords)
-    t = stemming.stem_terms(t, stemmer)
-    return t.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    tf = t.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    return stemming.stem_terms(tf, stemmer, weight="tf")
 
 
 def document_frequencies(postings: DataFrame) -> DataFrame:

@@ -46,7 +46,8 @@ def prefix_sweep(docs: DataFrame, queries: DataFrame, k: int = 5, levels: int =
     w = w.select("n", "term", "doc_id", F.try_divide(F.col("w"), F.col("norm")).alias("wn"))
 
     q = tokens(queries, query_id_col, query_text_col, stopwords, out_id="query_id")
-    q = stemming.stem_terms(q, stemmer).groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
+    q = q.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
+    q = stemming.stem_terms(q, stemmer, weight="qtf")
     q = q.join(vocab, "term").withColumn("qw", log_tf("qtf") * log_idf(F.col("n"), F.col("df")))
     q = q.withColumn("qnorm", F.sqrt(F.sum(F.col("qw") * F.col("qw")).over(Window.partitionBy("n", "query_id"))))
     q = q.select("n", "query_id", "term", F.try_divide(F.col("qw"), F.col("qnorm")).alias("qwn"))

@@ -165,3 +165,22 @@ def m6_prefix_sweep(spark, sf_dir):
 
     out = prefix_sweep(table(spark, sf_dir, "documents"), _queries(spark, sf_dir), k=5, levels=6)
     return out.select("n", "query_id", "rank", "doc_id", r6("score").alias("score"))
+
+
+@register("f3_stemmed_search_english")
+def f3_stemmed_search_english(spark, sf_dir):
+    """English Snowball stemming on index and queries (the reference's disk index setting).
+    DuckDB has no stemmer here, so this has no SQL twin; the stemmer has goldens in the tests."""
+    idx = indexing.build_index(table(spark, sf_dir, "documents"), stemmer="english")
+    hits = ranking.cosine_search(idx, _queries(spark, sf_dir), K)
+    return hits.select("query_id", "rank", "doc_id", r6("score").alias("score"))
+
+
+@register("f4_stemmed_search_spanish")
+def f4_stemmed_search_spanish(spark, sf_dir):
+    """Spanish Snowball stemming over the Spanish documents (the reference's in-memory variant
+    indexes a Spanish news column with the Spanish stemmer and the English stop list)."""
+    docs = table(spark, sf_dir, "documents").filter(F.col("lang") == "es")
+    idx = indexing.build_index(docs, stemmer="spanish")
+    hits = ranking.cosine_search(idx, _queries(spark, sf_dir), K)
+    return hits.select("query_id", "rank", "doc_id", r6("score").alias("score"))
