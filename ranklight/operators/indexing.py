@@ -8,9 +8,9 @@ Physical shape of :func:`build_index` (one lazy plan, no driver round trip):
   over the corpus (A3), so no cross join is needed to attach it (J7);
 * postings ⋈ vocabulary on ``term`` is a plain equi-join: AQE turns it into a broadcast when the
   vocabulary is small at runtime and splits hot-term partitions (skew join) when it is not;
-* norms are a window ``sum(w²)`` partitioned by document, so the weights are shuffled by ``doc_id``
-  once and leave that stage already divided by their document norm (``wn``).  A search then needs
-  no norms join at all.  One window partition is one document, bounded by that document's length.
+* norms are a partial/final aggregate per document joined back on ``doc_id`` (AQE: broadcast while
+  small, skew-split when not); the weights leave that join already divided by their document norm
+  (``wn``), so a search needs no norms join at all.
 """
 
 from __future__ import annotations
@@ -80,15 +80,27 @@ def merge_postings(*parts: DataFrame) -> DataFrame:
 
 
 def weigh(postings: DataFrame, n_docs: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """M2: vocabulary, weights (with ``wn = w / ‖d‖`` and document length ``dl``) and norms."""
+    """M2: vocabulary, weights (with ``wn = w / ‖d‖`` and document length ``dl``) and norms.
+
+    Norms are a partial/final aggregate per document (one shuffled row per document and map task),
+    then joined back on ``doc_id``: AQE broadcasts the norms while they are small and splits a huge
+    document's partition (skew join) when they are not."""
     vocab = document_frequencies(postings)
-    w = postings.join(vocab.select("term", "df"), "term").withColumn("w", log_tf(F.col("tf")) * log_idf(n_docs, F.col("df")))
-    by_doc = Window.partitionBy("doc_id")
-    w = (w.withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(by_doc)))
-          .withColumn("dl", F.sum("tf").over(by_doc).cast("bigint")))
-    weights = w.withColumn("wn", F.try_divide(F.col("w"), F.col("norm")))
-    norms = weights.groupBy("doc_id").agg(F.first("norm").alias("norm"), F.first("dl").alias("dl"))
-    return vocab, weights.select(*WEIGHTS_COLS), norms
+    w = raw_weights(postings, vocab, n_docs)
+    norms = w.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
+                                    F.sum("tf").cast("bigint").alias("dl"))
+    return vocab, normalized_weights(w, norms), norms
+
+
+def raw_weights(postings: DataFrame, vocab: DataFrame, n_docs: Column) -> DataFrame:
+    """J7 + F5·F6: ``term, doc_id, tf, df, w``."""
+    return postings.join(vocab.select("term", "df"), "term").withColumn(
+        "w", log_tf(F.col("tf")) * log_idf(n_docs, F.col("df")))
+
+
+def normalized_weights(w: DataFrame, norms: DataFrame) -> DataFrame:
+    """``wn = w / ‖d‖`` (NULL for a zero norm) and ``dl`` from the norms table."""
+    return w.join(norms, "doc_id").withColumn("wn", F.try_divide(F.col("w"), F.col("norm"))).select(*WEIGHTS_COLS)
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stopwords=None,
@@ -97,11 +109,11 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shared checkpoint folder (one job) and vocabulary, weights and norms are lazy plans over it.
     With ``materialize_postings=False`` everything stays one lazy plan (Spark then relies on exchange
     reuse, which column pruning can defeat)."""
+    n_docs = docs.select(F.count(F.lit(1))).scalar()  # counted on the scan itself (row-group metadata)
     docs = spread(docs.select(id_col, text_col))
     postings = term_frequencies(docs, id_col, text_col, stopwords, stemmer).select(*POSTINGS_COLS)
     if materialize_postings:
         postings = materialize(postings, "postings")
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
     vocab, weights, norms = weigh(postings, n_docs)
     total_len = vocab.select(F.coalesce(F.sum("cf"), F.lit(0)).cast("bigint")).scalar()
     return TextIndex(postings, vocab, weights, norms, n_docs, total_len, stopwords, stemmer)

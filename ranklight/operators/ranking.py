@@ -42,12 +42,13 @@ def query_terms(index: TextIndex, queries: DataFrame, id_col: str = "query_id",
 
     Returns the table and whether it was proven small (then it is broadcast into the joins with the
     vocabulary and the weights, so the index side is never shuffled for a search)."""
-    q = index.analyze(queries, id_col, text_col, "query_id")
-    q = q.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
+    toks = index.analyze(queries, id_col, text_col, "query_id")
+    # the raw token count bounds the (query, term) rows from above and needs no shuffle to compute
+    small = bounded(toks, max_broadcast_rows)
+    q = toks.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
     buckets = index.extra.get("buckets")
     if buckets:  # saved index: carry the term bucket so the joins prune partitions
         q = q.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))
-    small = bounded(q, max_broadcast_rows)
     side = F.broadcast(q) if small else q
     keys = ["bucket", "term"] if buckets else ["term"]
     vocab = index.vocab.select(*keys, "df")
