@@ -52,7 +52,9 @@ def main() -> None:
     bench_q = read("benchmark").select(F.col("item_id").alias("query_id"), "text")
     emb = read("embeddings")
     emb_q = emb.select(F.col("vec_id").alias("query_id"), "embedding")
-    one_text = bench_q.orderBy("query_id").limit(1)
+    # a single query arrives as a string (the reference's search box): one-row local table
+    first = bench_q.orderBy("query_id").select("text").first()[0]
+    one_text = ranking.single_query(spark, first)
     one_vec = emb_q.orderBy("query_id").limit(1)
     n_text_q = bench_q.count()
     n_vec_q = emb_q.count()
@@ -65,6 +67,7 @@ def main() -> None:
     idx = index_store.load_index(spark, out_dir)
 
     q["text_cosine_single"] = timed(lambda: ranking.cosine_search(idx, one_text, 10))
+    q["text_bm25_single"] = timed(lambda: ranking.bm25_search(idx, one_text, 10))
     q["text_cosine_batch"] = timed(lambda: ranking.cosine_search(idx, bench_q, 10))
     q["text_bm25_batch"] = timed(lambda: ranking.bm25_search(idx, bench_q, 10))
     q["knn_exact_single"] = timed(lambda: neighbours.knn(emb, one_vec, 5))

@@ -95,3 +95,21 @@ def test_exact_plan_has_no_cartesian(spark, emb):
     for df in (neighbours.knn(emb, q, 5), neighbours.knn(emb, q, 5, max_broadcast_queries=0)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_vector_search_by_flag_and_names(spark, emb):
+    q = emb.select(F.col("vec_id").alias("query_id"), "embedding")
+    names = emb.select("vec_id", F.format_string("%d - label %d", "vec_id", "label").alias("name"))
+    ranged = neighbours.vector_search(emb, q, radius=1.2, is_knn=False, method="knn_rtree", names=names)
+    assert _set(ranged) == _set(neighbours.within(emb, q, 1.2))
+    row = ranged.first()
+    assert row.path == "media/" + row.name
+    with pytest.raises(ValueError):
+        neighbours.vector_search(emb, q, method="nope")
+
+
+def test_float32_narrowing(spark):
+    from ranklight.functions.vectors import to_float32
+
+    df = spark.createDataFrame([([0.1, 0.2],)], "v array<double>")
+    assert df.select(to_float32(F.col("v")).alias("f")).schema["f"].dataType.simpleString() == "array<float>"
