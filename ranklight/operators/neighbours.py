@@ -4,7 +4,7 @@ Distances are computed by a NumPy kernel over *blocks* of queries × collection
 tasks; pairs are never emitted as rows, only the k best per query and block (kNN) or the pairs within
 the radius (range).  Two physical strategies:
 
-* **broadcast** — when the query batch is proven small (``sizing.bounded``), its vectors are
+* **broadcast** — when the query batch is proven small (one ``take(n + 1)``: rows and bytes), its vectors are
   broadcast and ``mapInArrow`` scans the collection where it lies: no shuffle of the collection, and
   each partition emits at most k rows per query.  This is the reference's usage (one query at a time)
   and the path for interactive batches.
@@ -29,10 +29,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ranklight.operators.ranking import top_k
-from ranklight.operators.sizing import bounded
 
 PAIR_SCHEMA = "query_id long, vec_id long, dist double"
 MAX_BROADCAST_QUERIES = 20_000
+MAX_BROADCAST_BYTES = 64 << 20   # query vectors as float64
 BLOCK_ROWS = 4096
 METRICS = ("l2", "sqeuclidean")
 
@@ -106,11 +106,24 @@ def _prepare(df: DataFrame, id_col: str, vec_col: str, id_name: str, vec_name: s
     return df.select(F.col(id_col).cast("long").alias(id_name), F.col(vec_col).cast("array<double>").alias(vec_name))
 
 
-def _broadcast_path(coll: DataFrame, queries: DataFrame, mode: str, param: float, metric: str,
+def _small_batch(queries: DataFrame, max_rows: int, max_bytes: int) -> list | None:
+    """The query batch when it has at most ``max_rows`` rows and ``max_bytes`` of vectors, else None.
+    One ``take(max_rows + 1)`` both proves the bound and fetches the rows (never more than the bound)."""
+    if max_rows <= 0:
+        return None
+    rows = queries.take(max_rows + 1)
+    if len(rows) > max_rows:
+        return None
+    if sum(len(r["qv"] or ()) for r in rows) * 8 > max_bytes:
+        return None
+    return rows
+
+
+def _broadcast_path(coll: DataFrame, rows: list, mode: str, param: float, metric: str,
                     box: float | None = None) -> DataFrame:
-    """Query batch (already proven small) broadcast; ``mapInArrow`` over the collection in place."""
+    """Query batch (proven small by ``_small_batch``) broadcast; ``mapInArrow`` over the collection
+    where it lies."""
     spark = coll.sparkSession
-    rows = queries.collect()  # bounded by the caller's check
     qids = np.array([r["query_id"] for r in rows], dtype=np.int64)
     Q = _matrix([r["qv"] for r in rows]) if rows else np.zeros((0, 0))
     bq = spark.sparkContext.broadcast((qids, Q))
@@ -210,8 +223,9 @@ def _pairs(collection: DataFrame, queries: DataFrame, mode: str, param: float, m
         raise ValueError(f"unknown metric {metric!r}; choose one of {METRICS}")
     coll = _prepare(collection, id_col, vec_col, "vec_id", "cv")
     qs = _prepare(queries, query_id_col, query_vec_col, "query_id", "qv")
-    if bounded(qs, max_broadcast_queries):
-        return _broadcast_path(coll, qs, mode, param, metric)
+    rows = _small_batch(qs, max_broadcast_queries, MAX_BROADCAST_BYTES)
+    if rows is not None:
+        return _broadcast_path(coll, rows, mode, param, metric)
     return _blocked_path(coll, qs, None, None, mode, param, metric, block_rows)
 
 

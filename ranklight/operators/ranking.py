@@ -114,13 +114,27 @@ def search(index: TextIndex, queries: DataFrame, k: int = 10, method: str = "cos
 
 
 def with_documents(hits: DataFrame, docs: DataFrame, columns: dict[str, str] | None = None,
-                   id_col: str = "doc_id") -> DataFrame:
+                   id_col: str = "doc_id", max_hits: int | None = None) -> DataFrame:
     """J3 + P1 (M7): attach source columns to the hits in one join instead of one rescan per hit,
     renamed to result headers.  ``columns`` maps source column → header.  No hit → empty result with
-    the full schema.  The hits side is |queries|·k rows; AQE broadcasts it when it is small."""
+    the full schema.  ``max_hits`` is a proven upper bound on the hits (k × number of queries); when it
+    is below the broadcast bound the hits are broadcast and the corpus is only scanned, never shuffled.
+    Without a bound the join is left to AQE."""
     columns = columns or {"text": "text"}
     src = docs.select(F.col(id_col).alias("doc_id"), *[F.col(c).alias(h) for c, h in columns.items()])
-    return hits.join(src, "doc_id").select("query_id", "rank", "doc_id", *columns.values(), "score")
+    side = F.broadcast(hits) if max_hits is not None and max_hits <= MAX_BROADCAST_ROWS else hits
+    return side.join(src, "doc_id").select("query_id", "rank", "doc_id", *columns.values(), "score")
+
+
+def search_with_documents(index: TextIndex, queries: DataFrame, docs: DataFrame, k: int = 10,
+                          method: str = "cosine", columns: dict[str, str] | None = None,
+                          id_col: str = "query_id", text_col: str = "text") -> DataFrame:
+    """M7: ``search`` then ``with_documents``; the query count (a bounded ``limit`` count) proves the
+    hit bound k × |queries| used to broadcast the hits."""
+    n_max = MAX_BROADCAST_ROWS // max(1, k)
+    n_queries = queries.limit(n_max + 1).count()
+    hits = search(index, queries, k, method, id_col, text_col)
+    return with_documents(hits, docs, columns, max_hits=k * n_queries if n_queries <= n_max else None)
 
 
 def single_query(spark, text: str, query_id: int = 0) -> DataFrame:

@@ -85,11 +85,10 @@ def m5_bm25_batch(spark, sf_dir):
           "FROM hits h JOIN documents d USING (doc_id)")
 def m7_search_with_text(spark, sf_dir):
     """M7: hits with the source row's columns under result headers (one join, J3 + P1)."""
-    hits = ranking.search(_index(spark, sf_dir), _queries(spark, sf_dir), K, method="cosine")
     docs = table(spark, sf_dir, "documents")
-    out = ranking.with_documents(hits.withColumn("score", r6("score")), docs,
-                                 {"lang": "language", "source": "source", "text": "text"})
-    return out
+    out = ranking.search_with_documents(_index(spark, sf_dir), _queries(spark, sf_dir), docs, K, "cosine",
+                                        {"lang": "language", "source": "source", "text": "text"})
+    return out.withColumn("score", r6("score"))
 
 
 @register("s3_saved_index_search",
