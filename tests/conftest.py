@@ -13,6 +13,7 @@ def spark():
     s = get_session("local[4]", 4)
     checkpoint_dir(s)
     yield s
+    s.stop()
 
 
 @pytest.fixture(scope="session")
