@@ -5,10 +5,10 @@ rewrites that mean the same in Java regex (Spark) and RE2 (DuckDB), so the oracl
 
 1. ``...`` and then ``--`` become spaces;
 2. runs of ``:`` / ``,`` not followed by a digit (``12:30`` stays whole) become a space;
-3. brackets, quotes and symbol characters become spaces;
+3. brackets, quotes, symbol characters and every white-space character become blanks;
 4. periods that end a word (followed by white space or the end) become a space;
 5. the clitics ``'s 'm 'd 'll 're 've n't`` at the end of a word are cut off;
-6. the text is split on white space;
+6. the text is split on blanks;
 7. a token survives only if it is made of letters and digits alone (``no-one``, ``u.s`` and ``12:30``
    are dropped whole, never split) and is not a stop word.  Stop words are removed before stemming.
 """
@@ -30,11 +30,13 @@ REWRITES: tuple[tuple[str, str, str], ...] = (
     ("literal", "...", " "),
     ("literal", "--", " "),
     ("regex", r"[:,]+([^0-9:,]|$)", " $1"),
-    ("chars", ';?!()[]{}<>"“”«»@#$%&', " "),
+    ("chars", ';?!()[]{}<>"“”«»@#$%&\t\n\x0b\x0c\r', " "),
     ("regex", r"[.]+(\s|$)", " "),
-    ("regex", r"('s|'m|'d|'ll|'re|'ve|n't)(\s|$)", " "),
+    ("regex", r"('(s|m|d|ll|re|ve)|n't)(\s|$)", " "),
 )
-SPLIT = r"\s+"
+# White space was mapped to blanks by the "chars" step, so the split is on one blank (a plain string
+# split, no regex); runs of blanks give empty tokens, which the word filter drops.
+SPLIT = " "
 WORD = r"^[\p{L}\p{N}]+$"
 
 

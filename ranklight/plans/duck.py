@@ -37,7 +37,7 @@ def tokens_cte(name: str, source: str, id_col: str, text_col: str, out_id: str =
                stopwords=None) -> str:
     """CTE ``name(out_id, term)`` of kept tokens."""
     return (
-        f"{name}_raw AS (SELECT {id_col} AS {out_id}, unnest(regexp_split_to_array({normalize_sql(text_col)}, "
+        f"{name}_raw AS (SELECT {id_col} AS {out_id}, unnest(string_split({normalize_sql(text_col)}, "
         f"{q(SPLIT)})) AS term FROM {source}),\n"
         f"{name} AS (SELECT {out_id}, term FROM {name}_raw WHERE regexp_full_match(term, '[\\p{{L}}\\p{{N}}]+')"
         f"{stop_list_sql(stopwords)})"
