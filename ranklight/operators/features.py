@@ -28,7 +28,7 @@ def signal_features(signals: DataFrame, key: str, order_by: list[str], value: st
     out_len = out_len or window_len
     keep = min(window, window_len, out_len)
     o = with_ordinal(signals.select(key, *order_by, value), order_by, [key])
-    counts = o.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    counts = signals.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))  # from the input: no ordinal needed
     full = counts.filter(F.col("_n") >= window).select(key, (F.floor(F.col("_n") / window) * window).alias("_used"))
     o = o.join(full, key).filter(F.col("ordinal") < F.col("_used"))
     o = o.withColumn("pos", (F.col("ordinal") % window).cast("int")).filter(F.col("pos") < keep)
