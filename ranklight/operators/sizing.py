@@ -29,7 +29,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     cores (one big row group reads as one task).  Inputs that are already split — the normal case for
     large tables — pass through untouched, so no shuffle is added at scale."""
     spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = min_partitions or spark.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a Connect session): leave the scan as it is
+        return df
+    return df.repartition(want) if have < want else df
