@@ -183,3 +183,17 @@ def f4_stemmed_search_spanish(spark, sf_dir):
     idx = indexing.build_index(docs, stemmer="spanish")
     hits = ranking.cosine_search(idx, _queries(spark, sf_dir), K)
     return hits.select("query_id", "rank", "doc_id", r6("score").alias("score"))
+
+
+USER_TURNS = "(SELECT conv_id * 1000 + turn AS item_id, text FROM conversations WHERE role = 'user')"
+
+
+@register("m4_cosine_user_turns",
+          f"WITH {IDX},\n" + duck.query_ctes(USER_TURNS) + f",\n{duck.cosine_ctes()}\n{duck.top_k_sql('scores', K)}")
+def m4_cosine_user_turns(spark, sf_dir):
+    """M4 with a larger batch: every user turn of ``conversations`` searched against the corpus in one
+    plan (query key ``conv_id * 1000 + turn``)."""
+    conv = table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
+    q = conv.select((F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), "text")
+    hits = ranking.cosine_search(_index(spark, sf_dir), q, K)
+    return hits.select("query_id", "rank", "doc_id", r6("score").alias("score"))
