@@ -60,10 +60,10 @@ def _join_weights(q: DataFrame, small: bool, weights: DataFrame) -> DataFrame:
     return (F.broadcast(q) if small else q).join(weights, keys)
 
 
-def cosine_scores(index: TextIndex, queries: DataFrame, id_col: str = "query_id",
-                  text_col: str = "text") -> DataFrame:
+def cosine_scores(index: TextIndex, queries: DataFrame, id_col: str = "query_id", text_col: str = "text",
+                  max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """A7 + A8 + J1: ``(query_id, doc_id, score)`` for every matched pair, score not NULL."""
-    q, small = query_terms(index, queries, id_col, text_col)
+    q, small = query_terms(index, queries, id_col, text_col, max_broadcast_rows)
     q = q.withColumn("qw", log_tf(F.col("qtf")) * log_idf(index.n_docs, F.col("df")))
     q = q.withColumn("qnorm", F.sqrt(F.sum(F.col("qw") * F.col("qw")).over(Window.partitionBy("query_id"))))
     extra = ["bucket"] if "bucket" in q.columns else []
@@ -74,16 +74,17 @@ def cosine_scores(index: TextIndex, queries: DataFrame, id_col: str = "query_id"
 
 
 def cosine_search(index: TextIndex, queries: DataFrame, k: int = 10, id_col: str = "query_id",
-                  text_col: str = "text") -> DataFrame:
-    """M3/M4: top-``k`` hits ``(query_id, rank, doc_id, score)`` per query."""
-    return top_k(cosine_scores(index, queries, id_col, text_col), k).select(*HIT_COLS)
+                  text_col: str = "text", max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """M3/M4: top-``k`` hits ``(query_id, rank, doc_id, score)`` per query.  Query batches above
+    ``max_broadcast_rows`` term rows are joined by shuffle (AQE splits hot terms) instead of broadcast."""
+    return top_k(cosine_scores(index, queries, id_col, text_col, max_broadcast_rows), k).select(*HIT_COLS)
 
 
 def bm25_scores(index: TextIndex, queries: DataFrame, id_col: str = "query_id", text_col: str = "text",
-                k1: float = 1.2, b: float = 0.75) -> DataFrame:
+                k1: float = 1.2, b: float = 0.75, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """M5 second backend: OR-match of the query terms, BM25 score (Robertson & Zaragoza).
     A query term repeated counts once per occurrence (``qtf`` multiplies its contribution)."""
-    q, small = query_terms(index, queries, id_col, text_col)
+    q, small = query_terms(index, queries, id_col, text_col, max_broadcast_rows)
     extra = ["bucket"] if "bucket" in q.columns else []
     q = q.select("query_id", *extra, "term", "qtf")
     cand = _join_weights(q, small, index.weights.select(*extra, "term", "doc_id", "tf", "df", "dl"))
@@ -95,8 +96,9 @@ def bm25_scores(index: TextIndex, queries: DataFrame, id_col: str = "query_id",
 
 
 def bm25_search(index: TextIndex, queries: DataFrame, k: int = 10, id_col: str = "query_id",
-                text_col: str = "text", k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    return top_k(bm25_scores(index, queries, id_col, text_col, k1, b), k).select(*HIT_COLS)
+                text_col: str = "text", k1: float = 1.2, b: float = 0.75,
+                max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    return top_k(bm25_scores(index, queries, id_col, text_col, k1, b, max_broadcast_rows), k).select(*HIT_COLS)
 
 
 METHODS = {"cosine": cosine_search, "tfidf": cosine_search, "inverted_index": cosine_search,

@@ -108,3 +108,17 @@ def test_batch_plan_has_no_cartesian_and_partial_topk(spark, sf001):
     plan = ranking.cosine_search(indexing.build_index(docs), bench, 10)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert "WindowGroupLimit" in plan
+
+
+def test_shuffle_join_fallback_equals_broadcast(spark, sf001):
+    docs = spark.read.parquet(f"{sf001}/documents.parquet")
+    bench = spark.read.parquet(f"{sf001}/benchmark.parquet").selectExpr("item_id AS query_id", "text")
+    idx = indexing.build_index(docs)
+    a = ranking.cosine_search(idx, bench, 5)
+    b = ranking.cosine_search(idx, bench, 5, max_broadcast_rows=0)
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert a.select("query_id", "rank", "doc_id").exceptAll(b.select("query_id", "rank", "doc_id")).count() == 0
+    assert a.count() == b.count()
+    c = ranking.bm25_search(idx, bench, 5, max_broadcast_rows=0)
+    d = ranking.bm25_search(idx, bench, 5)
+    assert c.select("query_id", "rank", "doc_id").exceptAll(d.select("query_id", "rank", "doc_id")).count() == 0
