@@ -87,11 +87,16 @@ def weigh(postings: DataFrame, n_docs: Column) -> tuple[DataFrame, DataFrame, Da
     document's partition (skew join) when they are not."""
     vocab = document_frequencies(postings)
     w = raw_weights(postings, vocab, n_docs)
-    norms = w.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
-                                    F.sum("tf").cast("bigint").alias("dl"))
+    norms = doc_norms(w)
     return vocab, normalized_weights(w, norms), norms
 
 
+def doc_norms(w: DataFrame) -> DataFrame:
+    """``doc_id, norm = √Σw², dl = Σtf`` (partial aggregate before the shuffle)."""
+    return w.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
+                                   F.sum("tf").cast("bigint").alias("dl"))
+
+
 def raw_weights(postings: DataFrame, vocab: DataFrame, n_docs: Column) -> DataFrame:
     """J7 + F5·F6: ``term, doc_id, tf, df, w``."""
     return postings.join(vocab.select("term", "df"), "term").withColumn(
@@ -105,16 +110,21 @@ def normalized_weights(w: DataFrame, norms: DataFrame) -> DataFrame:
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stopwords=None,
                 stemmer: str | None = None, materialize_postings: bool = True) -> TextIndex:
-    """M1 + M2.  The corpus is tokenised exactly once: the postings are written as a table in the
-    shared checkpoint folder (one job) and vocabulary, weights and norms are lazy plans over it.
+    """M1 + M2.  The corpus is tokenised exactly once: the postings and the vocabulary are written as
+    tables in the shared checkpoint folder and weights and norms are lazy plans over them.
     With ``materialize_postings=False`` everything stays one lazy plan (Spark then relies on exchange
     reuse, which column pruning can defeat)."""
     n_docs = docs.select(F.count(F.lit(1))).scalar()  # counted on the scan itself (row-group metadata)
     docs = spread(docs.select(id_col, text_col))
     postings = term_frequencies(docs, id_col, text_col, stopwords, stemmer).select(*POSTINGS_COLS)
+    vocab = document_frequencies(postings)
     if materialize_postings:
         postings = materialize(postings, "postings")
-    vocab, weights, norms = weigh(postings, n_docs)
+        # the vocabulary is read by the weights, the norms, every query and the token total: write it once
+        vocab = materialize(document_frequencies(postings), "vocab")
+    w = raw_weights(postings, vocab, n_docs)
+    norms = doc_norms(w)
+    weights = normalized_weights(w, norms)
     total_len = vocab.select(F.coalesce(F.sum("cf"), F.lit(0)).cast("bigint")).scalar()
     return TextIndex(postings, vocab, weights, norms, n_docs, total_len, stopwords, stemmer)
 
