@@ -40,10 +40,16 @@ METRICS = ("l2", "sqeuclidean")
 # --------------------------------------------------------------------------------------------------
 # kernel (runs inside tasks)
 
+# Memory budget of the kernel, in float64 elements: the distance block and the difference block are
+# cut to this size whatever the batch sizes are (16 MB each).
+_BUDGET = 2_000_000
+
+
 def _dist(Q: np.ndarray, C: np.ndarray, metric: str) -> np.ndarray:
-    """Exact distances, difference form (no ‖q‖²+‖c‖²−2q·c cancellation), in chunks of queries."""
+    """Exact distances, difference form (no ‖q‖²+‖c‖²−2q·c cancellation), in chunks of queries so
+    the difference block stays within the budget."""
     out = np.empty((Q.shape[0], C.shape[0]), dtype=np.float64)
-    step = max(1, 4_000_000 // max(1, C.shape[0] * max(1, C.shape[1])))
+    step = max(1, _BUDGET // max(1, C.shape[0] * max(1, C.shape[1])))
     for s in range(0, Q.shape[0], step):
         diff = Q[s:s + step, None, :] - C[None, :, :]
         out[s:s + step] = np.einsum("ijk,ijk->ij", diff, diff)
@@ -59,21 +65,36 @@ def _matrix(vectors, dim: int | None = None) -> np.ndarray:
     return m
 
 
+def _check_dims(Q: np.ndarray, C: np.ndarray) -> None:
+    if Q.shape[1] != C.shape[1]:
+        raise ValueError(f"vectors of different dimension: {Q.shape[1]} vs {C.shape[1]}")
+
+
+def _query_chunks(n_queries: int, n_coll: int):
+    step = max(1, _BUDGET // max(1, n_coll))
+    return range(0, n_queries, step), step
+
+
 def _knn_block(qids, Q, cids, C, k: int, metric: str):
-    """≤ k (query, id, dist) per query, ordered by (round(dist, 9), id)."""
+    """≤ k (query, id, dist) per query, ordered by (round(dist, 9), id).  Per query chunk: one distance
+    block, ``argpartition`` for the k-th key, then an exact sort of the few rows at or below it (ties
+    at the cut are all kept until the id decides)."""
     if len(qids) == 0 or len(cids) == 0:
         return [], [], []
-    if Q.shape[1] != C.shape[1]:
-        raise ValueError(f"vectors of different dimension: {Q.shape[1]} vs {C.shape[1]}")
-    D = _dist(Q, C, metric)
+    _check_dims(Q, C)
     kk = min(k, len(cids))
     oq, oc, od = [], [], []
-    key = np.round(D, 9)
-    for i in range(len(qids)):
-        order = np.lexsort((cids, key[i]))[:kk]
-        oq.append(np.full(kk, qids[i]))
-        oc.append(cids[order])
-        od.append(D[i, order])
+    starts, step = _query_chunks(len(qids), len(cids))
+    for s in starts:
+        D = _dist(Q[s:s + step], C, metric)
+        key = np.round(D, 9)
+        kth = np.partition(key, kk - 1, axis=1)[:, kk - 1] if kk < len(cids) else key.max(axis=1)
+        for i in range(D.shape[0]):
+            cand = np.flatnonzero(key[i] <= kth[i])
+            order = cand[np.lexsort((cids[cand], key[i, cand]))][:kk]
+            oq.append(np.full(len(order), qids[s + i]))
+            oc.append(cids[order])
+            od.append(D[i, order])
     return np.concatenate(oq), np.concatenate(oc), np.concatenate(od)
 
 
@@ -81,17 +102,20 @@ def _range_block(qids, Q, cids, C, radius: float, metric: str, box: float | None
     """All (query, id, dist) with dist ≤ radius (inclusive); optional box prefilter ``|q−c|∞ ≤ box``."""
     if len(qids) == 0 or len(cids) == 0:
         return [], [], []
-    if Q.shape[1] != C.shape[1]:
-        raise ValueError(f"vectors of different dimension: {Q.shape[1]} vs {C.shape[1]}")
-    D = _dist(Q, C, metric)
-    mask = D <= radius
-    if box is not None:
-        inside = np.ones_like(mask)
-        for s in range(0, Q.shape[0], 256):
-            inside[s:s + 256] = (np.abs(Q[s:s + 256, None, :] - C[None, :, :]) <= box).all(axis=2)
-        mask &= inside
-    qi, ci = np.nonzero(mask)
-    return qids[qi], cids[ci], D[qi, ci]
+    _check_dims(Q, C)
+    oq, oc, od = [], [], []
+    starts, step = _query_chunks(len(qids), len(cids))
+    for s in starts:
+        D = _dist(Q[s:s + step], C, metric)
+        mask = D <= radius
+        if box is not None:
+            bstep = max(1, _BUDGET // max(1, C.shape[0] * C.shape[1]))
+            for b in range(0, D.shape[0], bstep):
+                qb = Q[s + b:s + min(b + bstep, D.shape[0])]
+                mask[b:b + bstep] &= (np.abs(qb[:, None, :] - C[None, :, :]) <= box).all(axis=2)
+        qi, ci = np.nonzero(mask)
+        oq.append(qids[s + qi]), oc.append(cids[ci]), od.append(D[qi, ci])
+    return np.concatenate(oq), np.concatenate(oc), np.concatenate(od)
 
 
 def _frame(q, c, d) -> pd.DataFrame:
