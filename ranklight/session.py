@@ -49,13 +49,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for cut lineage (``spark.checkpoint.dir``).
 
-    The cluster's own setting always wins.  Only when it is unset (local tests) a fresh private folder
-    under the system temp dir is taken and registered.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+    The cluster's own setting always wins (or a checkpoint folder already set on the context).  Only a
+    ``local[...]`` session without one (tests, single-machine runs) gets a private temp folder; on a
+    cluster an unset ``spark.checkpoint.dir`` is an error, because a driver-local folder is invisible
+    to the executors."""
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         path = tempfile.mkdtemp(prefix="ranklight-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
