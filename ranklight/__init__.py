@@ -8,6 +8,14 @@ Sub-packages
 - ``streaming``  a Structured Streaming front end that answers query files as they arrive.
 """
 
-from ranklight.session import get_session, checkpoint_dir  # noqa: F401
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# Functions that run in Python workers (the distance kernel, the stemmers) are shipped with the task
+# by value, so executors need no installed copy of this package (no --py-files, no shared path).
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
+from ranklight.session import get_session, checkpoint_dir  # noqa: E402,F401
 
 __version__ = "0.1.0"
