@@ -1,2 +1,2 @@
 """Composite operators.  All take and return DataFrames; none collects rows to the driver except the
-explicitly bounded query batch of the broadcast kNN path (checked with ``plans.sizing.bounded``)."""
+explicitly bounded query batch of the broadcast kNN path (rows and bytes checked by one ``take``)."""
