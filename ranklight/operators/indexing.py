@@ -1,6 +1,7 @@
 """Inverted index build (M1, M2; A1–A6, J7, J8, J9, U1, A5).
 
-Physical shape of :func:`build_index` (one lazy plan, no driver round trip):
+Physical shape of :func:`build_index` (no driver round trip; postings and vocabulary are written once
+to the checkpoint folder, everything after them is lazy):
 
 * tokens are produced row-locally (``explode`` of the tokenised text), so term frequencies are counted
   by a partial aggregate *before* the first shuffle: one shuffled row per posting, not per token (A1);
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ranklight.functions.text import tokens
