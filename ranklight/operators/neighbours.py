@@ -293,7 +293,7 @@ def top_dimensions(collection: DataFrame, vec_col: str, m: int) -> list[int]:
 
 def grid_within(collection: DataFrame, queries: DataFrame, radius: float, metric: str = "l2", dims: int = 3,
                 id_col: str = "vec_id", vec_col: str = "embedding", query_id_col: str = "query_id",
-                query_vec_col: str = "embedding", block_rows: int = BLOCK_ROWS) -> DataFrame:
+                query_vec_col: str = "embedding", block_rows: int = BLOCK_ROWS, axes: str = "coordinates") -> DataFrame:
     """Exact radius search through a grid index (J6 + P10 + P9).
 
     Cells have width equal to the box half-width on the ``dims`` highest-variance coordinates, so every
@@ -309,14 +309,34 @@ def grid_within(collection: DataFrame, queries: DataFrame, radius: float, metric
         # zero radius: only identical points; the cell is the point itself (the box test does the rest)
         return _blocked_path(coll, qs, F.col("cv"), F.array(F.col("qv")), "range", float(radius), metric,
                              block_rows, box=0.0)
-    axes = top_dimensions(coll, "cv", dims)
+    box = half
+    if axes == "pca":
+        # Cells on the leading principal directions: a projection onto a unit direction never exceeds
+        # the distance, so the ±1-cell rule stays exact; the box test then only applies to those axes,
+        # so it is left to the exact distance.  Cells are widened by 1e-9 to absorb rounding.
+        from ranklight.operators.features import fit_reduction
+
+        red = fit_reduction(coll, "cv", n_components=dims)
+        coll = red.transform(coll, "cp").withColumnRenamed("cp", "_axes")
+        qs = red.transform(qs.withColumnRenamed("qv", "cv"), "cp").withColumnRenamed("cv", "qv") \
+            .withColumnRenamed("cp", "_axes")
+        picked, half, box = list(range(dims)), half * (1 + 1e-9), None
+        src_c, src_q = "_axes", "_axes"
+    elif axes == "coordinates":
+        picked = top_dimensions(coll, "cv", dims)
+        src_c, src_q = "cv", "qv"
+    else:
+        raise ValueError(f"unknown grid axes {axes!r}; choose 'coordinates' or 'pca'")
 
     def cell(v: str, offs=None) -> Column:
         return F.array(*[(F.floor(F.element_at(v, a + 1) / F.lit(half)) + F.lit(o)).cast("long")
-                         for a, o in zip(axes, offs or [0] * len(axes))])
+                         for a, o in zip(picked, offs or [0] * len(picked))])
 
-    qkeys = F.array(*[cell("qv", offs) for offs in itertools.product((-1, 0, 1), repeat=len(axes))])
-    return _blocked_path(coll, qs, cell("cv"), qkeys, "range", float(radius), metric, block_rows, box=half)
+    qkeys = F.array(*[cell(src_q, offs) for offs in itertools.product((-1, 0, 1), repeat=len(picked))])
+    ckey = cell(src_c)
+    coll = coll.withColumn("_ck", ckey).select("vec_id", "cv", "_ck")
+    qs = qs.withColumn("_qk", qkeys).select("query_id", "qv", "_qk")
+    return _blocked_path(coll, qs, F.col("_ck"), F.col("_qk"), "range", float(radius), metric, block_rows, box=box)
 
 
 def lsh_knn(collection: DataFrame, queries: DataFrame, k: int, bucket_length: float = 2.0, tables: int = 3,

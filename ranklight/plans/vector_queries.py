@@ -69,6 +69,13 @@ def m11_range_grid_l2(spark, sf_dir):
     return _range_out(neighbours.grid_within(e, _as_queries(e), RADIUS, "l2"))
 
 
+@register("m11_range_grid_pca_l2", _range_sql(PAIRS_L2, RADIUS))
+def m11_range_grid_pca_l2(spark, sf_dir):
+    """M11 with grid cells on the three leading principal directions (M15) instead of raw coordinates."""
+    e = _emb(spark, sf_dir)
+    return _range_out(neighbours.grid_within(e, _as_queries(e), RADIUS, "l2", axes="pca"))
+
+
 @register("m12_knn_exact_sqeuclidean", _knn_sql(PAIRS_SQ, K_VEC))
 def m12_knn_exact_sqeuclidean(spark, sf_dir):
     e = _emb(spark, sf_dir)

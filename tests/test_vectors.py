@@ -113,3 +113,10 @@ def test_float32_narrowing(spark):
 
     df = spark.createDataFrame([([0.1, 0.2],)], "v array<double>")
     assert df.select(to_float32(F.col("v")).alias("f")).schema["f"].dataType.simpleString() == "array<float>"
+
+
+def test_grid_on_principal_axes_equals_exact(spark, emb):
+    q = emb.select(F.col("vec_id").alias("query_id"), "embedding")
+    assert _set(neighbours.grid_within(emb, q, 1.2, axes="pca", block_rows=64)) == _set(neighbours.within(emb, q, 1.2))
+    assert _set(neighbours.grid_within(emb, q, 1.3, "sqeuclidean", axes="pca")) == \
+        _set(neighbours.within(emb, q, 1.3, "sqeuclidean"))
