@@ -333,10 +333,7 @@ def grid_within(collection: DataFrame, queries: DataFrame, radius: float, metric
                          for a, o in zip(picked, offs or [0] * len(picked))])
 
     qkeys = F.array(*[cell(src_q, offs) for offs in itertools.product((-1, 0, 1), repeat=len(picked))])
-    ckey = cell(src_c)
-    coll = coll.withColumn("_ck", ckey).select("vec_id", "cv", "_ck")
-    qs = qs.withColumn("_qk", qkeys).select("query_id", "qv", "_qk")
-    return _blocked_path(coll, qs, F.col("_ck"), F.col("_qk"), "range", float(radius), metric, block_rows, box=box)
+    return _blocked_path(coll, qs, cell(src_c), qkeys, "range", float(radius), metric, block_rows, box=box)
 
 
 def lsh_knn(collection: DataFrame, queries: DataFrame, k: int, bucket_length: float = 2.0, tables: int = 3,
