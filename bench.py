@@ -71,7 +71,7 @@ def main() -> None:
     q["text_cosine_batch"] = timed(lambda: ranking.cosine_search(idx, bench_q, 10))
     q["text_bm25_batch"] = timed(lambda: ranking.bm25_search(idx, bench_q, 10))
     turns = (read("conversations").filter(F.col("role") == "user")
-             .select((F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), "text"))
+             .select(F.concat_ws(":", "conv_id", "turn").alias("query_id"), "text"))
     n_turns = turns.count()
     q["text_cosine_user_turns_batch"] = timed(lambda: ranking.cosine_search(idx, turns, 10))
     q["knn_exact_single"] = timed(lambda: neighbours.knn(emb, one_vec, 5))

@@ -1,2 +1 @@
-"""Column-level functions: every one returns a ``pyspark.sql.Column`` that stays inside codegen,
-except the stemmers, which run as a vectorised pandas UDF over the distinct vocabulary only."""
+"""Column-level functions: every one returns a ``pyspark.sql.Column`` that stays inside codegen."""

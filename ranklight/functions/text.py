@@ -10,19 +10,18 @@ rewrites that mean the same in Java regex (Spark) and RE2 (DuckDB), so the oracl
 5. the clitics ``'s 'm 'd 'll 're 've n't`` at the end of a word are cut off;
 6. the text is split on blanks;
 7. a token survives only if it is made of letters and digits alone (``no-one``, ``u.s`` and ``12:30``
-   are dropped whole, never split) and is not a stop word.  Stop words are removed before stemming.
+   are dropped whole, never split) and is not a stop word.
 """
 
 from __future__ import annotations
 
 import functools
-import glob
-import os
-import zipfile
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ranklight.functions.stopwords import ENGLISH
+
 # The rewrite chain, in order.  Each step is (kind, pattern, replacement): "literal" replaces
 # a plain substring, "chars" maps each listed character to a space, "regex" is a regular expression with
 # Spark's ``$n`` group syntax.  Literal and character steps avoid the regex engine (same result, cheaper).
@@ -37,6 +36,7 @@ REWRITES: tuple[tuple[str, str, str], ...] = (
 # White space was mapped to blanks by the "chars" step, so the split is on one blank (a plain string
 # split, no regex); runs of blanks give empty tokens, which the word filter drops.
 SPLIT = " "
+ANALYSIS = "treebank-like-2"  # version of the token rules, stored with every saved index
 WORD = r"^[\p{L}\p{N}]+$"
 
 
@@ -63,24 +63,11 @@ def is_word(token: Column) -> Column:
     return token.rlike(WORD)
 
 
-@functools.lru_cache(maxsize=None)
 def default_stopwords(language: str = "english") -> tuple[str, ...]:
-    """Spark ML's built-in stop list for ``language``, read from the MLlib jar on the Python side so
-    that plans and oracle SQL can be built without a running JVM.  Lower-cased and right-trimmed the
-    same way a user file is (S8)."""
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    if not jars:  # pragma: no cover - pyspark always ships the jar
-        raise FileNotFoundError("spark-mllib jar not found")
-    with zipfile.ZipFile(jars[0]) as z:
-        raw = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-    words = []
-    for line in raw.splitlines():
-        w = line.rstrip().lower()
-        if w and w not in words:
-            words.append(w)
-    return tuple(words)
+    """The packaged stop list for ``language`` (only ``english``; pass any other list as words or a table)."""
+    if language != "english":
+        raise ValueError(f"no packaged stop list for {language!r}; pass the words or a table")
+    return ENGLISH
 
 
 def resolve_stopwords(stopwords) -> tuple[str, ...] | DataFrame:

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 from ranklight.functions.text import tokens
 from ranklight.functions.weighting import log_idf, log_tf
-from ranklight.functions import stemming
 from ranklight.operators.sizing import spread
 from ranklight.sources.scratch import materialize
 
@@ -36,7 +35,7 @@ class TextIndex:
     """A weighted inverted index held as DataFrames.
 
     ``n_docs`` is a scalar-subquery Column (not a Python int), so everything stays one lazy plan.
-    ``stopwords``/``stemmer`` are the analysis settings; queries are analysed with the same ones.
+    ``stopwords`` is the analysis setting; queries are analysed with the same list.
     """
 
     postings: DataFrame          # term, doc_id, tf
@@ -46,22 +45,17 @@ class TextIndex:
     n_docs: Column               # scalar: corpus size N (documents without any term included)
     total_len: Column            # scalar: number of kept tokens in the corpus (BM25 average length)
     stopwords: object = None
-    stemmer: str | None = None
     extra: dict = field(default_factory=dict)
 
     def analyze(self, df: DataFrame, id_col: str, text_col: str, out_id: str) -> DataFrame:
         """Rows ``(out_id, term)`` analysed exactly as the corpus was."""
-        t = tokens(df, id_col, text_col, self.stopwords, out_id=out_id)
-        return stemming.stem_terms(t, self.stemmer)
+        return tokens(df, id_col, text_col, self.stopwords, out_id=out_id)
 
 
-def term_frequencies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stopwords=None,
-                     stemmer: str | None = None) -> DataFrame:
-    """A1: ``(doc_id, term, tf)``, one row per posting.  With a stemmer, the postings (not the raw
-    tokens) are mapped to stems and re-summed, so the stem join sees one row per posting."""
+def term_frequencies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stopwords=None) -> DataFrame:
+    """A1: ``(doc_id, term, tf)``, one row per posting."""
     t = tokens(docs, id_col, text_col, stopwords)
-    tf = t.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    return stemming.stem_terms(tf, stemmer, weight="tf")
+    return t.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def document_frequencies(postings: DataFrame) -> DataFrame:
@@ -110,14 +104,14 @@ def normalized_weights(w: DataFrame, norms: DataFrame) -> DataFrame:
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stopwords=None,
-                stemmer: str | None = None, materialize_postings: bool = True) -> TextIndex:
+                materialize_postings: bool = True) -> TextIndex:
     """M1 + M2.  The corpus is tokenised exactly once: the postings and the vocabulary are written as
     tables in the shared checkpoint folder and weights and norms are lazy plans over them.
     With ``materialize_postings=False`` everything stays one lazy plan (Spark then relies on exchange
     reuse, which column pruning can defeat)."""
     n_docs = docs.select(F.count(F.lit(1))).scalar()  # counted on the scan itself (row-group metadata)
     docs = spread(docs.select(id_col, text_col))
-    postings = term_frequencies(docs, id_col, text_col, stopwords, stemmer).select(*POSTINGS_COLS)
+    postings = term_frequencies(docs, id_col, text_col, stopwords).select(*POSTINGS_COLS)
     vocab = document_frequencies(postings)
     if materialize_postings:
         postings = materialize(postings, "postings")
@@ -127,7 +121,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     norms = doc_norms(w)
     weights = normalized_weights(w, norms)
     total_len = vocab.select(F.coalesce(F.sum("cf"), F.lit(0)).cast("bigint")).scalar()
-    return TextIndex(postings, vocab, weights, norms, n_docs, total_len, stopwords, stemmer)
+    return TextIndex(postings, vocab, weights, norms, n_docs, total_len, stopwords)
 
 
 def posting_lists(postings: DataFrame) -> DataFrame:

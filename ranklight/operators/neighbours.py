@@ -34,6 +34,7 @@ PAIR_SCHEMA = "query_id long, vec_id long, dist double"
 MAX_BROADCAST_QUERIES = 20_000
 MAX_BROADCAST_BYTES = 64 << 20   # query vectors as float64
 BLOCK_ROWS = 4096
+CELL_SLACK = 1e-6  # relative widening of grid cells, far above double rounding of a coordinate over a width
 METRICS = ("l2", "sqeuclidean")
 
 
@@ -298,8 +299,9 @@ def grid_within(collection: DataFrame, queries: DataFrame, radius: float, metric
 
     Cells have width equal to the box half-width on the ``dims`` highest-variance coordinates, so every
     point within the radius lies in the query's cell or a neighbouring one: queries are exploded to the
-    3^dims neighbour cells, points keep their one cell, and the salted cogroup pairs them.  Inside a
-    group the box test and the exact distance decide.  Result equals :func:`within`."""
+    3^dims neighbour cells, points keep their one cell, and the salted cogroup pairs them.  Cells are
+    wider than the radius by ``CELL_SLACK`` so that rounding cannot move a hit two cells away; inside a
+    group only the exact distance decides.  Result equals :func:`within`."""
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}; choose one of {METRICS}")
     half = float(radius) if metric == "l2" else math.sqrt(max(float(radius), 0.0))
@@ -309,18 +311,16 @@ def grid_within(collection: DataFrame, queries: DataFrame, radius: float, metric
         # zero radius: only identical points; the cell is the point itself (the box test does the rest)
         return _blocked_path(coll, qs, F.col("cv"), F.array(F.col("qv")), "range", float(radius), metric,
                              block_rows, box=0.0)
-    box = half
     if axes == "pca":
         # Cells on the leading principal directions: a projection onto a unit direction never exceeds
-        # the distance, so the ±1-cell rule stays exact; the box test then only applies to those axes,
-        # so it is left to the exact distance.  Cells are widened by 1e-9 to absorb rounding.
+        # the distance, so the ±1-cell rule stays exact.
         from ranklight.operators.features import fit_reduction
 
         red = fit_reduction(coll, "cv", n_components=dims)
         coll = red.transform(coll, "cp").withColumnRenamed("cp", "_axes")
         qs = red.transform(qs.withColumnRenamed("qv", "cv"), "cp").withColumnRenamed("cv", "qv") \
             .withColumnRenamed("cp", "_axes")
-        picked, half, box = list(range(dims)), half * (1 + 1e-9), None
+        picked = list(range(dims))
         src_c, src_q = "_axes", "_axes"
     elif axes == "coordinates":
         picked = top_dimensions(coll, "cv", dims)
@@ -328,12 +328,14 @@ def grid_within(collection: DataFrame, queries: DataFrame, radius: float, metric
     else:
         raise ValueError(f"unknown grid axes {axes!r}; choose 'coordinates' or 'pca'")
 
+    width = half * (1 + CELL_SLACK)
+
     def cell(v: str, offs=None) -> Column:
-        return F.array(*[(F.floor(F.element_at(v, a + 1) / F.lit(half)) + F.lit(o)).cast("long")
+        return F.array(*[(F.floor(F.element_at(v, a + 1) / F.lit(width)) + F.lit(o)).cast("long")
                          for a, o in zip(picked, offs or [0] * len(picked))])
 
     qkeys = F.array(*[cell(src_q, offs) for offs in itertools.product((-1, 0, 1), repeat=len(picked))])
-    return _blocked_path(coll, qs, cell(src_c), qkeys, "range", float(radius), metric, block_rows, box=box)
+    return _blocked_path(coll, qs, cell(src_c), qkeys, "range", float(radius), metric, block_rows)
 
 
 def lsh_knn(collection: DataFrame, queries: DataFrame, k: int, bucket_length: float = 2.0, tables: int = 3,

@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ranklight.functions import stemming
 from ranklight.functions.text import tokens
 from ranklight.functions.weighting import log_idf, log_tf
 from ranklight.operators.indexing import term_frequencies
@@ -32,12 +31,12 @@ def prefix_sizes(n_docs, levels: int = 6):
 
 def prefix_sweep(docs: DataFrame, queries: DataFrame, k: int = 5, levels: int = 6, id_col: str = "doc_id",
                  text_col: str = "text", query_id_col: str = "query_id", query_text_col: str = "text",
-                 stopwords=None, stemmer: str | None = None) -> DataFrame:
+                 stopwords=None) -> DataFrame:
     """``(n, query_id, rank, doc_id, score)``: cosine top-k per query for every prefix size ``n``."""
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     docs = spread(docs.select(id_col, text_col))
     ords = with_ordinal(docs.select(F.col(id_col).alias("doc_id")), ["doc_id"])
-    postings = materialize(term_frequencies(docs, id_col, text_col, stopwords, stemmer), "sweep-postings")
+    postings = materialize(term_frequencies(docs, id_col, text_col, stopwords), "sweep-postings")
     sized = (postings.join(ords, "doc_id").withColumn("_sizes", prefix_sizes(n_docs, levels))
                      .withColumn("n", F.explode(F.filter("_sizes", lambda s: s > F.col("ordinal")))).drop("_sizes"))
     vocab = sized.groupBy("n", "term").agg(F.count("tf").alias("df"))
@@ -47,7 +46,6 @@ def prefix_sweep(docs: DataFrame, queries: DataFrame, k: int = 5, levels: int =
 
     q = tokens(queries, query_id_col, query_text_col, stopwords, out_id="query_id")
     q = q.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
-    q = stemming.stem_terms(q, stemmer, weight="qtf")
     q = q.join(vocab, "term").withColumn("qw", log_tf("qtf") * log_idf(F.col("n"), F.col("df")))
     q = q.withColumn("qnorm", F.sqrt(F.sum(F.col("qw") * F.col("qw")).over(Window.partitionBy("n", "query_id"))))
     q = q.select("n", "query_id", "term", F.try_divide(F.col("qw"), F.col("qnorm")).alias("qwn"))

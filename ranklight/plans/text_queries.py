@@ -166,34 +166,15 @@ def m6_prefix_sweep(spark, sf_dir):
     return out.select("n", "query_id", "rank", "doc_id", r6("score").alias("score"))
 
 
-@register("f3_stemmed_search_english")
-def f3_stemmed_search_english(spark, sf_dir):
-    """English Snowball stemming on index and queries (the reference's disk index setting).
-    DuckDB has no stemmer here, so this has no SQL twin; the stemmer has goldens in the tests."""
-    idx = indexing.build_index(table(spark, sf_dir, "documents"), stemmer="english")
-    hits = ranking.cosine_search(idx, _queries(spark, sf_dir), K)
-    return hits.select("query_id", "rank", "doc_id", r6("score").alias("score"))
-
-
-@register("f4_stemmed_search_spanish")
-def f4_stemmed_search_spanish(spark, sf_dir):
-    """Spanish Snowball stemming over the Spanish documents (the reference's in-memory variant
-    indexes a Spanish news column with the Spanish stemmer and the English stop list)."""
-    docs = table(spark, sf_dir, "documents").filter(F.col("lang") == "es")
-    idx = indexing.build_index(docs, stemmer="spanish")
-    hits = ranking.cosine_search(idx, _queries(spark, sf_dir), K)
-    return hits.select("query_id", "rank", "doc_id", r6("score").alias("score"))
-
-
-USER_TURNS = "(SELECT conv_id * 1000 + turn AS item_id, text FROM conversations WHERE role = 'user')"
+USER_TURNS = "(SELECT concat(conv_id, ':', turn) AS item_id, text FROM conversations WHERE role = 'user')"
 
 
 @register("m4_cosine_user_turns",
           f"WITH {IDX},\n" + duck.query_ctes(USER_TURNS) + f",\n{duck.cosine_ctes()}\n{duck.top_k_sql('scores', K)}")
 def m4_cosine_user_turns(spark, sf_dir):
     """M4 with a larger batch: every user turn of ``conversations`` searched against the corpus in one
-    plan (query key ``conv_id * 1000 + turn``)."""
+    plan (query key ``conv_id:turn``)."""
     conv = table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
-    q = conv.select((F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), "text")
+    q = conv.select(F.concat_ws(":", "conv_id", "turn").alias("query_id"), "text")
     hits = ranking.cosine_search(_index(spark, sf_dir), q, K)
     return hits.select("query_id", "rank", "doc_id", r6("score").alias("score"))

@@ -31,37 +31,3 @@ def test_default_stop_list_is_sparks(spark):
     from pyspark.ml.feature import StopWordsRemover
 
     assert set(default_stopwords("english")) == set(StopWordsRemover.loadDefaultStopWords("english"))
-
-
-ENGLISH_GOLDEN = dict(
-    consign="consign", consigned="consign", consigning="consign", consignment="consign", consistency="consist",
-    consolatory="consolatori", consolidating="consolid", conspicuously="conspicu", conspiracy="conspiraci",
-    constable="constabl", knackeries="knackeri", kneaded="knead", knightly="knight", knitting="knit", knives="knive",
-    generously="generous", running="run", caresses="caress", ponies="poni", ties="tie", cries="cri", sky="sky",
-    relational="relat", hopeful="hope", goodness="good", generate="generat", communication="communic")
-SPANISH_GOLDEN = dict(chica="chic", chicas="chic", niños="niñ", cantando="cant", corriendo="corr",
-                      rápidamente="rapid", nacionalidad="nacional", canciones="cancion", haciéndola="hac")
-
-
-def test_english_stemmer_goldens():
-    from ranklight.functions.snowball import english
-
-    assert {w: english(w) for w in ENGLISH_GOLDEN} == ENGLISH_GOLDEN
-
-
-def test_spanish_stemmer_goldens():
-    from ranklight.functions.snowball import spanish
-
-    assert {w: spanish(w) for w in SPANISH_GOLDEN} == SPANISH_GOLDEN
-
-
-def test_stemmed_index_and_query(spark):
-    from ranklight.operators import indexing, ranking
-
-    docs = spark.createDataFrame([(0, "knitting knits"), (1, "running runs"), (2, "the knight")],
-                                 "doc_id bigint, text string")
-    idx = indexing.build_index(docs, stemmer="english")
-    post = {(r.doc_id, r.term): r.tf for r in idx.postings.collect()}
-    assert post[(0, "knit")] == 2 and post[(1, "run")] == 2
-    q = spark.createDataFrame([(1, "knitted")], "query_id bigint, text string")
-    assert [r.doc_id for r in ranking.cosine_search(idx, q, 5).collect()] == [0]
