@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +39,57 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.R
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
+
+
+def byte_slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut where the text column reaches about ``limit`` bytes (one row at least)."""
+    for b in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < b.num_rows:
+            before = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            yield b.slice(at, to - at)
+            at = to
+
+
+def pack(columns: dict[str, pa.Array]) -> bytes:
+    """Columns as one compressed blob: many small rows travel through a shuffle as one."""
+    sink = pa.BufferOutputStream()
+    batch = pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpack(blobs: list[bytes]) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(b).read_all() for b in blobs]).combine_chunks()
+
+
+def by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
+    """Blobs of rows ``(part, blob)`` that arrive sorted by part, one list for each part."""
+    part, blobs = None, []
+    for b in batches:
+        for p, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            if p != part and blobs:
+                yield blobs
+                blobs = []
+            part = p
+            blobs.append(blob)
+    if blobs:
+        yield blobs
+
+
+def merge_spans(doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Union of the half-open intervals of each document: ``doc, start, stop`` of the maximal runs."""
+    order = np.lexsort((start, doc))
+    doc, start, stop = doc[order], start[order].astype(np.int64), stop[order].astype(np.int64)
+    if not len(doc):
+        return doc, start, stop
+    new = np.concatenate(([True], doc[1:] != doc[:-1]))
+    run = np.cumsum(new)  # a running maximum of the ends that starts anew in each document
+    far = np.maximum.accumulate(stop + run * (1 << 40)) - run * (1 << 40)
+    head = new.copy()
+    head[1:] |= start[1:] > far[:-1]
+    first = np.flatnonzero(head)
+    return doc[first], start[first], far[np.concatenate((first[1:], [len(doc)])) - 1]

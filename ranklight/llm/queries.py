@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ranklight.llm import simhash
+from ranklight.llm import langid, simhash, substrings
 from ranklight.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +25,14 @@ def register(name: str, sql: str | None = None):
 @register("op2_simhash_dedup")
 def op2_simhash_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
+
+
+@register("op9_language_id")
+def op9_language_id(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@register("op3_substring_dedup")
+def op3_substring_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.dedup(docs, window=13).select("doc_id", "n_words", "n_removed", "kept_sha256")
