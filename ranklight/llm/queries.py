@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ranklight.llm import langid, simhash, substrings
+from ranklight.llm import decontaminate, langid, pieces, simhash, substrings
 from ranklight.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,11 +22,21 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op1_benchmark_decontamination", decontaminate.ORACLE)
+def op1_benchmark_decontamination(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register("op2_simhash_dedup")
 def op2_simhash_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
 
+@register("op7_sentencepiece")
+def op7_sentencepiece(spark, sf_dir):
+    return pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), verify_col="round_trip").drop("text")
+
+
 @register("op9_language_id")
 def op9_language_id(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
