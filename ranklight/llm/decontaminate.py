@@ -105,5 +105,5 @@ docs AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FR
 own AS (SELECT DISTINCT doc_id, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS s
         FROM docs, (SELECT DISTINCT k FROM grams))
 SELECT doc_id, item_id, n_shingles::INTEGER AS n_shingles, count(*)::INTEGER AS n_shared, count(*) / n_shingles::DOUBLE AS containment
-FROM own JOIN flat USING (s) GROUP BY ALL HAVING round(count(*) / n_shingles::DOUBLE, 9) >= 0.8
+FROM own JOIN flat USING (s) GROUP BY doc_id, item_id, n_shingles HAVING round(count(*) / n_shingles::DOUBLE, 9) >= 0.8
 """

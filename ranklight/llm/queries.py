@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ranklight.llm import decontaminate, langid, pieces, simhash, substrings
+from ranklight.llm import decontaminate, langid, pieces, quality, simhash, substrings, token_counts
 from ranklight.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,11 @@ def op7_sentencepiece(spark, sf_dir):
     return pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), verify_col="round_trip").drop("text")
 
 
+@register("op8_token_counts")
+def op8_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
 @register("op9_language_id")
 def op9_language_id(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
@@ -46,3 +51,8 @@ def op9_language_id(spark, sf_dir):
 def op3_substring_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substrings.dedup(docs, window=13).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@register("op10_quality")
+def op10_quality(spark, sf_dir):
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
