@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ranklight.llm import decontaminate, langid, pieces, quality, simhash, substrings, token_counts, topk
+from ranklight.llm import decontaminate, langid, pieces, quality, simhash, substrings, suffixes, token_counts, topk
 from ranklight.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,11 @@ def op5_exact_topk(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
 
 
+@register("op6_suffix_dedup")
+def op6_suffix_dedup(spark, sf_dir):
+    return suffixes.dedup(table(spark, sf_dir, "documents"), length=200, with_text=False)
+
+
 @register("op7_sentencepiece")
 def op7_sentencepiece(spark, sf_dir):
     return pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), verify_col="round_trip").drop("text")
