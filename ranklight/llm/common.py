@@ -93,3 +93,15 @@ def merge_spans(doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[n
     head[1:] |= start[1:] > far[:-1]
     first = np.flatnonzero(head)
     return doc[first], start[first], far[np.concatenate((first[1:], [len(doc)])) - 1]
+
+
+def passing(docs: DataFrame, text_col: str, new: list[str]) -> tuple[DataFrame, list[str], str]:
+    """``docs`` for a map over Arrow batches that returns its columns and then the columns ``new``.
+
+    Columns get positional names with the text, as a string, last, so no name can clash.  An input column that is called like a
+    new one is left out: the new one takes its name.  Also returns the kept names and their schema."""
+    taken = {c.lower() for c in new}
+    fields = [f for f in docs.schema.fields if f.name.lower() not in taken]
+    own = docs.select(*[docs[f"`{f.name}`"].alias(f"c{i}") for i, f in enumerate(fields)],
+                      docs[f"`{text_col}`"].cast("string").alias("t"))
+    return own, [f.name for f in fields], "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields)

@@ -68,30 +68,50 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                  item_id_col: str = "item_id", item_text_col: str = "text", containment: float = CONTAINMENT,
                  size: int = WORDS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``doc_id, item_id, n_shingles, n_shared, containment`` for every document and item at or over
-    ``containment``.  The sketch table and the candidates are broadcast only when their counted rows stay under
+    ``containment``."""
+    found = _hits(docs, items, id_col, text_col, item_id_col, item_text_col, containment, size, broadcast_rows)
+    return found.drop("mark").distinct()
+
+
+def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
+          item_text_col: str = "text", containment: float = CONTAINMENT, size: int = WORDS,
+          broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The rows of ``docs`` that hold no item."""
+    found = _hits(docs, items, id_col, text_col, item_id_col, item_text_col, containment, size, broadcast_rows)
+    gone = materialize(found.select("doc_id", "mark").distinct(), "decontaminate-gone")
+    gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("mark").alias("_gone_mark"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return docs.join(_side(gone, broadcast_rows), F.col(id_col).eqNullSafe(F.col("_gone_id")) & (F.xxhash64(text) == F.col("_gone_mark")),
+                     "left_anti")
+
+
+def _side(df: DataFrame, broadcast_rows: int) -> DataFrame:
+    """Broadcast behind a count of the (written) table."""
+    return F.broadcast(df) if df.count() <= broadcast_rows else df
+
+
+def _hits(docs, items, id_col, text_col, item_id_col, item_text_col, containment, size, broadcast_rows) -> DataFrame:
+    """Verified hits with the hash of the document's text as ``mark``.  The sketch table and the candidates are broadcast only when their counted rows stay under
     ``broadcast_rows``; beyond that both joins shuffle."""
     held = materialize(item_shingles(items, item_id_col, item_text_col, containment, size), "decontaminate-items")
     sizes = sorted(r[0] for r in held.select("size").distinct().collect()) or [size]  # at most ``size`` numbers
     sketch = materialize(sketches(held, sizes), "decontaminate-sketch")
 
-    def side(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if df.count() <= broadcast_rows else df
-
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text"))
     hashed = rows.select("doc_id", "mark", words(F.col("text")).alias("w")).select(
         "doc_id", "mark", F.explode(_all_grams("w", sizes, False)).alias("h"))
-    found = materialize(hashed.join(side(sketch), "h").select("doc_id", "mark", "item").distinct(),
+    found = materialize(hashed.join(_side(sketch, broadcast_rows), "h").select("doc_id", "mark", "item").distinct(),
                         "decontaminate-candidates")
     found = found.select(F.col("doc_id").alias("d"), F.col("mark").alias("m"), "item")
-    near = rows.join(side(found), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m")))
-    near = near.select("doc_id", "item", words(F.col("text")).alias("w")).select(
-        "doc_id", "item", _all_grams("w", sizes, True).alias("own"))
+    near = rows.join(_side(found, broadcast_rows), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m")))
+    near = near.select("doc_id", "mark", "item", words(F.col("text")).alias("w")).select(
+        "doc_id", "mark", "item", _all_grams("w", sizes, True).alias("own"))
     shared = F.size(F.array_intersect("shingles", "own"))
     return (near.join(held, "item")
-            .select("doc_id", "item_id", F.col("n").alias("n_shingles"), shared.alias("n_shared"))
+            .select("doc_id", "mark", "item_id", F.col("n").alias("n_shingles"), shared.alias("n_shared"))
             .withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
-            .filter(F.round("containment", 9) >= containment).distinct())
+            .filter(F.round("containment", 9) >= containment))
 
 
 #: DuckDB twin of ``contaminated(documents, benchmark)``.

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ranklight.llm.common import crc_mod, slices
+from ranklight.llm.common import crc_mod, passing, slices
 from ranklight.llm.vocabulary import MARK, SENTENCE_PIECES, read_pieces
 from ranklight.sources.scratch import materialize
 
@@ -112,11 +112,13 @@ class LanguageModel:
     def __init__(self, languages: list[str], probabilities: np.ndarray, pieces: dict[str, int]):
         self.languages, self.p, self.pieces = languages, probabilities, pieces
 
-    def predict(self, docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-        """The ``keep`` columns and ``lang_pred, score``: the likeliest language and its posterior probability."""
+    def predict(self, docs: DataFrame, text_col: str = "text",
+                names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+        """All columns of ``docs``, then the likeliest language and its posterior probability as ``names`` (which
+        replace columns of the same names)."""
         spark = docs.sparkSession
         model = spark.sparkContext.broadcast((self.languages, self.p, self.pieces))
-        data = docs.select(*keep, F.col(text_col).cast("string").alias("_text"))
+        data, kept, schema = passing(docs, text_col, list(names))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             languages, p, pieces = model.value
@@ -144,10 +146,9 @@ class LanguageModel:
                     score.append(float(1.0 / np.exp(total - total[best]).sum()))
                 yield pa.RecordBatch.from_arrays(
                     [*b.columns[:-1], pa.array(pred, pa.string()), pa.array(score, pa.float64())],
-                    [*b.schema.names[:-1], "lang_pred", "score"])
+                    [*kept, *names])
 
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in data.schema.fields[:-1])
-        return data.mapInArrow(run, schema + ", lang_pred string, score double")
+        return data.mapInArrow(run, f"{schema}`{names[0]}` string, `{names[1]}` double")
 
 
 def word_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -221,4 +222,4 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     model = fit(training_rows(docs, id_col), id_col, text_col, lang_col, **settings)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                        F.coalesce(crc_mod(id_col, 4) == 2, F.lit(False)).alias("held_out"))
-    return model.predict(rows, "text", ("doc_id", "held_out"))
+    return model.predict(rows, "text").drop("text")

@@ -30,9 +30,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ranklight.llm.common import byte_slices
+from ranklight.llm.common import byte_slices, passing
 from ranklight.llm.vocabulary import MARK, SENTENCE_PIECES
 
 KEPT_RUNS = 300_000
@@ -200,19 +199,14 @@ def _model(path: str) -> bytes:
         return f.read()
 
 
-def _schema(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-
-
 def encode(docs: DataFrame, text_col: str = "text", model_path: str = SENTENCE_PIECES, ids_col: str = "ids",
            count_col: str = "n_pieces", verify_col: str | None = None) -> DataFrame:
-    """All columns of ``docs``, then the ids and their count.  ``verify_col``: whether the ids decode to
-    the text again (null for null text)."""
+    """All columns of ``docs``, then the ids and their count (which replace columns of the same names).
+    ``verify_col``: whether the ids decode to the text again (null for null text)."""
     new = [c for c in (ids_col, count_col, verify_col) if c]
-    if clash := {c.lower() for c in new} & {c.lower() for c in docs.columns}:
-        raise ValueError(f"rename the columns {sorted(clash)} first")
     model = docs.sparkSession.sparkContext.broadcast(_model(model_path))
-    own = len(docs.columns)
+    rows, names, schema = passing(docs, text_col, new)
+    own = len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = Transducer(model.value)
@@ -233,16 +227,15 @@ def encode(docs: DataFrame, text_col: str = "text", model_path: str = SENTENCE_P
             count = pa.array(np.diff(ends), pa.int64(), mask=np.array([t is None for t in texts], bool))
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:own], lists, count, *([pa.array(same, pa.bool_())] if verify_col else [])],
-                [*b.schema.names[:own], *new])
+                names + new)
 
-    schema = f"{_schema(docs)}, `{ids_col}` array<int>, `{count_col}` long" + f", `{verify_col}` boolean" * bool(verify_col)
-    return docs.select(*[docs[c] for c in docs.columns], F.col(text_col).cast("string").alias("_text")).mapInArrow(run, schema)
+    schema += f"`{ids_col}` array<int>, `{count_col}` long" + f", `{verify_col}` boolean" * bool(verify_col)
+    return rows.mapInArrow(run, schema)
 
 
 def decode(rows: DataFrame, ids_col: str = "ids", model_path: str = SENTENCE_PIECES, out_col: str = "decoded") -> DataFrame:
-    """All columns of ``rows``, then the decoded text (null for null ids)."""
-    if out_col.lower() in {c.lower() for c in rows.columns}:
-        raise ValueError(f"rename the column {out_col} first")
+    """All columns of ``rows``, then the decoded text (null for null ids), which replaces a column of its name."""
+    rows = rows.select(*[rows[f"`{c}`"] for c in rows.columns if c.lower() != out_col.lower()])
     model = rows.sparkSession.sparkContext.broadcast(_model(model_path))
     at = rows.columns.index(ids_col)
 
@@ -252,4 +245,5 @@ def decode(rows: DataFrame, ids_col: str = "ids", model_path: str = SENTENCE_PIE
             text = [None if ids is None else fst.decode(ids) for ids in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(text, pa.string())], [*b.schema.names, out_col])
 
-    return rows.mapInArrow(run, f"{_schema(rows)}, `{out_col}` string")
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields)
+    return rows.mapInArrow(run, f"{schema}`{out_col}` string")

@@ -29,7 +29,8 @@ def op1_benchmark_decontamination(spark, sf_dir):
 
 @register("op2_simhash_dedup")
 def op2_simhash_dedup(spark, sf_dir):
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
+    near = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
+    return near.select("doc_id", "fingerprint", "component_id")
 
 
 @register("op5_exact_topk", topk.ORACLE)

@@ -55,13 +55,14 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``doc_id, fp`` for every row."""
+    """``doc_id, mark, fp`` for every row; ``mark`` is the hash of its text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            fp = pa.array([fingerprint(t, shingle) for t in text_bytes(b, 1)], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), fp], ["doc_id", "fp"])
+            fp = pa.array([fingerprint(t, shingle) for t in text_bytes(b, 2)], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), fp], ["doc_id", "mark", "fp"])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    rows = id_and_text(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("mark"), "text")
+    return rows.mapInArrow(run, "doc_id long, mark long, fp long")
 
 
 def shard_masks(count: int, radius: int) -> list[int]:
@@ -185,15 +186,28 @@ def links(fps: DataFrame, radius: int = 3, shard_rows: int = SHARD_ROWS) -> Data
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     radius: int = 3, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` for every row of ``docs``.
+    """``doc_id, fingerprint, component_id, mark, first`` for every row of ``docs``.
 
     ``fingerprint``: 16 lowercase hex digits.  ``component_id``: the smallest id reachable over links of
-    at most ``radius`` differing bits, its own included."""
+    at most ``radius`` differing bits, its own included.  ``first``: whether the row is its component's
+    representative (the smallest id, then the smallest ``mark``, the hash of the text)."""
     fps = materialize(fingerprints(docs, id_col, text_col, shingle), "simhash")
     label = components(links(fps, radius, shard_rows)).select(F.col("node").alias("fp"), "label")
-    least = (fps.groupBy("fp").agg(F.min("doc_id").alias("first")).join(label, "fp", "left")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")  # rows without an id come last
+    least = (fps.groupBy("fp").agg(F.min(row).alias("least")).join(label, "fp", "left")
              .withColumn("label", F.coalesce("label", "fp")))
-    whole = least.groupBy("label").agg(F.min("first").alias("component_id"))
-    of_fp = least.join(whole, "label").select("fp", "component_id")
+    whole = least.groupBy("label").agg(F.min("least").alias("least"))
+    of_fp = least.drop("least").join(whole, "label").select("fp", "least")
     return fps.join(of_fp, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("least.doc_id").alias("component_id"),
+        "mark", (row == F.col("least")).alias("first"))
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """The rows of ``docs`` that stay when one document of each component does."""
+    near = near_duplicates(docs, id_col, text_col, **settings).filter("first")
+    near = near.select(F.col("doc_id").alias("_near_id"), F.col("mark").alias("_near_mark")).distinct()
+    own = docs.withColumns({"_own_id": F.col(id_col).cast("long"), "_own_mark": F.xxhash64(F.col(text_col).cast("string"))})
+    kept = own.join(near, F.col("_own_id").eqNullSafe(F.col("_near_id")) & (F.col("_own_mark") == F.col("_near_mark")), "left_semi")
+    # rows with the same id and the same text: one stays (the join has already dealt them out by these columns)
+    return kept.dropDuplicates(["_own_id", "_own_mark"]).select(*docs.columns)

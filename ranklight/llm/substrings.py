@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ranklight.llm.common import by_part, byte_slices, merge_spans, pack, shuffle_partitions, text_bytes, unpack
+from ranklight.llm.common import by_part, byte_slices, merge_spans, pack, passing, shuffle_partitions, text_bytes, unpack
 from ranklight.sources.scratch import materialize
 
 WINDOW = 13
@@ -218,22 +218,27 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def cut_words(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs``, then ``n_words, n_removed, kept_sha256, kept_text``.
-
-    ``kept_text``: the kept words joined by one space; the text as it was if no word goes."""
-    if clash := {"n_words", "n_removed", "kept_sha256", "kept_text"} & {c.lower() for c in docs.columns}:
-        raise ValueError(f"rename the columns {sorted(clash)} first")
-    lists = spans.groupBy("doc_id", "mark").agg(F.collect_list(F.array("start", "stop")).alias("_spans")).select(
-        F.col("doc_id").alias("_doc"), F.col("mark").alias("_mark"), "_spans")
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    both = docs.join(lists, (F.col(id_col).cast("long") == F.col("_doc")) & (F.xxhash64(text) == F.col("_mark")), "left")
-    both = both.select(*[docs[c] for c in docs.columns], text.alias("_text"), "_spans")
+    """All columns of ``docs``, then ``n_words, n_removed, kept_sha256, kept_text`` (which replace columns of
+    the same names).
+
+    ``kept_text``: the kept words joined by one space; the text as it was if no word goes; null for null."""
+    new = ["n_words", "n_removed", "kept_sha256", "kept_text"]
+    own, names, schema = passing(docs, text_col, new)
+    id_at = f"c{[c.lower() for c in names].index(id_col.lower())}"
+    lists = spans.groupBy("doc_id", "mark").agg(F.collect_list(F.array("start", "stop")).alias("spans"))
+    text_at = [i for i, c in enumerate(names) if c.lower() == text_col.lower()]
+    t = F.col(f"c{text_at[0]}").cast("string") if text_at else F.col("t")
+    if text_at:
+        own = own.drop("t")  # the text travels once
+    both = own.join(lists, (F.col(id_at).cast("long") == F.col("doc_id"))
+                    & (F.xxhash64(F.coalesce(t, F.lit(""))) == F.col("mark")), "left")
+    b_text = len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in byte_slices(batches, b_text):
             out: list[tuple] = []
             for raw, spans in zip(text_bytes(b, b_text), b.column(b_text + 1).to_pylist()):
-                words = raw.split()
+                words = (raw or b"").split()
                 kept = words
                 if spans:
                     gone = np.zeros(len(words) + 1, np.int64)
@@ -243,16 +248,13 @@ def cut_words(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_co
                     kept = [w for w, c in zip(words, np.cumsum(gone).tolist()) if not c]
                 joined = b" ".join(kept)
                 out.append((len(words), len(words) - len(kept), hashlib.sha256(joined).hexdigest(),
-                            joined.decode() if len(kept) < len(words) else raw.decode()))
-            n, gone, sha, new = zip(*out) if out else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns[:b_text], pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha, pa.string()),
-                 pa.array(new, pa.string())],
-                [*b.schema.names[:b_text], "n_words", "n_removed", "kept_sha256", "kept_text"])
+                            joined.decode() if len(kept) < len(words) else raw.decode() if raw is not None else None))
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
+            added = [pa.array(x, kind) for x, kind in zip(zip(*out), kinds)] if out else [pa.array([], kind) for kind in kinds]
+            yield pa.RecordBatch.from_arrays([*b.columns[:b_text], *added], names + new)
 
-    b_text = len(docs.columns)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return both.mapInArrow(run, schema + ", n_words long, n_removed long, kept_sha256 string, kept_text string")
+    rows = both.select(*both.columns[:b_text], t.alias("t"), "spans")
+    return rows.mapInArrow(run, schema + "n_words long, n_removed long, kept_sha256 string, kept_text string")
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, **settings) -> DataFrame:
