@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ranklight.llm import decontaminate, langid, pieces, quality, simhash, substrings, suffixes, token_counts, topk
+from ranklight.llm import decontaminate, katz, langid, pieces, quality, simhash, substrings, suffixes, token_counts, topk
 from ranklight.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def op2_simhash_dedup(spark, sf_dir):
     return near.select("doc_id", "fingerprint", "component_id")
 
 
+@register("op4_katz_scores")
+def op4_katz_scores(spark, sf_dir):
+    return katz.score(table(spark, sf_dir, "documents"))
+
+
 @register("op5_exact_topk", topk.ORACLE)
 def op5_exact_topk(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
