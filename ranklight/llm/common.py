@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,11 +53,12 @@ def byte_slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = 8 <
             at = to
 
 
-def pack(columns: dict[str, pa.Array]) -> bytes:
+def pack(columns: dict[str, pa.Array], level: int = 3) -> bytes:
     """Columns as one compressed blob: many small rows travel through a shuffle as one."""
     sink = pa.BufferOutputStream()
     batch = pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+    codec = pa.Codec("zstd", compression_level=level)
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=codec)) as writer:
         writer.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
@@ -105,3 +106,71 @@ def passing(docs: DataFrame, text_col: str, new: list[str]) -> tuple[DataFrame,
     own = docs.select(*[docs[f"`{f.name}`"].alias(f"c{i}") for i, f in enumerate(fields)],
                       docs[f"`{text_col}`"].cast("string").alias("t"))
     return own, [f.name for f in fields], "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields)
+
+
+def packed_by_part(part: np.ndarray, columns: dict[str, pa.Array]) -> tuple[list[int], list[bytes]]:
+    """One blob for each value of ``part``."""
+    order = np.argsort(part, kind="stable")
+    columns = {k: v.take(pa.array(order)) for k, v in columns.items()}
+    own, heads = np.unique(part[order], return_index=True)
+    return own.tolist(), [pack({k: v.slice(lo, hi - lo) for k, v in columns.items()})
+                          for lo, hi in zip(heads, np.append(heads[1:], len(order)))]
+
+
+def _row_key(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return (b.column(0).is_null().to_numpy(zero_copy_only=False), b.column(0).fill_null(0).to_numpy(), b.column(1).to_numpy())
+
+
+def map_with_spans(rows: DataFrame, spans: DataFrame, text_at: int, fn: Callable, schema: str) -> DataFrame:
+    """``fn(batch, found)`` over the rows ``doc_id, mark, ...``; ``found`` has for each row the matching rows of
+    ``spans`` (``doc_id, mark``, then whole numbers) as a matrix, or None.
+
+    Both sides travel packed, compressed by map batch and part, because the rows carry whole texts.  Of a part, a task
+    holds the spans and one map batch's rows."""
+    n = shuffle_partitions(rows.sparkSession)
+    parts = 4 * n
+
+    def send(kind: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in byte_slices(batches, text_at, 16 << 20) if kind else batches:
+                if b.num_rows:
+                    _, ids, marks = _row_key(b)
+                    part = (marks ^ (ids * 0x9E3779B9)) % parts
+                    own, blobs = packed_by_part(part, dict(zip(b.schema.names, b.columns)))
+                    yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array([kind] * len(own), pa.int32()),
+                                                      pa.array(blobs, pa.binary())], ["part", "kind", "blob"])
+        return run
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, found = None, [], None
+        for b in batches:
+            for part, kind, blob in zip(*(c.to_pylist() for c in b.columns)):
+                if part != at:
+                    at, held, found = part, [], None
+                if kind == 0:
+                    held.append(blob)
+                    continue
+                if found is None:
+                    found = _found(held)
+                for own in unpack([blob]).to_batches():
+                    null, ids, marks = _row_key(own)
+                    yield fn(own, [found.get(k) for k in zip(null.tolist(), ids.tolist(), marks.tolist())])
+
+    sent = spans.mapInArrow(send(0), "part long, kind int, blob binary").unionAll(
+        rows.mapInArrow(send(1), "part long, kind int, blob binary"))
+    return sent.repartition(n, "part").sortWithinPartitions("part", "kind").mapInArrow(apply, schema)
+
+
+def _found(blobs: list[bytes]) -> dict[tuple, np.ndarray]:
+    if not blobs:
+        return {}
+    b = unpack(blobs).to_batches()[0]
+    null, ids, marks = _row_key(b)
+    order = np.lexsort((marks, ids, null))
+    null, ids, marks = null[order], ids[order], marks[order]
+    values = np.stack([c.to_numpy() for c in b.columns[2:]], 1)[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (null[1:] != null[:-1]) | (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1])
+    heads = np.flatnonzero(new)
+    keys = zip(null[heads].tolist(), ids[heads].tolist(), marks[heads].tolist())
+    return dict(zip(keys, np.split(values, heads[1:])))

@@ -31,7 +31,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ranklight.llm.common import by_part, byte_slices, merge_spans, pack, shuffle_partitions, text_bytes, unpack
+from ranklight.llm.common import by_part, byte_slices, map_with_spans, merge_spans, packed_by_part, \
+    shuffle_partitions, text_bytes, unpack
 
 LENGTH = 200
 GRAM = 64
@@ -98,11 +99,7 @@ def runs(texts: list[bytes], length: int, gram: int, powers) -> dict[str, np.nda
 
 
 def _blobs(part: np.ndarray, columns: dict[str, pa.Array]) -> pa.RecordBatch:
-    order = np.argsort(part, kind="stable")
-    sorted_columns = {k: v.take(pa.array(order)) for k, v in columns.items()}
-    own, heads = np.unique(part[order], return_index=True)
-    blobs = [pack({k: v.slice(lo, hi - lo) for k, v in sorted_columns.items()})
-             for lo, hi in zip(heads, np.append(heads[1:], len(order)))]
+    own, blobs = packed_by_part(part, columns)
     return pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(blobs, pa.binary())], ["part", "blob"])
 
 
@@ -304,38 +301,35 @@ def repeated(texts: list[bytes], known: np.ndarray, length: int) -> list[np.ndar
 def _run_texts(rows: DataFrame, shared: DataFrame, length: int, parts: int) -> DataFrame:
     """``part, blob`` with the texts of the runs; intervals of runs that repeat inside a map batch are
     known at once and travel as part -1."""
-    lists = shared.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("at", "n", "key")).alias("runs")).select(
-        F.col("doc_id").alias("d"), F.col("mark").alias("m"), "runs")
-    both = rows.join(lists, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m"))).select(
-        "doc_id", "mark", "text", "runs")
-
-    def out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in byte_slices(batches, 2, 2 * CHUNK):
-            texts, lists = text_bytes(b, 2), b.column(3)
-            r = lists.flatten()
-            doc = np.repeat(np.arange(b.num_rows), np.diff(lists.offsets.to_numpy()))
-            at, n, key = (r.field(i).to_numpy(zero_copy_only=False) for i in range(3))
-            # a repeated row (same id and text) lists its runs once for each copy
-            own = [texts[d][s:s + k + length - 1] for d, s, k in zip(doc.tolist(), at.tolist(), n.tolist())]
-            seen: dict[bytes, int] = {}
-            index = np.fromiter((seen.setdefault(x, len(seen)) for x in own), np.int64, len(own))
-            count = np.bincount(index, minlength=len(seen))
-            first = np.unique(index, return_index=True)[1]
-            send = first
-            ids, marks = (b.column(i).take(pa.array(doc)) for i in (0, 1))
-            k = pa.array(send)
-            part = (key.view(np.uint64)[send] % np.uint64(parts)).astype(np.int64)
-            if len(send):
-                yield _blobs(part, {"key": pa.array(key[send]), "doc_id": ids.take(k), "mark": marks.take(k), "at": pa.array(at[send]),
-                                    "many": pa.array(count[index[send]] > 1), "text": pa.array([own[i] for i in send], pa.binary())})
-            sure = np.flatnonzero(count[index] > 1)
-            if len(sure):
-                k = pa.array(sure)
-                yield _blobs(-1 - np.arange(len(sure)) // 50_000, {
-                    "doc_id": ids.take(k), "mark": marks.take(k), "start": pa.array(at[sure]),
-                    "stop": pa.array(at[sure] + n[sure] + length - 1)})
-
-    return both.mapInArrow(out, "part long, blob binary")
+    def out(b: pa.RecordBatch, found: list[np.ndarray | None]) -> pa.RecordBatch:
+        texts, own, of = text_bytes(b, 2), [], []
+        for d, r in enumerate(found):
+            if r is not None:  # a repeated row (same id and text) lists its runs once for each copy
+                of.append(np.full(len(r), d))
+                own.append(r)
+        if not own:
+            return pa.RecordBatch.from_arrays([pa.array([], pa.int64()), pa.array([], pa.binary())], ["part", "blob"])
+        doc, (at, n, key) = np.concatenate(of), np.concatenate(own).T
+        own = [texts[d][s:s + k + length - 1] for d, s, k in zip(doc.tolist(), at.tolist(), n.tolist())]
+        seen: dict[bytes, int] = {}
+        index = np.fromiter((seen.setdefault(x, len(seen)) for x in own), np.int64, len(own))
+        count = np.bincount(index, minlength=len(seen))
+        send = np.unique(index, return_index=True)[1]
+        ids, marks = (b.column(i).take(pa.array(doc)) for i in (0, 1))
+        k = pa.array(send)
+        part = (np.ascontiguousarray(key).view(np.uint64)[send] % np.uint64(parts)).astype(np.int64)
+        batches = [_blobs(part, {"key": pa.array(key[send]), "doc_id": ids.take(k), "mark": marks.take(k), "at": pa.array(at[send]),
+                                 "many": pa.array(count[index[send]] > 1), "text": pa.array([own[i] for i in send], pa.binary())})]
+        sure = np.flatnonzero(count[index] > 1)
+        if len(sure):
+            k = pa.array(sure)
+            batches.append(_blobs(-1 - np.arange(len(sure)) // 50_000, {
+                "doc_id": ids.take(k), "mark": marks.take(k), "start": pa.array(at[sure]),
+                "stop": pa.array(at[sure] + n[sure] + length - 1)}))
+        return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+
+    runs = shared.select("doc_id", "mark", "at", F.col("n").cast("long"), "key")
+    return map_with_spans(rows, runs, 2, out, "part long, blob binary")
 
 
 def _shard_spans(blobs: list[bytes], length: int, shard: int):
@@ -408,29 +402,21 @@ def cut_bytes(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_co
               with_text: bool = True) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row, and ``kept`` (the remaining bytes: a cut
     may split a character) if ``with_text``."""
-    lists = spans.groupBy("doc_id", "mark").agg(F.collect_list(F.array("start", "stop")).alias("spans")).select(
-        F.col("doc_id").alias("d"), F.col("mark").alias("m"), "spans")
-    both = _rows(docs, id_col, text_col).join(
-        lists, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m")), "left").select("doc_id", "text", "spans")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in byte_slices(batches, 1):
-            out = []
-            for raw, spans in zip(text_bytes(b, 1), b.column(2).to_pylist()):
-                kept, n = raw, 0
-                if spans:
-                    s = np.array(spans, np.int64)
-                    _, start, stop = merge_spans(np.zeros(len(s), np.int64), s[:, 0], s[:, 1])
-                    edges = [0, *np.stack((start, stop), 1).ravel().tolist(), len(raw)]
-                    kept, n = b"".join(raw[i:j] for i, j in zip(edges[::2], edges[1::2])), len(start)
-                out.append((len(raw), len(raw) - len(kept), n, hashlib.sha256(kept).hexdigest(), *([kept] if with_text else [])))
-            columns = list(zip(*out)) if out else [()] * (4 + with_text)
-            kinds = [pa.int64()] * 3 + [pa.string()] + [pa.binary()] * with_text
-            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))], names)
-
-    return both.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-                           + ", kept binary" * with_text)
+    def cut(b: pa.RecordBatch, found: list[np.ndarray | None]) -> pa.RecordBatch:
+        out = []
+        for raw, s in zip(text_bytes(b, 2), found):
+            kept, n = raw, 0
+            if s is not None:
+                _, start, stop = merge_spans(np.zeros(len(s), np.int64), s[:, 0], s[:, 1])
+                edges = [0, *np.stack((start, stop), 1).ravel().tolist(), len(raw)]
+                kept, n = b"".join(raw[i:j] for i, j in zip(edges[::2], edges[1::2])), len(start)
+            out.append((len(raw), len(raw) - len(kept), n, hashlib.sha256(kept).hexdigest(), *([kept] if with_text else [])))
+        kinds = [pa.int64()] * 3 + [pa.string()] + [pa.binary()] * with_text
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text
+        return pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(zip(*out), kinds))], names)
+
+    return map_with_spans(_rows(docs, id_col, text_col), spans, 2, cut,
+                          "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text)
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
