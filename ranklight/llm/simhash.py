@@ -35,6 +35,7 @@ from ranklight.sources.scratch import materialize
 
 SHARD_ROWS = 2048
 SEED = 42
+WORD = (1 << 64) - 1
 
 
 def fingerprint(text: bytes | None, shingle: int = 3) -> int:
@@ -80,7 +81,7 @@ def _signed(x: int) -> int:
 
 
 class BKTree:
-    """Burkhard-Keller tree over integers under the Hamming distance."""
+    """Burkhard-Keller tree over 64-bit integers, signed or not, under the Hamming distance."""
 
     def __init__(self):
         self.values: list[int] = []
@@ -91,7 +92,7 @@ class BKTree:
         found, todo = [], [0] if self.values else []
         while todo:
             at = todo.pop()
-            d = (self.values[at] ^ x).bit_count()
+            d = ((self.values[at] ^ x) & WORD).bit_count()
             if d <= radius:
                 found.append(at)
             kids = self.children[at]
@@ -106,7 +107,7 @@ class BKTree:
         self.children.append({})
         at, new = 0, len(self.values) - 1
         while at != new:
-            at = self.children[at].setdefault((self.values[at] ^ x).bit_count(), new)
+            at = self.children[at].setdefault(((self.values[at] ^ x) & WORD).bit_count(), new)
 
 
 def shard_links(values: list[int], parts: list[int], i: int, j: int, radius: int) -> list[tuple[int, int]]:
