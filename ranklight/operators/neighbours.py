@@ -369,9 +369,9 @@ def lsh_knn(collection: DataFrame, queries: DataFrame, k: int, bucket_length: fl
 
 # The reference's store names mapped to our operators (Q25: unknown names raise).
 VECTOR_METHODS = {
-    "knn_secuencial": ("exact", "l2"), "sequential": ("exact", "l2"),
-    "knn_rtree": ("grid", "l2"), "grid": ("grid", "l2"),
-    "knn_faiss": ("exact", "sqeuclidean"), "flat": ("exact", "sqeuclidean"),
+    "sequential": ("exact", "l2"),
+    "grid": ("grid", "l2"),
+    "flat": ("exact", "sqeuclidean"),
     "lsh": ("lsh", "l2"),
 }
 

@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from ranklight.functions.weighting import bm25_idf, bm25_tf, log_idf, log_tf
 from ranklight.operators.indexing import TextIndex
-from ranklight.operators.sizing import MAX_BROADCAST_ROWS, bounded
+from ranklight.operators.sizing import MAX_BROADCAST_ROWS
 
+PUSHED_TERMS = 1000  # query tokens up to which the terms are also a scan filter
 HIT_COLS = ("query_id", "rank", "doc_id", "score")
 
 
@@ -37,38 +38,34 @@ def top_k(scores: DataFrame, k: int, key: str = "query_id", score: str = "score"
 
 
 def query_terms(index: TextIndex, queries: DataFrame, id_col: str = "query_id", text_col: str = "text",
-                max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+                max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, DataFrame, bool]:
     """``(query_id, term, qtf, df)`` for every query term that exists in the vocabulary.
 
-    Returns the table and whether it was proven small (then it is broadcast into the joins with the
-    vocabulary and the weights, so the index side is never shuffled for a search)."""
+    Returns the table, the weights to join, and whether it was proven small (then it is broadcast into the joins with the
+    vocabulary and the weights, so the index side is never shuffled for a search).  The distinct terms of
+    a few short queries (at most ``PUSHED_TERMS`` rows, checked first) become a filter of a saved index's scans."""
     toks = index.analyze(queries, id_col, text_col, "query_id")
     # the raw token count bounds the (query, term) rows from above and needs no shuffle to compute
-    small = bounded(toks, max_broadcast_rows)
+    n = toks.limit(max_broadcast_rows + 1).count()
+    small = n <= max_broadcast_rows
     q = toks.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
-    buckets = index.extra.get("buckets")
-    if buckets:  # saved index: carry the term bucket so the joins prune partitions
-        q = q.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))
+    vocab, weights = index.vocab, index.weights
+    if index.extra.get("saved") and small and n <= PUSHED_TERMS:
+        terms = [r[0] for r in toks.select("term").distinct().collect()]
+        vocab, weights = (t.filter(F.col("term").isin(terms)) for t in (vocab, weights))
     side = F.broadcast(q) if small else q
-    keys = ["bucket", "term"] if buckets else ["term"]
-    vocab = index.vocab.select(*keys, "df")
-    return side.join(vocab, keys), small  # Q7: inner join on the vocabulary before any norm
-
-
-def _join_weights(q: DataFrame, small: bool, weights: DataFrame) -> DataFrame:
-    keys = ["bucket", "term"] if "bucket" in q.columns and "bucket" in weights.columns else ["term"]
-    return (F.broadcast(q) if small else q).join(weights, keys)
+    # Q7: inner join on the vocabulary before any norm
+    return side.join(vocab.select("term", "df"), "term"), weights, small
 
 
 def cosine_scores(index: TextIndex, queries: DataFrame, id_col: str = "query_id", text_col: str = "text",
                   max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """A7 + A8 + J1: ``(query_id, doc_id, score)`` for every matched pair, score not NULL."""
-    q, small = query_terms(index, queries, id_col, text_col, max_broadcast_rows)
+    q, weights, small = query_terms(index, queries, id_col, text_col, max_broadcast_rows)
     q = q.withColumn("qw", log_tf(F.col("qtf")) * log_idf(index.n_docs, F.col("df")))
     q = q.withColumn("qnorm", F.sqrt(F.sum(F.col("qw") * F.col("qw")).over(Window.partitionBy("query_id"))))
-    extra = ["bucket"] if "bucket" in q.columns else []
-    q = q.select("query_id", *extra, "term", F.try_divide(F.col("qw"), F.col("qnorm")).alias("qwn"))
-    cand = _join_weights(q, small, index.weights.select(*extra, "term", "doc_id", "wn"))
+    q = q.select("query_id", "term", F.try_divide(F.col("qw"), F.col("qnorm")).alias("qwn"))
+    cand = (F.broadcast(q) if small else q).join(weights.select("term", "doc_id", "wn"), "term")
     s = cand.groupBy("query_id", "doc_id").agg(F.sum(F.col("qwn") * F.col("wn")).alias("score"))
     return s.filter(F.col("score").isNotNull())
 
@@ -84,10 +81,9 @@ def bm25_scores(index: TextIndex, queries: DataFrame, id_col: str = "query_id",
                 k1: float = 1.2, b: float = 0.75, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """M5 second backend: OR-match of the query terms, BM25 score (Robertson & Zaragoza).
     A query term repeated counts once per occurrence (``qtf`` multiplies its contribution)."""
-    q, small = query_terms(index, queries, id_col, text_col, max_broadcast_rows)
-    extra = ["bucket"] if "bucket" in q.columns else []
-    q = q.select("query_id", *extra, "term", "qtf")
-    cand = _join_weights(q, small, index.weights.select(*extra, "term", "doc_id", "tf", "df", "dl"))
+    q, weights, small = query_terms(index, queries, id_col, text_col, max_broadcast_rows)
+    q = q.select("query_id", "term", "qtf")
+    cand = (F.broadcast(q) if small else q).join(weights.select("term", "doc_id", "tf", "df", "dl"), "term")
     avg_len = F.try_divide(index.total_len.cast("double"), index.n_docs.cast("double"))
     part = (F.col("qtf").cast("double") * bm25_idf(index.n_docs, F.col("df"))
             * bm25_tf(F.col("tf"), F.col("dl"), avg_len, k1, b))
@@ -101,8 +97,7 @@ def bm25_search(index: TextIndex, queries: DataFrame, k: int = 10, id_col: str =
     return top_k(bm25_scores(index, queries, id_col, text_col, k1, b, max_broadcast_rows), k).select(*HIT_COLS)
 
 
-METHODS = {"cosine": cosine_search, "tfidf": cosine_search, "inverted_index": cosine_search,
-           "bm25": bm25_search, "fulltext": bm25_search}
+METHODS = {"cosine": cosine_search, "tfidf": cosine_search, "bm25": bm25_search, "fulltext": bm25_search}
 
 
 def search(index: TextIndex, queries: DataFrame, k: int = 10, method: str = "cosine",

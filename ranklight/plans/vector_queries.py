@@ -106,5 +106,5 @@ NAMES_SQL = "format('{:d} - label {:d}', vec_id, label)"
 def m14_vector_search_named(spark, sf_dir):
     e = _emb(spark, sf_dir)
     names = e.select("vec_id", F.format_string("%d - label %d", "vec_id", "label").alias("name"))
-    hits = neighbours.vector_search(e, _as_queries(e), K_VEC, is_knn=True, method="knn_secuencial", names=names)
+    hits = neighbours.vector_search(e, _as_queries(e), K_VEC, is_knn=True, method="sequential", names=names)
     return hits.select("query_id", "rank", "vec_id", "name", "path", r6("dist").alias("dist"))

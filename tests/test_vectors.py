@@ -100,7 +100,7 @@ def test_exact_plan_has_no_cartesian(spark, emb):
 def test_vector_search_by_flag_and_names(spark, emb):
     q = emb.select(F.col("vec_id").alias("query_id"), "embedding")
     names = emb.select("vec_id", F.format_string("%d - label %d", "vec_id", "label").alias("name"))
-    ranged = neighbours.vector_search(emb, q, radius=1.2, is_knn=False, method="knn_rtree", names=names)
+    ranged = neighbours.vector_search(emb, q, radius=1.2, is_knn=False, method="grid", names=names)
     assert _set(ranged) == _set(neighbours.within(emb, q, 1.2))
     row = ranged.first()
     assert row.path == "media/" + row.name
