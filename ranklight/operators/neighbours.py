@@ -90,12 +90,14 @@ def _knn_block(qids, Q, cids, C, k: int, metric: str):
         D = _dist(Q[s:s + step], C, metric)
         key = np.round(D, 9)
         kth = np.partition(key, kk - 1, axis=1)[:, kk - 1] if kk < len(cids) else key.max(axis=1)
-        for i in range(D.shape[0]):
-            cand = np.flatnonzero(key[i] <= kth[i])
-            order = cand[np.lexsort((cids[cand], key[i, cand]))][:kk]
-            oq.append(np.full(len(order), qids[s + i]))
-            oc.append(cids[order])
-            od.append(D[i, order])
+        qi, ci = np.nonzero(key <= kth[:, None])
+        order = np.lexsort((cids[ci], key[qi, ci], qi))
+        qi, ci = qi[order], ci[order]
+        place = np.arange(len(qi)) - np.searchsorted(qi, qi)  # rank inside its query
+        qi, ci = qi[place < kk], ci[place < kk]
+        oq.append(qids[s + qi])
+        oc.append(cids[ci])
+        od.append(D[qi, ci])
     return np.concatenate(oq), np.concatenate(oc), np.concatenate(od)
 
 
@@ -128,7 +130,9 @@ def _frame(q, c, d) -> pd.DataFrame:
 # physical strategies
 
 def _prepare(df: DataFrame, id_col: str, vec_col: str, id_name: str, vec_name: str) -> DataFrame:
-    return df.select(F.col(id_col).cast("long").alias(id_name), F.col(vec_col).cast("array<double>").alias(vec_name))
+    """Id and vector under fixed names.  Rows without a vector (failed extractions, P6) take no part."""
+    return df.select(F.col(id_col).cast("long").alias(id_name),
+                     F.col(vec_col).cast("array<double>").alias(vec_name)).filter(F.col(vec_name).isNotNull())
 
 
 def _small_batch(queries: DataFrame, max_rows: int, max_bytes: int) -> list | None:

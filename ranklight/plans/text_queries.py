@@ -53,13 +53,15 @@ def m4_cosine_batch(spark, sf_dir):
     return hits.select("query_id", "rank", "doc_id", r6("score").alias("score"))
 
 
+ONE_TEXT = "the attion to thanedble, anea: worthless que pathetic"
+
+
 @register("m3_cosine_single",
-          f"WITH {IDX},\n" + duck.query_ctes("(SELECT * FROM benchmark ORDER BY item_id LIMIT 1)") +
+          f"WITH {IDX},\n" + duck.query_ctes(f"(SELECT 0::BIGINT AS item_id, {duck.q(ONE_TEXT)} AS text)") +
           f",\n{duck.cosine_ctes()}\n{duck.top_k_sql('scores', K)}")
 def m3_cosine_single(spark, sf_dir):
-    """One query string (the first benchmark item) against the whole corpus: the single-query API."""
-    one = _queries(spark, sf_dir).orderBy("query_id").limit(1)
-    hits = ranking.cosine_search(_index(spark, sf_dir), one, K)
+    """One query string against the whole corpus: the single-query API."""
+    hits = ranking.cosine_search(_index(spark, sf_dir), ranking.single_query(spark, ONE_TEXT), K)
     return hits.select("query_id", "rank", "doc_id", r6("score").alias("score"))
 
 
@@ -105,6 +107,35 @@ def s3_saved_index_search(spark, sf_dir):
     return hits.select("query_id", "rank", "doc_id", r6("score").alias("score"))
 
 
+STOP = ("the", "of", "and", "de", "la")
+
+
+@register("s3_saved_index_own_stoplist",
+          f"WITH {duck.index_ctes(stopwords=STOP)},\n{duck.query_ctes(stopwords=STOP)},\n{duck.cosine_ctes()}\n{duck.top_k_sql('scores', K)}")
+def s3_saved_index_own_stoplist(spark, sf_dir):
+    """S3: an index saved with its own stop list; queries after the reload are analysed with that list."""
+    from ranklight.session import checkpoint_dir
+    from ranklight.sources import index_store
+    import uuid
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ranklight/index-{uuid.uuid4().hex}"
+    idx = index_store.replace_collection(table(spark, sf_dir, "documents"), path, stopwords=STOP)
+    hits = ranking.cosine_search(idx, _queries(spark, sf_dir), K)
+    return hits.select("query_id", "rank", "doc_id", r6("score").alias("score"))
+
+
+@register("s4_saved_norms", f"WITH {IDX} SELECT doc_id, round(norm, 6) AS norm, dl FROM norms")
+def s4_saved_norms(spark, sf_dir):
+    """Document norms and lengths read back from a saved index."""
+    from ranklight.session import checkpoint_dir
+    from ranklight.sources import index_store
+    import uuid
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ranklight/index-{uuid.uuid4().hex}"
+    norms = index_store.replace_collection(table(spark, sf_dir, "documents"), path).norms
+    return norms.select("doc_id", r6("norm").alias("norm"), "dl")
+
+
 @register("a4_posting_lists",
           f"WITH {IDX} SELECT term, count(*)::BIGINT AS df, min(doc_id) AS first_doc, max(doc_id) AS last_doc, "
           "arg_min(tf, doc_id) AS first_tf, sum(tf)::BIGINT AS cf FROM postings GROUP BY term")

@@ -1,5 +1,5 @@
 """Vector search queries: every ``embeddings`` row is a query against the whole table (a kNN graph /
-radius join), the reference's known-item pattern run for every item at once."""
+radius join), the known-item pattern run for every item at once."""
 
 from __future__ import annotations
 
@@ -108,3 +108,30 @@ def m14_vector_search_named(spark, sf_dir):
     names = e.select("vec_id", F.format_string("%d - label %d", "vec_id", "label").alias("name"))
     hits = neighbours.vector_search(e, _as_queries(e), K_VEC, is_knn=True, method="sequential", names=names)
     return hits.select("query_id", "rank", "vec_id", "name", "path", r6("dist").alias("dist"))
+
+
+@register("m14_vector_range_named",
+          f"WITH {PAIRS_L2} SELECT h.query_id, h.vec_id, {NAMES_SQL.replace('vec_id', 'e.vec_id')} AS name, "
+          f"'media/' || {NAMES_SQL.replace('vec_id', 'e.vec_id')} AS path, round(h.dist, 6) AS dist "
+          f"FROM pairs h JOIN embeddings e ON e.vec_id = h.vec_id WHERE h.dist <= {RADIUS}")
+def m14_vector_range_named(spark, sf_dir):
+    """M14, range branch (J4, F14): every hit within the radius with its name and path."""
+    e = _emb(spark, sf_dir)
+    names = e.select("vec_id", F.format_string("%d - label %d", "vec_id", "label").alias("name"))
+    hits = neighbours.vector_search(e, _as_queries(e), radius=RADIUS, is_knn=False, method="sequential", names=names)
+    return hits.select("query_id", "vec_id", "name", "path", r6("dist").alias("dist"))
+
+
+@register("t3_range_ordered", _range_sql(PAIRS_L2, RADIUS))
+def t3_range_ordered(spark, sf_dir):
+    """Range hits sorted by query and distance (a range-partitioned sort)."""
+    e = _emb(spark, sf_dir)
+    return _range_out(neighbours.order_hits(neighbours.within(e, _as_queries(e), RADIUS, "l2")))
+
+
+@register("f17_float32", "SELECT vec_id, embedding::FLOAT[] AS embedding FROM embeddings")
+def f17_float32(spark, sf_dir):
+    """vectors widened for arithmetic and narrowed to float32 again."""
+    from ranklight.functions.vectors import as_double, to_float32
+
+    return _emb(spark, sf_dir).select("vec_id", to_float32(as_double(F.col("embedding"))).alias("embedding"))
