@@ -10,7 +10,7 @@ rewrites that mean the same in Java regex (Spark) and RE2 (DuckDB), so the oracl
 5. the clitics ``'s 'm 'd 'll 're 've n't`` at the end of a word are cut off;
 6. the text is split on blanks;
 7. a token survives only if it is made of letters and digits alone (``no-one``, ``u.s`` and ``12:30``
-   are dropped whole, never split) and is not a stop word.
+   are dropped whole, never split); one-word contractions (``cannot``) are cut in two; stop words go.
 """
 
 from __future__ import annotations
@@ -36,7 +36,9 @@ REWRITES: tuple[tuple[str, str, str], ...] = (
 # White space was mapped to blanks by the "chars" step, so the split is on one blank (a plain string
 # split, no regex); runs of blanks give empty tokens, which the word filter drops.
 SPLIT = " "
-ANALYSIS = "treebank-like-2"  # version of the token rules, stored with every saved index
+# The published Treebank contractions of one word; each is two tokens, cut after the third letter.
+CONTRACTIONS = ("cannot", "gimme", "gonna", "gotta", "lemme", "wanna")
+ANALYSIS = "treebank-like-3"  # version of the token rules, stored with every saved index
 WORD = r"^[\p{L}\p{N}]+$"
 
 
@@ -70,6 +72,12 @@ def default_stopwords(language: str = "english") -> tuple[str, ...]:
     return ENGLISH
 
 
+def contraction_parts(token: Column) -> Column:
+    """``cannot`` -> ``can``, ``not`` and the like; any other token alone."""
+    cut = F.array(F.substring(token, 1, 3), F.substring(token, 4, 3))
+    return F.when(token.isin(*CONTRACTIONS), cut).otherwise(F.array(token))
+
+
 def resolve_stopwords(stopwords) -> tuple[str, ...] | DataFrame:
     """``None`` → Spark's English list; ``()`` → no stop words; a list → that list (lower-cased);
     a DataFrame with a ``word`` column → kept as a table (joined, never collected)."""
@@ -91,7 +99,7 @@ def tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", stopwo
     """
     sw = resolve_stopwords(stopwords)
     t = df.select(F.col(id_col).alias(out_id), F.explode(token_array(F.col(text_col))).alias("term"))
-    t = t.filter(is_word(F.col("term")))
+    t = t.filter(is_word(F.col("term"))).select(out_id, F.explode(contraction_parts(F.col("term"))).alias("term"))
     if isinstance(sw, DataFrame):
         return t.join(sw.select(F.col("word").alias("term")), "term", "left_anti").select(out_id, "term")
     if sw:

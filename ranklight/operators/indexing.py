@@ -26,6 +26,7 @@ from ranklight.functions.weighting import log_idf, log_tf
 from ranklight.operators.sizing import spread
 from ranklight.sources.scratch import materialize
 
+BLOCK_SIZE = 100_000  # postings in one exported row, about
 POSTINGS_COLS = ("term", "doc_id", "tf")
 WEIGHTS_COLS = ("term", "doc_id", "tf", "df", "w", "wn", "dl")
 
@@ -124,15 +125,21 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return TextIndex(postings, vocab, weights, norms, n_docs, total_len, stopwords)
 
 
-def posting_lists(postings: DataFrame) -> DataFrame:
-    """A4/T4 export form: ``term, df, postings array<struct<doc_id, tf>>`` sorted by doc id.
-    One row per term holds that term's whole list, so this is an export format only (a hot term makes
-    a large row); the search path never builds it."""
-    return postings.groupBy("term").agg(
-        F.count(F.lit(1)).alias("df"),
-        F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"))
+def in_blocks(postings: DataFrame, vocab: DataFrame, block_size: int) -> DataFrame:
+    """Postings with a ``block`` number: a term's documents are dealt by hash into as many blocks as hold
+    about ``block_size`` of them, so no block grows with the term's document frequency."""
+    blocks = F.ceil(F.col("df") / F.lit(float(block_size)))
+    return postings.join(vocab.select("term", "df"), "term").withColumn(
+        "block", F.pmod(F.xxhash64("doc_id"), blocks).cast("long"))
+
+
+def posting_lists(postings: DataFrame, vocab: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
+    """A4/T4 export form: ``term, block, df, postings array<struct<doc_id, tf>>``, each block sorted by doc id."""
+    return in_blocks(postings, vocab, block_size).groupBy("term", "block").agg(
+        F.first("df").alias("df"), F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"))
 
 
-def posting_maps(postings: DataFrame) -> DataFrame:
-    """Packed ``term, map<doc_id, tf>`` form for F19 lookups (``try_element_at``)."""
-    return postings.groupBy("term").agg(F.map_from_entries(F.collect_list(F.struct("doc_id", "tf"))).alias("tf_by_doc"))
+def posting_maps(postings: DataFrame, vocab: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
+    """Packed ``term, block, map<doc_id, tf>`` form for F19 lookups (``try_element_at``)."""
+    return in_blocks(postings, vocab, block_size).groupBy("term", "block").agg(
+        F.map_from_entries(F.collect_list(F.struct("doc_id", "tf"))).alias("tf_by_doc"))

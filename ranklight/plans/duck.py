@@ -6,7 +6,7 @@ list), so a change on one side changes the other.
 
 from __future__ import annotations
 
-from ranklight.functions.text import REWRITES, SPLIT, default_stopwords
+from ranklight.functions.text import CONTRACTIONS, REWRITES, SPLIT, default_stopwords
 
 
 def q(s: str) -> str:
@@ -39,8 +39,10 @@ def tokens_cte(name: str, source: str, id_col: str, text_col: str, out_id: str =
     return (
         f"{name}_raw AS (SELECT {id_col} AS {out_id}, unnest(string_split({normalize_sql(text_col)}, "
         f"{q(SPLIT)})) AS term FROM {source}),\n"
-        f"{name} AS (SELECT {out_id}, term FROM {name}_raw WHERE regexp_full_match(term, '[\\p{{L}}\\p{{N}}]+')"
-        f"{stop_list_sql(stopwords)})"
+        f"{name}_cut AS (SELECT {out_id}, unnest(CASE WHEN term IN ({', '.join(q(w) for w in CONTRACTIONS)}) "
+        f"THEN [term[1:3], term[4:6]] ELSE [term] END) AS term FROM {name}_raw "
+        f"WHERE regexp_full_match(term, '[\\p{{L}}\\p{{N}}]+')),\n"
+        f"{name} AS (SELECT {out_id}, term FROM {name}_cut WHERE true{stop_list_sql(stopwords)})"
     )
 
 

@@ -88,11 +88,10 @@ def f14_f16_f18_labels(spark, sf_dir):
 
 @register("s1_csv_corpus_roundtrip", "SELECT doc_id, lang, n_chars, length(text)::BIGINT AS text_len, md5(text) AS text_md5 FROM documents")
 def s1_csv_corpus_roundtrip(spark, sf_dir):
-    """Write the corpus as CSV (multi-line quoted text) and read it back in bounded splits."""
+    """Write the corpus as CSV (multi-line quoted text) and read it back."""
     path = _scratch(spark, "corpus-csv")
     files.write_corpus_csv(table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", "text"), path)
-    back = files.read_corpus_csv(spark, path, "doc_id bigint, lang string, n_chars bigint, text string",
-                                 max_partition_bytes="1m")
+    back = files.read_corpus_csv(spark, path, "doc_id bigint, lang string, n_chars bigint, text string")
     return back.select("doc_id", "lang", "n_chars", F.length("text").cast("bigint").alias("text_len"),
                        F.md5("text").alias("text_md5"))
 

@@ -140,12 +140,15 @@ def s4_saved_norms(spark, sf_dir):
           f"WITH {IDX} SELECT term, count(*)::BIGINT AS df, min(doc_id) AS first_doc, max(doc_id) AS last_doc, "
           "arg_min(tf, doc_id) AS first_tf, sum(tf)::BIGINT AS cf FROM postings GROUP BY term")
 def a4_posting_lists(spark, sf_dir):
-    """A4/T4 export form, checked through its first/last entries (the list is sorted by doc id)."""
-    pl = indexing.posting_lists(_index(spark, sf_dir).postings)
-    return pl.select("term", "df", F.col("postings")[0]["doc_id"].alias("first_doc"),
-                     F.element_at("postings", -1)["doc_id"].alias("last_doc"),
-                     F.col("postings")[0]["tf"].alias("first_tf"),
-                     F.aggregate("postings", F.lit(0).cast("bigint"), lambda a, x: a + x["tf"]).alias("cf"))
+    """A4/T4 export form in bounded blocks, checked through their first/last entries (a block is sorted by doc id)."""
+    idx = _index(spark, sf_dir)
+    pl = indexing.posting_lists(idx.postings, idx.vocab, block_size=64)
+    pl = pl.select("term", F.size("postings").alias("n"), F.col("postings")[0].alias("first"),
+                   F.element_at("postings", -1)["doc_id"].alias("last"),
+                   F.aggregate("postings", F.lit(0).cast("bigint"), lambda a, x: a + x["tf"]).alias("cf"))
+    return pl.groupBy("term").agg(F.sum("n").alias("df"), F.min("first")["doc_id"].alias("first_doc"),
+                                  F.max("last").alias("last_doc"), F.min("first")["tf"].alias("first_tf"),
+                                  F.sum("cf").alias("cf"))
 
 
 @register("a5_merge_partial_postings", f"WITH {IDX} SELECT term, doc_id, tf FROM postings")
@@ -165,10 +168,13 @@ def a5_merge_partial_postings(spark, sf_dir):
           "NULL::BIGINT AS tf_absent FROM postings GROUP BY term")
 def f19_packed_lookup(spark, sf_dir):
     """look keys up in the packed ``map<doc_id, tf>`` form; an absent key gives NULL."""
-    pm = indexing.posting_maps(_index(spark, sf_dir).postings)
+    idx = _index(spark, sf_dir)
+    pm = indexing.posting_maps(idx.postings, idx.vocab, block_size=64)
     first = F.array_min(F.map_keys("tf_by_doc"))
-    return pm.select("term", first.alias("first_doc"), F.try_element_at("tf_by_doc", first).alias("tf_first"),
-                     F.try_element_at("tf_by_doc", F.lit(-1).cast("bigint")).alias("tf_absent"))
+    pm = pm.select("term", F.struct(first.alias("doc"), F.try_element_at("tf_by_doc", first).alias("tf")).alias("f"),
+                   F.try_element_at("tf_by_doc", F.lit(-1).cast("bigint")).alias("absent"))
+    return pm.groupBy("term").agg(F.min("f")["doc"].alias("first_doc"), F.min("f")["tf"].alias("tf_first"),
+                                  F.max("absent").alias("tf_absent"))
 
 
 @register("m6_prefix_sweep",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -25,8 +26,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                 app_name: str = "ranklight", extra: dict | None = None) -> SparkSession:
     """Return the active session or build a local one with the defaults above.
 
-    On a cluster the session normally already exists (spark-submit); then only the SQL settings that
-    are still unset are applied, nothing cluster-wide is overridden.
+    On a cluster the session normally already exists (spark-submit); it is returned as it is.
     """
     active = SparkSession.getActiveSession()
     if active is not None:
@@ -37,7 +37,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     conf = dict(_DEFAULTS)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", os.environ.get("RANKLIGHT_DRIVER_MEMORY", "16g"))
+    conf.setdefault("spark.driver.memory", os.environ.get("RANKLIGHT_DRIVER_MEMORY", "8g"))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -56,7 +56,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):  # one process; local-cluster[...] is a cluster
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         path = tempfile.mkdtemp(prefix="ranklight-ckpt-")
     if sc.getCheckpointDir() is None:

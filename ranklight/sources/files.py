@@ -1,8 +1,8 @@
 """File sources and sinks.
 
 * S1/S2 — a corpus CSV with a header whose quoted fields span lines; a declared schema (no
-  inference pass); ``maxPartitionBytes`` bounds the bytes per task (the reference's 5,000-document
-  chunks become scan splits).
+  inference pass).  Such a CSV cannot be split: one file is one task, so a large corpus comes as many files
+  and is converted to Parquet once, whose splits follow ``spark.sql.files.maxPartitionBytes``.
 * S6 — wide feature CSV: one column per coordinate plus ``filename``; loaded back into
   ``array<double>``.  Parquet with an array column is the native form.
 * S7 — media listing by suffix with the ``binaryFile`` source (content column pruned away).
@@ -16,11 +16,9 @@ from pyspark.sql import functions as F
 
 
 def read_corpus_csv(spark: SparkSession, path: str, schema: str = "artist string, song string, link string, text string",
-                    max_partition_bytes: str | None = None, mode: str = "FAILFAST") -> DataFrame:
-    r = spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').option("mode", mode)
-    if max_partition_bytes:
-        r = r.option("maxPartitionBytes", max_partition_bytes)
-    return r.csv(path)
+                    mode: str = "FAILFAST") -> DataFrame:
+    return (spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
+            .option("mode", mode).csv(path))
 
 
 def write_corpus_csv(df: DataFrame, path: str) -> None:

@@ -31,3 +31,13 @@ def test_default_stop_list_is_sparks(spark):
     from pyspark.ml.feature import StopWordsRemover
 
     assert set(default_stopwords("english")) == set(StopWordsRemover.loadDefaultStopWords("english"))
+
+
+def test_one_word_contractions(spark):
+    words = "cannot gimme gonna gotta lemme wanna canoe".split()
+    df = spark.createDataFrame(list(enumerate(words)), "doc_id bigint, text string")
+    got = {}
+    for r in tokens(df, stopwords=()).collect():
+        got.setdefault(words[r.doc_id], []).append(r.term)
+    assert got == {"cannot": ["can", "not"], "gimme": ["gim", "me"], "gonna": ["gon", "na"], "gotta": ["got", "ta"],
+                   "lemme": ["lem", "me"], "wanna": ["wan", "na"], "canoe": ["canoe"]}
