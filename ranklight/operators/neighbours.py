@@ -382,8 +382,14 @@ VECTOR_METHODS = {
 
 def vector_search(collection: DataFrame, queries: DataFrame, k: int = 10, radius: float = 1.0, is_knn: bool = True,
                   method: str = "sequential", names: DataFrame | None = None, root: str = "media",
-                  **kw) -> DataFrame:
-    """kNN or range by flag, with names and paths (J4, F14).  ``names``: ``(vec_id, name)``."""
+                  reduction=None, **kw) -> DataFrame:
+    """kNN or range by flag, with names and paths (J4, F14).  ``names``: ``(vec_id, name)``.
+    ``reduction``: the stored model (M15, S9) that the collection was reduced with; the queries' raw
+    features are reduced with it here."""
+    if reduction is not None:
+        vec = kw.get("query_vec_col", "embedding")
+        raw = queries.filter(F.col(vec).isNotNull()).withColumnRenamed(vec, reduction.vec_col)
+        queries = reduction.transform(raw, "_reduced").drop(reduction.vec_col).withColumnRenamed("_reduced", vec)
     try:
         how, metric = VECTOR_METHODS[method]
     except KeyError:

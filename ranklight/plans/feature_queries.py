@@ -159,3 +159,57 @@ def m15_pca_explained_variance(spark, sf_dir):
 def m18_projection_2d(spark, sf_dir):
     p = features.project_2d(table(spark, sf_dir, "embeddings"), "embedding", 3, 4, "vec_id")
     return p.select("vec_id", r6("x").alias("x"), r6("y").alias("y"))
+
+
+def _signal_sql(key: str, out: str) -> str:
+    """CTE ``out(id, pos, value)``: M17 for every ``key`` of events."""
+    return (
+        f"{out}_o AS (SELECT {key} AS id, value, row_number() OVER (PARTITION BY {key} ORDER BY ts, event_id) - 1 AS ordinal, "
+        f"count(*) OVER (PARTITION BY {key}) AS cnt FROM events),\n"
+        f"{out} AS (SELECT id, ordinal % {WIN} AS pos, avg(value) AS value FROM {out}_o WHERE cnt >= {WIN} "
+        f"AND ordinal < (cnt // {WIN}) * {WIN} AND ordinal % {WIN} < {min(WIN, WIN_LEN, OUT_LEN)} GROUP BY ALL)")
+
+
+MEDIA_RADIUS = 25.0
+MEDIA_SQL = (f"WITH {_signal_sql('user_id', 'c')},\n{_signal_sql('event_type', 'q')},\n"
+             "pairs AS (SELECT q.id AS query_id, c.id AS vec_id, sqrt(sum((q.value - c.value) * (q.value - c.value))) AS dist "
+             "FROM q JOIN c USING (pos) GROUP BY q.id, c.id)\n")
+MEDIA_COLS = "query_id, vec_id, format('user {:d}', vec_id) AS name, 'media/' || format('user {:d}', vec_id) AS path, round(dist, 6) AS dist"
+
+
+def _media_search(spark, sf_dir, **how):
+    """M17 -> M15/M16 -> S9 -> M14: features of every user's series are reduced and searched; a query is the
+    raw feature vector of an event type's series, reduced inside the search with the model as it was stored.
+    With all components kept, distances are those of the raw features, which SQL can check."""
+    import uuid
+
+    from ranklight.session import checkpoint_dir
+
+    ev = table(spark, sf_dir, "events")
+
+    def vectors(key: str, name: str):
+        long = features.signal_features(ev, key, ["ts", "event_id"], "value", WIN, WIN_LEN, OUT_LEN)
+        return features.to_arrays(long, key, out=name).withColumnRenamed(key, "id")
+
+    media = vectors("user_id", "features")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ranklight/reduction-{uuid.uuid4().hex}"
+    features.fit_reduction(media, "features", n_components=OUT_LEN).save(path)
+    red = features.Reduction.load(path)
+    coll = red.transform(media, "embedding").select(F.col("id").alias("vec_id"), "embedding")
+    names = coll.select("vec_id", F.format_string("user %d", "vec_id").alias("name"))
+    asked = vectors("event_type", "embedding").withColumn("query_id", F.xxhash64("id"))
+    hits = neighbours.vector_search(coll, asked.select("query_id", "embedding"), names=names, reduction=red, **how)
+    out = hits.join(asked.select("query_id", F.col("id").alias("kind")), "query_id")
+    return out.select(F.col("kind").alias("query_id"), "vec_id", "name", "path", r6("dist").alias("dist"))
+
+
+@register("m14_media_knn",
+          MEDIA_SQL + f"SELECT {MEDIA_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(dist, 9), vec_id) "
+          f"AS rank FROM pairs) WHERE rank <= {K_VEC}")
+def m14_media_knn(spark, sf_dir):
+    return _media_search(spark, sf_dir, k=K_VEC, is_knn=True)
+
+
+@register("m14_media_range", MEDIA_SQL + f"SELECT {MEDIA_COLS} FROM pairs WHERE dist <= {MEDIA_RADIUS}")
+def m14_media_range(spark, sf_dir):
+    return _media_search(spark, sf_dir, radius=MEDIA_RADIUS, is_knn=False)
