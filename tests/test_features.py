@@ -57,7 +57,7 @@ def test_ordinals_match_row_number(spark, sf001):
 
 def test_vector_functions(spark):
     df = spark.createDataFrame([([3.0, -4.0], [0.0, 0.0])], "a array<double>, b array<double>")
-    r = df.select(V.l2("a", "b").alias("l2") if False else V.l2(F.col("a"), F.col("b")).alias("l2"),
+    r = df.select(V.l2(F.col("a"), F.col("b")).alias("l2"),
                   V.sq_l2(F.col("a"), F.col("b")).alias("sq"), V.peak_normalize(F.col("a")).alias("pk"),
                   V.pad_or_cut(F.col("a"), 3).alias("p"), V.in_box(F.col("a"), F.col("b"), 4).alias("box")).first()
     assert r.l2 == 5.0 and r.sq == 25.0 and r.pk == [0.75, -1.0] and r.p == [3.0, -4.0, 0.0] and r.box

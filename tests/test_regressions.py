@@ -37,3 +37,14 @@ def test_catalogue_needs_no_spark_jars(monkeypatch):
     assert entry.queries() and entry.oracle_sql()
     for f in pathlib.Path(ranklight.__file__).parent.rglob("*.py"):
         assert not re.search(r"\.jar\b|zipfile", f.read_text()), f
+
+
+def test_entry_without_the_training_data_folder(monkeypatch):
+    """queries() and oracle_sql() work where corpus_pipeline.py and its operators are not there."""
+    import sys
+
+    import __spark_entry__ as entry
+    from ranklight.plans.catalog import ORACLE, QUERIES
+
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    assert entry.queries().keys() == QUERIES.keys() and entry.oracle_sql().keys() == ORACLE.keys()

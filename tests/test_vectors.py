@@ -84,8 +84,11 @@ def test_blocked_equals_broadcast(spark, emb):
 def test_lsh_recall_floor(spark, emb):
     q = emb.select(F.col("vec_id").alias("query_id"), "embedding")
     exact = _set(neighbours.knn(emb, q, 5))
-    approx = _set(neighbours.lsh_knn(emb, q, 5, bucket_length=2.0, tables=4))
-    assert approx <= exact | approx
+    hits = neighbours.lsh_knn(emb, q, 5).collect()
+    true = {(r.query_id, r.vec_id): r.dist for r in neighbours.within(emb, q, 10.0).collect()}
+    assert all(abs(true[r.query_id, r.vec_id] - r.dist) < 1e-9 for r in hits)  # candidates are re-ranked exactly
+    assert {r.rank for r in hits} <= {1, 2, 3, 4, 5}
+    approx = _set(neighbours.lsh_knn(emb, q, 5))
     recall = len(exact & approx) / len(exact)
     assert recall >= 0.5
 
