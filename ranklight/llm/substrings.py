@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ranklight.llm.common import by_part, byte_slices, merge_spans, pack, passing, shuffle_partitions, text_bytes, unpack
+from ranklight.llm.common import by_part, byte_slices, map_with_spans, merge_spans, packed_by_part, passing, \
+    shuffle_partitions, text_bytes, unpack
 from ranklight.sources.scratch import materialize
 
 WINDOW = 13
@@ -123,7 +124,6 @@ def _packed(rows: DataFrame, window: int, gram: int, parts: int, hot: frozenset[
             s = Superkmers(text_bytes(b, 2), window, gram)
             part = (s.key % np.uint64(parts)).astype(np.int64)
             use = np.flatnonzero(~np.isin(s.slot(), hot_slots))
-            use = use[np.argsort(part[use], kind="stable")]
             join, words = b" ".join, s.words
             text = pa.array([join(words[i:i + k]) for i, k in zip(s.first[use].tolist(), (s.count[use] + window - 1).tolist())],
                             pa.binary())
@@ -131,10 +131,8 @@ def _packed(rows: DataFrame, window: int, gram: int, parts: int, hot: frozenset[
             columns = {"key": pa.array(s.key[use]), "doc_id": ids, "mark": marks,
                        "at": pa.array(s.position()[use].astype(np.int32)), "n": pa.array(s.count[use].astype(np.int32)),
                        "text": text}
-            own, heads = np.unique(part[use], return_index=True)
-            blobs = [pack({k: v.slice(lo, hi - lo) for k, v in columns.items()})
-                     for lo, hi in zip(heads, np.append(heads[1:], len(use)))]
-            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(blobs, pa.binary())], ["part", "blob"])
+            own, blobs = packed_by_part(part[use], columns)
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(blobs, pa.binary())], ["part", "blob"])
 
     return rows.filter("doc_id is not null").mapInArrow(run, "part long, blob binary")
 
@@ -172,6 +170,8 @@ def _bucket_spans(blobs: list[bytes], window: int) -> tuple[np.ndarray, ...]:
 
 
 def _hot_spans(rows: DataFrame, window: int, gram: int, hot: frozenset[int]) -> DataFrame:
+    """Intervals of repeated windows in hot slots.  Inside a map batch, all but the first document of a window are known to
+    repeat it; one row for each window and batch goes on to find out whether an earlier batch has it."""
     hot_slots = np.array(sorted(hot), np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,18 +180,26 @@ def _hot_spans(rows: DataFrame, window: int, gram: int, hot: frozenset[int]) ->
             use = np.flatnonzero(np.isin(s.slot(), hot_slots))
             many = s.count[use]
             inside = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            first = np.repeat(s.first[use], many) + inside
+            first = (np.repeat(s.first[use], many) + inside).tolist()
             where = np.repeat(s.position()[use], many) + inside
-            words, join = s.words, b" ".join
-            ids, marks = (b.column(i).take(pa.array(np.repeat(s.doc[use], many))) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([join(words[i:i + window]) for i in first.tolist()], pa.binary()), ids, marks, pa.array(where)],
-                ["w", "doc_id", "mark", "start"])
+            words, join, seen = s.words, b" ".join, {}
+            index = np.fromiter((seen.setdefault(join(words[i:i + window]), len(seen)) for i in first), np.int64, len(first))
+            doc = np.repeat(s.doc[use], many)
+            ids = b.column(0).take(pa.array(doc)).to_numpy()
+            low = np.full(len(seen), np.iinfo(np.int64).max)
+            np.minimum.at(low, index, ids)
+            known = ids > low[index]
+            text = pa.array(list(seen), pa.binary()).take(pa.array(index, mask=known))  # null: nothing left to find out
+            yield pa.RecordBatch.from_arrays([text, pa.array(ids), b.column(1).take(pa.array(doc)), pa.array(where)],
+                                             ["w", "doc_id", "mark", "start"])
 
     seen = materialize(rows.filter("doc_id is not null").mapInArrow(run, "w binary, doc_id long, mark long, start long"),
                        "substring-hot")
-    first = seen.groupBy("w").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
-    return (seen.join(first, "w").filter("doc_id > low")
+    open_ = seen.filter("w is not null")
+    first = open_.groupBy("w").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
+    again = materialize(open_.join(first.select("w", "low"), "w").filter("doc_id > low").select("doc_id", "mark", "start"),
+                        "substring-hot-repeats")
+    return (seen.filter("w is null").select("doc_id", "mark", "start").unionAll(again)
             .select("doc_id", "mark", "start", (F.col("start") + window).alias("stop")))
 
 
@@ -224,37 +232,31 @@ def cut_words(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_co
     ``kept_text``: the kept words joined by one space; the text as it was if no word goes; null for null."""
     new = ["n_words", "n_removed", "kept_sha256", "kept_text"]
     own, names, schema = passing(docs, text_col, new)
-    id_at = f"c{[c.lower() for c in names].index(id_col.lower())}"
-    lists = spans.groupBy("doc_id", "mark").agg(F.collect_list(F.array("start", "stop")).alias("spans"))
-    text_at = [i for i, c in enumerate(names) if c.lower() == text_col.lower()]
-    t = F.col(f"c{text_at[0]}").cast("string") if text_at else F.col("t")
-    if text_at:
-        own = own.drop("t")  # the text travels once
-    both = own.join(lists, (F.col(id_at).cast("long") == F.col("doc_id"))
-                    & (F.xxhash64(F.coalesce(t, F.lit(""))) == F.col("mark")), "left")
-    b_text = len(names)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in byte_slices(batches, b_text):
-            out: list[tuple] = []
-            for raw, spans in zip(text_bytes(b, b_text), b.column(b_text + 1).to_pylist()):
-                words = (raw or b"").split()
-                kept = words
-                if spans:
-                    gone = np.zeros(len(words) + 1, np.int64)
-                    s = np.array(spans)
-                    np.add.at(gone, s[:, 0], 1)
-                    np.add.at(gone, s[:, 1], -1)
-                    kept = [w for w, c in zip(words, np.cumsum(gone).tolist()) if not c]
-                joined = b" ".join(kept)
-                out.append((len(words), len(words) - len(kept), hashlib.sha256(joined).hexdigest(),
-                            joined.decode() if len(kept) < len(words) else raw.decode() if raw is not None else None))
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
-            added = [pa.array(x, kind) for x, kind in zip(zip(*out), kinds)] if out else [pa.array([], kind) for kind in kinds]
-            yield pa.RecordBatch.from_arrays([*b.columns[:b_text], *added], names + new)
-
-    rows = both.select(*both.columns[:b_text], t.alias("t"), "spans")
-    return rows.mapInArrow(run, schema + "n_words long, n_removed long, kept_sha256 string, kept_text string")
+    text_at = next((i for i, c in enumerate(names) if c.lower() == text_col.lower()), None)
+    t = F.col("t") if text_at is None else F.col(f"c{text_at}").cast("string")
+    id_at = next(f"c{i}" for i, c in enumerate(names) if c.lower() == id_col.lower())
+    rows = own.select(F.col(id_at).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(t, F.lit(""))).alias("mark"),
+                      *own.columns[:-1], *(["t"] if text_at is None else []))  # the text travels once
+    at = 2 + (len(names) if text_at is None else text_at)
+
+    def cut(b: pa.RecordBatch, found: list[np.ndarray | None]) -> pa.RecordBatch:
+        out: list[tuple] = []
+        for raw, spans in zip(b.column(at).cast(pa.string()).cast(pa.binary()).to_pylist(), found):
+            words = (raw or b"").split()
+            kept = words
+            if spans is not None:
+                gone = np.zeros(len(words) + 1, np.int64)
+                np.add.at(gone, spans[:, 0], 1)
+                np.add.at(gone, spans[:, 1], -1)
+                kept = [w for w, c in zip(words, np.cumsum(gone).tolist()) if not c]
+            joined = b" ".join(kept)
+            out.append((len(words), len(words) - len(kept), hashlib.sha256(joined).hexdigest(),
+                        joined.decode() if len(kept) < len(words) else raw.decode() if raw is not None else None))
+        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
+        added = [pa.array(x, kind) for x, kind in zip(zip(*out), kinds)]
+        return pa.RecordBatch.from_arrays([*b.columns[2:2 + len(names)], *added], names + new)
+
+    return map_with_spans(rows, spans, at, cut, schema + "n_words long, n_removed long, kept_sha256 string, kept_text string")
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, **settings) -> DataFrame:
