@@ -51,6 +51,8 @@ def byte_slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = 8 <
             to = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield b.slice(at, to - at)
             at = to
+        del b
+        pa.default_memory_pool().release_unused()
 
 
 def pack(columns: dict[str, pa.Array], level: int = 3) -> bytes:
@@ -126,7 +128,7 @@ def map_with_spans(rows: DataFrame, spans: DataFrame, text_at: int, fn: Callable
     ``spans`` (``doc_id, mark``, then whole numbers) as a matrix, or None.
 
     Both sides travel packed, compressed by map batch and part, because the rows carry whole texts.  Of a part, a task
-    holds the spans and one map batch's rows."""
+    holds the spans and some 8 MB of rows."""
     n = shuffle_partitions(rows.sparkSession)
     parts = 4 * n
 
@@ -142,19 +144,28 @@ def map_with_spans(rows: DataFrame, spans: DataFrame, text_at: int, fn: Callable
         return run
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, found = None, [], None
+        def flush(found: dict, tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+            for own in pa.concat_tables(tables).combine_chunks().to_batches():
+                null, ids, marks = _row_key(own)
+                yield fn(own, [found.get(k) for k in zip(null.tolist(), ids.tolist(), marks.tolist())])
+
+        at, held, found, rows = None, [], {}, []
         for b in batches:
             for part, kind, blob in zip(*(c.to_pylist() for c in b.columns)):
+                if part != at or sum(t.nbytes for t in rows) > 8 << 20:
+                    if rows:
+                        yield from flush(found, rows)
+                    rows = []
                 if part != at:
-                    at, held, found = part, [], None
+                    at, held, found = part, [], {}
                 if kind == 0:
                     held.append(blob)
                     continue
-                if found is None:
-                    found = _found(held)
-                for own in unpack([blob]).to_batches():
-                    null, ids, marks = _row_key(own)
-                    yield fn(own, [found.get(k) for k in zip(null.tolist(), ids.tolist(), marks.tolist())])
+                if held:
+                    found, held = _found(held), []
+                rows.append(unpack([blob]))
+        if rows:
+            yield from flush(found, rows)
 
     sent = spans.mapInArrow(send(0), "part long, kind int, blob binary").unionAll(
         rows.mapInArrow(send(1), "part long, kind int, blob binary"))

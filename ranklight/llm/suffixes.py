@@ -8,7 +8,7 @@ else as well (in the same text or in another).
    corpus cannot hold a repeat; they stop here, as hashes, before any text moves.
 2. The texts of the other runs travel to the shard of their minimiser.  Equal runs are merged in the map task
    first: of a passage that a third of the documents hold, each task sends one copy.
-3. A shard's runs are joined into one byte string, and its suffix array is built by induced sorting: suffixes are
+3. Runs of one minimiser that are all equal are settled by that. The other runs of a shard are joined into one byte string, and its suffix array is built by induced sorting: suffixes are
    classified, leftmost smaller (LMS) substrings are sorted and named, the names are ordered recursively
    (repeatedly renamed in pairs until all differ), and the order of all suffixes is induced from them in
    linear passes over the first bytes.
@@ -332,42 +332,51 @@ def _run_texts(rows: DataFrame, shared: DataFrame, length: int, parts: int) -> D
     return map_with_spans(rows, runs, 2, out, "part long, blob binary")
 
 
-def _shard_spans(blobs: list[bytes], length: int, shard: int):
-    """Intervals of repeated strings in one part; suffix arrays over at most ``shard`` bytes of whole minimisers."""
+def _shard_spans(blobs: list[bytes], length: int, shard: int) -> Iterator[pa.RecordBatch]:
+    """Intervals of repeated strings in one part.
+
+    Equal strings share their minimiser, so only runs of one minimiser have to be compared, and a minimiser
+    whose runs are all equal needs no comparison.  The others go into suffix arrays of about ``shard`` bytes, whole
+    minimisers each."""
     t = unpack(blobs)
-    order = np.argsort(t.column("key").to_numpy(), kind="stable")
-    t = t.take(pa.array(order)).combine_chunks()
+    t = t.take(pa.array(np.argsort(t.column("key").to_numpy(), kind="stable"))).combine_chunks()
     key, at, many = (t.column(c).to_numpy() for c in ("key", "at", "many"))
-    size = pc.binary_length(t.column("text")).to_numpy()
-    heads = np.append(np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))), len(key))
-    total = np.concatenate(([0], np.cumsum(size)))
+    size = pc.binary_length(t.column("text")).to_numpy().astype(np.int64)
+    seen: dict[bytes, int] = {}
+    index = np.fromiter((seen.setdefault(x, len(seen)) for x in t.column("text").to_pylist()), np.int64, len(key))
+    known = np.bincount(index, weights=1.0 + many, minlength=len(seen)) > 1  # the run itself occurs again
+    first = np.unique(index, return_index=True)[1]
+    texts, of_key = list(seen), key[first]  # ascending by key, as their rows are
+    head = np.flatnonzero(np.concatenate(([True], of_key[1:] != of_key[:-1])))
+    tail = np.append(head[1:], len(texts))
+    lone = np.repeat(tail - head == 1, tail - head)
+    whole = np.flatnonzero((lone & known)[index])
+
+    def spans(who: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.RecordBatch:
+        take = pa.array(who)
+        return pa.RecordBatch.from_arrays([t.column("doc_id").chunk(0).take(take), t.column("mark").chunk(0).take(take),
+                                           pa.array(start), pa.array(stop)], ["doc_id", "mark", "start", "stop"])
+
+    if len(whole):
+        yield spans(whole, at[whole], at[whole] + size[whole])
+    rows = np.argsort(index, kind="stable")  # rows of each distinct run
+    row_head = np.searchsorted(index[rows], np.arange(len(texts) + 1))
+    head, tail = head[tail - head > 1], tail[tail - head > 1]
+    total = np.cumsum([sum(map(len, texts[i:j])) for i, j in zip(head, tail)])
     lo = 0
-    while lo < len(heads) - 1:
-        hi = max(lo + 1, int(np.searchsorted(total[heads], total[heads[lo]] + shard, side="right")) - 1)
-        a, z = heads[lo], heads[hi]
+    while lo < len(head):
+        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + shard, side="right")))
+        own = np.concatenate([np.arange(i, j) for i, j in zip(head[lo:hi], tail[lo:hi])])
         lo = hi
-        texts = t.column("text").slice(a, z - a).to_pylist()
-        if len(texts) == 1 and not many[a]:
-            texts = []
-        seen: dict[bytes, int] = {}
-        index = np.fromiter((seen.setdefault(x, len(seen)) for x in texts), np.int64, len(texts))
-        if not len(index):
-            continue
-        known = np.bincount(index, weights=1.0 + many[a:z], minlength=len(seen)) > 1
-        flags = repeated(list(seen), known, length)
         who, start = [], []
-        for i, f in enumerate(index.tolist()):
-            hits = np.flatnonzero(flags[f])
-            if len(hits):
-                who.append(np.full(len(hits), a + i))
-                start.append(hits + at[a + i])
+        for i, f in zip(own.tolist(), repeated([texts[i] for i in own], known[own], length)):
+            hits = np.flatnonzero(f)
+            for r in rows[row_head[i]:row_head[i + 1]].tolist() if len(hits) else ():
+                who.append(np.full(len(hits), r))
+                start.append(hits + at[r])
         if who:
             who, start = np.concatenate(who), np.concatenate(start)
-            w, s, e = merge_spans(who, start, start + length)
-            take = pa.array(w)
-            yield pa.RecordBatch.from_arrays(
-                [t.column("doc_id").chunk(0).take(take), t.column("mark").chunk(0).take(take), pa.array(s), pa.array(e)],
-                ["doc_id", "mark", "start", "stop"])
+            yield spans(*merge_spans(who, start, start + length))
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
