@@ -207,8 +207,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """The rows of ``docs`` that stay when one document of each component does."""
     near = near_duplicates(docs, id_col, text_col, **settings).filter("first")
-    near = near.select(F.col("doc_id").alias("_near_id"), F.col("mark").alias("_near_mark")).distinct()
-    own = docs.withColumns({"_own_id": F.col(id_col).cast("long"), "_own_mark": F.xxhash64(F.col(text_col).cast("string"))})
-    kept = own.join(near, F.col("_own_id").eqNullSafe(F.col("_near_id")) & (F.col("_own_mark") == F.col("_near_mark")), "left_semi")
+
+    def key(of_id, mark):  # a null id is an id of its own
+        return {"_near_none": of_id.isNull(), "_near_id": F.coalesce(of_id, F.lit(0)), "_near_mark": mark}
+
+    near = near.select(*[v.alias(k) for k, v in key(F.col("doc_id"), F.col("mark")).items()]).distinct()
+    own = docs.withColumns(key(F.col(id_col).cast("long"), F.coalesce(F.xxhash64(F.col(text_col).cast("string")), F.lit(0))))
     # rows with the same id and the same text: one stays (the join has already dealt them out by these columns)
-    return kept.dropDuplicates(["_own_id", "_own_mark"]).select(*docs.columns)
+    return own.join(near, list(near.columns), "left_semi").dropDuplicates(near.columns).select(*docs.columns)
