@@ -8,7 +8,7 @@ shortest path in the tropical semiring (weights add along a path, the least path
 * Unigram models: an arc weighs minus the piece's score.
 * BPE models: a pair of neighbouring arcs weighs 0 if the pair survives the model's merges and infinity
   if it does not.  A sequence of pieces is the BPE encoding exactly if all its pairs survive, so exactly one path has
-  a finite weight, and it equals the merge procedure's result (tested against the public library).  Pair
+  a finite weight (a depth-first search finds it), and it equals the merge procedure's result (tested against the public library).  Pair
   weights are computed when a pair is first met and kept.
 
 No piece holds a mark after another character, so the text is composed run by run (a run starts at its
@@ -109,7 +109,8 @@ class Transducer:
         self.runs = re.compile(f"\n+|{MARK}*[^{MARK}\n]+|{MARK}+" if not any("\n" in p for p in self.id_of)
                                else f"{MARK}*[^{MARK}]+|{MARK}+")
         self.kept: dict[str, array] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, dict[int, bool]] = {}
+        self.known_pairs = 0
         self.bytes = [bytes([int(p[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else
                       " ⁇ ".encode() if k == UNKNOWN else p.replace(MARK, " ").encode()
                       for p, k in zip(self.pieces, self.kinds)]
@@ -130,13 +131,15 @@ class Transducer:
 
     def survives(self, before: int, piece: int) -> bool:
         """Whether the pair has weight 0; ``before`` is -1 at the start and after bytes."""
-        known = self.pairs.get((before, piece))
+        known = self.pairs.setdefault(before, {}).get(piece)
         if known is None:
-            if len(self.pairs) >= KEPT_PAIRS:
+            if self.known_pairs >= KEPT_PAIRS:
                 self.pairs.clear()
+                self.known_pairs = 0
             own = [self.pieces[piece]] if before < 0 else [self.pieces[before], self.pieces[piece]]
             known = self._merged("".join(own)) == own and (before < 0 or self.survives(-1, piece))
-            self.pairs[before, piece] = known
+            self.pairs.setdefault(before, {})[piece] = known
+            self.known_pairs += 1
         return known
 
     def _fallback(self, c: str) -> list[int]:
@@ -144,28 +147,24 @@ class Transducer:
 
     def path(self, run: str) -> list[int]:
         """Ids on the shortest path of one run."""
+        return self._finite_path(run) if self.model_type == BPE else self._least_path(run)
+
+    def _least_path(self, run: str) -> list[int]:
+        """Weights of all prefixes from left to right, then back along the best arcs."""
         n = len(run)
         weight, since, last = [math.inf] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
         weight[0] = 0.0
-        bpe, root = self.model_type == BPE, self.root
         for at in range(n):
-            if weight[at] == math.inf:
-                continue
-            node, before, here = root, last[at], weight[at]
+            node, here = self.root, weight[at]
             for to in range(at + 1, n + 1):
                 node = node.get(run[to - 1])
                 if node is None:
                     break
                 piece = node.get("")
-                if piece is None:
-                    continue
-                if bpe:
-                    if weight[to] == math.inf and self.survives(before, piece):
-                        weight[to], since[to], last[to] = 0.0, at, piece
-                elif here - self.scores[piece] < weight[to]:
+                if piece is not None and here - self.scores[piece] < weight[to]:
                     weight[to], since[to], last[to] = here - self.scores[piece], at, piece
             if run[at] not in self.id_of and here - self.worst < weight[at + 1]:
-                weight[at + 1], since[at + 1], last[at + 1] = here if bpe else here - self.worst, at, -1
+                weight[at + 1], since[at + 1], last[at + 1] = here - self.worst, at, -1
         out: list[int] = []
         to = n
         while to:
@@ -174,6 +173,53 @@ class Transducer:
             to = at
         return out[::-1]
 
+    def _finite_path(self, run: str) -> list[int]:
+        """The one path of finite weight, depth first, long pieces first.  Pieces that reach a position over surviving pairs are the
+        encoding of the text before it, so a position that leads nowhere is given up for good."""
+        n, root, pairs = len(run), self.root, self.pairs
+        dead = bytearray(n + 1)
+        steps: list[tuple[int, int, list]] = []
+        at, last = 0, -1
+        while at < n:
+            node, arcs = root, []
+            for to in range(at, n):
+                node = node.get(run[to])
+                if node is None:
+                    break
+                piece = node.get("")
+                if piece is not None:
+                    arcs.append((to + 1, piece))
+            if run[at] not in self.id_of:
+                arcs.append((at + 1, -1))
+            steps.append((at, last, arcs))
+            while True:
+                at, last, arcs = steps[-1]
+                known = pairs.get(last) or {}
+                found = False
+                while arcs:
+                    to, piece = arcs[-1]
+                    if not dead[to]:
+                        found = known.get(piece) if piece >= 0 else True
+                        if found is None:
+                            found = self.survives(last, piece)
+                        if found:
+                            break
+                    arcs.pop()
+                if found:
+                    at, last = to, piece
+                    break
+                dead[at] = 1
+                steps.pop()
+                steps[-1][2].pop()
+        out: list[int] = []
+        for at, _, arcs in steps:
+            piece = arcs[-1][1]
+            if piece >= 0:
+                out.append(piece)
+            else:
+                out += self._fallback(run[at])
+        return out
+
     def encode(self, text: str, into: array) -> None:
         if not text:
             return
