@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -54,21 +55,24 @@ class Lattice:
         size = np.fromiter(map(len, words), np.int64, len(words)) + 1
         first = np.concatenate(([0], np.cumsum(size)[:-1]))
         word_at = np.repeat(np.arange(len(words)), size)
-        arcs = np.array([(e, p, k) for e, (p, k) in automaton.iter(big)], np.int64).reshape(-1, 3)
-        end, piece, length = arcs.T
+        arcs = np.fromiter(chain.from_iterable(automaton.iter(big)), np.int64).reshape(-1, 2)
+        end, piece, length = arcs[:, 0], arcs[:, 1] >> 8, arcs[:, 1] & 255
         single = np.zeros(n, bool)
         single[end[length == 1]] = True
         lone = np.flatnonzero(~single)  # characters that are no piece: one unknown arc each
-        end = np.concatenate((end, lone))
-        piece = np.concatenate((piece, np.full(len(lone), unknown)))
-        length = np.concatenate((length, np.ones(len(lone), np.int64)))
+        if len(lone):
+            end = np.concatenate((end, lone))
+            order = np.argsort(end, kind="stable")
+            end = end[order]
+            piece = np.concatenate((piece, np.full(len(lone), unknown)))[order]
+            length = np.concatenate((length, np.ones(len(lone), np.int64)))[order]
         word = word_at[end]
-        step = end + 1 - first[word]  # letters of the word up to the arc's end
-        order = np.lexsort((word, step))
-        self.piece, self.word = piece[order], word[order]
+        step = (end + 1 - first[word]).astype(np.uint8)  # letters of the word up to the arc's end, at most MAX_RUN + 1
+        order = np.argsort(step, kind="stable")  # within a step the arcs stay in text order
+        self.piece = piece[order]
         self.to = (end + 1 + word)[order]  # every word has one node more than letters
         self.since = (end + 1 - length + word)[order]
-        self.cuts = np.searchsorted(step[order], np.arange(step.max(initial=0) + 2))
+        self.cuts = np.concatenate(([0], np.cumsum(np.bincount(step, minlength=1))))
         self.start, self.stop = first + np.arange(len(words)), first + size + np.arange(len(words))
         self.nodes = n + len(words)
 
@@ -78,8 +82,9 @@ class Lattice:
         a[self.start] = 1.0
         for lo, hi in zip(self.cuts, self.cuts[1:]):
             if hi > lo:
-                at, heads = np.unique(self.to[lo:hi], return_index=True)
-                a[at] = np.add.reduceat(a[self.since[lo:hi]] * p[self.piece[lo:hi]], heads, axis=0)
+                to = self.to[lo:hi]  # ascending
+                heads = np.flatnonzero(np.concatenate(([True], to[1:] != to[:-1])))
+                a[to[heads]] = np.add.reduceat(a[self.since[lo:hi]] * p[self.piece[lo:hi]], heads, axis=0)
         return a
 
     def expected(self, p: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -97,11 +102,12 @@ class Lattice:
 
 
 def _automaton(pieces: dict[str, int]):
+    """Finds all pieces in a text; its values are ``piece << 8 | length``."""
     import ahocorasick
 
     found = ahocorasick.Automaton()
     for text, i in pieces.items():
-        found.add_word(text, (i, len(text)))
+        found.add_word(text, i << 8 | len(text))
     found.make_automaton()
     return found
 
