@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ranklight.llm.common import by_part, byte_slices, map_with_spans, merge_spans, packed_by_part, passing, \
@@ -63,12 +63,15 @@ class Superkmers:
     def __init__(self, texts: list[bytes | None], window: int, gram: int):
         import xxhash
 
-        split = [(t or b"").split() for t in texts]
-        size = np.fromiter(map(len, split), np.int64, len(split))
-        self.words = [w for ws in split for w in ws]
+        self.words: list[bytes] = []
+        size = np.zeros(len(texts), np.int64)
+        for i, t in enumerate(texts):
+            own = (t or b"").split()
+            size[i] = len(own)
+            self.words += own
         n = len(self.words)
         doc_end = np.repeat(np.cumsum(size), size)
-        doc = np.repeat(np.arange(len(split)), size)
+        doc = np.repeat(np.arange(len(texts)), size)
         self.doc_start = np.cumsum(size) - size
         valid = np.arange(n) + window <= doc_end
         at = np.flatnonzero(valid)
@@ -100,13 +103,18 @@ class Superkmers:
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id, mark, text``: the mark tells apart rows that share an id."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), _mark(text).alias("mark"), text.alias("text"))
+
+
+def _mark(text: Column) -> Column:
+    """32 bits of the text's hash (it travels with every super-k-mer)."""
+    return F.shiftright(F.xxhash64(text), 32)
 
 
 def _slot_counts(rows: DataFrame, window: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLOTS, np.int64)
-        for b in byte_slices(batches, 0):
+        for b in byte_slices(batches, 0, 2 << 20):
             total += np.bincount(Superkmers(text_bytes(b, 0), window, gram).slot(), minlength=SLOTS)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["slot", "n"])
@@ -120,7 +128,7 @@ def _packed(rows: DataFrame, window: int, gram: int, parts: int, hot: frozenset[
     hot_slots = np.array(sorted(hot), np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in byte_slices(batches, 2):
+        for b in byte_slices(batches, 2, 4 << 20):
             s = Superkmers(text_bytes(b, 2), window, gram)
             part = (s.key % np.uint64(parts)).astype(np.int64)
             use = np.flatnonzero(~np.isin(s.slot(), hot_slots))
@@ -128,7 +136,8 @@ def _packed(rows: DataFrame, window: int, gram: int, parts: int, hot: frozenset[
             text = pa.array([join(words[i:i + k]) for i, k in zip(s.first[use].tolist(), (s.count[use] + window - 1).tolist())],
                             pa.binary())
             ids, marks = (b.column(i).take(pa.array(s.doc[use])) for i in (0, 1))
-            columns = {"key": pa.array(s.key[use]), "doc_id": ids, "mark": marks,
+            # any 32 bits of the minimiser will do: windows are compared as text
+            columns = {"key": pa.array((s.key[use] >> np.uint64(20)).astype(np.uint32)), "doc_id": ids, "mark": marks.cast(pa.int32()),
                        "at": pa.array(s.position()[use].astype(np.int32)), "n": pa.array(s.count[use].astype(np.int32)),
                        "text": text}
             own, blobs = packed_by_part(part[use], columns)
@@ -140,7 +149,8 @@ def _packed(rows: DataFrame, window: int, gram: int, parts: int, hot: frozenset[
 def _bucket_spans(blobs: list[bytes], window: int) -> tuple[np.ndarray, ...]:
     """Intervals of repeated windows in one part: ``doc_id, mark, start, stop``."""
     t = unpack(blobs)
-    key, doc, mark, at = (t.column(c).to_numpy() for c in ("key", "doc_id", "mark", "at"))
+    key, doc, at = (t.column(c).to_numpy() for c in ("key", "doc_id", "at"))
+    mark = t.column("mark").to_numpy().astype(np.int64)
     order = np.argsort(key, kind="stable")
     heads = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1])))
     low, high = np.minimum.reduceat(doc[order], heads), np.maximum.reduceat(doc[order], heads)
@@ -206,7 +216,7 @@ def _hot_spans(rows: DataFrame, window: int, gram: int, hot: frozenset[int]) ->
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                    gram: int = GRAM, hot_rows: int = HOT_ROWS, part_rows: int = PART_ROWS) -> DataFrame:
     """``doc_id, mark, start, stop``: word intervals covered by windows that also start in a document with
-    a smaller id.  Intervals of a document may overlap.  ``mark`` is the hash of the row's text."""
+    a smaller id.  Intervals of a document may overlap.  ``mark`` is a hash of the row's text."""
     spark = docs.sparkSession
     rows = _rows(docs, id_col, text_col)
     slots = materialize(_slot_counts(rows, window, gram), "substring-slots")
@@ -235,7 +245,7 @@ def cut_words(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_co
     text_at = next((i for i, c in enumerate(names) if c.lower() == text_col.lower()), None)
     t = F.col("t") if text_at is None else F.col(f"c{text_at}").cast("string")
     id_at = next(f"c{i}" for i, c in enumerate(names) if c.lower() == id_col.lower())
-    rows = own.select(F.col(id_at).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(t, F.lit(""))).alias("mark"),
+    rows = own.select(F.col(id_at).cast("long").alias("doc_id"), _mark(F.coalesce(t, F.lit(""))).alias("mark"),
                       *own.columns[:-1], *(["t"] if text_at is None else []))  # the text travels once
     at = 2 + (len(names) if text_at is None else text_at)
 
