@@ -5,14 +5,14 @@ from __future__ import annotations
 
 import re
 import sys
-import tempfile
+import uuid
 
 sys.path.insert(0, __file__.rsplit("/tools/", 1)[0])
 
 from pyspark.sql import functions as F  # noqa: E402
 
 from ranklight.operators import features, indexing, neighbours, ranking  # noqa: E402
-from ranklight.session import get_session  # noqa: E402
+from ranklight.session import checkpoint_dir, get_session  # noqa: E402
 from ranklight.sources import index_store  # noqa: E402
 
 KEEP = re.compile(r"(Exchange|Join|WindowGroupLimit|Window|HashAggregate|Scan parquet|FileScan|MapInArrow|"
@@ -42,7 +42,7 @@ def main():
     read = lambda n: spark.read.parquet(f"{sf}/{n}.parquet")
     docs, emb = read("documents"), read("embeddings")
     bench = read("benchmark").select(F.col("item_id").alias("query_id"), "text")
-    path = tempfile.mkdtemp(prefix="ranklight-plans-")
+    path = f"{checkpoint_dir(spark)}/ranklight/plans-{uuid.uuid4().hex}"
     index_store.save_index(indexing.build_index(docs), path)
     saved = index_store.load_index(spark, path)
     emb_q = emb.select(F.col("vec_id").alias("query_id"), "embedding")
