@@ -31,6 +31,7 @@ from __future__ import annotations
 import gc
 import pickle
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -80,18 +81,15 @@ def _tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     """Hash of every token, of the token before it, and the index of its document."""
     import xxhash
 
-    split = [(t or b"").lower().split() for t in texts]
-    size = np.fromiter(map(len, split), np.int64, len(split)) + 1
+    end = xxhash.xxh64_intdigest(END)
+    own = [np.fromiter(chain(map(xxhash.xxh64_intdigest, (t or b"").lower().split()), (end,)), np.uint64) for t in texts]
+    size = np.fromiter(map(len, own), np.int64, len(own))
     last = np.cumsum(size) - 1
-    token = np.empty(int(size.sum()), np.uint64)
-    word = np.ones(len(token), bool)
-    word[last] = False
-    token[word] = np.fromiter((xxhash.xxh64_intdigest(w) for ws in split for w in ws), np.uint64, int(word.sum()))
-    token[last] = xxhash.xxh64_intdigest(END)
+    token = np.concatenate(own) if own else np.zeros(0, np.uint64)
     before = np.empty_like(token)
     before[1:] = token[:-1]
     before[last - size + 1] = START
-    return token, before, np.repeat(np.arange(len(split)), size)
+    return token, before, np.repeat(np.arange(len(own)), size)
 
 
 def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -128,8 +126,9 @@ def _histogram(count: np.ndarray) -> np.ndarray:
     return np.bincount(np.minimum(count, CUT + 2), minlength=CUT + 3)[:CUT + 2]
 
 
-def _shuffled(packed: DataFrame, n: int) -> DataFrame:
-    return packed.select("part", "blob").repartition(n, "part").sortWithinPartitions("part")
+def _shuffled(packed: DataFrame, parts: int) -> DataFrame:
+    """A task gets about four parts, one after the other: it holds a quarter of what it reads."""
+    return packed.select("part", "blob").repartition(max(1, parts // 4), "part").sortWithinPartitions("part")
 
 
 def _by_part(part: np.ndarray, arrays: dict[str, np.ndarray]) -> Iterator[tuple[int, dict[str, np.ndarray]]]:
@@ -228,7 +227,7 @@ def _send_pairs(rows: DataFrame, words) -> DataFrame:
 
         w, batch = words.value, TaskContext.get().partitionId() << 20
         parts = np.uint64(w.parts)
-        for b in byte_slices(batches, 2):
+        for b in byte_slices(batches, 2, 6 << 20):
             token, before, doc = _tokens(text_bytes(b, 2))
             word, context = w.code(token), w.code(before)
             part = (np.where(w.is_hot(word), _mix(word, context), word) % parts).astype(np.int64)
@@ -254,16 +253,29 @@ def _send_pairs(rows: DataFrame, words) -> DataFrame:
     return rows.mapInArrow(run, PACKED)
 
 
-def _sums(rows: np.ndarray, parts: int, **values: np.ndarray) -> list[tuple[int, int, bytes]]:
-    """Sums of each document, to the part of its batch."""
-    row, index = np.unique(rows, return_inverse=True)
-    part = (row >> 20) % parts
-    order = np.argsort(part, kind="stable")
-    data = {"row": row[order]} | {k: np.bincount(index, weights=v, minlength=len(row))[order] for k, v in values.items()}
-    for k in ("tokens", "known"):
-        if k in data:
-            data[k] = data[k].astype(np.int32)
-    return [(p, SUMS, squeeze(x)) for p, x in _by_part(part[order], data)]
+class _Sums:
+    """Sums of each document over the parts of a task."""
+
+    def __init__(self):
+        self.held: list[dict[str, np.ndarray]] = []
+
+    def add(self, rows: np.ndarray, **values: np.ndarray) -> None:
+        row, index = np.unique(rows, return_inverse=True)
+        self.held.append({"row": row} | {k: np.bincount(index, weights=v, minlength=len(row)) for k, v in values.items()})
+
+    def packed(self, parts: int) -> list[tuple[int, int, bytes]]:
+        """To the part of the document's batch."""
+        if not self.held:
+            return []
+        if len(self.held) > 1:
+            whole = {k: np.concatenate([x[k] for x in self.held]) for k in self.held[0]}
+            self.held = []
+            self.add(whole.pop("row"), **whole)
+        data = self.held.pop()
+        part = (data["row"] >> 20) % parts
+        order = np.argsort(part, kind="stable")
+        data = {k: v[order].astype(np.int32) if k in ("tokens", "known") else v[order] for k, v in data.items()}
+        return [(p, SUMS, squeeze(x)) for p, x in _by_part(part[order], data)]
 
 
 def _pair_counter(words):
@@ -273,6 +285,7 @@ def _pair_counter(words):
         w = words.value
         hot_code = w.code(w.hot)
         hot_order = np.argsort(hot_code)
+        sums = _Sums()
         for blobs in by_part(batches):
             t = _stack(blobs)
             order, heads = _groups(t["w"], t["h"])
@@ -293,9 +306,10 @@ def _pair_counter(words):
             row = t["row"][take]
             pair = np.repeat(np.cumsum(np.isin(np.arange(len(order)), heads)) - 1, size)
             count = np.bincount(pair, minlength=len(heads))
-            out = _sums(row, w.parts, tokens=np.ones(len(row)), known=own[pair] > 0,
-                        base=np.log10((own[pair] + 1) / (w.tokens + w.types + 1)),
-                        score=np.where(c[pair] > 0, 0.0, np.log10(p[pair])))
+            sums.add(row, tokens=np.ones(len(row)), known=own[pair] > 0,
+                     base=np.log10((own[pair] + 1) / (w.tokens + w.types + 1)),
+                     score=np.where(c[pair] > 0, 0.0, np.log10(p[pair])))
+            out = []
             spread = np.where(w.is_hot(context), _mix(context, word), context) % np.uint64(w.parts)
             far = np.argsort(spread, kind="stable")
             starts = np.cumsum(count) - count
@@ -309,7 +323,9 @@ def _pair_counter(words):
                 out.append((to, PAIRS, squeeze(x | {"row": rows_far[(ends[at[0] - 1] if at[0] else 0):ends[at[-1]]]})))
             hot = w.is_hot(context) & (c > 0)
             out.append((0, TOTALS, squeeze({"counts": _histogram(c)} | _context_totals(context[hot], c[hot], p[hot]))))
+            del t, row, rows_far, pair, take, order
             yield _packed(out)
+        yield _packed(sums.packed(w.parts))
 
     return run
 
@@ -335,10 +351,11 @@ class Contexts:
         self.weight = np.where(none, 1.0, left) / self.sum / np.maximum(1 - totals["mass"], 1e-300)
 
 
-def _score_pairs(pairs: DataFrame, shared, n: int) -> DataFrame:
+def _score_pairs(pairs: DataFrame, shared, parts: int) -> DataFrame:
     """At the context's part: conditional probabilities, summed for each document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, turing, hot = shared.value
+        sums = _Sums()
         for blobs in by_part(batches):
             t = _stack(blobs)
             seen = t["c"] > 0
@@ -350,9 +367,10 @@ def _score_pairs(pairs: DataFrame, shared, n: int) -> DataFrame:
                     own = known.h[at] == t["h"]
                     total[own], weight[own] = known.sum[at[own]], known.weight[at[own]]
             value = np.log10(np.where(seen, turing.discounted(t["c"].astype(np.int64)) / np.maximum(total, 1e-300), weight))
-            yield _packed(_sums(t["row"], parts, score=np.repeat(value, t["m"])))
+            sums.add(t["row"], score=np.repeat(value, t["m"]))
+        yield _packed(sums.packed(parts))
 
-    return _shuffled(pairs, n).mapInArrow(run, PACKED)
+    return _shuffled(pairs, parts).mapInArrow(run, PACKED)
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -361,7 +379,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     Documents with crc32(id) mod 7 = 2 are held out, the others are counted.  ``base_score``: add-one unigrams;
     ``score``: the model's log10 probability of the text, its end included."""
     spark = docs.sparkSession
-    parts = shuffle_partitions(spark)
+    parts = 4 * shuffle_partitions(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        (~F.coalesce(crc_mod(id_col, 7) == 2, F.lit(False))).alias("train"),
                        F.col(text_col).cast("string").alias("text"))
@@ -397,7 +415,7 @@ def _counted(sent: DataFrame, words, parts: int) -> DataFrame:
         yield _packed(documents)
 
     count = _pair_counter(words)
-    return sent.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, PACKED)
+    return sent.repartition(max(1, parts // 4), "part").sortWithinPartitions("part").mapInArrow(run, PACKED)
 
 
 def _totals(rows: DataFrame) -> tuple[np.ndarray, dict[str, np.ndarray]]:
