@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import pickle
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tidied(run: Callable) -> Callable:
+    """A map over Arrow batches that gives its freed memory back to the system when its partition is done: Python
+    workers live on between tasks, and several of them share an executor's memory."""
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release_memory()
+
+    return tidy
+
+
+def release_memory() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
+class Shared:
+    """A broadcast of an object of this package.  It travels with its class, so executors need no installed copy."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        self.sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def load(self) -> object:
+        return pickle.loads(self.sent.value)
+
+
 def crc_mod(id_col: str, modulus: int) -> Column:
     """``crc32(id as text) mod modulus``, the rule that assigns documents to folds."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus
@@ -52,7 +82,7 @@ def byte_slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = 8 <
             yield b.slice(at, to - at)
             at = to
         del b
-        pa.default_memory_pool().release_unused()
+        release_memory()
 
 
 def pack(columns: dict[str, pa.Array], level: int = 3) -> bytes:
@@ -167,9 +197,9 @@ def map_with_spans(rows: DataFrame, spans: DataFrame, text_at: int, fn: Callable
         if rows:
             yield from flush(found, rows)
 
-    sent = spans.mapInArrow(send(0), "part long, kind int, blob binary").unionAll(
-        rows.mapInArrow(send(1), "part long, kind int, blob binary"))
-    return sent.repartition(n, "part").sortWithinPartitions("part", "kind").mapInArrow(apply, schema)
+    sent = spans.mapInArrow(tidied(send(0)), "part long, kind int, blob binary").unionAll(
+        rows.mapInArrow(tidied(send(1)), "part long, kind int, blob binary"))
+    return sent.repartition(n, "part").sortWithinPartitions("part", "kind").mapInArrow(tidied(apply), schema)
 
 
 def _found(blobs: list[bytes]) -> dict[tuple, np.ndarray]:

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranklight.llm.common import by_part, byte_slices, crc_mod, shuffle_partitions, text_bytes
+from ranklight.llm.common import Shared, by_part, byte_slices, crc_mod, shuffle_partitions, text_bytes, tidied
 from ranklight.sources.scratch import materialize
 
 CUT = 5
@@ -171,9 +171,9 @@ def _unigrams(rows: DataFrame, parts: int) -> DataFrame:
                           pa.list_(pa.struct([("w", pa.int64()), ("c", pa.int64())])))],
                 ["blob", "tokens", "types", "counts", "top"])
 
-    sent = rows.filter("train").select("text").mapInArrow(send, PACKED)
+    sent = rows.filter("train").select("text").mapInArrow(tidied(send), PACKED)
     return materialize(_shuffled(sent, parts).mapInArrow(
-        add, "blob binary, tokens long, types long, counts array<long>, top array<struct<w: long, c: long>>"), "katz-unigrams")
+        tidied(add), "blob binary, tokens long, types long, counts array<long>, top array<struct<w: long, c: long>>"), "katz-unigrams")
 
 
 class Words:
@@ -225,7 +225,7 @@ def _send_pairs(rows: DataFrame, words) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        w, batch = words.value, TaskContext.get().partitionId() << 20
+        w, batch = words.load(), TaskContext.get().partitionId() << 20
         parts = np.uint64(w.parts)
         for b in byte_slices(batches, 2, 6 << 20):
             token, before, doc = _tokens(text_bytes(b, 2))
@@ -250,7 +250,7 @@ def _send_pairs(rows: DataFrame, words) -> DataFrame:
             batch += 1
             yield _packed(out)
 
-    return rows.mapInArrow(run, PACKED)
+    return rows.mapInArrow(tidied(run), PACKED)
 
 
 class _Sums:
@@ -282,7 +282,7 @@ def _pair_counter(words):
     """At the word's part: exact pair counts.  Rows out: pairs to their context's part, sums to the
     documents, and totals (counts of counts, and what hot contexts need)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = words.value
+        w = words.load()
         hot_code = w.code(w.hot)
         hot_order = np.argsort(hot_code)
         sums = _Sums()
@@ -354,7 +354,7 @@ class Contexts:
 def _score_pairs(pairs: DataFrame, shared, parts: int) -> DataFrame:
     """At the context's part: conditional probabilities, summed for each document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, turing, hot = shared.value
+        parts, turing, hot = shared.load()
         sums = _Sums()
         for blobs in by_part(batches):
             t = _stack(blobs)
@@ -370,7 +370,7 @@ def _score_pairs(pairs: DataFrame, shared, parts: int) -> DataFrame:
             sums.add(t["row"], score=np.repeat(value, t["m"]))
         yield _packed(sums.packed(parts))
 
-    return _shuffled(pairs, parts).mapInArrow(run, PACKED)
+    return _shuffled(pairs, parts).mapInArrow(tidied(run), PACKED)
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -385,17 +385,18 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                        F.col(text_col).cast("string").alias("text"))
     unigrams = _unigrams(rows, parts)
     _release(spark)
-    words = spark.sparkContext.broadcast(_words(unigrams, parts))
+    known = _words(unigrams, parts)
+    words = Shared(spark, known)
     sent = _send_pairs(rows, words)
     # documents travel on as they are; pairs are counted at their word's part
     packed = materialize(_counted(sent, words, parts), "katz-bigrams")
     _release(spark)
     counts, hot = _totals(packed.filter(F.col("kind") == TOTALS))
     turing = GoodTuring(counts)
-    shared = spark.sparkContext.broadcast((parts, turing, Contexts(turing, hot)))
+    shared = Shared(spark, (parts, turing, Contexts(turing, hot)))
     scored = _score_pairs(packed.filter(F.col("kind") == PAIRS), shared, parts)
     back = packed.filter(F.col("kind").isin(DOCUMENT, SUMS)).unionAll(scored)
-    return _per_document(back, words.value.tokens, parts)
+    return _per_document(back, known.tokens, parts)
 
 
 def _counted(sent: DataFrame, words, parts: int) -> DataFrame:
@@ -415,7 +416,7 @@ def _counted(sent: DataFrame, words, parts: int) -> DataFrame:
         yield _packed(documents)
 
     count = _pair_counter(words)
-    return sent.repartition(max(1, parts // 4), "part").sortWithinPartitions("part").mapInArrow(run, PACKED)
+    return sent.repartition(max(1, parts // 4), "part").sortWithinPartitions("part").mapInArrow(tidied(run), PACKED)
 
 
 def _totals(rows: DataFrame) -> tuple[np.ndarray, dict[str, np.ndarray]]:
@@ -431,7 +432,7 @@ def _totals(rows: DataFrame) -> tuple[np.ndarray, dict[str, np.ndarray]]:
                 v = np.concatenate([t["counts"].astype(float), *(t[k].astype(float) for k in names)])
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(i), pa.array(v)], ["h", "i", "v"])
 
-    got = rows.select("blob").mapInArrow(run, "h long, i long, v double").groupBy("h", "i").agg(F.sum("v").alias("v")).toPandas()
+    got = rows.select("blob").mapInArrow(tidied(run), "h long, i long, v double").groupBy("h", "i").agg(F.sum("v").alias("v")).toPandas()
     counts = np.zeros(CUT + 2)
     own = got[got["i"] < 0]
     counts[-1 - own["i"].to_numpy(int)] = own["v"]
@@ -463,4 +464,4 @@ def _per_document(packed: DataFrame, train_tokens: int, parts: int) -> DataFrame
                 ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return _shuffled(packed, parts).mapInArrow(
-        run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        tidied(run), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ranklight.llm.common import crc_mod, passing, slices
+from ranklight.llm.common import crc_mod, passing, slices, tidied
 from ranklight.llm.vocabulary import MARK, SENTENCE_PIECES, read_pieces
 from ranklight.sources.scratch import materialize
 
@@ -154,7 +154,7 @@ class LanguageModel:
                     [*b.columns[:-1], pa.array(pred, pa.string()), pa.array(score, pa.float64())],
                     [*kept, *names])
 
-        return data.mapInArrow(run, f"{schema}`{names[0]}` string, `{names[1]}` double")
+        return data.mapInArrow(tidied(run), f"{schema}`{names[0]}` string, `{names[1]}` double")
 
 
 def word_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -170,7 +170,7 @@ def word_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
                                               pa.array(seen.values(), pa.int64())], ["lang", "word", "n"])
 
     rows = docs.select(F.col(lang_col).cast("string"), F.col(text_col).cast("string")).mapInArrow(
-        run, "lang string, word string, n long")
+        tidied(run), "lang string, word string, n long")
     return rows.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
@@ -210,7 +210,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(total[i, j])],
                                              ["piece", "lang", "n"])
 
-        got = words.mapInArrow(run, "piece int, lang int, n double").groupBy("piece", "lang").agg(F.sum("n")).toPandas()
+        got = words.mapInArrow(tidied(run), "piece int, lang int, n double").groupBy("piece", "lang").agg(F.sum("n")).toPandas()
         counts = np.full_like(p, 0.1)
         counts[got.iloc[:, 0], got.iloc[:, 1]] += got.iloc[:, 2]
         p = counts / counts.sum(axis=0)

@@ -31,11 +31,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ranklight.llm.common import byte_slices, passing
+from ranklight.llm.common import byte_slices, passing, tidied
 from ranklight.llm.vocabulary import MARK, SENTENCE_PIECES
 
-KEPT_RUNS = 300_000
-KEPT_PAIRS = 2_000_000
+KEPT_RUNS = 150_000
+KEPT_PAIRS = 500_000
 # Piece types and model types of the public SentencePiece model format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -276,7 +276,7 @@ def encode(docs: DataFrame, text_col: str = "text", model_path: str = SENTENCE_P
                 names + new)
 
     schema += f"`{ids_col}` array<int>, `{count_col}` long" + f", `{verify_col}` boolean" * bool(verify_col)
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidied(run), schema)
 
 
 def decode(rows: DataFrame, ids_col: str = "ids", model_path: str = SENTENCE_PIECES, out_col: str = "decoded") -> DataFrame:
@@ -292,4 +292,4 @@ def decode(rows: DataFrame, ids_col: str = "ids", model_path: str = SENTENCE_PIE
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(text, pa.string())], [*b.schema.names, out_col])
 
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields)
-    return rows.mapInArrow(run, f"{schema}`{out_col}` string")
+    return rows.mapInArrow(tidied(run), f"{schema}`{out_col}` string")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ranklight.llm.common import byte_slices, crc_mod
+from ranklight.llm.common import Shared, byte_slices, crc_mod, tidied
 from ranklight.sources.scratch import materialize
 
 THRESHOLD = 0.7
@@ -80,7 +80,7 @@ def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([b.column(0), lists], ["doc_id", "x"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, x array<double>")
+    return rows.mapInArrow(tidied(run), "doc_id long, x array<double>")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -131,7 +131,7 @@ def fit(labelled: DataFrame, shrinkage: float = SHRINKAGE) -> Discriminant:
         c, i = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32()), pa.array(i, pa.int32()), pa.array(total[c, i])], ["c", "i", "v"])
 
-    sums = labelled.mapInArrow(run, "c int, i int, v double").groupBy("c", "i").agg(F.sum("v").alias("v")).collect()
+    sums = labelled.mapInArrow(tidied(run), "c int, i int, v double").groupBy("c", "i").agg(F.sum("v").alias("v")).collect()
     d = len(FEATURES)
     flat: dict[int, np.ndarray] = {}
     for c, i, v in sums:
@@ -146,14 +146,15 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     x = materialize(document_statistics(docs, id_col, text_col), "quality-statistics")
     y = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     y = y.filter(F.col("label").isin(0, 1) & (crc_mod("doc_id", 4) != 2))
-    model = x.sparkSession.sparkContext.broadcast(fit(x.join(y, "doc_id").select("x", "label"), shrinkage))
+    fitted = Shared(x.sparkSession, fit(x.join(y, "doc_id").select("x", "label"), shrinkage))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = fitted.load()
         for b in batches:
-            score = model.value.scores(_matrix(b.column(2)))
+            score = model.scores(_matrix(b.column(2)))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(score), pa.array((score >= threshold).astype(np.int32))],
                 ["doc_id", "held_out", "score", "predicted"])
 
     held = F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out")
-    return x.select("doc_id", held, "x").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return x.select("doc_id", held, "x").mapInArrow(tidied(run), "doc_id long, held_out boolean, score double, predicted int")

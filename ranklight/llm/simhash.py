@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ranklight.llm.common import id_and_text, shuffle_partitions, slices, text_bytes
+from ranklight.llm.common import id_and_text, shuffle_partitions, slices, text_bytes, tidied
 from ranklight.llm.components import components
 from ranklight.sources.scratch import materialize
 
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), fp], ["doc_id", "mark", "fp"])
 
     rows = id_and_text(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("mark"), "text")
-    return rows.mapInArrow(run, "doc_id long, mark long, fp long")
+    return rows.mapInArrow(tidied(run), "doc_id long, mark long, fp long")
 
 
 def shard_masks(count: int, radius: int) -> list[int]:
@@ -182,7 +182,7 @@ def links(fps: DataFrame, radius: int = 3, shard_rows: int = SHARD_ROWS) -> Data
 
     n = shuffle_partitions(spark)
     return (met.repartition(n, "t", "v", "i", "j").sortWithinPartitions("t", "v", "i", "j")
-            .mapInArrow(run, "a long, b long"))
+            .mapInArrow(tidied(run), "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ranklight.llm.common import by_part, byte_slices, map_with_spans, merge_spans, packed_by_part, passing, \
-    shuffle_partitions, text_bytes, unpack
+    shuffle_partitions, text_bytes, tidied, unpack
 from ranklight.sources.scratch import materialize
 
 WINDOW = 13
@@ -119,7 +119,7 @@ def _slot_counts(rows: DataFrame, window: int, gram: int) -> DataFrame:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["slot", "n"])
 
-    return rows.filter("doc_id is not null").select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(
+    return rows.filter("doc_id is not null").select("text").mapInArrow(tidied(run), "slot long, n long").groupBy("slot").agg(
         F.sum("n").alias("n"))
 
 
@@ -143,7 +143,7 @@ def _packed(rows: DataFrame, window: int, gram: int, parts: int, hot: frozenset[
             own, blobs = packed_by_part(part[use], columns)
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(blobs, pa.binary())], ["part", "blob"])
 
-    return rows.filter("doc_id is not null").mapInArrow(run, "part long, blob binary")
+    return rows.filter("doc_id is not null").mapInArrow(tidied(run), "part long, blob binary")
 
 
 def _bucket_spans(blobs: list[bytes], window: int) -> tuple[np.ndarray, ...]:
@@ -203,7 +203,7 @@ def _hot_spans(rows: DataFrame, window: int, gram: int, hot: frozenset[int]) ->
             yield pa.RecordBatch.from_arrays([text, pa.array(ids), b.column(1).take(pa.array(doc)), pa.array(where)],
                                              ["w", "doc_id", "mark", "start"])
 
-    seen = materialize(rows.filter("doc_id is not null").mapInArrow(run, "w binary, doc_id long, mark long, start long"),
+    seen = materialize(rows.filter("doc_id is not null").mapInArrow(tidied(run), "w binary, doc_id long, mark long, start long"),
                        "substring-hot")
     open_ = seen.filter("w is not null")
     first = open_.groupBy("w").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
@@ -231,7 +231,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                              ["doc_id", "mark", "start", "stop"])
 
     spans = (_packed(rows, window, gram, parts, hot).repartition(shuffle_partitions(spark), "part")
-             .sortWithinPartitions("part").mapInArrow(run, "doc_id long, mark long, start long, stop long"))
+             .sortWithinPartitions("part").mapInArrow(tidied(run), "doc_id long, mark long, start long, stop long"))
     return spans.unionAll(_hot_spans(rows, window, gram, hot)) if hot else spans
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ranklight.llm.common import by_part, byte_slices, map_with_spans, merge_spans, packed_by_part, \
-    shuffle_partitions, text_bytes, unpack
+    shuffle_partitions, text_bytes, tidied, unpack
 
 LENGTH = 200
 GRAM = 64
@@ -145,8 +145,8 @@ def _shared_runs(rows: DataFrame, length: int, gram: int, parts: int) -> DataFra
                                                  ["doc_id", "mark", "at", "n", "key"])
 
     n = shuffle_partitions(rows.sparkSession)
-    return (rows.mapInArrow(lambda it: out(it), "part long, blob binary").repartition(n, "part").sortWithinPartitions("part")
-            .mapInArrow(back, "doc_id long, mark long, at long, n int, key long"))
+    return (rows.mapInArrow(tidied(out), "part long, blob binary").repartition(n, "part").sortWithinPartitions("part")
+            .mapInArrow(tidied(back), "doc_id long, mark long, at long, n int, key long"))
 
 
 # ---- suffix array ---------------------------------------------------------------------------------------------
@@ -404,7 +404,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         yield from ready
 
     return (_run_texts(rows, shared, length, parts).repartition(n, "part").sortWithinPartitions("part")
-            .mapInArrow(back, "doc_id long, mark long, start long, stop long"))
+            .mapInArrow(tidied(back), "doc_id long, mark long, start long, stop long"))
 
 
 def cut_bytes(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text",

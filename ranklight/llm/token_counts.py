@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ranklight.llm.common import byte_slices
+from ranklight.llm.common import byte_slices, tidied
 from ranklight.llm.vocabulary import MARK, SENTENCE_PIECES, read_pieces
 
 KEPT_WORDS = 500_000
@@ -112,4 +112,4 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                              ["doc_id", "n_words", "n_tokens", "n_unknown"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_words long, n_tokens long, n_unknown long")
+    return rows.mapInArrow(tidied(run), "doc_id long, n_words long, n_tokens long, n_unknown long")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ranklight.llm.common import pack, shuffle_partitions, unpack
+from ranklight.llm.common import pack, shuffle_partitions, tidied, unpack
 from ranklight.sources.scratch import materialize
 
 SCALE = 1024
@@ -67,7 +67,7 @@ def rotation(vectors: DataFrame, dim: int) -> np.ndarray:
             total += x.T @ x
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim * dim)), pa.array(total.ravel())], ["i", "v"])
 
-    got = vectors.select("v").mapInArrow(run, "i long, v double").groupBy("i").agg(F.sum("v")).collect()
+    got = vectors.select("v").mapInArrow(tidied(run), "i long, v double").groupBy("i").agg(F.sum("v")).collect()
     flat = np.zeros(dim * dim)
     for i, v in got:
         flat[i] = v
@@ -164,10 +164,10 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_
         return run
 
     schema = "part int, seq long, length double, blob binary"
-    held = materialize(ranged.mapInArrow(blocks(4 * VECTOR_BLOCK, ["row", "id", "v"]), schema), "topk-parts")
+    held = materialize(ranged.mapInArrow(tidied(blocks(4 * VECTOR_BLOCK, ["row", "id", "v"])), schema), "topk-parts")
     reach = held.groupBy("part").agg(F.max("length").alias("reach"))  # one row for each part
     seed_blob = own.orderBy(*order).limit(seed_rows).withColumn("part", F.lit(0)).coalesce(1).sortWithinPartitions(
-        *order).mapInArrow(blocks(seed_rows, ["row", "id", "v"]), schema).select("blob").first()[0]
+        *order).mapInArrow(tidied(blocks(seed_rows, ["row", "id", "v"])), schema).select("blob").first()[0]
     shared = spark.sparkContext.broadcast((turn, seed_blob))
 
     def first_floor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,7 +188,7 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_
                 yield pa.RecordBatch.from_arrays([pa.array([float(need.min())]), pa.array([blob], pa.binary())], ["need", "blob"])
 
     asked = own.filter(F.col("id") % every == 0)
-    queries = materialize(asked.mapInArrow(first_floor, "need double, blob binary"), "topk-queries")
+    queries = materialize(asked.mapInArrow(tidied(first_floor), "need double, blob binary"), "topk-queries")
     # the block of queries goes to every part in its reach: both sides are numbered blocks, not rows
     last = F.size(F.filter("reaches", lambda r: r >= F.col("need")))
     reaches = [r[0] for r in reach.orderBy("part").select("reach").collect()]  # one number for each part, descending
@@ -216,7 +216,7 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_
                                                  ["query", "query_id", "vec_id", "score"])
 
     hits = (both.repartition(max(parts, shuffle_partitions(spark)), "part").sortWithinPartitions("part", "kind", "seq")
-            .mapInArrow(run, "query long, query_id long, vec_id long, score long"))
+            .mapInArrow(tidied(run), "query long, query_id long, vec_id long, score long"))
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id"))
     return hits.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
