@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from ranklight.functions.weighting import bm25_idf, bm25_tf, log_idf, log_tf
 from ranklight.operators.indexing import TextIndex
@@ -42,28 +43,50 @@ def query_terms(index: TextIndex, queries: DataFrame, id_col: str = "query_id",
     """``(query_id, term, qtf, df)`` for every query term that exists in the vocabulary.
 
     Returns the table, the weights to join, and whether it was proven small (then it is broadcast into the joins with the
-    vocabulary and the weights, so the index side is never shuffled for a search).  The distinct terms of
-    a few short queries (at most ``PUSHED_TERMS`` rows, checked first) become a filter of a saved index's scans."""
+    vocabulary and the weights, so the index side is never shuffled for a search).  A few short queries (at
+    most ``PUSHED_TERMS`` tokens) against a saved index are looked up by :func:`_short_queries`."""
     toks = index.analyze(queries, id_col, text_col, "query_id")
+    if index.extra.get("saved") and max_broadcast_rows >= PUSHED_TERMS:
+        head = toks.limit(PUSHED_TERMS + 1).collect()
+        if len(head) <= PUSHED_TERMS:
+            return *_short_queries(index, head, toks.schema["query_id"].dataType), True
     # the raw token count bounds the (query, term) rows from above and needs no shuffle to compute
-    n = toks.limit(max_broadcast_rows + 1).count()
-    small = n <= max_broadcast_rows
+    small = toks.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
     q = toks.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
-    vocab, weights = index.vocab, index.weights
-    if index.extra.get("saved") and small and n <= PUSHED_TERMS:
-        terms = [r[0] for r in toks.select("term").distinct().collect()]
-        vocab, weights = (t.filter(F.col("term").isin(terms)) for t in (vocab, weights))
     side = F.broadcast(q) if small else q
     # Q7: inner join on the vocabulary before any norm
-    return side.join(vocab.select("term", "df"), "term"), weights, small
+    return side.join(index.vocab.select("term", "df"), "term"), index.weights, small
+
+
+def _short_queries(index: TextIndex, tokens: list, id_type) -> tuple[DataFrame, DataFrame]:
+    """Query terms as a local table, and the weights behind a ``term IN (...)`` filter that reaches the
+    scan.  ``peers`` has all terms of the row's query, so the query norm needs no shuffle."""
+    spark = index.weights.sparkSession
+    terms = sorted({r["term"] for r in tokens})
+    df = dict(index.vocab.filter(F.col("term").isin(terms)).select("term", "df").collect()) if terms else {}
+    count: dict = {}
+    for r in tokens:
+        if r["term"] in df:
+            own = count.setdefault(r["query_id"], {})
+            own[r["term"]] = own.get(r["term"], 0) + 1
+    schema = StructType([StructField("query_id", id_type), StructField("peers", ArrayType(StructType([
+        StructField("term", StringType()), StructField("qtf", LongType()), StructField("df", LongType())])))])
+    rows = [(q, [(t, n, df[t]) for t, n in own.items()]) for q, own in count.items()]
+    q = spark.createDataFrame(rows, schema).select("query_id", "peers", F.explode("peers").alias("t"))
+    return q.select("query_id", "t.*", "peers"), index.weights.filter(F.col("term").isin(terms))
 
 
 def cosine_scores(index: TextIndex, queries: DataFrame, id_col: str = "query_id", text_col: str = "text",
                   max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """A7 + A8 + J1: ``(query_id, doc_id, score)`` for every matched pair, score not NULL."""
     q, weights, small = query_terms(index, queries, id_col, text_col, max_broadcast_rows)
-    q = q.withColumn("qw", log_tf(F.col("qtf")) * log_idf(index.n_docs, F.col("df")))
-    q = q.withColumn("qnorm", F.sqrt(F.sum(F.col("qw") * F.col("qw")).over(Window.partitionBy("query_id"))))
+    def weight(qtf: Column, df: Column) -> Column:
+        return log_tf(qtf) * log_idf(index.n_docs, df)
+
+    q = q.withColumn("qw", weight(F.col("qtf"), F.col("df")))
+    squares = (F.aggregate("peers", F.lit(0.0), lambda a, t: a + F.pow(weight(t["qtf"], t["df"]), F.lit(2.0)))
+               if "peers" in q.columns else F.sum(F.col("qw") * F.col("qw")).over(Window.partitionBy("query_id")))
+    q = q.withColumn("qnorm", F.sqrt(squares))
     q = q.select("query_id", "term", F.try_divide(F.col("qw"), F.col("qnorm")).alias("qwn"))
     cand = (F.broadcast(q) if small else q).join(weights.select("term", "doc_id", "wn"), "term")
     s = cand.groupBy("query_id", "doc_id").agg(F.sum(F.col("qwn") * F.col("wn")).alias("score"))
