@@ -50,10 +50,10 @@ PACKED = "part long, kind int, blob binary"
 
 def squeeze(arrays: dict[str, np.ndarray]) -> bytes:
     """Arrays as one blob: each compressed byte plane by byte plane."""
-    out = {}
+    out, codec = {}, pa.Codec("zstd", compression_level=5)
     for name, a in arrays.items():
         planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes()
-        out[name] = a.dtype.str, len(a), pa.compress(planes, codec="zstd", asbytes=True) if len(a) else b""
+        out[name] = a.dtype.str, len(a), codec.compress(planes, asbytes=True) if len(a) else b""
     return pickle.dumps(out)
 
 
@@ -147,7 +147,8 @@ def _packed(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 # ---- counts ---------------------------------------------------------------------------------------------------
 
 def _unigrams(rows: DataFrame, parts: int) -> DataFrame:
-    """Table ``part, blob, tokens, types, counts, top``: the training counts of the words of each part."""
+    """Table ``tokens, types, counts, top``: totals and most frequent words of each part.  (The counts of all words
+    meet again with their pairs.)"""
     most = max(4 * FREQUENT // parts, 4 * parts)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,15 +166,15 @@ def _unigrams(rows: DataFrame, parts: int) -> DataFrame:
             word, c = t["w"][order][heads], np.add.reduceat(t["n"][order].astype(np.int64), heads)
             top = np.argsort(-c, kind="stable")[:most]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([squeeze({"w": word, "c": c})], pa.binary()), pa.array([int(c.sum())]), pa.array([len(c)]),
+                [pa.array([int(c.sum())]), pa.array([len(c)]),
                  pa.array([_histogram(c).tolist()], pa.list_(pa.int64())),
                  pa.array([[{"w": int(x), "c": int(y)} for x, y in zip(word[top].view(np.int64), c[top])]],
                           pa.list_(pa.struct([("w", pa.int64()), ("c", pa.int64())])))],
-                ["blob", "tokens", "types", "counts", "top"])
+                ["tokens", "types", "counts", "top"])
 
     sent = rows.filter("train").select("text").mapInArrow(tidied(send), PACKED)
     return materialize(_shuffled(sent, parts).mapInArrow(
-        tidied(add), "blob binary, tokens long, types long, counts array<long>, top array<struct<w: long, c: long>>"), "katz-unigrams")
+        tidied(add), "tokens long, types long, counts array<long>, top array<struct<w: long, c: long>>"), "katz-unigrams")
 
 
 class Words:
@@ -181,6 +182,7 @@ class Words:
 
     def __init__(self, tokens: int, types: int, counts: np.ndarray, word: np.ndarray, count: np.ndarray, parts: int):
         self.tokens, self.types, self.parts = tokens, types, parts
+        self.tasks = max(1, parts // 4)  # parts of contexts and of documents
         self.turing = GoodTuring(counts)
         seen = np.arange(CUT + 1)
         left = float((counts[:CUT + 1] * seen * (1 - self.turing.d)).sum())
@@ -244,7 +246,7 @@ def _send_pairs(rows: DataFrame, words) -> DataFrame:
                 docs = doc[order[(ends[at[0] - 1] if at[0] else 0):ends[at[-1]]]]
                 out.append((p, PAIRS, squeeze(x | {"row": docs + (batch << 20)})))
             ids = b.column(0)
-            out.append((batch % w.parts, DOCUMENT, squeeze({
+            out.append((batch % w.tasks, DOCUMENT, squeeze({
                 "row": np.arange(b.num_rows) + (batch << 20), "null": ids.is_null().to_numpy(zero_copy_only=False),
                 "id": ids.fill_null(0).to_numpy(), "train": b.column(1).to_numpy(zero_copy_only=False)})))
             batch += 1
@@ -310,7 +312,7 @@ def _pair_counter(words):
                      base=np.log10((own[pair] + 1) / (w.tokens + w.types + 1)),
                      score=np.where(c[pair] > 0, 0.0, np.log10(p[pair])))
             out = []
-            spread = np.where(w.is_hot(context), _mix(context, word), context) % np.uint64(w.parts)
+            spread = np.where(w.is_hot(context), _mix(context, word), context) % np.uint64(w.tasks)
             far = np.argsort(spread, kind="stable")
             starts = np.cumsum(count) - count
             n = count[far]
@@ -325,7 +327,7 @@ def _pair_counter(words):
             out.append((0, TOTALS, squeeze({"counts": _histogram(c)} | _context_totals(context[hot], c[hot], p[hot]))))
             del t, row, rows_far, pair, take, order
             yield _packed(out)
-        yield _packed(sums.packed(w.parts))
+        yield _packed(sums.packed(w.tasks))
 
     return run
 
@@ -368,7 +370,7 @@ def _score_pairs(pairs: DataFrame, shared, parts: int) -> DataFrame:
                     total[own], weight[own] = known.sum[at[own]], known.weight[at[own]]
             value = np.log10(np.where(seen, turing.discounted(t["c"].astype(np.int64)) / np.maximum(total, 1e-300), weight))
             sums.add(t["row"], score=np.repeat(value, t["m"]))
-        yield _packed(sums.packed(parts))
+        yield _packed(sums.packed(max(1, parts // 4)))
 
     return _shuffled(pairs, parts).mapInArrow(tidied(run), PACKED)
 
