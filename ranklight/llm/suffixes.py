@@ -14,7 +14,11 @@ else as well (in the same text or in another).
    linear passes over the first bytes.
 4. Permuted common prefixes: only irreducible values are compared, the others follow from their left
    neighbour.  A string repeats exactly if its suffix shares ``length`` bytes with a neighbour in the array.
-5. The covered intervals come back for each document and are joined with the text once.
+5. A minimiser with over ``HOT_RUNS`` runs is hot: at the edges of a passage that many documents hold, each document has its
+   own bytes in the run, so the runs all differ.  Their strings are dealt out by themselves, under a 128-bit BLAKE2 digest of
+   all their bytes; equal ones are merged in the map task first.  So a suffix array has ``shard`` bytes or the
+   runs of one minimiser that is not hot, and the holders of one string are one row for each map batch.
+6. The covered intervals come back for each document and are joined with the text once.
 
 Null text counts as empty.  Rows that repeat an id and text count as separate places.  A null id is an id
 like any other.
@@ -33,12 +37,17 @@ from pyspark.sql import functions as F
 
 from ranklight.llm.common import by_part, byte_slices, map_with_spans, merge_spans, packed_by_part, \
     shuffle_partitions, text_bytes, tidied, unpack
+from ranklight.sources.scratch import materialize
 
 LENGTH = 200
 GRAM = 64
 CHUNK = 2 << 20       # bytes of text in one map batch (a longer text is a batch of its own, cut into segments)
 SHARD = 4 << 20       # bytes in one suffix array, unless one minimiser has more
 LONGEST = 400         # strings in one run
+HOT_RUNS = 4000       # a minimiser with more runs is hot (about 1.3 MB of text)
+HOT_KEYS = 1 << 20    # no more hot minimisers than this (8 MB in each task); beyond, the limit on runs rises
+HOT_CHUNK = 500_000   # strings of hot runs that a task holds at once
+HOT_PART = 1_000_000  # strings of hot runs in a part, before equal ones are merged
 _BASE, _MASK = 0x9E3779B97F4A7C15, (1 << 22) - 1
 
 
@@ -298,9 +307,55 @@ def repeated(texts: list[bytes], known: np.ndarray, length: int) -> list[np.ndar
 
 # ---- shards ---------------------------------------------------------------------------------------------------
 
-def _run_texts(rows: DataFrame, shared: DataFrame, length: int, parts: int) -> DataFrame:
-    """``part, blob`` with the texts of the runs; intervals of runs that repeat inside a map batch are
-    known at once and travel as part -1."""
+def _hot_keys(shared: DataFrame, limit: int) -> tuple[np.ndarray, int]:
+    """The minimisers with more than ``limit`` runs, ascending (``HOT_KEYS`` at most), and the strings of those runs."""
+    limit = max(limit, shared.count() // HOT_KEYS)
+    hot = shared.groupBy("key").agg(F.count(F.lit(1)).alias("runs"), F.sum("n").alias("n")).filter(F.col("runs") > limit).toPandas()
+    return np.sort(hot["key"].to_numpy(np.int64)), int(hot["n"].sum())
+
+
+def _equal_digests(digest: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first row of each distinct digest (two words a row), each row's digest number, and the rows of each digest."""
+    order = np.lexsort((digest[:, 1], digest[:, 0]))
+    ranked = digest[order]
+    new = np.concatenate(([True], (ranked[1:] != ranked[:-1]).any(axis=1)))
+    index = np.empty(len(order), np.int64)
+    index[order] = np.cumsum(new) - 1
+    return order[new], index, np.bincount(index)
+
+
+def _hot_strings(texts: list[bytes], many: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Strings of distinct runs, about ``HOT_CHUNK`` at a time: the run, the place in it, the digest, whether to send it (one of
+    several equal ones), and whether it is known to repeat.  ``many`` runs occur more than once themselves."""
+    n = np.fromiter((len(x) - length + 1 for x in texts), np.int64, len(texts))
+    for own in np.split(np.arange(len(n)), np.flatnonzero(np.diff(np.cumsum(n) // HOT_CHUNK)) + 1):
+        run = np.repeat(own, n[own])
+        off = np.arange(len(run)) - np.repeat(np.cumsum(n[own]) - n[own], n[own])
+        digest = np.frombuffer(b"".join(hashlib.blake2b(texts[r][i:i + length], digest_size=16).digest()
+                                        for r, i in zip(run.tolist(), off.tolist())), np.int64).reshape(-1, 2)
+        first, index, count = _equal_digests(digest)
+        told = count > 1
+        told[index[many[run]]] = True
+        send = np.zeros(len(run), bool)
+        send[first] = True
+        yield run, off, digest, send, told[index]
+
+
+def _hot_spans(t: pa.Table, length: int) -> pa.RecordBatch:
+    """Intervals of the strings of one part whose digest comes from several map batches."""
+    _, index, count = _equal_digests(np.stack([t.column(c).to_numpy() for c in ("d0", "d1")], 1))
+    told = t.column("told").to_numpy() > 0
+    hit = np.flatnonzero(~told & (count > 1)[index])
+    take, at = pa.array(hit), t.column("at").to_numpy()[hit]
+    return pa.RecordBatch.from_arrays([t.column(c).combine_chunks().take(take) for c in ("doc_id", "mark")]
+                                      + [pa.array(at), pa.array(at + length)], ["doc_id", "mark", "start", "stop"])
+
+
+def _run_texts(rows: DataFrame, shared: DataFrame, length: int, parts: int, hot: np.ndarray, hot_parts: int) -> DataFrame:
+    """``part, blob, strings`` with the texts of the runs and the digests of ``hot`` runs' strings; intervals of strings
+    that repeat inside a map batch are known at once and travel as blobs of negative parts."""
+    hot_keys = rows.sparkSession.sparkContext.broadcast(hot)
+
     def out(b: pa.RecordBatch, found: list[np.ndarray | None]) -> pa.RecordBatch:
         texts, own, of = text_bytes(b, 2), [], []
         for d, r in enumerate(found):
@@ -308,7 +363,7 @@ def _run_texts(rows: DataFrame, shared: DataFrame, length: int, parts: int) -> D
                 of.append(np.full(len(r), d))
                 own.append(r)
         if not own:
-            return pa.RecordBatch.from_arrays([pa.array([], pa.int64()), pa.array([], pa.binary())], ["part", "blob"])
+            return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] + [pa.array([], pa.binary())] * 2, names)
         doc, (at, n, key) = np.concatenate(of), np.concatenate(own).T
         own = [texts[d][s:s + k + length - 1] for d, s, k in zip(doc.tolist(), at.tolist(), n.tolist())]
         seen: dict[bytes, int] = {}
@@ -316,20 +371,44 @@ def _run_texts(rows: DataFrame, shared: DataFrame, length: int, parts: int) -> D
         count = np.bincount(index, minlength=len(seen))
         send = np.unique(index, return_index=True)[1]
         ids, marks = (b.column(i).take(pa.array(doc)) for i in (0, 1))
+        is_hot = np.isin(key[send], hot_keys.value)
+        hot_runs, send = send[is_hot], send[~is_hot]
         k = pa.array(send)
         part = (np.ascontiguousarray(key).view(np.uint64)[send] % np.uint64(parts)).astype(np.int64)
-        batches = [_blobs(part, {"key": pa.array(key[send]), "doc_id": ids.take(k), "mark": marks.take(k), "at": pa.array(at[send]),
-                                 "many": pa.array(count[index[send]] > 1), "text": pa.array([own[i] for i in send], pa.binary())})]
-        sure = np.flatnonzero(count[index] > 1)
-        if len(sure):
-            k = pa.array(sure)
-            batches.append(_blobs(-1 - np.arange(len(sure)) // 50_000, {
-                "doc_id": ids.take(k), "mark": marks.take(k), "start": pa.array(at[sure]),
-                "stop": pa.array(at[sure] + n[sure] + length - 1)}))
-        return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+        blobs = dict(zip(*packed_by_part(part, {
+            "key": pa.array(key[send]), "doc_id": ids.take(k), "mark": marks.take(k), "at": pa.array(at[send]),
+            "many": pa.array(count[index[send]] > 1), "text": pa.array([own[i] for i in send], pa.binary())})))
+        sent, after = [], 0
+
+        def known(who: np.ndarray, start: np.ndarray, stop: np.ndarray) -> None:
+            nonlocal after
+            if len(who):
+                k, part = pa.array(who), after + np.arange(len(who)) // 50_000
+                after = int(part[-1]) + 1
+                sent.extend((p, blob, None) for p, blob in zip(*packed_by_part(-1 - part, {
+                    "doc_id": ids.take(k), "mark": marks.take(k), "start": pa.array(start), "stop": pa.array(stop)})))
 
+        sure = np.flatnonzero(count[index] > 1)
+        known(sure, at[sure], at[sure] + n[sure] + length - 1)
+        many = count[index[hot_runs]] > 1
+        for run, off, digest, first, told in _hot_strings([own[i] for i in hot_runs], many, length) if len(hot_runs) else ():
+            use = np.flatnonzero(first)
+            who, said = hot_runs[run[use]], told[use]
+            k = pa.array(who, mask=said)  # where a string repeats is known: only its digest travels
+            part = (digest[use, 0].view(np.uint64) % np.uint64(hot_parts)).astype(np.int64)
+            sent.extend((p, blobs.pop(p, None), strings) for p, strings in zip(*packed_by_part(part, {
+                "d0": pa.array(digest[use, 0]), "d1": pa.array(digest[use, 1]), "told": pa.array(said.astype(np.int8)),
+                "doc_id": ids.take(k), "mark": marks.take(k), "at": pa.array(np.where(said, 0, at[who] + off[use]))})))
+            use = np.flatnonzero(told & ~many[run])  # the others are sure as whole runs
+            who, start = hot_runs[run[use]], at[hot_runs[run[use]]] + off[use]
+            known(*merge_spans(who, start, start + length))
+        sent.extend((p, blob, None) for p, blob in blobs.items())
+        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*sent), (pa.int64(), pa.binary(), pa.binary()))],
+                                          names)
+
+    names = ["part", "blob", "strings"]
     runs = shared.select("doc_id", "mark", "at", F.col("n").cast("long"), "key")
-    return map_with_spans(rows, runs, 2, out, "part long, blob binary")
+    return map_with_spans(rows, runs, 2, out, "part long, blob binary, strings binary")
 
 
 def _shard_spans(blobs: list[bytes], length: int, shard: int) -> Iterator[pa.RecordBatch]:
@@ -380,13 +459,15 @@ def _shard_spans(blobs: list[bytes], length: int, shard: int) -> Iterator[pa.Rec
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                   gram: int = GRAM, shard: int = SHARD) -> DataFrame:
+                   gram: int = GRAM, shard: int = SHARD, hot_runs: int | None = None) -> DataFrame:
     """``doc_id, mark, start, stop``: byte intervals covered by strings that start elsewhere as well."""
     spark = docs.sparkSession
     rows = _rows(docs, id_col, text_col)
     n = shuffle_partitions(spark)
     parts = 4 * n
-    shared = _shared_runs(rows, length, gram, parts)
+    shared = materialize(_shared_runs(rows, length, gram, parts), "suffix-runs")
+    hot, strings = _hot_keys(shared, HOT_RUNS if hot_runs is None else hot_runs)
+    hot_parts = min(parts, 1 + strings // HOT_PART)
 
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def parted():
@@ -394,16 +475,21 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 negative = np.flatnonzero(b.column(0).to_numpy() < 0)
                 for blob in b.column(1).take(pa.array(negative)).to_pylist():
                     ready.extend(unpack([blob]).select(["doc_id", "mark", "start", "stop"]).to_batches())
-                yield b.take(pa.array(np.flatnonzero(b.column(0).to_numpy() >= 0)))
+                b = b.take(pa.array(np.flatnonzero(b.column(0).to_numpy() >= 0)))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.StructArray.from_arrays(b.columns[1:], ["runs", "strings"])],
+                                                 ["part", "blob"])
 
         ready: list[pa.RecordBatch] = []
         for blobs in by_part(parted()):
             yield from ready
             ready.clear()
-            yield from _shard_spans(blobs, length, shard)
+            if strings := [x["strings"] for x in blobs if x["strings"] is not None]:
+                yield _hot_spans(unpack(strings), length)
+            if texts := [x["runs"] for x in blobs if x["runs"] is not None]:
+                yield from _shard_spans(texts, length, shard)
         yield from ready
 
-    return (_run_texts(rows, shared, length, parts).repartition(n, "part").sortWithinPartitions("part")
+    return (_run_texts(rows, shared, length, parts, hot, hot_parts).repartition(n, "part").sortWithinPartitions("part")
             .mapInArrow(tidied(back), "doc_id long, mark long, start long, stop long"))
 
 

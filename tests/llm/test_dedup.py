@@ -141,6 +141,30 @@ def test_byte_dedup_hot_and_periodic(spark):
     check_bytes(df, shard=1000)
 
 
+def test_byte_dedup_splits_a_hot_minimiser(spark, monkeypatch):
+    rng = random.Random(5)
+    letters = "abcdefghij "
+    passage = "".join(rng.choice(letters) for _ in range(500))
+    edges = ["".join(rng.choice(letters) for _ in range(60)) for _ in range(8)]  # some neighbours are shared as well
+    docs = [(i, "".join(rng.choice(letters) for _ in range(150)) + rng.choice(edges)[rng.randrange(60):] + passage
+             + rng.choice(edges)[:rng.randrange(60)] + "".join(rng.choice(letters) for _ in range(150))) for i in range(400)]
+    docs += [docs[0], (None, docs[1][1]), (7000, docs[2][1])]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
+    repeated = suffixes.repeated
+
+    def bounded(texts, known, length):
+        assert sum(map(len, texts)) < 20_000  # all holders' edges would be 80,000 bytes and more
+        return repeated(texts, known, length)
+
+    monkeypatch.setattr(suffixes, "repeated", bounded)
+    monkeypatch.setattr(suffixes, "HOT_RUNS", 50, raising=False)
+    check_bytes(df, shard=10_000)
+    monkeypatch.setattr(suffixes, "HOT_CHUNK", 700, raising=False)
+    monkeypatch.setattr(suffixes, "HOT_RUNS", 0, raising=False)
+    monkeypatch.setattr(suffixes, "HOT_PART", 5000, raising=False)
+    check_bytes(df, shard=10_000)
+
+
 def test_byte_dedup_query(spark, documents, sf):
     assert key(tuple(r) for r in QUERIES["op6_suffix_dedup"](spark, sf).collect()) == key(brute.cut_bytes(pairs(documents)))
 
