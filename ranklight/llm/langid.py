@@ -3,7 +3,8 @@
 Every language has one probability per piece of a fixed public vocabulary.  The probability of a word is
 the sum over all ways to cut it into pieces (forward algorithm); that of a text is the product over its
 words.  Probabilities are fitted by expectation-maximisation: expected piece counts from the forward and
-backward sums of the training words, added up by Spark over partitions.
+backward sums of the training words, added up by Spark over partitions.  The sums of every word and language are rescaled
+by powers of two along the word, so words of improbable pieces do not underflow.
 
 Words are the runs of letters of the whole text, lower-cased.  A run over ``MAX_RUN`` letters is read as
 consecutive words of that length, so no text is too long.  A letter outside the vocabulary is covered by
@@ -32,6 +33,7 @@ from ranklight.llm.vocabulary import MARK, SENTENCE_PIECES, read_pieces
 from ranklight.sources.scratch import materialize
 
 MAX_RUN = 64
+STEP = 64  # binary digits of one rescaling
 TRAIN_DOCS = 2000
 ROUNDS = 3
 CACHE_WORDS = 200_000
@@ -78,26 +80,51 @@ class Lattice:
 
     def forward(self, p: np.ndarray) -> np.ndarray:
         """Node sums over all paths from a word's start; ``p[piece, language]``."""
+        a, power = self._scaled(p)
+        return np.ldexp(a, power)
+
+    def logs(self, p: np.ndarray) -> np.ndarray:
+        """Log probability of every word and language."""
+        a, power = self._scaled(p)
+        return np.log(a[self.stop]) + power[self.stop] * np.log(2.0)
+
+    def _scaled(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Node sums as ``a * 2 ** power``.  The power of a node is that of the node before it, less ``STEP`` where that one's
+        sum is below ``2 ** -STEP``: no piece is longer than its word, so an arc's sums differ by a few steps at most."""
         a = np.zeros((self.nodes, p.shape[1]))
+        power = np.zeros(a.shape, np.int32)
         a[self.start] = 1.0
+        rescaled = False
         for lo, hi in zip(self.cuts, self.cuts[1:]):
             if hi > lo:
-                to = self.to[lo:hi]  # ascending
+                to, since = self.to[lo:hi], self.since[lo:hi]  # ascending
                 heads = np.flatnonzero(np.concatenate(([True], to[1:] != to[:-1])))
-                a[to[heads]] = np.add.reduceat(a[self.since[lo:hi]] * p[self.piece[lo:hi]], heads, axis=0)
-        return a
+                own = to[heads]
+                low = a[own - 1] < 2.0 ** -STEP
+                rescaled = rescaled or low.any()
+                if rescaled:
+                    power[own] = power[own - 1] - STEP * low
+                    arcs = np.ldexp(a[since], power[since] - power[to]) * p[self.piece[lo:hi]]
+                else:
+                    arcs = a[since] * p[self.piece[lo:hi]]
+                a[own] = np.add.reduceat(arcs, heads, axis=0)
+        return a, power
 
     def expected(self, p: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Expected piece counts; ``weight[word, language]`` is how often the word was seen."""
-        a = self.forward(p)
-        b = np.zeros_like(a)
+        a, power = self._scaled(p)
+        b = np.zeros_like(a)  # times 2 ** -power
         b[self.stop] = weight / a[self.stop]
         out = np.zeros_like(p)
+        rescaled = power.any()
         for lo, hi in zip(self.cuts[-2::-1], self.cuts[:0:-1]):
             if hi > lo:
-                back = b[self.to[lo:hi]] * p[self.piece[lo:hi]]
-                np.add.at(out, self.piece[lo:hi], back * a[self.since[lo:hi]])
-                np.add.at(b, self.since[lo:hi], back)
+                to, since = self.to[lo:hi], self.since[lo:hi]
+                back = b[to] * p[self.piece[lo:hi]]
+                if rescaled:
+                    back = np.ldexp(back, power[since] - power[to])
+                np.add.at(out, self.piece[lo:hi], back * a[since])
+                np.add.at(b, since, back)
         return out
 
 
@@ -139,7 +166,7 @@ class LanguageModel:
                 if new and languages:
                     lattice = Lattice(automaton, unknown, new)
                     row.update(zip(new, range(len(row), len(row) + len(new))))
-                    scores = np.concatenate((scores, np.log(lattice.forward(p)[lattice.stop])))
+                    scores = np.concatenate((scores, lattice.logs(p)))
                 pred, score = [], []
                 for words in runs:
                     if not words or not languages:

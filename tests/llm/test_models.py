@@ -196,6 +196,35 @@ def test_forward_sums_all_segmentations():
     assert (lattice.expected(p, weight) * size[:, None]).sum(axis=0) == pytest.approx([sum(len(w) + 1 for w in words)] * 2)
 
 
+def test_language_of_long_foreign_runs(spark):
+    han = "".join(chr(0x4E00 + 37 * i) for i in range(langid.MAX_RUN))
+    thai = "".join(chr(0x0E01 + i % 40) for i in range(langid.MAX_RUN))
+    docs = [(1, "the house is big and old " * 20_000, "en"), (2, "la maison est grande et vieille " * 20_000, "fr"), (3, han, "zh"),
+            (4, thai, None), (5, "the old house", None), (6, "la vieille maison", None), (7, han[:50], None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    assert np.isfinite(model.p).all() and model.p.sum(axis=0) == pytest.approx([1, 1, 1])
+    rows = {r.doc_id: r for r in model.predict(df).collect()}
+    assert all(0 < r.score <= 1 for r in rows.values())
+    assert [rows[i].lang_pred for i in (1, 2, 3, 5, 6, 7)] == ["en", "fr", "zh", "en", "fr", "zh"]
+    # against sums that cannot underflow
+    words = [han, thai, "house", "maison" + han[:58]]
+    lattice = langid.Lattice(langid._automaton(model.pieces), len(model.pieces), words)
+    for w, got in zip(words, lattice.logs(model.p)):
+        sums = [np.zeros(3)]
+        for end in range(1, len(w) + 2):
+            own = [(("▁" + w)[at:end], sums[at]) for at in range(max(0, end - 16), end)]
+            arcs = [(model.pieces[x], before) for x, before in own if x in model.pieces]
+            if own[-1][0] not in model.pieces:
+                arcs.append((len(model.pieces), own[-1][1]))
+            sums.append(np.logaddexp.reduce([before + np.log(model.p[i]) for i, before in arcs], axis=0))
+        assert got == pytest.approx(sums[-1])
+    weight = np.array([[1, 0, 0], [0, 2, 0], [0, 0, 1], [3, 0, 1]], float)
+    size = np.array([len(x) for x in sorted(model.pieces, key=model.pieces.get)] + [1])
+    covered = (lattice.expected(model.p, weight) * size[:, None]).sum(axis=0)
+    assert covered == pytest.approx(np.array([len(w) + 1 for w in words]) @ weight)
+
+
 def test_language_query(spark, documents, sf):
     rows = QUERIES["op9_language_id"](spark, sf).collect()
     lang = {r.doc_id: r.lang for r in documents.collect()}
