@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ranklight.llm import decontaminate, katz, langid, pieces, quality, simhash, substrings, suffixes, token_counts, topk
+from ranklight.llm import (conversations, decontaminate, katz, langid, pieces, quality, simhash, substrings, suffixes, token_counts,
+                           topk, warc, whitening)
 from ranklight.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +73,18 @@ def op3_substring_dedup(spark, sf_dir):
 @register("op10_quality")
 def op10_quality(spark, sf_dir):
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op11_conversation_repair")
+def op11_conversation_repair(spark, sf_dir):
+    return conversations.repair(conversations.damage(table(spark, sf_dir, "conversations")))
+
+
+@register("op12_embedding_whitening")
+def op12_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), count=32)
+
+
+@register("op13_warc_archive", warc.ORACLE)
+def op13_warc_archive(spark, sf_dir):
+    return warc.archive_and_read(table(spark, sf_dir, "pages")).drop("url")
