@@ -17,13 +17,16 @@ How it runs:
    whose rows are keyed by the part of the context.
 3. At the context's part everything that its back-off weight needs is at hand.  Scores go back to the documents as partial sums.
 
-Counts are over all training documents, scores over all documents, whole texts.  Words and contexts whose
-count passes a quarter of a part are hot (at most 4 * parts of them): their pairs are spread over all parts, and their
-totals are summed with map-side combine and broadcast.  Pairs are keyed by 64-bit word hashes; the most
-frequent words travel as short numbers instead (a fixed-size table that changes no result).
+Counts are over all training documents, scores over all documents, whole texts.  Pairs travel as (pair, document,
+occurrences).  Words and contexts whose count passes a quarter of a part are hot (at most ``HOT`` of them, however many parts
+there are): their pairs are spread over all parts, and each task sends one vector of their totals, which are added in groups and
+broadcast.  A pair that is as frequent itself does not travel: its occurrences stay with the documents, each task sends its
+counts in the same vector, and its scores are added where the documents' sums meet.  Such pairs are found in the unigram
+pass: one that is twice as frequent as a hot pair needs to be in all must be frequent enough in batches that hold half of it.  Pairs are
+keyed by 64-bit word hashes; the most frequent words travel as short numbers instead (a fixed-size table that changes no result).
 
 Null text counts as empty: one token, the end.  Repeated rows count and are scored as rows of their own.  A row
-with a null id is in training.
+with a null id is in training.  An empty table gives no row.  Columns besides id and text are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -43,6 +46,7 @@ from ranklight.sources.scratch import materialize
 
 CUT = 5
 FREQUENT = 1 << 16
+HOT = 4096
 END, START = b"", np.uint64(1 << 62)
 _RARE = np.uint64(1 << 63)
 PACKED = "part long, kind int, blob binary"
@@ -147,40 +151,74 @@ def _packed(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 # ---- counts ---------------------------------------------------------------------------------------------------
 
 def _unigrams(rows: DataFrame, parts: int) -> DataFrame:
-    """Table ``tokens, types, counts, top``: totals and most frequent words of each part.  (The counts of all words
-    meet again with their pairs.)"""
-    most = max(4 * FREQUENT // parts, 4 * parts)
+    """Table ``tokens, types, counts, top, pairs``: totals and most frequent words of each part, and the pairs that batches
+    found frequent.  (The counts of all words meet again with their pairs.)"""
+    most = max(4 * FREQUENT // parts, min(4 * parts, HOT))
+    shares = 2 * min(4 * parts, HOT)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in byte_slices(batches, 0):
-            word, n = np.unique(_tokens(text_bytes(b, 0))[0], return_counts=True)
+            token, before, _ = _tokens(text_bytes(b, 0))
+            word, at, n = np.unique(token, return_inverse=True, return_counts=True)
             part = (word % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
-            yield _packed([(p, 0, squeeze(x)) for p, x in _by_part(
-                part[order], {"w": word[order], "n": n[order].astype(np.int32)})])
+            out = [(p, 0, squeeze(x)) for p, x in _by_part(
+                part[order], {"w": word[order], "n": n[order].astype(np.int32)})]
+            pairs = _frequent_pairs(word, at, n, before, 1 + len(token) // shares)
+            pair_part = (_mix(pairs["w"], pairs["h"]) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(pair_part, kind="stable")
+            out += [(p, 1, squeeze(x)) for p, x in _by_part(pair_part[order], {k: v[order] for k, v in pairs.items()})]
+            yield _packed(out)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def most_of(held: list[dict], by: list[str], limit: int) -> tuple[np.ndarray, list[dict]]:
+            t = {k: np.concatenate([x[k] for x in held]) for k in held[0]}
+            order, heads = _groups(*(t[k] for k in by))
+            c = np.add.reduceat(t["n"][order].astype(np.int64), heads) if len(order) else np.zeros(0, np.int64)
+            top = np.argsort(-c, kind="stable")[:limit]
+            keys = [t[k][order][heads][top].view(np.int64).tolist() for k in by]
+            return c, [dict(zip([*by, "c"], row)) for row in zip(*keys, c[top].tolist())]
+
         for blobs in by_part(batches):
-            t = _stack(blobs)
-            order, heads = _groups(t["w"])
-            word, c = t["w"][order][heads], np.add.reduceat(t["n"][order].astype(np.int64), heads)
-            top = np.argsort(-c, kind="stable")[:most]
+            own = [expand(b) for b in blobs]
+            none = {"w": np.zeros(0, np.uint64), "n": np.zeros(0, np.int32)}
+            c, top = most_of([x for x in own if "h" not in x] or [none], ["w"], most)
+            _, pairs = most_of([x for x in own if "h" in x] or [none | {"h": none["w"]}], ["w", "h"], min(4 * parts, HOT))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([int(c.sum())]), pa.array([len(c)]),
-                 pa.array([_histogram(c).tolist()], pa.list_(pa.int64())),
-                 pa.array([[{"w": int(x), "c": int(y)} for x, y in zip(word[top].view(np.int64), c[top])]],
-                          pa.list_(pa.struct([("w", pa.int64()), ("c", pa.int64())])))],
-                ["tokens", "types", "counts", "top"])
+                [pa.array([int(c.sum())]), pa.array([len(c)]), pa.array([_histogram(c).tolist()], pa.list_(pa.int64())),
+                 pa.array([top], pa.list_(pa.struct([("w", pa.int64()), ("c", pa.int64())]))),
+                 pa.array([pairs], pa.list_(pa.struct([("w", pa.int64()), ("h", pa.int64()), ("c", pa.int64())])))],
+                ["tokens", "types", "counts", "top", "pairs"])
 
     sent = rows.filter("train").select("text").mapInArrow(tidied(send), PACKED)
     return materialize(_shuffled(sent, parts).mapInArrow(
-        tidied(add), "tokens long, types long, counts array<long>, top array<struct<w: long, c: long>>"), "katz-unigrams")
+        tidied(add), "tokens long, types long, counts array<long>, top array<struct<w: long, c: long>>, "
+                     "pairs array<struct<w: long, h: long, c: long>>"), "katz-unigrams")
+
+
+def _frequent_pairs(word: np.ndarray, at: np.ndarray, n: np.ndarray, before: np.ndarray, least: int) -> dict[str, np.ndarray]:
+    """The pairs that occur at least ``least`` times in a batch, with their counts.  ``at`` numbers the distinct words of the
+    tokens, ``n`` counts them."""
+    some = np.flatnonzero(n >= least)  # both words of such a pair are as frequent
+    index = np.full(len(word) + 1, -1)
+    index[some] = np.arange(len(some))
+    first = before == START
+    own, last = index[at], np.empty(len(at), np.int64)
+    last[1:] = own[:-1]
+    last[first] = len(some)  # the start is a context as well
+    key = (last * (len(some) + 1) + own)[(own >= 0) & (last >= 0)]
+    count = np.bincount(key, minlength=1)
+    found = np.flatnonzero(count >= least)
+    h, w = found // (len(some) + 1), found % (len(some) + 1)
+    return {"w": word[some][w] if len(found) else np.zeros(0, np.uint64),
+            "h": np.append(word[some], START)[h] if len(found) else np.zeros(0, np.uint64), "n": count[found].astype(np.int32)}
 
 
 class Words:
     """What every task knows of the unigrams: totals, discounts and the most frequent words."""
 
-    def __init__(self, tokens: int, types: int, counts: np.ndarray, word: np.ndarray, count: np.ndarray, parts: int):
+    def __init__(self, tokens: int, types: int, counts: np.ndarray, word: np.ndarray, count: np.ndarray, parts: int,
+                 pairs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = ()):
         self.tokens, self.types, self.parts = tokens, types, parts
         self.tasks = max(1, parts // 4)  # parts of contexts and of documents
         self.turing = GoodTuring(counts)
@@ -190,8 +228,18 @@ class Words:
         self.unknown = (left if left > 0 else 1.0) * self.scale
         order = np.argsort(word)
         self.word, self.count = word[order], count[order]
-        self.hot = self.word[self.count > tokens // (4 * parts)]
-        self.hot_count = self.count[self.count > tokens // (4 * parts)]
+        least = tokens // min(4 * parts, HOT)
+        self.hot_count = self.count[self.count > least]
+        code = self.code(self.word[self.count > least])
+        order = np.argsort(code)
+        self.hot_count = np.append(self.hot_count[order], 0)
+        self.hot = np.append(code[order], START)  # every document has the start context; codes of words may be greater
+        order = np.argsort(self.hot)
+        self.hot, self.hot_count = self.hot[order], self.hot_count[order]
+        own = [(self.index(self.code(w)), self.index(self.code(h))) for w, h, c in pairs if len(c)]
+        keys = np.concatenate([np.where((w >= 0) & (h >= 0), h * len(self.hot) + w, -1)[c > least] for (w, h), (_, _, c) in zip(own, pairs)]) \
+            if own else np.zeros(0, np.int64)
+        self.pairs = np.unique(keys[keys >= 0])  # hot pairs, as context * number of hot words + word
 
     def probability(self, count: np.ndarray) -> np.ndarray:
         return np.where(count > 0, self.turing.discounted(count) * self.scale, self.unknown)
@@ -204,22 +252,40 @@ class Words:
         known[inside] = self.word[at[inside]] == word[inside]
         return np.where(known, at.astype(np.uint64), np.where(word == START, START, word | _RARE))
 
+    def index(self, code: np.ndarray) -> np.ndarray:
+        """Number among the hot words (the start counts as one), or -1."""
+        at = np.minimum(np.searchsorted(self.hot, code), len(self.hot) - 1)
+        return np.where(self.hot[at] == code, at, -1)
+
     def is_hot(self, code: np.ndarray) -> np.ndarray:
-        """Hot words and the start context, which every document has."""
-        return np.isin(code, self.code(self.hot)) | (code == START)
+        return self.index(code) >= 0
+
+    def pair_index(self, word: np.ndarray, context: np.ndarray) -> np.ndarray:
+        """Number among the hot pairs, or -1."""
+        if not len(self.pairs):
+            return np.full(len(word), -1)
+        w, h = self.index(word), self.index(context)
+        key = np.where((w >= 0) & (h >= 0), h * len(self.hot) + w, -1)
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, at, -1)
 
 
 def _words(unigrams: DataFrame, parts: int) -> Words:
     totals = unigrams.agg(F.sum("tokens"), F.sum("types"), *[F.sum(F.col("counts")[i]) for i in range(CUT + 2)]).first()
     top = (unigrams.select(F.explode("top").alias("t")).select("t.w", "t.c").orderBy(F.col("c").desc(), "w")
-           .limit(max(FREQUENT, 4 * parts)).toPandas())
+           .limit(FREQUENT).toPandas())
+    pairs = (unigrams.select(F.explode("pairs").alias("t")).select("t.w", "t.h", "t.c").orderBy(F.col("c").desc(), "w", "h")
+             .limit(HOT).toPandas())
+    own = tuple(pairs[k].to_numpy(np.int64) for k in "whc")
     return Words(totals[0] or 0, totals[1] or 0, np.array([x or 0 for x in totals[2:]], float),
-                 top["w"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64), parts)
+                 top["w"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64), parts,
+                 [(own[0].view(np.uint64), own[1].view(np.uint64), own[2])])
 
 
 # ---- bigrams --------------------------------------------------------------------------------------------------
 
 DOCUMENT, PAIRS, SUMS, TOTALS = range(4)  # kinds of packed rows
+TABLE = 2 + CUT  # of a context: sum of counts, unigram mass of its words, counts of counts up to CUT
 
 
 def _send_pairs(rows: DataFrame, words) -> DataFrame:
@@ -227,34 +293,58 @@ def _send_pairs(rows: DataFrame, words) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        w, batch = words.load(), TaskContext.get().partitionId() << 20
+        w, task = words.load(), TaskContext.get().partitionId()
+        batch = task << 20
         parts = np.uint64(w.parts)
+        counts = np.zeros(len(w.pairs), np.int64)
         for b in byte_slices(batches, 2, 6 << 20):
             token, before, doc = _tokens(text_bytes(b, 2))
             word, context = w.code(token), w.code(before)
+            train = b.column(1).to_numpy(zero_copy_only=False)
+            number = w.pair_index(word, context)
+            hot = np.flatnonzero(number >= 0)
+            stays, k = np.unique(doc[hot] * max(1, len(w.pairs)) + number[hot], return_counts=True)
+            stays_doc, stays_pair = np.divmod(stays, max(1, len(w.pairs)))
+            counts += np.bincount(stays_pair, weights=k * train[stays_doc], minlength=len(counts)).astype(np.int64)
+            if len(hot):
+                rest = number < 0
+                word, context, doc = word[rest], context[rest], doc[rest]
             part = (np.where(w.is_hot(word), _mix(word, context), word) % parts).astype(np.int64)
-            train = b.column(1).to_numpy(zero_copy_only=False)[doc]
             order, heads = _groups(part, word, context)
-            size = np.diff(np.append(heads, len(order)))
-            entry = np.repeat(np.arange(len(heads)), size)
-            n = np.bincount(entry, weights=train[order], minlength=len(heads)).astype(np.int32)
+            new = np.zeros(len(order), bool)  # within a pair the tokens are in document order
+            new[heads] = True
+            new[1:] |= doc[order][1:] != doc[order][:-1]
+            entry = np.flatnonzero(new)
+            k_entry = np.diff(np.append(entry, len(order)))
+            docs = doc[order][entry]
+            size = np.diff(np.append(np.searchsorted(entry, heads), len(entry)))
+            pair = np.repeat(np.arange(len(heads)), size)
+            n = np.bincount(pair, weights=k_entry * train[docs], minlength=len(heads)).astype(np.int32)
             ends = np.cumsum(size)
             out = []
             for p, x in _by_part(part[order][heads], {"w": word[order][heads], "h": context[order][heads], "n": n,
                                                       "m": size.astype(np.int32), "at": np.arange(len(heads))}):
                 at = x.pop("at")
-                docs = doc[order[(ends[at[0] - 1] if at[0] else 0):ends[at[-1]]]]
-                out.append((p, PAIRS, squeeze(x | {"row": docs + (batch << 20)})))
+                own = slice(ends[at[0] - 1] if at[0] else 0, ends[at[-1]])
+                out.append((p, PAIRS, squeeze(x | {"row": docs[own] + (batch << 20), "k": k_entry[own].astype(np.int32)})))
             ids = b.column(0)
             out.append((batch % w.tasks, DOCUMENT, squeeze({
                 "row": np.arange(b.num_rows) + (batch << 20), "null": ids.is_null().to_numpy(zero_copy_only=False),
-                "id": ids.fill_null(0).to_numpy(), "train": b.column(1).to_numpy(zero_copy_only=False)})))
+                "id": ids.fill_null(0).to_numpy(), "train": train, "pair_row": stays_doc + (batch << 20),
+                "pair": stays_pair.astype(np.int32), "pair_k": k.astype(np.int32)})))
             batch += 1
             yield _packed(out)
+        if counts.any():
+            yield _packed([(task % w.tasks, TOTALS, squeeze({"v": np.concatenate((np.zeros(_size(w)), counts))}))])
 
     return rows.mapInArrow(tidied(run), PACKED)
 
 
+def _size(w: Words) -> int:
+    """Numbers a task sends besides the counts of hot pairs: counts of counts, then ``TABLE`` for each hot context."""
+    return CUT + 2 + TABLE * len(w.hot)
+
+
 class _Sums:
     """Sums of each document over the parts of a task."""
 
@@ -284,10 +374,10 @@ def _pair_counter(words):
     """At the word's part: exact pair counts.  Rows out: pairs to their context's part, sums to the
     documents, and totals (counts of counts, and what hot contexts need)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         w = words.load()
-        hot_code = w.code(w.hot)
-        hot_order = np.argsort(hot_code)
-        sums = _Sums()
+        sums, totals = _Sums(), np.zeros(_size(w) + len(w.pairs))
         for blobs in by_part(batches):
             t = _stack(blobs)
             order, heads = _groups(t["w"], t["h"])
@@ -295,62 +385,73 @@ def _pair_counter(words):
             word, context = t["w"][order][heads], t["h"][order][heads]
             new = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
             own = np.repeat(np.add.reduceat(c, new), np.diff(np.append(new, len(word))))  # the word's count
-            if len(hot_code):  # a hot word's pairs lie in many parts
-                at = np.minimum(np.searchsorted(hot_code[hot_order], word), len(hot_code) - 1)
-                hot = hot_code[hot_order][at] == word
-                own = np.where(hot, w.hot_count[hot_order][at], own)
+            at = w.index(word)  # a hot word's pairs lie in many parts
+            own = np.where(at >= 0, w.hot_count[at], own)
             p = w.probability(own)
             # rows of the documents, in the order of the pairs
             m = t["m"].astype(np.int64)
             begin = np.cumsum(m) - m
             size = m[order]
             take = np.repeat(begin[order] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            row = t["row"][take]
+            row, k = t["row"][take], t["k"][take]
             pair = np.repeat(np.cumsum(np.isin(np.arange(len(order)), heads)) - 1, size)
             count = np.bincount(pair, minlength=len(heads))
-            sums.add(row, tokens=np.ones(len(row)), known=own[pair] > 0,
-                     base=np.log10((own[pair] + 1) / (w.tokens + w.types + 1)),
-                     score=np.where(c[pair] > 0, 0.0, np.log10(p[pair])))
+            sums.add(row, tokens=k, known=k * (own[pair] > 0),
+                     base=k * np.log10((own[pair] + 1) / (w.tokens + w.types + 1)),
+                     score=k * np.where(c[pair] > 0, 0.0, np.log10(p[pair])))
             out = []
             spread = np.where(w.is_hot(context), _mix(context, word), context) % np.uint64(w.tasks)
             far = np.argsort(spread, kind="stable")
             starts = np.cumsum(count) - count
             n = count[far]
-            rows_far = row[np.repeat(starts[far] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+            take = np.repeat(starts[far] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            rows_far, k_far = row[take], k[take]
             ends = np.cumsum(n)
             for to, x in _by_part(spread[far].astype(np.int64), {
                     "h": context[far], "c": c[far].astype(np.int32), "p": np.where(c > 0, p, 0.0)[far], "m": n.astype(np.int32),
                     "at": np.arange(len(far))}):
                 at = x.pop("at")
-                out.append((to, PAIRS, squeeze(x | {"row": rows_far[(ends[at[0] - 1] if at[0] else 0):ends[at[-1]]]})))
-            hot = w.is_hot(context) & (c > 0)
-            out.append((0, TOTALS, squeeze({"counts": _histogram(c)} | _context_totals(context[hot], c[hot], p[hot]))))
-            del t, row, rows_far, pair, take, order
+                span = slice(ends[at[0] - 1] if at[0] else 0, ends[at[-1]])
+                out.append((to, PAIRS, squeeze(x | {"row": rows_far[span], "k": k_far[span]})))
+            totals[:CUT + 2] += _histogram(c)
+            at = w.index(context)
+            hot = (at >= 0) & (c > 0)
+            _add_table(totals[CUT + 2:_size(w)].reshape(TABLE, -1), at[hot], c[hot], p[hot])
+            del t, row, rows_far, k, k_far, pair, take, order
             yield _packed(out)
-        yield _packed(sums.packed(w.tasks))
+        yield _packed(sums.packed(w.tasks) + [(TaskContext.get().partitionId() % w.tasks, TOTALS, squeeze({"v": totals}))])
 
     return run
 
 
-def _context_totals(context: np.ndarray, c: np.ndarray, p: np.ndarray) -> dict[str, np.ndarray]:
-    """For each context: counts of counts up to ``CUT``, the sum of all counts, the unigram mass of its words."""
-    own, index = np.unique(context, return_inverse=True)
-    out = {"h": own, "sum": np.bincount(index, weights=c, minlength=len(own)),
-           "mass": np.bincount(index, weights=p, minlength=len(own))}
+def _add_table(table: np.ndarray, at: np.ndarray, c: np.ndarray, p: np.ndarray) -> None:
+    """Adds pairs with their counts and unigram probabilities to the totals of their contexts, numbered ``at``."""
+    n = table.shape[1]
+    table[0] += np.bincount(at, weights=c, minlength=n)
+    table[1] += np.bincount(at, weights=p, minlength=n)
     for r in range(1, CUT + 1):
-        out[f"n{r}"] = np.bincount(index[c == r], minlength=len(own))
-    return out
+        table[1 + r] += np.bincount(at[c == r], minlength=n)
 
 
 class Contexts:
     """Count, scale of the seen words and back-off weight of contexts."""
 
-    def __init__(self, turing: GoodTuring, totals: dict[str, np.ndarray]):
-        self.h, self.sum = totals["h"], totals["sum"]
-        left = sum(totals[f"n{r}"] * r * (1 - turing.d[r]) for r in range(1, CUT + 1))
+    def __init__(self, turing: GoodTuring, h: np.ndarray, table: np.ndarray):
+        some = table[0] > 0
+        self.h, table = h[some], table[:, some]
+        self.sum = table[0]
+        left = sum(table[1 + r] * r * (1 - turing.d[r]) for r in range(1, CUT + 1))
         none = left <= 1e-12 * self.sum
         self.sum = np.where(none, self.sum + 1, self.sum)  # seen words keep c / (c + 1), one count is left
-        self.weight = np.where(none, 1.0, left) / self.sum / np.maximum(1 - totals["mass"], 1e-300)
+        self.weight = np.where(none, 1.0, left) / self.sum / np.maximum(1 - table[1], 1e-300)
+
+    def of(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Whether a context is known, its count and its weight."""
+        if not len(self.h):
+            return np.zeros(len(h), bool), np.zeros(len(h)), np.ones(len(h))
+        at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
+        own = self.h[at] == h
+        return own, np.where(own, self.sum[at], 0.0), np.where(own, self.weight[at], 1.0)
 
 
 def _score_pairs(pairs: DataFrame, shared, parts: int) -> DataFrame:
@@ -361,15 +462,14 @@ def _score_pairs(pairs: DataFrame, shared, parts: int) -> DataFrame:
         for blobs in by_part(batches):
             t = _stack(blobs)
             seen = t["c"] > 0
-            local = Contexts(turing, _context_totals(t["h"][seen], t["c"][seen], t["p"][seen]))
-            total, weight = np.zeros(len(t["h"])), np.ones(len(t["h"]))
-            for known in (local, hot):  # the totals of hot contexts replace what this part has seen of them
-                if len(known.h):
-                    at = np.minimum(np.searchsorted(known.h, t["h"]), len(known.h) - 1)
-                    own = known.h[at] == t["h"]
-                    total[own], weight[own] = known.sum[at[own]], known.weight[at[own]]
+            own, index = np.unique(t["h"], return_inverse=True)
+            table = np.zeros((TABLE, len(own)))
+            _add_table(table, index[seen], t["c"][seen], t["p"][seen])
+            _, total, weight = Contexts(turing, own, table).of(t["h"])
+            known, hot_total, hot_weight = hot.of(t["h"])  # replaces what this part has seen of hot contexts
+            total, weight = np.where(known, hot_total, total), np.where(known, hot_weight, weight)
             value = np.log10(np.where(seen, turing.discounted(t["c"].astype(np.int64)) / np.maximum(total, 1e-300), weight))
-            sums.add(t["row"], score=np.repeat(value, t["m"]))
+            sums.add(t["row"], score=t["k"] * np.repeat(value, t["m"]))
         yield _packed(sums.packed(max(1, parts // 4)))
 
     return _shuffled(pairs, parts).mapInArrow(tidied(run), PACKED)
@@ -393,60 +493,65 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     # documents travel on as they are; pairs are counted at their word's part
     packed = materialize(_counted(sent, words, parts), "katz-bigrams")
     _release(spark)
-    counts, hot = _totals(packed.filter(F.col("kind") == TOTALS))
-    turing = GoodTuring(counts)
-    shared = Shared(spark, (parts, turing, Contexts(turing, hot)))
+    turing, hot, pairs = _hot(known, _totals(packed.filter(F.col("kind") == TOTALS), _size(known) + len(known.pairs)))
+    shared = Shared(spark, (parts, turing, hot))
     scored = _score_pairs(packed.filter(F.col("kind") == PAIRS), shared, parts)
     back = packed.filter(F.col("kind").isin(DOCUMENT, SUMS)).unionAll(scored)
-    return _per_document(back, known.tokens, parts)
+    return _per_document(back, known.tokens, Shared(spark, pairs), parts)
 
 
 def _counted(sent: DataFrame, words, parts: int) -> DataFrame:
-    """``_count_pairs`` over the shuffled pairs, with the document rows of the same scan passed through."""
+    """``_pair_counter`` over the shuffled pairs, with the other rows of the same scan passed through."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        documents: list[tuple[int, int, bytes]] = []
+        others: list[tuple[int, int, bytes]] = []
 
         def pairs():
             for b in batches:
                 kind = b.column(1).to_numpy()
-                for p, blob in zip(*(b.column(i).take(pa.array(np.flatnonzero(kind == DOCUMENT))).to_pylist() for i in (0, 2))):
-                    documents.append((p, DOCUMENT, blob))
+                others.extend(zip(*(b.column(i).take(pa.array(np.flatnonzero(kind != PAIRS))).to_pylist() for i in (0, 1, 2))))
                 b = b.take(pa.array(np.flatnonzero(kind == PAIRS)))
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(2)], ["part", "blob"])
 
         yield from count(pairs())
-        yield _packed(documents)
+        yield _packed(others)
 
     count = _pair_counter(words)
     return sent.repartition(max(1, parts // 4), "part").sortWithinPartitions("part").mapInArrow(tidied(run), PACKED)
 
 
-def _totals(rows: DataFrame) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    """Counts of counts and the totals of hot contexts, summed by Spark (few rows for each part)."""
-    names = ["sum", "mass", *(f"n{r}" for r in range(1, CUT + 1))]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _totals(rows: DataFrame, size: int) -> np.ndarray:
+    """The sum of the vectors that the tasks have sent: in groups of tasks first, then here."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
         for b in batches:
             for blob in b.column(0).to_pylist():
-                t = expand(blob)
-                h = np.concatenate((np.zeros(CUT + 2, np.int64), np.tile(t["h"].view(np.int64), len(names))))
-                i = np.concatenate((-1 - np.arange(CUT + 2), np.repeat(np.arange(len(names)), len(t["h"]))))
-                v = np.concatenate([t["counts"].astype(float), *(t[k].astype(float) for k in names)])
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(i), pa.array(v)], ["h", "i", "v"])
-
-    got = rows.select("blob").mapInArrow(tidied(run), "h long, i long, v double").groupBy("h", "i").agg(F.sum("v").alias("v")).toPandas()
-    counts = np.zeros(CUT + 2)
-    own = got[got["i"] < 0]
-    counts[-1 - own["i"].to_numpy(int)] = own["v"]
-    rest = got[got["i"] >= 0]
-    h, index = np.unique(rest["h"].to_numpy(np.int64).view(np.uint64), return_inverse=True)
-    table = np.zeros((len(names), len(h)))
-    table[rest["i"].to_numpy(int), index] = rest["v"]
-    return counts, {"h": h} | dict(zip(names, table))
-
-
-def _per_document(packed: DataFrame, train_tokens: int, parts: int) -> DataFrame:
+                total += expand(blob)["v"]
+        yield pa.RecordBatch.from_arrays([pa.array([squeeze({"v": total})], pa.binary())], ["blob"])
+
+    groups = max(1, int(shuffle_partitions(rows.sparkSession) ** 0.5))
+    spread = rows.select("blob", (F.col("part") % groups).alias("g")).repartition(groups, "g").select("blob")
+    return sum((expand(r.blob)["v"] for r in spread.mapInArrow(tidied(add), "blob binary").collect()), np.zeros(size))
+
+
+def _hot(w: Words, totals: np.ndarray) -> tuple[GoodTuring, Contexts, dict[str, np.ndarray]]:
+    """Discounts, hot contexts, and what a hot pair adds to a document for each time that it stands there."""
+    counts, table, c = np.split(totals, [CUT + 2, _size(w)])
+    table = table.reshape(TABLE, -1)
+    h, word = np.divmod(w.pairs, len(w.hot))
+    p, seen = w.probability(w.hot_count[word]), c > 0
+    counts = counts + _histogram(c[seen].astype(np.int64))
+    _add_table(table, h[seen], c[seen].astype(np.int64), p[seen])
+    turing = GoodTuring(counts)
+    hot = Contexts(turing, w.hot, table)
+    _, total, weight = hot.of(w.hot[h])
+    value = np.where(seen, turing.discounted(c.astype(np.int64)) / np.maximum(total, 1e-300), weight * p)
+    return turing, hot, {"tokens": np.ones(len(c)), "known": (w.hot_count[word] > 0).astype(float),
+                         "base": np.log10((w.hot_count[word] + 1) / (w.tokens + w.types + 1)), "score": np.log10(value)}
+
+
+def _per_document(packed: DataFrame, train_tokens: int, pairs: Shared, parts: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        each = pairs.load()
         for blobs in by_part(batches):
             own = [expand(b) for b in blobs]
             docs = {k: np.concatenate([x[k] for x in own if "id" in x]) for k in ("row", "id", "null", "train")}
@@ -454,11 +559,15 @@ def _per_document(packed: DataFrame, train_tokens: int, parts: int) -> DataFrame
             docs = {k: v[order] for k, v in docs.items()}
             total = {k: np.zeros(len(order)) for k in ("tokens", "known", "base", "score")}
             for x in own:
-                if "id" not in x:
-                    at = np.searchsorted(docs["row"], x["row"])
+                if "id" in x:
+                    at = np.searchsorted(docs["row"], x["pair_row"])
                     for k in total:
-                        if k in x:
-                            np.add.at(total[k], at, x[k])
+                        np.add.at(total[k], at, each[k][x["pair"]] * x["pair_k"])
+                    continue
+                at = np.searchsorted(docs["row"], x["row"])
+                for k in total:
+                    if k in x:
+                        np.add.at(total[k], at, x[k])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(docs["id"], mask=docs["null"].astype(bool)), pa.array(~docs["train"].astype(bool)),
                  *(pa.array(np.rint(total[k]).astype(np.int64)) for k in ("tokens", "known")),
