@@ -204,6 +204,7 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
     firsts = large.groupBy(F.col("digest").alias("d")).agg(
         F.count("*").alias("k"), F.max(F.struct("page_id", "number")).alias("first"))
     firsts = firsts.filter("k > 1").select("d", F.col("first.number").alias("first"), F.col("first.page_id").alias("first_page"))
+    firsts = materialize(firsts, "warc-firsts")  # its size is known before the join: pages are shuffled only if it is large
     typed = own.join(firsts, (F.col("digest") == F.col("d")) & (F.octet_length("html") >= min_bytes), "left")
     repeats = F.col("number") != F.col("first")
     typed = typed.select("page_id", "url", "html", "number", F.when(repeats, F.col("first")).alias("first"),
