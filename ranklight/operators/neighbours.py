@@ -4,14 +4,16 @@ Distances are computed by a NumPy kernel over *blocks* of queries × collection
 tasks; pairs are never emitted as rows, only the k best per query and block (kNN) or the pairs within
 the radius (range).  Two physical strategies:
 
-* **broadcast** — when the query batch is proven small (one ``take(n + 1)``: rows and bytes), its vectors are
-  broadcast and ``mapInArrow`` scans the collection where it lies: no shuffle of the collection, and
-  each partition emits at most k rows per query.  This is the reference's usage (one query at a time)
-  and the path for interactive batches.
-* **blocked** — otherwise queries and collection meet by key in a salted ``cogroup``: each key (one
-  constant key for brute force, a grid cell, or an LSH bucket) is split into ``ceil(rows/block_rows)``
-  salts on each side, so no group holds more than ``block_rows`` rows of either side, however hot the
-  key.  Each group runs the same kernel.
+* **literal** — vectors given as Python values (``knn_of``, ``within_of``: the reference's usage, one query at a time) are
+  broadcast and ``mapInArrow`` scans the collection where it lies: no shuffle of the collection, and each partition emits
+  at most k rows per query.
+* **parts** — a table of queries never passes through the driver.  Both tables are packed into blobs of ``PACK_ROWS``
+  rows in tasks and written; the collection's blobs are dealt to parts of ``PART_BLOBS``, every query blob visits every
+  part, and a task streams them past one part.  Vectors of the collection travel once, queries once for each part.
+* **blocked** — keyed strategies (grid, LSH) and small groups: queries and collection meet by key in a salted ``cogroup``;
+  each key (one constant key for brute force, a grid cell, or an LSH bucket) is split into ``ceil(rows/block_rows)``
+  salts on each side, so no group holds more than ``block_rows`` rows of either side, however hot the key.  Each group
+  runs the same kernel.
 
 The final top-k per query is ``row_number() <= k`` (partial ``WindowGroupLimit`` before its shuffle).
 Ties at the cut: ``round(dist, 9)`` then the smaller id, in the kernel and in the final ranking.
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -29,10 +32,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ranklight.operators.ranking import top_k
+from ranklight.sources.scratch import materialize
 
 PAIR_SCHEMA = "query_id long, vec_id long, dist double"
-MAX_BROADCAST_QUERIES = 20_000
-MAX_BROADCAST_BYTES = 64 << 20   # query vectors as float64
+PACK_ROWS = 1024
+PART_BLOBS = 32
 BLOCK_ROWS = 4096
 CELL_SLACK = 1e-6  # relative widening of grid cells, far above double rounding of a coordinate over a width
 METRICS = ("l2", "sqeuclidean")
@@ -135,26 +139,12 @@ def _prepare(df: DataFrame, id_col: str, vec_col: str, id_name: str, vec_name: s
                      F.col(vec_col).cast("array<double>").alias(vec_name)).filter(F.col(vec_name).isNotNull())
 
 
-def _small_batch(queries: DataFrame, max_rows: int, max_bytes: int) -> list | None:
-    """The query batch when it has at most ``max_rows`` rows and ``max_bytes`` of vectors, else None.
-    One ``take(max_rows + 1)`` both proves the bound and fetches the rows (never more than the bound)."""
-    if max_rows <= 0:
-        return None
-    rows = queries.take(max_rows + 1)
-    if len(rows) > max_rows:
-        return None
-    if sum(len(r["qv"] or ()) for r in rows) * 8 > max_bytes:
-        return None
-    return rows
-
-
 def _broadcast_path(coll: DataFrame, rows: list, mode: str, param: float, metric: str,
                     box: float | None = None) -> DataFrame:
-    """Query batch (proven small by ``_small_batch``) broadcast; ``mapInArrow`` over the collection
-    where it lies."""
+    """Literal query vectors ``(id, vector)`` broadcast; ``mapInArrow`` over the collection where it lies."""
     spark = coll.sparkSession
-    qids = np.array([r["query_id"] for r in rows], dtype=np.int64)
-    Q = _matrix([r["qv"] for r in rows]) if rows else np.zeros((0, 0))
+    qids = np.array([i for i, _ in rows], dtype=np.int64)
+    Q = _matrix([v for _, v in rows]) if rows else np.zeros((0, 0))
     bq = spark.sparkContext.broadcast((qids, Q))
 
     def run(batches):
@@ -186,6 +176,56 @@ def _broadcast_path(coll: DataFrame, rows: list, mode: str, param: float, metric
     return coll.mapInArrow(run, PAIR_SCHEMA)
 
 
+def _packed(df: DataFrame, name: str) -> DataFrame:
+    """``df`` (id, vector) as a written table ``own, blob`` of blobs of ``PACK_ROWS`` rows; ``own`` numbers them for good."""
+    def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, PACK_ROWS):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, b.schema) as out:
+                    out.write_batch(b.slice(at, PACK_ROWS))
+                yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["blob"])
+
+    return materialize(df.mapInArrow(run, "blob binary").select(F.monotonically_increasing_id().alias("own"), "blob"), name)
+
+
+def _opened(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    t = pa.ipc.open_stream(blob).read_all()
+    return t.column(0).to_numpy(), _matrix(t.column(1).to_pylist())
+
+
+def _parts_path(coll: DataFrame, queries: DataFrame, mode: str, param: float, metric: str) -> DataFrame:
+    """Every query blob meets every part of the collection's blobs.  A task holds one part and one query blob."""
+    held, asked = _packed(coll, "knn-vectors"), _packed(queries, "knn-queries")
+    parts = max(1, math.ceil(held.count() / PART_BLOBS))
+    both = held.select(F.pmod(F.xxhash64("own"), F.lit(parts)).cast("int").alias("part"), F.lit(0).alias("kind"), "blob").unionAll(
+        asked.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(1).alias("kind"), "blob"))
+    # visitors of a part are dealt to copies of it where there are fewer parts than tasks
+    tasks = int(coll.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    copies = max(1, tasks // parts)
+    both = both.withColumn("copy", F.when(F.col("kind") == 1, F.array(F.pmod(F.xxhash64("blob"), F.lit(copies)).cast("int"))).otherwise(
+        F.sequence(F.lit(0), F.lit(copies - 1)))).select("part", F.explode("copy").alias("copy"), "kind", "blob")
+
+    def run(batches):
+        at, ids, vectors = None, [], []
+        for b in batches:
+            for part, copy, kind, blob in zip(*(c.to_pylist() for c in b.columns)):
+                if (part, copy) != at:
+                    at, ids, vectors = (part, copy), [], []
+                own, matrix = _opened(blob)
+                if kind == 0:
+                    ids.append(own), vectors.append(matrix)
+                    continue
+                if len(ids) > 1:
+                    ids, vectors = [np.concatenate(ids)], [np.concatenate(vectors)]
+                if ids:
+                    found = _knn_block(own, matrix, ids[0], vectors[0], int(param), metric) if mode == "knn" else \
+                        _range_block(own, matrix, ids[0], vectors[0], param, metric)
+                    yield pa.RecordBatch.from_pandas(_frame(*found), preserve_index=False)
+
+    return both.repartition(max(parts * copies, tasks), "part", "copy").sortWithinPartitions("part", "copy", "kind").mapInArrow(run, PAIR_SCHEMA)
+
+
 def _cut(q, c, d, k: int) -> np.ndarray:
     """Indices of the first k rows per query by (query, round(dist, 9), id)."""
     order = np.lexsort((c, np.round(d, 9), q))
@@ -246,40 +286,59 @@ def _blocked_path(coll: DataFrame, queries: DataFrame, ckey: Column | None, qkey
 
 
 def _pairs(collection: DataFrame, queries: DataFrame, mode: str, param: float, metric: str,
-           id_col: str, vec_col: str, query_id_col: str, query_vec_col: str,
-           max_broadcast_queries: int, block_rows: int) -> DataFrame:
+           id_col: str, vec_col: str, query_id_col: str, query_vec_col: str, block_rows: int | None) -> DataFrame:
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}; choose one of {METRICS}")
     coll = _prepare(collection, id_col, vec_col, "vec_id", "cv")
     qs = _prepare(queries, query_id_col, query_vec_col, "query_id", "qv")
-    rows = _small_batch(qs, max_broadcast_queries, MAX_BROADCAST_BYTES)
-    if rows is not None:
-        return _broadcast_path(coll, rows, mode, param, metric)
+    if block_rows is None:
+        return _parts_path(coll, qs, mode, param, metric)
     return _blocked_path(coll, qs, None, None, mode, param, metric, block_rows)
 
 
 # --------------------------------------------------------------------------------------------------
 # public operators
 
+NO_HITS = "query_id long, rank long, vec_id long, dist double"
+
+
 def knn(collection: DataFrame, queries: DataFrame, k: int, metric: str = "l2", id_col: str = "vec_id",
         vec_col: str = "embedding", query_id_col: str = "query_id", query_vec_col: str = "embedding",
-        max_broadcast_queries: int = MAX_BROADCAST_QUERIES, block_rows: int = BLOCK_ROWS) -> DataFrame:
+        block_rows: int | None = None) -> DataFrame:
     """M8 (``l2``) / M12 (``sqeuclidean``): exact k nearest per query → ``query_id, rank, vec_id, dist``.
-    ``k`` larger than the collection returns every row (Q16); ``k <= 0`` returns nothing."""
+    ``k`` larger than the collection returns every row (Q16); ``k <= 0`` returns nothing.  With ``block_rows`` both tables
+    meet in salted groups of so many rows instead of parts."""
     if k <= 0:
-        return queries.sparkSession.createDataFrame([], "query_id long, rank long, vec_id long, dist double")
-    pairs = _pairs(collection, queries, "knn", k, metric, id_col, vec_col, query_id_col, query_vec_col,
-                   max_broadcast_queries, block_rows)
+        return queries.sparkSession.createDataFrame([], NO_HITS)
+    pairs = _pairs(collection, queries, "knn", k, metric, id_col, vec_col, query_id_col, query_vec_col, block_rows)
     return top_k(pairs, k, score="dist", item="vec_id", descending=False).select("query_id", "rank", "vec_id", "dist")
 
 
 def within(collection: DataFrame, queries: DataFrame, radius: float, metric: str = "l2", id_col: str = "vec_id",
            vec_col: str = "embedding", query_id_col: str = "query_id", query_vec_col: str = "embedding",
-           max_broadcast_queries: int = MAX_BROADCAST_QUERIES, block_rows: int = BLOCK_ROWS) -> DataFrame:
+           block_rows: int | None = None) -> DataFrame:
     """Every collection row with distance ≤ ``radius`` (inclusive, in the metric's unit) →
     ``query_id, vec_id, dist``.  Order with :func:`order_hits` (T3) when an order is needed."""
-    return _pairs(collection, queries, "range", float(radius), metric, id_col, vec_col, query_id_col,
-                  query_vec_col, max_broadcast_queries, block_rows)
+    return _pairs(collection, queries, "range", float(radius), metric, id_col, vec_col, query_id_col, query_vec_col, block_rows)
+
+
+def knn_of(collection: DataFrame, vectors: list[tuple[int, list[float]]], k: int, metric: str = "l2", id_col: str = "vec_id",
+           vec_col: str = "embedding") -> DataFrame:
+    """:func:`knn` for vectors given as Python values ``(query id, vector)``."""
+    if metric not in METRICS:
+        raise ValueError(f"unknown metric {metric!r}; choose one of {METRICS}")
+    if k <= 0 or not vectors:
+        return collection.sparkSession.createDataFrame([], NO_HITS)
+    pairs = _broadcast_path(_prepare(collection, id_col, vec_col, "vec_id", "cv"), vectors, "knn", k, metric)
+    return top_k(pairs, k, score="dist", item="vec_id", descending=False).select("query_id", "rank", "vec_id", "dist")
+
+
+def within_of(collection: DataFrame, vectors: list[tuple[int, list[float]]], radius: float, metric: str = "l2",
+              id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+    """:func:`within` for vectors given as Python values ``(query id, vector)``."""
+    if metric not in METRICS:
+        raise ValueError(f"unknown metric {metric!r}; choose one of {METRICS}")
+    return _broadcast_path(_prepare(collection, id_col, vec_col, "vec_id", "cv"), vectors, "range", float(radius), metric)
 
 
 def order_hits(pairs: DataFrame) -> DataFrame:
@@ -342,33 +401,73 @@ def grid_within(collection: DataFrame, queries: DataFrame, radius: float, metric
     return _blocked_path(coll, qs, cell(src_c), qkeys, "range", float(radius), metric, block_rows)
 
 
-def lsh_knn(collection: DataFrame, queries: DataFrame, k: int, bucket_length: float = 2.0, tables: int = 3,
-            seed: int = 7, id_col: str = "vec_id", vec_col: str = "embedding", query_id_col: str = "query_id",
-            query_vec_col: str = "embedding", block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Approximate kNN through Spark ML's ``BucketedRandomProjectionLSH``.
+def typical_distance(collection: DataFrame, k: int, sample: int = 1000) -> tuple[float, int]:
+    """The median distance of vectors to their k-th nearest, among ``sample`` vectors drawn by a hash (a bounded number, on the
+    driver), and the dimension."""
+    rows = collection.select("cv").orderBy(F.xxhash64("cv", F.lit(5)), "cv").limit(sample).collect()
+    x = _matrix([r.cv for r in rows])
+    if len(x) < 2:
+        return 1.0, max(1, x.shape[1])
+    d = np.sort(_dist(x, x, "l2"), axis=1)[:, min(k, len(x) - 1)]
+    return float(np.median(d)) or float(d.max()) or 1.0, max(1, x.shape[1])
 
-    The fitted model hashes both sides; a query meets only the rows that share a bucket in at least
-    one hash table (salted cogroup per (table, bucket)), candidates are re-ranked by exact distance.
-    Fewer than k rows come back for a query whose buckets hold fewer candidates: that is the recall
-    cost measured against :func:`knn` in the tests."""
+
+def lsh_knn(collection: DataFrame, queries: DataFrame, k: int, bucket_length: float | None = None, tables: int = 4,
+            seed: int = 7, id_col: str = "vec_id", vec_col: str = "embedding", query_id_col: str = "query_id",
+            query_vec_col: str = "embedding", block_rows: int = BLOCK_ROWS, miss: float = 0.05, report: dict | None = None) -> DataFrame:
+    """Approximate kNN through Spark ML's ``BucketedRandomProjectionLSH``: ``min(k, n)`` rows for every query, of which a
+    true neighbour is missing with probability ``miss`` at most.
+
+    Buckets are twice as wide as a neighbour's usual projected distance (the sampled k-th distance over the root of the
+    dimension), whatever the scale of the data.  In each table a query meets its own bucket and the neighbouring one whose
+    border is nearer (multi-probe); candidates are ranked by exact distance.  A vector is missed only if its projected
+    distance passes the far border in every table: for a vector at distance r along random directions the chance is at most
+    ``exp(-d * sum of squared margins / (2 r * r))``.  Queries whose k-th candidate is so far that this exceeds ``miss``, or that
+    have fewer than k candidates, are answered exactly by :func:`knn`.  ``report`` gets the numbers of ``queries`` and of those
+    ``completed`` so."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
-    coll = _prepare(collection, id_col, vec_col, "vec_id", "cv").withColumn("features", array_to_vector("cv"))
-    qs = _prepare(queries, query_id_col, query_vec_col, "query_id", "qv").withColumn("features", array_to_vector("qv"))
-    model = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=bucket_length,
-                                        numHashTables=tables, seed=seed).fit(coll)
-
-    def keyed(df: DataFrame, keep: list[str]) -> DataFrame:
-        h = model.transform(df).select(*keep, F.posexplode("hashes").alias("t", "h"))
-        return h.select(*keep, F.struct(F.col("t").cast("long").alias("t"),
-                                        F.element_at(vector_to_array("h"), 1).cast("long").alias("b")).alias("hk"))
-
-    ch = keyed(coll, ["vec_id", "cv"])
-    qh = keyed(qs, ["query_id", "qv"])
-    pairs = _blocked_path(ch, qh, F.col("hk"), F.array(F.col("hk")), "knn", k, "l2", block_rows)
+    if k <= 0:
+        return queries.sparkSession.createDataFrame([], NO_HITS)
+    coll = _prepare(collection, id_col, vec_col, "vec_id", "cv")
+    rows = _prepare(queries, query_id_col, query_vec_col, "query_id", "qv").withColumn("row", F.monotonically_increasing_id())
+    rows = materialize(rows, "lsh-queries")  # row numbers are fixed from here on: rows of one id stay apart
+    usual, dim = typical_distance(coll, k)
+    width = bucket_length or 2.0 * usual / math.sqrt(dim)
+    fine = 1024  # the model's buckets are parts of ours, so that the place inside a bucket is known
+    model = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=width / fine, numHashTables=tables,
+                                        seed=seed).fit(coll.withColumn("features", array_to_vector("cv")))
+
+    def placed(df: DataFrame, vec: str) -> DataFrame:
+        h = model.transform(df.withColumn("features", array_to_vector(vec)))
+        at = F.element_at(vector_to_array("h"), 1) / fine
+        return h.select(*df.columns, F.posexplode("hashes").alias("t", "h")).withColumn("at", at).withColumn("b", F.floor("at"))
+
+    def key(b: Column) -> Column:
+        return F.struct(F.col("t").cast("long").alias("t"), b.cast("long").alias("b"))
+
+    ch = placed(coll, "cv").select("vec_id", "cv", key(F.col("b")).alias("hk"))
+    inside = F.col("at") - F.col("b")
+    side = F.when(inside < 0.5, F.col("b") - 1).otherwise(F.col("b") + 1)
+    margin = (F.greatest(inside, 1 - inside) - 1 / fine) * width  # to the far border; beyond the near one is probed
+    probed = placed(rows, "qv").select("row", "qv", F.array(key(F.col("b")), key(side)).alias("keys"), margin.alias("margin"))
+    asked = probed.select(F.col("row").alias("query_id"), "qv", F.explode("keys").alias("hk"))
+    pairs = _blocked_path(ch, asked, F.col("hk"), F.array(F.col("hk")), "knn", k, "l2", block_rows)
     pairs = pairs.groupBy("query_id", "vec_id").agg(F.min("dist").alias("dist"))
-    return top_k(pairs, k, score="dist", item="vec_id", descending=False).select("query_id", "rank", "vec_id", "dist")
+    hits = materialize(top_k(pairs, k, score="dist", item="vec_id", descending=False), "lsh-hits")
+    sure = probed.groupBy("row").agg(F.sum(F.col("margin") * F.col("margin")).alias("squares"))
+    kth = hits.groupBy(F.col("query_id").alias("row")).agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("far"))
+    needed = F.col("far") * F.col("far") * (2.0 * math.log(1.0 / miss) / dim)
+    late = sure.join(kth, "row", "left").filter((F.coalesce("n", F.lit(0)) < k) | (F.col("squares") < needed)).select("row")
+    late = materialize(rows.join(late, "row", "left_semi"), "lsh-late")
+    if report is not None:
+        report.update(queries=rows.count(), completed=late.count())
+    rest = knn(coll, late, k, "l2", "vec_id", "cv", "row", "qv")
+    hits = hits.join(late.select(F.col("row").alias("query_id")), "query_id", "left_anti").select(
+        "query_id", "rank", "vec_id", "dist").unionAll(rest)
+    return hits.withColumnRenamed("query_id", "row").join(rows.select("row", "query_id"), "row").select(
+        "query_id", "rank", "vec_id", "dist")
 
 
 # The reference's store names mapped to our operators (Q25: unknown names raise).
@@ -377,9 +476,16 @@ VECTOR_METHODS = {
     "grid": ("grid", "l2"),
     "flat": ("exact", "sqeuclidean"),
     "lsh": ("lsh", "l2"),
+    "pivot": ("pivot", "l2"),
+    "zorder": ("zorder", "l2"),
 }
 
 
+def _named_columns(kw: dict) -> tuple[dict, dict]:
+    """Column names for an index build and for a search on it."""
+    return ({c: kw[c] for c in ("id_col", "vec_col") if c in kw}, {c: kw[c] for c in ("query_id_col", "query_vec_col") if c in kw})
+
+
 def vector_search(collection: DataFrame, queries: DataFrame, k: int = 10, radius: float = 1.0, is_knn: bool = True,
                   method: str = "sequential", names: DataFrame | None = None, root: str = "media",
                   reduction=None, **kw) -> DataFrame:
@@ -397,11 +503,29 @@ def vector_search(collection: DataFrame, queries: DataFrame, k: int = 10, radius
     if is_knn:
         if how == "lsh":
             hits = lsh_knn(collection, queries, k, **kw)
-        else:  # a grid kNN is answered exactly (the reference's R-tree kNN is exact too)
+        elif how in ("pivot", "grid", "zorder"):  # exact kNN through a candidate index, as the reference's tree
+            from ranklight.operators import pivots
+
+            own, asked = _named_columns(kw)
+            hits = pivots.knn(pivots.build(collection, **own), queries, k, metric, **asked)
+        else:
             hits = knn(collection, queries, k, metric, **kw)
     else:
         if how == "grid":
             hits = grid_within(collection, queries, radius, metric, **kw)
+        elif how == "pivot":
+            from ranklight.operators import pivots
+
+            own, asked = _named_columns(kw)
+            hits = pivots.within(pivots.build(collection, **own), queries, radius, metric, **asked)
+        elif how == "zorder":
+            from ranklight.operators import zorder
+            from ranklight.session import checkpoint_dir
+
+            own, asked = _named_columns(kw)
+            path = f"{checkpoint_dir(collection.sparkSession).rstrip('/')}/ranklight/zorder-{uuid.uuid4().hex}"
+            zorder.save(collection, path, **own)
+            hits = zorder.within(zorder.load(collection.sparkSession, path), queries, radius, metric, **asked)
         else:
             hits = within(collection, queries, radius, metric, **kw)
         hits = hits.withColumn("rank", F.lit(None).cast("long"))

@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from ranklight.operators import indexing, ranking
+from ranklight.operators import impacts, indexing, ranking
 from ranklight.plans import duck
 from ranklight.plans.catalog import K, r6, register, table
+from ranklight.session import checkpoint_dir
+from ranklight.sources import index_store, segments
 
 
 def _index(spark, sf_dir):
     return indexing.build_index(table(spark, sf_dir, "documents"))
 
 
+def _saved(spark, sf_dir, **settings):
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ranklight/index-{uuid.uuid4().hex}"
+    return index_store.replace_collection(table(spark, sf_dir, "documents"), path, **settings)
+
+
 def _queries(spark, sf_dir):
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
 
@@ -65,6 +74,15 @@ def m3_cosine_single(spark, sf_dir):
     return hits.select("query_id", "rank", "doc_id", r6("score").alias("score"))
 
 
+@register("m3_saved_single",
+          f"WITH {IDX},\n" + duck.query_ctes(f"(SELECT 0::BIGINT AS item_id, {duck.q(ONE_TEXT)} AS text)") +
+          f",\n{duck.cosine_ctes()}\n{duck.top_k_sql('scores', K)}")
+def m3_saved_single(spark, sf_dir):
+    """One query string on a saved index, by the block-max impact table with all its pruning rounds."""
+    hits = impacts.search_one(_saved(spark, sf_dir), ONE_TEXT, K, "cosine", one_pass=0)
+    return hits.select("query_id", "rank", "doc_id", r6("score").alias("score"))
+
+
 BM25_K1, BM25_B = 1.2, 0.75
 BM25_SQL = (
     f"WITH {IDX},\n{QRY},\n"
@@ -75,6 +93,13 @@ BM25_SQL = (
     "GROUP BY q.query_id, p.doc_id)\n" + duck.top_k_sql("bm", K))
 
 
+@register("m5_saved_single", BM25_SQL.replace(QRY, duck.query_ctes(f"(SELECT 0::BIGINT AS item_id, {duck.q(ONE_TEXT)} AS text)")))
+def m5_saved_single(spark, sf_dir):
+    """The same by BM25."""
+    hits = impacts.search_one(_saved(spark, sf_dir), ONE_TEXT, K, "bm25", k1=BM25_K1, b=BM25_B, one_pass=0)
+    return hits.select("query_id", "rank", "doc_id", r6("score").alias("score"))
+
+
 @register("m5_bm25_batch", BM25_SQL)
 def m5_bm25_batch(spark, sf_dir):
     hits = ranking.bm25_search(_index(spark, sf_dir), _queries(spark, sf_dir), K, k1=BM25_K1, b=BM25_B)
@@ -96,14 +121,8 @@ def m7_search_with_text(spark, sf_dir):
 @register("s3_saved_index_search",
           f"WITH {IDX},\n{QRY},\n{duck.cosine_ctes()}\n{duck.top_k_sql('scores', K)}")
 def s3_saved_index_search(spark, sf_dir):
-    """S3/S4/S5 round trip: build, write (bucketed by term), reopen, search — equals m4."""
-    from ranklight.session import checkpoint_dir
-    from ranklight.sources import index_store
-    import uuid
-
-    path = f"{checkpoint_dir(spark).rstrip('/')}/ranklight/index-{uuid.uuid4().hex}"
-    idx = index_store.replace_collection(table(spark, sf_dir, "documents"), path)
-    hits = ranking.cosine_search(idx, _queries(spark, sf_dir), K)
+    """S3/S4/S5 round trip: build, write, reopen, search — equals m4."""
+    hits = ranking.cosine_search(_saved(spark, sf_dir), _queries(spark, sf_dir), K)
     return hits.select("query_id", "rank", "doc_id", r6("score").alias("score"))
 
 
@@ -114,25 +133,40 @@ STOP = ("the", "of", "and", "de", "la")
           f"WITH {duck.index_ctes(stopwords=STOP)},\n{duck.query_ctes(stopwords=STOP)},\n{duck.cosine_ctes()}\n{duck.top_k_sql('scores', K)}")
 def s3_saved_index_own_stoplist(spark, sf_dir):
     """S3: an index saved with its own stop list; queries after the reload are analysed with that list."""
-    from ranklight.session import checkpoint_dir
-    from ranklight.sources import index_store
-    import uuid
-
-    path = f"{checkpoint_dir(spark).rstrip('/')}/ranklight/index-{uuid.uuid4().hex}"
-    idx = index_store.replace_collection(table(spark, sf_dir, "documents"), path, stopwords=STOP)
-    hits = ranking.cosine_search(idx, _queries(spark, sf_dir), K)
+    hits = ranking.cosine_search(_saved(spark, sf_dir, stopwords=STOP), _queries(spark, sf_dir), K)
     return hits.select("query_id", "rank", "doc_id", r6("score").alias("score"))
 
 
+def _grown(spark, sf_dir):
+    """A store of the whole table in three appends and a merge; the first append holds outdated texts of every fifth
+    document, which the last one replaces."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ranklight/store-{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    own, old = F.pmod(F.xxhash64("doc_id"), F.lit(3)), F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
+    now = segments.append(segments.create(spark, path), docs.withColumn("text", F.when(old, F.reverse("text")).otherwise(F.col("text"))).filter(own == 0))
+    now = segments.append(now, docs.filter(own == 1))
+    now = segments.append(now, docs.filter((own == 2) | (own == 0) & old))
+    return segments.merge(now, max_docs=0)
+
+
+@register("s5_append_equals_rebuild",
+          f"WITH {IDX},\n{QRY},\n{duck.cosine_ctes()}\n{duck.top_k_sql('scores', K)}")
+def s5_append_equals_rebuild(spark, sf_dir):
+    """Hits over a store grown by appends, replacements and a merge, against an index built at once."""
+    return segments.search(_grown(spark, sf_dir), _queries(spark, sf_dir), K).select(
+        "query_id", "rank", "doc_id", r6("score").alias("score"))
+
+
+@register("a6_norms_after_appends", f"WITH {IDX} SELECT doc_id, round(norm, 6) AS norm FROM norms")
+def a6_norms_after_appends(spark, sf_dir):
+    """Norms from mergeable statistics after appends, replacements and a merge."""
+    return _grown(spark, sf_dir).norms.select("doc_id", r6("norm").alias("norm"))
+
+
 @register("s4_saved_norms", f"WITH {IDX} SELECT doc_id, round(norm, 6) AS norm, dl FROM norms")
 def s4_saved_norms(spark, sf_dir):
     """Document norms and lengths read back from a saved index."""
-    from ranklight.session import checkpoint_dir
-    from ranklight.sources import index_store
-    import uuid
-
-    path = f"{checkpoint_dir(spark).rstrip('/')}/ranklight/index-{uuid.uuid4().hex}"
-    norms = index_store.replace_collection(table(spark, sf_dir, "documents"), path).norms
+    norms = _saved(spark, sf_dir).norms
     return norms.select("doc_id", r6("norm").alias("norm"), "dl")
 
 

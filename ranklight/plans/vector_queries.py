@@ -3,10 +3,13 @@ radius join), the known-item pattern run for every item at once."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from ranklight.operators import neighbours
+from ranklight.operators import neighbours, pivots, zorder
 from ranklight.plans.catalog import r6, register, table
+from ranklight.session import checkpoint_dir
 
 K_VEC = 5
 RADIUS = 1.2          # Euclidean
@@ -52,9 +55,9 @@ def m8_knn_exact_l2(spark, sf_dir):
 
 @register("m8_knn_exact_l2_blocked", _knn_sql(PAIRS_L2, K_VEC))
 def m8_knn_exact_l2_blocked(spark, sf_dir):
-    """Same query through the salted-cogroup strategy (broadcast disabled, small blocks)."""
+    """Same query through the salted-cogroup strategy (small blocks)."""
     e = _emb(spark, sf_dir)
-    return _knn_out(neighbours.knn(e, _as_queries(e), K_VEC, "l2", max_broadcast_queries=0, block_rows=128))
+    return _knn_out(neighbours.knn(e, _as_queries(e), K_VEC, "l2", block_rows=128))
 
 
 @register("m9_range_exact_l2", _range_sql(PAIRS_L2, RADIUS))
@@ -88,6 +91,68 @@ def m13_range_exact_sqeuclidean(spark, sf_dir):
     return _range_out(neighbours.within(e, _as_queries(e), RADIUS_SQ, "sqeuclidean"))
 
 
+@register("m10_knn_pivot", _knn_sql(PAIRS_L2, K_VEC))
+def m10_knn_pivot(spark, sf_dir):
+    """Exact kNN through the pivot index, built over the whole table: cells, rings, and the visits that bounds leave."""
+    e = _emb(spark, sf_dir)
+    return _knn_out(pivots.knn(pivots.build(e), _as_queries(e), K_VEC))
+
+
+@register("m9_range_pivot_l2", _range_sql(PAIRS_L2, RADIUS))
+def m9_range_pivot_l2(spark, sf_dir):
+    """The radius join through the pivot index."""
+    e = _emb(spark, sf_dir)
+    return _range_out(pivots.within(pivots.build(e), _as_queries(e), RADIUS))
+
+
+def _zindex(spark, sf_dir):
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ranklight/zorder-{uuid.uuid4().hex}"
+    zorder.save(_emb(spark, sf_dir), path)
+    return zorder.load(spark, path)
+
+
+BOX = 0.3  # half-width of the box around every query
+
+
+@register("p10_box_query",
+          "SELECT query_id, vec_id, round(dist, 6) AS dist FROM (SELECT q.vec_id AS query_id, c.vec_id, "
+          "list_distance(q.embedding::DOUBLE[], c.embedding::DOUBLE[]) AS dist, list_max([abs(x.a - x.b) FOR x IN "
+          "list_transform(range(1, len(q.embedding) + 1), i -> {'a': q.embedding[i]::DOUBLE, 'b': c.embedding[i]::DOUBLE})]) AS far "
+          f"FROM embeddings q, embeddings c) WHERE far <= {BOX}")
+def p10_box_query(spark, sf_dir):
+    """P10: for every vector, all vectors inside the box of half-width ``BOX`` around it, through the stored Z-order index."""
+    e = _emb(spark, sf_dir)
+    return _range_out(zorder.box(_zindex(spark, sf_dir), _as_queries(e), BOX))
+
+
+@register("m11_range_zorder", _range_sql(PAIRS_L2, RADIUS))
+def m11_range_zorder(spark, sf_dir):
+    """M11 through the stored Z-order index."""
+    e = _emb(spark, sf_dir)
+    return _range_out(zorder.within(_zindex(spark, sf_dir), _as_queries(e), RADIUS))
+
+
+@register("m14_vector_range_grid", _range_sql(PAIRS_L2, RADIUS))
+def m14_vector_range_grid(spark, sf_dir):
+    """M14's method switch, ``grid``: the radius search through the grid index."""
+    e = _emb(spark, sf_dir)
+    return _range_out(neighbours.vector_search(e, _as_queries(e), radius=RADIUS, is_knn=False, method="grid"))
+
+
+@register("m14_vector_search_flat", _knn_sql(PAIRS_SQ, K_VEC))
+def m14_vector_search_flat(spark, sf_dir):
+    """M14's method switch, ``flat``: squared distances."""
+    e = _emb(spark, sf_dir)
+    return _knn_out(neighbours.vector_search(e, _as_queries(e), K_VEC, method="flat"))
+
+
+@register("m14_vector_search_pivot", _knn_sql(PAIRS_L2, K_VEC))
+def m14_vector_search_pivot(spark, sf_dir):
+    """M14's method switch, ``pivot``: exact kNN through the candidate index."""
+    e = _emb(spark, sf_dir)
+    return _knn_out(neighbours.vector_search(e, _as_queries(e), K_VEC, method="pivot"))
+
+
 @register("m10_knn_lsh")
 def m10_knn_lsh(spark, sf_dir):
     """Approximate: no SQL twin (recall against m8 is checked in the tests)."""

@@ -40,7 +40,7 @@ def test_blocked_knn_with_tiny_blocks(spark):
     pts = rng.normal(size=(120, 3))
     coll = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(pts)], "vec_id bigint, embedding array<double>")
     q = coll.select(F.col("vec_id").alias("query_id"), "embedding")
-    got = {(r.query_id, r.rank, r.vec_id) for r in neighbours.knn(coll, q, 3, max_broadcast_queries=0, block_rows=7).collect()}
+    got = {(r.query_id, r.rank, r.vec_id) for r in neighbours.knn(coll, q, 3, block_rows=7).collect()}
     d = np.sqrt(((pts[:, None, :] - pts[None, :, :]) ** 2).sum(-1))
     want = set()
     for i in range(len(pts)):

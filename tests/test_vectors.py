@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,8 +17,10 @@ def _q(spark, v):
 
 def test_g3_knn_and_tie(spark):
     c = _coll(spark, [(1, 4, 7), (2, 5, 8), (3, 6, 9)])
-    for mb in (100, 0):  # broadcast path and blocked path
-        r = neighbours.knn(c, _q(spark, (2, 5, 8)), 2, max_broadcast_queries=mb).orderBy("rank").collect()
+    one = [(0, [2.0, 5.0, 8.0])]
+    for hits in (neighbours.knn(c, _q(spark, (2, 5, 8)), 2), neighbours.knn(c, _q(spark, (2, 5, 8)), 2, block_rows=2),
+                 neighbours.knn_of(c, one, 2)):  # parts, blocked, literal
+        r = hits.orderBy("rank").collect()
         assert [x.vec_id for x in r] == [1, 0]
         assert r[1].dist == pytest.approx(math.sqrt(3))
 
@@ -74,28 +77,58 @@ def test_squared_knn_same_order_as_l2(spark, emb):
     assert a == b
 
 
-def test_blocked_equals_broadcast(spark, emb):
+def test_blocked_equals_broadcast(spark, emb, monkeypatch):
     q = emb.select(F.col("vec_id").alias("query_id"), "embedding")
     a = _set(neighbours.knn(emb, q, 5), ("query_id", "rank", "vec_id"))
-    b = _set(neighbours.knn(emb, q, 5, max_broadcast_queries=0, block_rows=50), ("query_id", "rank", "vec_id"))
-    assert a == b
+    assert a == _set(neighbours.knn(emb, q, 5, block_rows=50), ("query_id", "rank", "vec_id"))
+    literal = [(r.query_id, r.embedding) for r in q.collect()]
+    assert a == _set(neighbours.knn_of(emb, literal, 5), ("query_id", "rank", "vec_id"))
+    assert _set(neighbours.within_of(emb, literal, 1.2)) == _set(neighbours.within(emb, q, 1.2))
+    monkeypatch.setattr(neighbours, "PACK_ROWS", 16)  # many blobs, many parts
+    monkeypatch.setattr(neighbours, "PART_BLOBS", 2)
+    assert a == _set(neighbours.knn(emb.repartition(3), q.repartition(2), 5), ("query_id", "rank", "vec_id"))
+
+
+def test_no_query_passes_through_the_driver(spark, emb, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
 
+    def refused(self, *a):
+        raise AssertionError("rows were fetched")
 
-def test_lsh_recall_floor(spark, emb):
+    for name in ("collect", "take", "toPandas", "toLocalIterator"):
+        monkeypatch.setattr(DataFrame, name, refused)
     q = emb.select(F.col("vec_id").alias("query_id"), "embedding")
-    exact = _set(neighbours.knn(emb, q, 5))
-    hits = neighbours.lsh_knn(emb, q, 5).collect()
-    true = {(r.query_id, r.vec_id): r.dist for r in neighbours.within(emb, q, 10.0).collect()}
-    assert all(abs(true[r.query_id, r.vec_id] - r.dist) < 1e-9 for r in hits)  # candidates are re-ranked exactly
-    assert {r.rank for r in hits} <= {1, 2, 3, 4, 5}
-    approx = _set(neighbours.lsh_knn(emb, q, 5))
-    recall = len(exact & approx) / len(exact)
-    assert recall >= 0.5
+    neighbours.knn(emb, q, 5), neighbours.within(emb, q, 1.2)
+
+
+@pytest.mark.parametrize("scale", [1.0, 20.0, 0.01])
+def test_lsh_recall_with_defaults(spark, emb, scale):
+    e = emb.select("vec_id", F.transform("embedding", lambda x: x.cast("double") * scale).alias("embedding"))
+    q = e.select(F.col("vec_id").alias("query_id"), "embedding")
+    exact = _set(neighbours.knn(e, q, 5))
+    hits = neighbours.lsh_knn(e, q, 5).collect()
+    true = {(r.query_id, r.vec_id): r.dist for r in neighbours.within(e, q, 10.0 * scale).collect()}
+    assert all(abs(true[r.query_id, r.vec_id] - r.dist) < 1e-9 * max(1, scale) for r in hits)  # candidates are ranked exactly
+    assert len(hits) == 5 * q.count() and {r.rank for r in hits} == {1, 2, 3, 4, 5}
+    assert len(exact & {(r.query_id, r.vec_id) for r in hits}) / len(exact) >= 0.9
+
+
+def test_lsh_on_clusters_is_not_completed_for_most(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(20, 16)) * 8
+    c = _coll(spark, [centres[i % 20] + rng.normal(size=16) * 0.4 for i in range(600)] + [centres[0] + 300])
+    q = c.select(F.col("vec_id").alias("query_id"), "embedding")
+    report = {}
+    hits = neighbours.lsh_knn(c, q, 4, report=report)
+    exact = _set(neighbours.knn(c, q, 4))
+    assert len(exact & _set(hits)) / len(exact) >= 0.9 and hits.count() == 4 * 601
+    assert 1 <= report["completed"] < 0.5 * report["queries"]
+    assert neighbours.lsh_knn(c.limit(3), q, 9).count() == 3 * 601 and neighbours.lsh_knn(c, q, 0).count() == 0
 
 
 def test_exact_plan_has_no_cartesian(spark, emb):
     q = emb.select(F.col("vec_id").alias("query_id"), "embedding")
-    for df in (neighbours.knn(emb, q, 5), neighbours.knn(emb, q, 5, max_broadcast_queries=0)):
+    for df in (neighbours.knn(emb, q, 5), neighbours.knn(emb, q, 5, block_rows=128)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 

@@ -50,7 +50,7 @@ def main():
         ("Cosine search, one query, saved index (M3)", ranking.cosine_search(saved, ranking.single_query(spark, "sun sea and sand"), 10)),
         ("Cosine search, all benchmark queries, saved index (M4)", ranking.cosine_search(saved, bench, 10)),
         ("Exact kNN, all vectors, broadcast query batch (M8)", neighbours.knn(emb, emb_q, 5)),
-        ("Exact kNN, blocked strategy (M8, broadcast disabled)", neighbours.knn(emb, emb_q, 5, max_broadcast_queries=0, block_rows=128)),
+        ("Exact kNN, blocked strategy (M8, salted cogroup)", neighbours.knn(emb, emb_q, 5, block_rows=128)),
         ("Grid radius search (M11)", neighbours.grid_within(emb, emb_q, 1.2)),
         ("Signal features (M17)", features.signal_features(read("events"), "user_id", ["ts", "event_id"], "value", 8, 6, 10)),
     ]
