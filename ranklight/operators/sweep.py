@@ -1,10 +1,9 @@
 """M6 + S10: search quality/latency sweep over growing corpus prefixes, in one job.
 
-The reference rebuilds its index once per prefix size (sizes double up to the full corpus).  Here the
-postings are computed once; each posting is replicated to the prefix sizes that contain its document
-(``explode(filter(sizes, n -> n > ordinal))`` — at most ``levels`` copies, a parameter, not data), and
-the prefix size ``n`` is added to every grouping key: df, N (= n), norms, query weights and the per
-query top-k are all computed per size in the same plan.
+The reference rebuilds its index once per prefix size (sizes double up to the full corpus).  Here every posting is
+counted once, whatever the number of sizes: a term's document frequencies in all prefixes are sums over its postings, taken side
+by side in one aggregate; so are a document's norms and the products of a query and a document.  Only the
+finished scores of a (query, document) are spread over the sizes, and the k best of each pass on.
 
 Sizes follow the reference's rule (each size doubles the previous one, the last is the whole corpus):
 ``ceil(N / 2^i)`` for ``i < levels``, computed from the data.
@@ -12,7 +11,7 @@ Sizes follow the reference's rule (each size doubles the previous one, the last
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ranklight.functions.text import tokens
@@ -34,23 +33,32 @@ def prefix_sweep(docs: DataFrame, queries: DataFrame, k: int = 5, levels: int =
                  stopwords=None) -> DataFrame:
     """``(n, query_id, rank, doc_id, score)``: cosine top-k per query for every prefix size ``n``."""
     n_docs = docs.select(F.count(F.lit(1))).scalar()
+    sizes = [F.ceil(n_docs / F.lit(2.0 ** i)).cast("bigint") for i in range(levels)]
+    steps = range(levels)
     docs = spread(docs.select(id_col, text_col))
     ords = with_ordinal(docs.select(F.col(id_col).alias("doc_id")), ["doc_id"])
-    postings = materialize(term_frequencies(docs, id_col, text_col, stopwords), "sweep-postings")
-    sized = (postings.join(ords, "doc_id").withColumn("_sizes", prefix_sizes(n_docs, levels))
-                     .withColumn("n", F.explode(F.filter("_sizes", lambda s: s > F.col("ordinal")))).drop("_sizes"))
-    vocab = sized.groupBy("n", "term").agg(F.count("tf").alias("df"))
-    w = sized.join(vocab, ["n", "term"]).withColumn("w", log_tf("tf") * log_idf(F.col("n"), F.col("df")))
-    w = w.withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("n", "doc_id"))))
-    w = w.select("n", "term", "doc_id", F.try_divide(F.col("w"), F.col("norm")).alias("wn"))
+    postings = materialize(term_frequencies(docs, id_col, text_col, stopwords).join(ords, "doc_id"), "sweep-postings")
+
+    def inside(i: int, value) -> Column:
+        """The value for documents of the i-th prefix, else NULL (which sums leave out)."""
+        return F.when(F.col("ordinal") < sizes[i], value)
+
+    vocab = postings.groupBy("term").agg(*[F.count(inside(i, F.lit(1))).alias(f"df{i}") for i in steps])
+    weighted = postings.join(vocab, "term").select("term", "doc_id", *[
+        inside(i, log_tf("tf") * log_idf(sizes[i], F.col(f"df{i}"))).alias(f"w{i}") for i in steps])
+    norms = weighted.groupBy("doc_id").agg(*[F.sqrt(F.sum(F.col(f"w{i}") * F.col(f"w{i}"))).alias(f"norm{i}") for i in steps])
 
     q = tokens(queries, query_id_col, query_text_col, stopwords, out_id="query_id")
-    q = q.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
-    q = q.join(vocab, "term").withColumn("qw", log_tf("qtf") * log_idf(F.col("n"), F.col("df")))
-    q = q.withColumn("qnorm", F.sqrt(F.sum(F.col("qw") * F.col("qw")).over(Window.partitionBy("n", "query_id"))))
-    q = q.select("n", "query_id", "term", F.try_divide(F.col("qw"), F.col("qnorm")).alias("qwn"))
-    s = (q.join(w, ["n", "term"]).groupBy("n", "query_id", "doc_id")
-          .agg(F.sum(F.col("qwn") * F.col("wn")).alias("score")).filter(F.col("score").isNotNull()))
+    q = q.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf")).join(vocab, "term")
+    q = q.select("query_id", "term", *[(log_tf("qtf") * log_idf(sizes[i], F.col(f"df{i}"))).alias(f"qw{i}") for i in steps])
+    qnorms = q.groupBy("query_id").agg(*[F.sqrt(F.sum(F.col(f"qw{i}") * F.col(f"qw{i}"))).alias(f"qnorm{i}") for i in steps])
+    dots = q.join(weighted, "term").groupBy("query_id", "doc_id").agg(
+        *[F.sum(F.col(f"qw{i}") * F.col(f"w{i}")).alias(f"dot{i}") for i in steps])
+    found = dots.join(norms, "doc_id").join(qnorms, "query_id")
+    scores = [F.struct(sizes[i].alias("n"), F.try_divide(F.col(f"dot{i}"), F.col(f"qnorm{i}") * F.col(f"norm{i}")).alias("score")) for i in steps]
+    # sizes of a small corpus may coincide: equal ones have equal scores and count once
+    s = found.select("query_id", "doc_id", F.explode(F.array_distinct(F.array(*scores))).alias("s"))
+    s = s.select("query_id", "doc_id", "s.n", "s.score").filter(F.col("score").isNotNull())
     s = s.withColumn("key", F.struct("n", "query_id"))
     return top_k(s, k, key="key").select("n", "query_id", "rank", "doc_id", "score")
 
