@@ -128,6 +128,17 @@ def merge_spans(doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[n
     return doc[first], start[first], far[np.concatenate((first[1:], [len(doc)])) - 1]
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened where ``df`` has a column called so."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def passing(docs: DataFrame, text_col: str, new: list[str]) -> tuple[DataFrame, list[str], str]:
     """``docs`` for a map over Arrow batches that returns its columns and then the columns ``new``.
 

@@ -6,15 +6,17 @@ words.  Probabilities are fitted by expectation-maximisation: expected piece cou
 backward sums of the training words, added up by Spark over partitions.  The sums of every word and language are rescaled
 by powers of two along the word, so words of improbable pieces do not underflow.
 
-Words are the runs of letters of the whole text, lower-cased.  A run over ``MAX_RUN`` letters is read as
-consecutive words of that length, so no text is too long.  A letter outside the vocabulary is covered by
-one unknown piece.
+Words are the runs of letters of the whole text, lower-cased, however long.  A letter outside the vocabulary is
+covered by one unknown piece.  Lattices are built for ``LETTERS`` letters of distinct words at a time, and the scores of
+words seen before are kept up to ``CACHE_NUMBERS`` numbers, so a task's memory depends on neither texts nor languages.
 
 Training uses a bounded sample: about ``train_docs`` documents for each language (all, if it has fewer), chosen by a
 hash of the id over the whole table.  Scoring covers every document.
 
 Null text, or text without a letter: ``und`` with score 0.  Without any training document every
-document is ``und``.  Equal scores go to the smaller language name.
+document is ``und``.  Equal scores go to the smaller language name.  A row with a null id is in training.  Repeated rows are
+rows of their own, in training and in the result.  An empty table gives no row.  Extra columns pass through ``predict`` and are not
+read by ``identify``; the two result columns replace columns of their names.
 """
 
 from __future__ import annotations
@@ -28,24 +30,33 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ranklight.llm.common import crc_mod, passing, slices, tidied
+from ranklight.llm.common import byte_slices, crc_mod, passing, slices, tidied
 from ranklight.llm.vocabulary import MARK, SENTENCE_PIECES, read_pieces
 from ranklight.sources.scratch import materialize
 
-MAX_RUN = 64
 STEP = 64  # binary digits of one rescaling
 TRAIN_DOCS = 2000
 ROUNDS = 3
 CACHE_WORDS = 200_000
+CACHE_NUMBERS = 2_000_000
+LETTERS = 1 << 17
 
 
 def letter_runs(text: str) -> list[str]:
     import regex  # Unicode letters in one pattern
 
-    runs = regex.findall(r"\p{L}[\p{L}\p{M}]*", text.lower())
-    if any(len(r) > MAX_RUN for r in runs):
-        runs = [r[i:i + MAX_RUN] for r in runs for i in range(0, len(r), MAX_RUN)]
-    return runs
+    return regex.findall(r"\p{L}[\p{L}\p{M}]*", text.lower())
+
+
+def lettered(words: list[str]) -> Iterator[list[str]]:
+    """Words cut into lists of about ``LETTERS`` letters (one word at least)."""
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+    at = 0
+    while at < len(words):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + LETTERS, side="right")))
+        yield words[at:to]
+        at = to
 
 
 class Lattice:
@@ -69,7 +80,7 @@ class Lattice:
             piece = np.concatenate((piece, np.full(len(lone), unknown)))[order]
             length = np.concatenate((length, np.ones(len(lone), np.int64)))[order]
         word = word_at[end]
-        step = (end + 1 - first[word]).astype(np.uint8)  # letters of the word up to the arc's end, at most MAX_RUN + 1
+        step = (end + 1 - first[word]).astype(np.min_scalar_type(int(size.max(initial=0))))  # letters of the word up to the arc's end
         order = np.argsort(step, kind="stable")  # within a step the arcs stay in text order
         self.piece = piece[order]
         self.to = (end + 1 + word)[order]  # every word has one node more than letters
@@ -139,6 +150,47 @@ def _automaton(pieces: dict[str, int]):
     return found
 
 
+class _Scores:
+    """Log probabilities of texts, given as lists of words; those of words are kept while there is room."""
+
+    def __init__(self, automaton, unknown: int, p: np.ndarray):
+        self.automaton, self.unknown, self.p = automaton, unknown, p
+        self.room = max(1024, min(CACHE_WORDS, CACHE_NUMBERS // max(1, p.shape[1])))
+        self.row: dict[str, int] = {}
+        self.scores = np.zeros((self.room, p.shape[1]))
+
+    def _learn(self, words: set[str]) -> None:
+        for own in lettered(sorted(words)):
+            at = len(self.row)
+            self.scores[at:at + len(own)] = Lattice(self.automaton, self.unknown, own).logs(self.p)
+            self.row.update(zip(own, range(at, at + len(own))))
+
+    def totals(self, runs: list[list[str]]) -> np.ndarray:
+        out = np.zeros((len(runs), self.p.shape[1]))
+        held: list[tuple[int, list[str]]] = []
+        new: set[str] = set()
+
+        def add_up() -> None:
+            self._learn(new)
+            for i, words in held:
+                out[i] += self.scores[np.fromiter(map(self.row.__getitem__, words), np.int64, len(words))].sum(axis=0)
+            held.clear()
+            new.clear()
+
+        for i, words in enumerate(runs if self.p.shape[1] else []):
+            for at in range(0, len(words), self.room):
+                part = words[at:at + self.room]
+                fresh = set(part).difference(self.row, new)
+                if len(self.row) + len(new) + len(fresh) > self.room:
+                    add_up()
+                    self.row.clear()
+                    fresh = set(part)
+                new |= fresh
+                held.append((i, part))
+        add_up()
+        return out
+
+
 class LanguageModel:
     """Per-language piece probabilities (a ``pieces x languages`` matrix, bounded by the vocabulary)."""
 
@@ -152,28 +204,21 @@ class LanguageModel:
         spark = docs.sparkSession
         model = spark.sparkContext.broadcast((self.languages, self.p, self.pieces))
         data, kept, schema = passing(docs, text_col, list(names))
+        b_text = len(kept)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             languages, p, pieces = model.value
             automaton, unknown = _automaton(pieces), len(pieces)
-            row: dict[str, int] = {}
-            scores = np.zeros((0, len(languages)))
-            for b in slices(batches, 512):
-                runs = [letter_runs(t) if t else [] for t in b.column(b.num_columns - 1).to_pylist()]
-                if len(row) > CACHE_WORDS:
-                    row, scores = {}, scores[:0]
-                new = sorted(set().union(*runs).difference(row))
-                if new and languages:
-                    lattice = Lattice(automaton, unknown, new)
-                    row.update(zip(new, range(len(row), len(row) + len(new))))
-                    scores = np.concatenate((scores, lattice.logs(p)))
+            kept_words = _Scores(automaton, unknown, p)
+            for b in byte_slices(batches, b_text, 2 << 20):
+                runs = [letter_runs(t) if t else [] for t in b.column(b_text).to_pylist()]
+                totals = kept_words.totals(runs)
                 pred, score = [], []
-                for words in runs:
+                for words, total in zip(runs, totals):
                     if not words or not languages:
                         pred.append("und")
                         score.append(0.0)
                         continue
-                    total = scores[np.fromiter(map(row.__getitem__, words), np.int64, len(words))].sum(axis=0)
                     best = int(total.argmax())
                     pred.append(languages[best])
                     score.append(float(1.0 / np.exp(total - total[best]).sum()))
@@ -187,7 +232,7 @@ class LanguageModel:
 def word_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     """``lang, word, n`` over all letter runs (counted in each task before the shuffle)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in byte_slices(batches, 1):
             seen: Counter = Counter()
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if text:
@@ -227,12 +272,15 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             automaton, total = _automaton(pieces), np.zeros_like(p)
             for b in slices(batches, 20_000):
                 lang, word, n = (c.to_pylist() for c in b.columns)
-                own = sorted(set(word))
-                index = {w: i for i, w in enumerate(own)}
-                weight = np.zeros((len(own), p.shape[1]))
+                seen: dict[str, list[tuple[int, int]]] = {}
                 for k, w, c in zip(lang, word, n):
-                    weight[index[w], column[k]] += c
-                total += Lattice(automaton, len(pieces), own).expected(p, weight)
+                    seen.setdefault(w, []).append((column[k], c))
+                for own in lettered(sorted(seen)):
+                    weight = np.zeros((len(own), p.shape[1]))
+                    for i, w in enumerate(own):
+                        for k, c in seen[w]:
+                            weight[i, k] += c
+                    total += Lattice(automaton, len(pieces), own).expected(p, weight)
             i, j = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(total[i, j])],
                                              ["piece", "lang", "n"])
