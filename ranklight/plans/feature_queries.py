@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ranklight.functions import vectors as V
-from ranklight.operators import features, neighbours
+from ranklight.operators import features, neighbours, wide
 from ranklight.plans.catalog import r6, register, table
 from ranklight.plans.vector_queries import K_VEC, PAIRS_L2, _knn_sql, _knn_out
 
@@ -155,6 +155,16 @@ def m15_pca_explained_variance(spark, sf_dir):
     return df.withColumn("cum_ratio", F.sum("ratio").over(w)).withColumn("kept", F.col("component") < F.lit(red.n))
 
 
+@register("m15_wide_captured",
+          "SELECT round(sum(v), 6) AS total_variance, 1.0::DOUBLE AS captured, count(*)::INTEGER AS components FROM (SELECT var_samp(x) AS v FROM "
+          "(SELECT generate_subscripts(embedding, 1) AS pos, unnest(embedding)::DOUBLE AS x FROM embeddings) GROUP BY pos)")
+def m15_wide_captured(spark, sf_dir):
+    """M15/A12 by the range finder: the total variance, and the share that all components capture."""
+    red = wide.fit(table(spark, sf_dir, "embeddings"), "embedding", components=64)
+    return spark.range(1).select(F.round(F.lit(red.total_variance), 6).alias("total_variance"),
+                                 F.round(F.lit(float(sum(red.ratios))), 9).alias("captured"), F.lit(red.n).alias("components"))
+
+
 @register("m18_projection_2d", "SELECT vec_id, round(embedding[4]::DOUBLE, 6) AS x, round(embedding[5]::DOUBLE, 6) AS y FROM embeddings")
 def m18_projection_2d(spark, sf_dir):
     p = features.project_2d(table(spark, sf_dir, "embeddings"), "embedding", 3, 4, "vec_id")

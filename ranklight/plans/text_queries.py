@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ranklight.operators import impacts, indexing, ranking
+from ranklight.operators import impacts, indexing, lookup, ranking
 from ranklight.plans import duck
 from ranklight.plans.catalog import K, r6, register, table
 from ranklight.session import checkpoint_dir
@@ -197,6 +197,17 @@ def a5_merge_partial_postings(spark, sf_dir):
     return indexing.merge_postings(*parts)
 
 
+@register("a4_posting_lookup",
+          f"WITH {IDX},\nasked AS (SELECT term, doc_id FROM postings UNION SELECT term, doc_id + 1 AS doc_id FROM postings) "
+          "SELECT a.term, a.doc_id, p.tf FROM asked a LEFT JOIN postings p USING (term, doc_id)")
+def a4_posting_lookup(spark, sf_dir):
+    """(term, document) pairs looked up by directory and binary search: every posting, and for each the next
+    document id, which may hold the term or not."""
+    postings = _index(spark, sf_dir).postings
+    pairs = postings.select("term", F.explode(F.array(F.col("doc_id"), F.col("doc_id") + 1)).alias("doc_id")).distinct()
+    return lookup.lookup(lookup.build(postings), pairs).select("term", "doc_id", "tf")
+
+
 @register("f19_packed_lookup",
           f"WITH {IDX} SELECT term, min(doc_id) AS first_doc, arg_min(tf, doc_id) AS tf_first, "
           "NULL::BIGINT AS tf_absent FROM postings GROUP BY term")
