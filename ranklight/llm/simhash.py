@@ -8,15 +8,18 @@
 3. In a shard a BK-tree is grown: a child hangs on its parent under the integer Hamming distance between
    the two, and a probe at distance d follows only the edges d - radius .. d + radius.  Links become
    the edges of a spanning forest of the shard, never all pairs.
-4. A shard over ``shard_rows`` is cut into parts.  Each pair of parts meets in a task of its own, so
-   the tree of one part is probed by the rows of the other and no task sees the whole shard.
+4. A shard over ``shard_rows`` is dealt again by the bits that its mask leaves out, cut into ``radius + 1`` blocks of which a
+   close pair shares one: ``radius + 1`` rows for each of its rows, however large it is.  What is still too large then (only
+   fingerprints that crowd into a few bits) is cut into parts; each pair of parts meets in a task of its own, so the tree
+   of one part is probed by the rows of the other and no task sees the whole shard.
 5. Components of the links, then the smallest document id of each.
 
 Fingerprints are never collected on the driver.  Shard trees travel to their probes by shuffle, not as
 broadcast variables, because their size grows with the corpus.
 
 Null text counts as empty.  Rows with the same id or the same text are ordinary rows; a null id never
-becomes a component id unless the whole component has none.
+becomes a component id unless the whole component has none.  An empty table gives no row.  Columns besides id and text are
+not read by ``near_duplicates`` and pass through ``representatives``, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ranklight.llm.common import id_and_text, shuffle_partitions, slices, text_bytes, tidied
+from ranklight.llm.common import id_and_text, shuffle_partitions, slices, text_bytes, tidied, unused
 from ranklight.llm.components import components
 from ranklight.sources.scratch import materialize
 
@@ -76,6 +79,13 @@ def shard_masks(count: int, radius: int) -> list[int]:
     return [sum(c) for c in itertools.combinations(parts, blocks - radius)]
 
 
+def inner_masks(mask: int, radius: int) -> list[int]:
+    """The mask with each of ``radius + 1`` blocks of the bits that it leaves out."""
+    left = [i for i in range(64) if not mask >> i & 1]
+    cuts = [len(left) * i // (radius + 1) for i in range(radius + 2)]
+    return [mask | sum(1 << i for i in left[lo:hi]) for lo, hi in itertools.pairwise(cuts)]
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
@@ -147,8 +157,17 @@ def links(fps: DataFrame, radius: int = 3, shard_rows: int = SHARD_ROWS) -> Data
     masks = shard_masks(distinct.count(), radius)
     keyed = distinct.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks]))
                             .alias("t", "v"))
-    big = (keyed.groupBy("t", "v").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > shard_rows)
-           .select("t", "v", F.ceil(2 * F.col("n") / shard_rows).cast("int").alias("cuts")))
+
+    def crowded(df: DataFrame) -> DataFrame:
+        return df.groupBy("t", "v").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > shard_rows)
+
+    large = materialize(crowded(keyed).select("t", "v"), "simhash-large")
+    inner = F.array(*[F.array(*[F.lit(_signed(x)) for x in inner_masks(m, radius)]) for m in masks])
+    again = keyed.join(large, ["t", "v"], "left_semi").select("fp", "t", F.posexplode(F.transform(
+        F.element_at(inner, F.col("t") + 1), lambda m: F.col("fp").bitwiseAND(m))).alias("j", "w"))
+    again = again.select("fp", (len(masks) + F.col("t") * (radius + 1) + F.col("j")).alias("t"), F.col("w").alias("v"))
+    keyed = keyed.join(large, ["t", "v"], "left_anti").select("fp", "t", "v").unionAll(again)
+    big = crowded(keyed).select("t", "v", F.ceil(2 * F.col("n") / shard_rows).cast("int").alias("cuts"))
     keyed = keyed.join(big, ["t", "v"], "left")
     part = F.pmod(F.xxhash64("fp", F.lit(1)), F.col("cuts")).cast("int")
     keyed = keyed.withColumn("part", F.coalesce(part, F.lit(0)))
@@ -205,11 +224,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """The rows of ``docs`` that stay when one document of each component does."""
+    """The rows of ``docs`` that stay when one document of each component does, with all their columns, whatever their
+    names."""
     near = near_duplicates(docs, id_col, text_col, **settings).filter("first")
+    names = unused(docs, "near_none", "near_id", "near_mark")
 
     def key(of_id, mark):  # a null id is an id of its own
-        return {"_near_none": of_id.isNull(), "_near_id": F.coalesce(of_id, F.lit(0)), "_near_mark": mark}
+        return dict(zip(names, (of_id.isNull(), F.coalesce(of_id, F.lit(0)), mark)))
 
     near = near.select(*[v.alias(k) for k, v in key(F.col("doc_id"), F.col("mark")).items()]).distinct()
     own = docs.withColumns(key(F.col(id_col).cast("long"), F.coalesce(F.xxhash64(F.col(text_col).cast("string")), F.lit(0))))
