@@ -3,8 +3,9 @@
 A window is ``window`` consecutive words of one document.  Its minimiser is the smallest hash among its
 ``gram``-word sequences.  Equal windows have equal minimisers, so a bucket (one minimiser) holds all
 occurrences of each of its windows.  Consecutive windows with the same minimiser (a super-k-mer) travel to
-their bucket as one packed string.  There the windows are sorted; equal neighbours are repeats, found by
-comparing the words themselves.
+their bucket as one packed string.  There the words become numbers and the windows are sorted by a hash of them; equal
+neighbours are repeats, found by comparing the words themselves (where two different windows share a hash, the windows of
+those buckets are sorted by exact names instead).  A task handles ``BUCKET_WORDS`` words of buckets at a time, one bucket at least.
 
 * Super-k-mers bound for the same part (a range of buckets) are packed into one compressed row for each
   map batch, so the shuffle carries few rows.
@@ -15,7 +16,8 @@ comparing the words themselves.
 * Covered words come back as intervals for each document and are joined with the text once.
 
 Null text counts as empty.  A document with a null id keeps all its words and removes none elsewhere.
-Rows that repeat an id are judged by themselves; equal ids are not smaller than one another.
+Rows that repeat an id are judged by themselves; equal ids are not smaller than one another.  An empty table gives no row.
+Extra columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ SLOTS = 1 << 16
 HOT_ROWS = 500  # a slot below this many super-k-mers is never hot
 LONGEST = 64    # windows in one super-k-mer
 PART_ROWS = 200_000  # super-k-mers in a part, on average
+BUCKET_WORDS = 1 << 19
 
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
@@ -155,37 +158,76 @@ def _bucket_spans(blobs: list[bytes], window: int) -> tuple[np.ndarray, ...]:
     heads = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1])))
     low, high = np.minimum.reduceat(doc[order], heads), np.maximum.reduceat(doc[order], heads)
     tails = np.append(heads[1:], len(order))
-    text = t.column("text")
+    text = t.column("text").combine_chunks()
+    size = t.column("n").to_numpy() + window - 1  # words
     who, pos = [], []
-    for g in np.flatnonzero(low < high):  # buckets that more than one document shares
-        windows = []
-        for r in order[heads[g]:tails[g]].tolist():
-            words = text[r].as_py().split(b" ")
-            where, d = int(at[r]), int(doc[r])
-            windows += [(words[i:i + window], d, r, where + i) for i in range(len(words) - window + 1)]
-        windows.sort()
-        first, before = None, None
-        for w, d, r, p in windows:
-            if w != before:
-                first, before = d, w
-            elif d > first:
-                who.append(r)
-                pos.append(p)
-    if not who:
+    shared = np.flatnonzero(low < high)  # buckets that more than one document shares
+    words = np.add.reduceat(size[order], heads)[shared] if len(shared) else np.zeros(0, np.int64)
+    lo = 0
+    while lo < len(shared):
+        hi = lo + max(1, int(np.searchsorted(np.cumsum(words[lo:]), BUCKET_WORDS, side="right")))
+        rows = np.concatenate([order[heads[g]:tails[g]] for g in shared[lo:hi]])
+        r, p = _repeated_windows(text.take(pa.array(rows)).to_pylist(), size[rows], doc[rows], window)
+        who.append(rows[r])
+        pos.append(at[rows[r]] + p)
+        lo = hi
+    who = np.concatenate(who) if who else np.zeros(0, np.int64)
+    pos = np.concatenate(pos).astype(np.int64) if len(who) else np.zeros(0, np.int64)
+    if not len(who):
         return (np.zeros(0, np.int64),) * 4
-    who, pos = np.array(who), np.array(pos, np.int64)
     owner, own = np.unique(np.stack((doc[who], mark[who]), 1), axis=0, return_inverse=True)
     i, start, stop = merge_spans(own.reshape(-1), pos, pos + window)
     return owner[i, 0], owner[i, 1], start, stop
 
 
+def _names(ids: np.ndarray, window: int) -> np.ndarray:
+    """A number for the window at every position, equal exactly for equal windows: names of 1, 2, 4, ... words are put
+    together as the binary digits of ``window`` say."""
+    n = len(ids) - window + 1
+    power, name, done, out = 1, ids.copy(), 0, np.zeros(n, np.int64)
+    while done < window:
+        if window & power:
+            out = np.unique(out * (len(ids) + 1) + name[done:done + n], return_inverse=True)[1]
+            done += power
+        if done < window:
+            name = np.unique(name[:-power] * (len(ids) + 1) + name[power:], return_inverse=True)[1]
+            power *= 2
+    return out
+
+
+def _repeated_windows(texts: list[bytes], size: np.ndarray, doc: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows that a smaller document of the buckets has too, as the index of their super-k-mer and the place in it."""
+    seen: dict[bytes, int] = {}
+    ids = np.fromiter((seen.setdefault(w, len(seen)) for t in texts for w in t.split(b" ")), np.int64, int(size.sum()))
+    many = size - window + 1
+    row = np.repeat(np.arange(len(size)), many)
+    inside = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+    start = np.repeat(np.cumsum(size) - size, many) + inside
+    mixed = _mix(ids.astype(np.uint64) + np.uint64(1))
+    h = np.zeros(len(ids) - window + 1, np.uint64)
+    for i in range(window):
+        h = h * np.uint64(_ODD[1]) + mixed[i:i + len(h)]
+    name, owner = h[start], doc[row]
+    order = np.lexsort((owner, name))
+    same = name[order][1:] == name[order][:-1]
+    before, after = start[order][:-1][same], start[order][1:][same]
+    if any((ids[before + i] != ids[after + i]).any() for i in range(window)):  # different windows under one hash
+        name = _names(ids, window)[start]
+        order = np.lexsort((owner, name))
+        same = name[order][1:] == name[order][:-1]
+    heads = np.flatnonzero(np.concatenate(([True], ~same)))
+    least = np.repeat(owner[order][heads], np.diff(np.append(heads, len(order))))
+    again = order[owner[order] > least]
+    return row[again], inside[again]
+
+
 def _hot_spans(rows: DataFrame, window: int, gram: int, hot: frozenset[int]) -> DataFrame:
     """Intervals of repeated windows in hot slots.  Inside a map batch, all but the first document of a window are known to
     repeat it; one row for each window and batch goes on to find out whether an earlier batch has it."""
     hot_slots = np.array(sorted(hot), np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in byte_slices(batches, 2, 1 << 20):
+        for b in byte_slices(batches, 2, 1 << 19):
             s = Superkmers(text_bytes(b, 2), window, gram)
             use = np.flatnonzero(np.isin(s.slot(), hot_slots))
             many = s.count[use]
@@ -235,13 +277,16 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return spans.unionAll(_hot_spans(rows, window, gram, hot)) if hot else spans
 
 
-def cut_words(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs``, then ``n_words, n_removed, kept_sha256, kept_text`` (which replace columns of
-    the same names).
+CUT_COLUMNS = ("n_words", "n_removed", "kept_sha256", "kept_text")
+
+
+def cut_words(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              new: tuple[str, ...] = CUT_COLUMNS) -> DataFrame:
+    """All columns of ``docs``, then ``n_words, n_removed, kept_sha256, kept_text`` under the names ``new`` (which
+    replace columns of the same names).
 
     ``kept_text``: the kept words joined by one space; the text as it was if no word goes; null for null."""
-    new = ["n_words", "n_removed", "kept_sha256", "kept_text"]
-    own, names, schema = passing(docs, text_col, new)
+    own, names, schema = passing(docs, text_col, list(new))
     text_at = next((i for i, c in enumerate(names) if c.lower() == text_col.lower()), None)
     t = F.col("t") if text_at is None else F.col(f"c{text_at}").cast("string")
     id_at = next(f"c{i}" for i, c in enumerate(names) if c.lower() == id_col.lower())
@@ -264,11 +309,13 @@ def cut_words(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_co
                         joined.decode() if len(kept) < len(words) else raw.decode() if raw is not None else None))
         kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
         added = [pa.array(x, kind) for x, kind in zip(zip(*out), kinds)]
-        return pa.RecordBatch.from_arrays([*b.columns[2:2 + len(names)], *added], names + new)
+        return pa.RecordBatch.from_arrays([*b.columns[2:2 + len(names)], *added], [*names, *new])
 
-    return map_with_spans(rows, spans, at, cut, schema + "n_words long, n_removed long, kept_sha256 string, kept_text string")
+    kinds = ("long", "long", "string", "string")
+    return map_with_spans(rows, spans, at, cut, schema + ", ".join(f"`{n}` {kind}" for n, kind in zip(new, kinds)))
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, **settings) -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
+          new: tuple[str, ...] = CUT_COLUMNS, **settings) -> DataFrame:
     """``cut_words`` over ``repeated_spans``."""
-    return cut_words(docs, repeated_spans(docs, id_col, text_col, window, **settings), id_col, text_col)
+    return cut_words(docs, repeated_spans(docs, id_col, text_col, window, **settings), id_col, text_col, new)
