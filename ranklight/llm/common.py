@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import pickle
 from collections.abc import Callable, Iterator
 
@@ -23,6 +24,7 @@ def tidied(run: Callable) -> Callable:
     workers live on between tasks, and several of them share an executor's memory."""
     def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
+        gc.collect()
         release_memory()
 
     return tidy

@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ranklight.llm.common import unused
 from ranklight.sources.scratch import materialize
 
 WORDS = 5
@@ -76,12 +77,13 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
           item_text_col: str = "text", containment: float = CONTAINMENT, size: int = WORDS,
           broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The rows of ``docs`` that hold no item."""
+    """The rows of ``docs`` that hold no item, with all their columns, whatever their names."""
     found = _hits(docs, items, id_col, text_col, item_id_col, item_text_col, containment, size, broadcast_rows)
     gone = materialize(found.select("doc_id", "mark").distinct(), "decontaminate-gone")
-    gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("mark").alias("_gone_mark"))
+    gone_id, gone_mark = unused(docs, "gone_id", "gone_mark")
+    gone = gone.select(F.col("doc_id").alias(gone_id), F.col("mark").alias(gone_mark))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.join(_side(gone, broadcast_rows), F.col(id_col).eqNullSafe(F.col("_gone_id")) & (F.xxhash64(text) == F.col("_gone_mark")),
+    return docs.join(_side(gone, broadcast_rows), F.col(id_col).eqNullSafe(F.col(gone_id)) & (F.xxhash64(text) == F.col(gone_mark)),
                      "left_anti")
 
 

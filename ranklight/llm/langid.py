@@ -37,9 +37,9 @@ from ranklight.sources.scratch import materialize
 STEP = 64  # binary digits of one rescaling
 TRAIN_DOCS = 2000
 ROUNDS = 3
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 CACHE_NUMBERS = 2_000_000
-LETTERS = 1 << 17
+LETTERS = 1 << 16
 
 
 def letter_runs(text: str) -> list[str]:
@@ -210,7 +210,7 @@ class LanguageModel:
             languages, p, pieces = model.value
             automaton, unknown = _automaton(pieces), len(pieces)
             kept_words = _Scores(automaton, unknown, p)
-            for b in byte_slices(batches, b_text, 2 << 20):
+            for b in byte_slices(batches, b_text, 1 << 20):
                 runs = [letter_runs(t) if t else [] for t in b.column(b_text).to_pylist()]
                 totals = kept_words.totals(runs)
                 pred, score = [], []
@@ -270,7 +270,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             p, pieces, column = model.value
             automaton, total = _automaton(pieces), np.zeros_like(p)
-            for b in slices(batches, 20_000):
+            for b in slices(batches, 10_000):
                 lang, word, n = (c.to_pylist() for c in b.columns)
                 seen: dict[str, list[tuple[int, int]]] = {}
                 for k, w, c in zip(lang, word, n):

@@ -38,9 +38,9 @@ from pyspark.sql import DataFrame
 from ranklight.llm.common import Shared, byte_slices, passing, tidied
 from ranklight.llm.vocabulary import MARK, SENTENCE_PIECES
 
-KEPT_RUNS = 100_000
+KEPT_RUNS = 60_000
 PAIR_SLOTS = 1 << 20
-LETTERS = 1 << 17   # of runs that are composed together
+LETTERS = 1 << 16   # of runs that are composed together
 LONG = 256          # letters of a run that is composed alone
 # Piece types and model types of the public SentencePiece model format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -380,7 +380,7 @@ def encode(docs: DataFrame, text_col: str = "text", model_path: str = SENTENCE_P
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = model.load()
-        for b in byte_slices(batches, own, 2 << 20):
+        for b in byte_slices(batches, own, 1 << 20):
             texts = b.column(own).to_pylist()
             ids, ends = fst.encode_all(texts)
             ends = [0, *ends]

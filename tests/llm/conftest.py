@@ -37,5 +37,6 @@ def clashing(odd):
     from pyspark.sql import functions as F
 
     names = ("mark fp part blob key at n t c0 spans w h d m item ids n_pieces round_trip score lang_pred held_out kept_text "
-             "n_words n_removed kept_sha256 fingerprint component_id first row x label decoded").split()
+             "n_words n_removed kept_sha256 fingerprint component_id first row x label decoded _gone_id _gone_mark gone_id gone_mark "
+             "_near_none _near_id _near_mark near_none near_id near_mark _lang_pred _lang_score lang_score").split()
     return odd.withColumns({c: F.lit("extra") for c in names})
