@@ -1,9 +1,9 @@
 """Corpus pipeline: ``documents`` in, encoded training documents out.
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; its result is written as Parquet and
-read again as the next stage's ``docs``.  All stages but the last return the columns of ``documents``; extra columns pass
-through.  Null text stays null (language ID rejects it); repeated rows count as documents of their own until
-near-dedup, which keeps one.
+read again as the next stage's ``docs``.  All stages but the last return the columns of their input, extra columns
+unchanged under whatever names.  Null text stays null (language ID rejects it); repeated rows count as documents of their own
+until near-dedup, which keeps one.  An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -12,43 +12,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ranklight.llm import decontaminate, langid, pieces, simhash, substrings
-from ranklight.llm.common import table
+from ranklight.llm.common import table, unused
 from ranklight.sources.scratch import materialize
 
 MIN_SCORE = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9.  A document without a letter, or whose best language has a posterior under one half, goes."""
+    """Operator 9.  A document without a letter, or whose best language has a posterior under one half, goes; so does null
+    text, and every document where none has a language to learn from.  Repeated rows stay or go together."""
     model = langid.fit(langid.training_rows(docs))
-    scored = model.predict(docs, names=("_lang_pred", "_lang_score"))
-    return scored.filter((F.col("_lang_pred") != "und") & (F.col("_lang_score") >= MIN_SCORE)).select(*docs.columns)
+    pred, score = unused(docs, "lang_pred", "lang_score")
+    scored = model.predict(docs, names=(pred, score))
+    return scored.filter((F.col(pred) != "und") & (F.col(score) >= MIN_SCORE)).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2.  The document with the smallest id of each component stays."""
+    """Operator 2.  The document with the smallest id of each component stays; of repeated rows one, and a null id comes last.
+    Null and empty texts have fingerprint zero and are linked like any other."""
     return simhash.representatives(docs, shingle=3, radius=3)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3.  Words covered by a 13-word window of an earlier document go; the rest, if any goes, is joined by
-    single spaces, and ``n_chars`` follows.  A document that loses all its words stays as an empty text."""
-    cut = substrings.dedup(docs)
-    changed = F.col("n_removed") > 0
-    new = {"text": F.when(changed, F.col("kept_text")).otherwise(F.col("text"))}
+    single spaces, and ``n_chars`` follows.  A document that loses all its words stays as an empty text; null stays null."""
+    new = unused(docs, *substrings.CUT_COLUMNS)
+    cut = substrings.dedup(docs, new=tuple(new))
+    changed, kept = F.col(new[1]) > 0, F.col(new[3])
+    own = {"text": F.when(changed, kept).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(changed, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
-    own = {"n_words", "n_removed", "kept_sha256", "kept_text"}  # an extra column called so is replaced, then left out
-    return cut.withColumns(new).select(*[c for c in docs.columns if c.lower() not in own])
+        own["n_chars"] = F.when(changed, F.length(kept).cast("long")).otherwise(F.col("n_chars"))
+    return cut.withColumns(own).select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1.  Documents that hold a benchmark item go."""
+    """Operator 1.  Documents that hold a benchmark item go; null and empty texts hold none.  Repeated rows stay or go
+    together, those with null ids too."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7.  Adds ``ids, n_pieces, round_trip``: the ids of the whole text and whether they decode to it."""
+    """Operator 7.  Adds ``ids, n_pieces, round_trip``: the ids of the whole text and whether they decode to it (null for null
+    text).  They replace columns of their names."""
     return pieces.encode(docs, verify_col="round_trip")
 
 
