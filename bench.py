@@ -1,8 +1,10 @@
 """Benchmark of the headline queries.
 
 Runs at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on ``local[$BENCH_CPUS]`` and prints ONE JSON
-line.  The index is built and saved once (``index_build``); searches then run against the saved,
-term-bucketed index, as the reference times its searches against an index built in its constructor.
+line.  The index is built and saved once (``index_build``, the impact table included); searches then run against the saved
+index, as the reference times its searches against an index built in its constructor.  Single text queries are
+strings, searched on the block-max impact table; a single vector is a Python list.  The pivot and Z-order indexes are
+built and saved before their searches are timed.
 Each search is warmed up once and timed three times (median).  ``*_per_query`` values divide a batch
 by its number of queries, the figure comparable with the reference's seconds-per-query table.
 """
@@ -20,7 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from ranklight.operators import features, indexing, neighbours, ranking  # noqa: E402
+from ranklight.operators import features, impacts, indexing, neighbours, pivots, ranking, zorder  # noqa: E402
 from ranklight.session import checkpoint_dir, get_session  # noqa: E402
 from ranklight.sources import index_store  # noqa: E402
 
@@ -52,10 +54,9 @@ def main() -> None:
     bench_q = read("benchmark").select(F.col("item_id").alias("query_id"), "text")
     emb = read("embeddings")
     emb_q = emb.select(F.col("vec_id").alias("query_id"), "embedding")
-    # a single query arrives as a string (the reference's search box): one-row local table
+    # a single query arrives as a string (the reference's search box)
     first = bench_q.orderBy("query_id").select("text").first()[0]
-    one_text = ranking.single_query(spark, first)
-    one_vec = emb_q.orderBy("query_id").limit(1)
+    one_vec = [tuple(emb_q.orderBy("query_id").first())]
     n_text_q = bench_q.count()
     n_vec_q = emb_q.count()
     q = {}
@@ -66,19 +67,25 @@ def main() -> None:
     q["index_build"] = time.perf_counter() - t0
     idx = index_store.load_index(spark, out_dir)
 
-    q["text_cosine_single"] = timed(lambda: ranking.cosine_search(idx, one_text, 10))
-    q["text_bm25_single"] = timed(lambda: ranking.bm25_search(idx, one_text, 10))
+    q["text_cosine_single"] = timed(lambda: impacts.search_one(idx, first, 10, "cosine"), repeat=5)
+    q["text_bm25_single"] = timed(lambda: impacts.search_one(idx, first, 10, "bm25"), repeat=5)
     q["text_cosine_batch"] = timed(lambda: ranking.cosine_search(idx, bench_q, 10))
     q["text_bm25_batch"] = timed(lambda: ranking.bm25_search(idx, bench_q, 10))
     turns = (read("conversations").filter(F.col("role") == "user")
              .select(F.concat_ws(":", "conv_id", "turn").alias("query_id"), "text"))
     n_turns = turns.count()
     q["text_cosine_user_turns_batch"] = timed(lambda: ranking.cosine_search(idx, turns, 10))
-    q["knn_exact_single"] = timed(lambda: neighbours.knn(emb, one_vec, 5))
+    q["knn_exact_single"] = timed(lambda: neighbours.knn_of(emb, one_vec, 5))
     q["knn_exact_all"] = timed(lambda: neighbours.knn(emb, emb_q, 5))
     q["knn_sqeuclidean_all"] = timed(lambda: neighbours.knn(emb, emb_q, 5, "sqeuclidean"))
     q["range_exact_all"] = timed(lambda: neighbours.within(emb, emb_q, 1.2))
     q["range_grid_all"] = timed(lambda: neighbours.grid_within(emb, emb_q, 1.2), repeat=1)
+    tree = pivots.build(emb)
+    q["knn_pivot_all"] = timed(lambda: pivots.knn(tree, emb_q, 5), repeat=1)
+    zorder.save(emb, out_dir + "-zorder")
+    boxes = zorder.load(spark, out_dir + "-zorder")
+    q["range_zorder_all"] = timed(lambda: zorder.within(boxes, emb_q, 1.2), repeat=1)
+    q["box_zorder_single"] = timed(lambda: zorder.box_one(boxes, one_vec[0][1], 0.3))
     q["knn_lsh_all"] = timed(lambda: neighbours.lsh_knn(emb, emb_q, 5), repeat=1)
     q["signal_features"] = timed(lambda: features.signal_features(read("events"), "user_id", ["ts", "event_id"],
                                                                   "value", 8, 6, 10), repeat=1)

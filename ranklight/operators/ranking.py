@@ -21,7 +21,7 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 
 from ranklight.functions.weighting import bm25_idf, bm25_tf, log_idf, log_tf
 from ranklight.operators.indexing import TextIndex
-from ranklight.operators.sizing import MAX_BROADCAST_ROWS
+from ranklight.operators.sizing import MAX_BROADCAST_ROWS, bounded
 
 PUSHED_TERMS = 1000  # query tokens up to which the terms are also a scan filter
 HIT_COLS = ("query_id", "rank", "doc_id", "score")
@@ -50,8 +50,8 @@ def query_terms(index: TextIndex, queries: DataFrame, id_col: str = "query_id",
         head = toks.limit(PUSHED_TERMS + 1).collect()
         if len(head) <= PUSHED_TERMS:
             return *_short_queries(index, head, toks.schema["query_id"].dataType), True
-    # the raw token count bounds the (query, term) rows from above and needs no shuffle to compute
-    small = toks.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
+    # the raw tokens bound the (query, term) rows from above and need no shuffle to count
+    small = bounded(toks, max_broadcast_rows)
     q = toks.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
     side = F.broadcast(q) if small else q
     # Q7: inner join on the vocabulary before any norm

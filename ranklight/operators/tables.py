@@ -45,11 +45,6 @@ def leading_columns(df: DataFrame, n: int) -> DataFrame:
     return df.select(*df.columns[:n])
 
 
-def rows_between(df: DataFrame, ordinal: str, start: int, stop: int) -> DataFrame:
-    """Rows with ``start <= ordinal < stop`` (``df[start:stop]``)."""
-    return df.filter((F.col(ordinal) >= start) & (F.col(ordinal) < stop))
-
-
 def length_filter(df: DataFrame, seconds_col: str, max_minutes: float) -> tuple[DataFrame, DataFrame]:
     """P7 + F15: keep items of at most ``max_minutes`` (seconds / 60), and the table of the others."""
     minutes = F.col(seconds_col) / F.lit(60.0)
@@ -61,11 +56,6 @@ def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"), (F.count(F.lit(1)) * F.lit(len(df.columns))).alias("cells"))
 
 
-def success_count(df: DataFrame, ok: Column) -> DataFrame:
-    """``succeeded`` and ``attempted``."""
-    return df.agg(F.count_if(ok).alias("succeeded"), F.count(F.lit(1)).alias("attempted"))
-
-
 def label(*cols, sep: str = " - ") -> Column:
     """``a - b - c`` labels."""
     return F.concat_ws(sep, *[F.col(c) if isinstance(c, str) else c for c in cols])

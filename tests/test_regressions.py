@@ -48,3 +48,26 @@ def test_entry_without_the_training_data_folder(monkeypatch):
 
     monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
     assert entry.queries().keys() == QUERIES.keys() and entry.oracle_sql().keys() == ORACLE.keys()
+
+
+def test_scratch_of_a_run_is_removed(spark, sf001):
+    from ranklight.session import checkpoint_dir
+    from ranklight.sources import scratch
+
+    def folders():
+        jvm = spark._jvm.org.apache.hadoop.fs
+        path = jvm.Path(checkpoint_dir(spark))
+        return {f.getPath().getName() for f in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)}
+
+    docs = spark.read.parquet(f"{sf001}/documents.parquet")
+    with scratch.run(spark) as name:
+        assert indexing.build_index(docs).weights.count() > 0 and name in folders()
+    assert name not in folders() and not scratch.purge(spark, name)
+
+
+def test_broadcast_bound_counts_bytes(spark):
+    from ranklight.operators.sizing import bounded
+
+    df = spark.createDataFrame([(i, "é" * 100) for i in range(10)], "id int, term string")
+    assert bounded(df, 10) and not bounded(df, 9) and bounded(df, 10, 2000) and not bounded(df, 10, 1999)
+    assert bounded(df.select("id"), 10, 0) and bounded(df.limit(0), 0, 0)
