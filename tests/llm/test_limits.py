@@ -350,3 +350,18 @@ def test_components_with_hubs(spark, monkeypatch, hub_links):
             root[max(top(a), top(b))] = min(top(a), top(b))
     got = {r.node: r.label for r in comp.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: top(x) for x in root}
+
+
+def test_a_broken_import_is_not_swallowed(monkeypatch):
+    import sys
+
+    import __spark_entry__ as entry
+
+    monkeypatch.delitem(sys.modules, "ranklight.llm.queries", raising=False)
+    monkeypatch.setitem(sys.modules, "ranklight.llm.katz", None)
+    import ranklight.llm as package
+
+    monkeypatch.delattr(package, "katz", raising=False)
+    monkeypatch.delattr(package, "queries", raising=False)
+    with pytest.raises(ImportError):
+        entry.queries()
