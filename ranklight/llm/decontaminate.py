@@ -9,7 +9,8 @@ missed.  Candidates are then verified by the shingles themselves, as text.
 
 Words are runs of letters and digits, lower-cased.  An item of fewer than five words is one shingle of all
 its words; an item without a word matches nothing.  Null text counts as empty.  Rows that repeat are
-judged by themselves; repeated results are returned once.  A null id is returned as it is.
+judged by themselves; repeated results are returned once.  A null id is returned as it is.  Without documents or items there
+is no hit.  Extra columns of either table are not read by ``contaminated``; ``clean`` returns all columns of its rows.
 """
 
 from __future__ import annotations

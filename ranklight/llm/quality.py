@@ -8,7 +8,8 @@ these ``d * d`` numbers for each class.
 
 Null text counts as empty; its statistics are defined.  Labels other than 0 and 1 are ignored; a document with several
 labels counts once for each.  With one class only, every score is that class's share;
-without labels every score is 0.5.  Extra columns are ignored.
+without labels every score is 0.5.  Repeated rows are rows of their own, in training and in the result; a row with a null id
+is scored and has no label; an empty table gives no row.  Extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

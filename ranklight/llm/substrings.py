@@ -117,7 +117,7 @@ def _mark(text: Column) -> Column:
 def _slot_counts(rows: DataFrame, window: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLOTS, np.int64)
-        for b in byte_slices(batches, 0, 2 << 20):
+        for b in byte_slices(batches, 0, 1 << 19):
             total += np.bincount(Superkmers(text_bytes(b, 0), window, gram).slot(), minlength=SLOTS)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["slot", "n"])
@@ -131,20 +131,26 @@ def _packed(rows: DataFrame, window: int, gram: int, parts: int, hot: frozenset[
     hot_slots = np.array(sorted(hot), np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in byte_slices(batches, 2, 4 << 20):
-            s = Superkmers(text_bytes(b, 2), window, gram)
-            part = (s.key % np.uint64(parts)).astype(np.int64)
-            use = np.flatnonzero(~np.isin(s.slot(), hot_slots))
-            join, words = b" ".join, s.words
-            text = pa.array([join(words[i:i + k]) for i, k in zip(s.first[use].tolist(), (s.count[use] + window - 1).tolist())],
-                            pa.binary())
-            ids, marks = (b.column(i).take(pa.array(s.doc[use])) for i in (0, 1))
-            # any 32 bits of the minimiser will do: windows are compared as text
-            columns = {"key": pa.array((s.key[use] >> np.uint64(20)).astype(np.uint32)), "doc_id": ids, "mark": marks.cast(pa.int32()),
-                       "at": pa.array(s.position()[use].astype(np.int32)), "n": pa.array(s.count[use].astype(np.int32)),
-                       "text": text}
-            own, blobs = packed_by_part(part[use], columns)
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(blobs, pa.binary())], ["part", "blob"])
+        for b in byte_slices(batches, 2, 4 << 20):  # packed together; the words as objects only of an eighth at a time
+            held: list[dict] = []
+            parts_of: list[np.ndarray] = []
+            for x in byte_slices(iter([b]), 2, 1 << 19):
+                s = Superkmers(text_bytes(x, 2), window, gram)
+                use = np.flatnonzero(~np.isin(s.slot(), hot_slots))
+                join, words = b" ".join, s.words
+                text = pa.array([join(words[i:i + k]) for i, k in zip(s.first[use].tolist(), (s.count[use] + window - 1).tolist())],
+                                pa.binary())
+                ids, marks = (x.column(i).take(pa.array(s.doc[use])) for i in (0, 1))
+                # any 32 bits of the minimiser will do: windows are compared as text
+                held.append({"key": pa.array((s.key[use] >> np.uint64(20)).astype(np.uint32)), "doc_id": ids, "mark": marks.cast(pa.int32()),
+                             "at": pa.array(s.position()[use].astype(np.int32)), "n": pa.array(s.count[use].astype(np.int32)), "text": text})
+                parts_of.append((s.key[use] % np.uint64(parts)).astype(np.int64))
+                del s, words, text
+            if held:
+                columns = {k: pa.concat_arrays([c[k] for c in held]) for k in held[0]}
+                del held
+                own, blobs = packed_by_part(np.concatenate(parts_of), columns)
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(blobs, pa.binary())], ["part", "blob"])
 
     return rows.filter("doc_id is not null").mapInArrow(tidied(run), "part long, blob binary")
 

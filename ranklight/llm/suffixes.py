@@ -21,7 +21,7 @@ else as well (in the same text or in another).
 6. The covered intervals come back for each document and are joined with the text once.
 
 Null text counts as empty.  Rows that repeat an id and text count as separate places.  A null id is an id
-like any other.
+like any other.  An empty table gives no row.  Columns besides id and text are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -5,7 +5,8 @@ it.  Every node carries a failure link and the number of pieces that are popped
 greedy longest-match-first lengths come out of one pass over the characters, without backtracking and without building a piece.
 
 Words are the runs of ``[^\\x20\\x09-\\x0D]`` of the whole text, unchanged.  A word that greedy matching cannot
-finish counts as one unknown token.  Null text counts as empty: no words, no tokens.
+finish counts as one unknown token.  Null text counts as empty: no words, no tokens.  Repeated rows are rows of their own, a
+null id is returned as it is, and an empty table gives no row.  Columns besides id and text are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -170,6 +170,8 @@ def _write(folder: str, size: int, level: int):
             own = f"{root}/.attempt-{task.taskAttemptId()}-{files}"
             with store.open_output_stream(own, compression=None) as sink:
                 sink.write(data)
+            if store.get_file_info(name).type != fs.FileType.NotFound:
+                store.delete_file(name)  # of an earlier attempt, with the same contents; not every store replaces on a move
             store.move(own, name)
             return pa.RecordBatch.from_arrays([pa.array([x], t.type) for x, t in zip(
                 [f"pages-{task.partitionId():06d}-{files:05d}.warc.zst", len(held), plain, len(data), known], schema)], schema=schema)
