@@ -8,8 +8,11 @@ that a third of the corpus holds is spread over many tasks.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,27 +45,30 @@ def build(postings: DataFrame, block_size: int = BLOCK_SIZE, fan: int = FAN) ->
     return PostingDirectory(blocks, directory, groups)
 
 
-def position(ids: Column, value: Column, halvings: int) -> Column:
-    """1-based place of ``value`` in the sorted array ``ids``, or NULL: ``halvings`` steps of a binary search."""
-    start = F.struct(F.lit(1).alias("lo"), F.size(ids).alias("hi"))
-
-    def halve(s: Column, _: Column) -> Column:
-        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
-        below = F.element_at(ids, F.greatest(mid, F.lit(1))) < value
-        open_ = s["lo"] < s["hi"]
-        return F.struct(F.when(open_ & below, mid + 1).otherwise(s["lo"]).alias("lo"), F.when(open_ & ~below, mid).otherwise(s["hi"]).alias("hi"))
-
-    at = F.aggregate(F.sequence(F.lit(1), F.lit(halvings)), start, halve, lambda s: s["lo"])
-    return F.when(F.try_element_at(ids, at) == value, at)
-
-
 def lookup(index: PostingDirectory, pairs: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
     """``pairs`` (columns ``term, doc_id``; others pass through) with ``tf``, NULL where the document does not hold the term."""
     asked = materialize(pairs.withColumn("_row", F.monotonically_increasing_id()), "posting-lookup")
     inside = (F.col("doc_id") >= F.col("first")) & (F.col("doc_id") <= F.col("last"))
     at = asked.select("_row", "term", "doc_id").join(index.groups, "term").filter(inside).drop("first", "last")
     at = at.join(index.directory, ["term", "part"]).filter(inside).select("_row", "term", "doc_id", "block")
-    read = at.join(index.blocks, ["term", "block"])
-    place = position(F.col("doc_ids"), F.col("doc_id"), max(1, (block_size - 1).bit_length()))
-    found = read.select("_row", "tfs", place.alias("at")).filter("at is not null").select("_row", F.element_at("tfs", F.col("at")).alias("tf"))
+    # the pairs of a block meet it in groups of ``block_size``, about: a block's arrays are joined once for a group, not for each pair
+    counts = at.groupBy("term", "block").agg(F.ceil(F.count(F.lit(1)) / block_size).alias("groups"))
+    g = F.pmod(F.xxhash64("_row"), F.col("groups"))
+    asked_of = at.join(counts, ["term", "block"]).groupBy("term", "block", g.alias("g")).agg(F.collect_list(F.struct("_row", "doc_id")).alias("p"))
+    read = asked_of.join(index.blocks, ["term", "block"]).select("p._row", "p.doc_id", "doc_ids", "tfs")
+    found = read.mapInArrow(_search, f"_row long, tf {read.schema['tfs'].dataType.elementType.simpleString()}")
     return asked.join(found, "_row", "left").drop("_row")
+
+
+def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Binary search of the asked documents of each row in its block; only those found come back."""
+    for b in batches:
+        out: list[tuple[pa.Array, pa.Array]] = []
+        for rows, asked, ids, tfs in zip(*b.columns):
+            ids, asked = (x.values.to_numpy(zero_copy_only=False) for x in (ids, asked))
+            at = np.minimum(np.searchsorted(ids, asked), len(ids) - 1)
+            hit = np.flatnonzero(ids[at] == asked)
+            if len(hit):
+                out.append((rows.values.take(pa.array(hit)), tfs.values.take(pa.array(at[hit]))))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in zip(*out)], ["_row", "tf"])
