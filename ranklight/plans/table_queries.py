@@ -98,9 +98,9 @@ def s1_csv_corpus_roundtrip(spark, sf_dir):
 
 @register("s2_split_csv", "SELECT doc_id, lang, n_chars, length(text)::BIGINT AS text_len, md5(text) AS text_md5 FROM documents")
 def s2_split_csv(spark, sf_dir):
-    """The corpus as one CSV file with multi-line quoted text, read by byte ranges."""
+    """The corpus as one CSV file with multi-line quoted text (several beyond ``FILE_BYTES``), read by byte ranges."""
     path = _scratch(spark, "corpus-one-csv")
-    files.write_corpus_csv(table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", "text").coalesce(1), path)
+    files.write_corpus_csv(table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", "text"), path, files.FILE_BYTES)
     back = files.read_corpus_csv_split(spark, path, "doc_id bigint, lang string, n_chars bigint, text string")
     return back.select("doc_id", "lang", "n_chars", F.length("text").cast("bigint").alias("text_len"),
                        F.md5("text").alias("text_md5"))

@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,6 +30,7 @@ def read_corpus_csv(spark: SparkSession, path: str, schema: str = "artist string
             .option("mode", mode).csv(path))
 
 
+FILE_BYTES = 512 << 20  # of a file that many tasks read: some ranges of the default 128 MB
 MAX_RANGES = 1_000_000  # byte ranges whose states are broadcast
 PIECES = "file string, start bigint, at int, kind string, text string"
 
@@ -100,7 +102,13 @@ def read_corpus_csv_split(spark: SparkSession, path: str, schema: str = "artist
     return records.select(parsed.alias("row")).select("row.*")
 
 
-def write_corpus_csv(df: DataFrame, path: str) -> None:
+def write_corpus_csv(df: DataFrame, path: str, file_bytes: int | None = None) -> None:
+    """``file_bytes``: rows are gathered in as few files as hold about that many bytes of text each; a file is written by one
+    task, so no task reads more than its share however large the table is.  Without it, each partition is a file."""
+    if file_bytes:
+        size = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind == "string"]
+        total = df.agg(F.sum(sum(size, F.lit(0)).cast("long"))).first()[0] or 0
+        df = df.coalesce(max(1, math.ceil(total / file_bytes)))
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 

@@ -68,3 +68,14 @@ def test_split_csv_equals_the_multiline_reader(spark, tmp_path, limit):
 def test_split_csv_of_an_empty_corpus(spark, tmp_path):
     (tmp_path / "e.csv").write_text("id,text\n")
     assert files.read_corpus_csv_split(spark, str(tmp_path / "e.csv"), "id bigint, text string").count() == 0
+
+
+def test_large_csv_files_are_bounded(spark, tmp_path):
+    """A table beyond ``file_bytes`` is written by several tasks, a smaller one as one file; both are read whole."""
+    rows = [(i, f'text {i}\n"{"x" * 500}"' if i % 7 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "id bigint, text string").repartition(8)
+    for limit, least, most in ((1 << 20, 1, 1), (60_000, 3, 4)):
+        path = tmp_path / str(limit)
+        files.write_corpus_csv(df, str(path), limit)
+        assert least <= len(list(path.glob("*.csv"))) <= most
+        assert sorted(map(tuple, files.read_corpus_csv_split(spark, str(path), "id bigint, text string").collect())) == rows
