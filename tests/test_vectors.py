@@ -144,6 +144,24 @@ def test_vector_search_by_flag_and_names(spark, emb):
         neighbours.vector_search(emb, q, method="nope")
 
 
+def test_hits_are_named_where_they_are_found(spark, emb):
+    q = emb.select(F.col("vec_id").alias("query_id"), "embedding")
+    names = emb.select("vec_id", F.when(F.col("vec_id") % 7 > 0, F.format_string("v%d", "vec_id")).alias("name"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a table of names beyond Spark's own limit
+    try:
+        named = neighbours.vector_search(emb, q, radius=1.2, is_knn=False, names=names)
+        plan = named._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        apart = neighbours.vector_search(emb, q, radius=1.2, is_knn=False, names=names, max_broadcast_rows=10)
+        assert "SortMergeJoin" in apart._jdf.queryExecution().executedPlan().toString()
+        rows = sorted(map(tuple, named.select("query_id", "vec_id", "dist", F.coalesce("name", F.lit("")), "path").collect()))
+        assert rows == sorted(map(tuple, apart.select("query_id", "vec_id", "dist", F.coalesce("name", F.lit("")), "path").collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {r[4] for r in rows if r[1] % 7 == 0} == {"media"} and len(rows) == neighbours.within(emb, q, 1.2).count()
+
+
 def test_float32_narrowing(spark):
     from ranklight.functions.vectors import to_float32
 
