@@ -347,7 +347,7 @@ def _parts_path(coll: DataFrame, queries: DataFrame, mode: str, param: float, me
         asked.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(1).alias("kind"), "blob"))
     # visitors of a part are dealt to copies of it: where there are fewer parts than tasks, and ``VISIT_BLOBS`` to a copy, about
     tasks = int(coll.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    copies = max(1, tasks // parts, math.ceil(asked.count() / VISIT_BLOBS))
+    copies = max(math.ceil(tasks / parts), math.ceil(asked.count() / VISIT_BLOBS))
     both = both.withColumn("copy", F.when(F.col("kind") == 1, F.array(F.pmod(F.xxhash64("blob"), F.lit(copies)).cast("int"))).otherwise(
         F.sequence(F.lit(0), F.lit(copies - 1)))).select("part", F.explode("copy").alias("copy"), "kind", "blob")
 
@@ -368,7 +368,7 @@ def _parts_path(coll: DataFrame, queries: DataFrame, mode: str, param: float, me
                         _range_block(own, matrix, ids[0], vectors[0], param, metric)
                     yield pa.RecordBatch.from_pandas(_frame(*found), preserve_index=False)
 
-    return both.repartition(max(parts * copies, tasks), "part", "copy").sortWithinPartitions("part", "copy", "kind").mapInArrow(run, PAIR_SCHEMA)
+    return both.repartitionById(parts * copies, F.col("part") * copies + F.col("copy")).sortWithinPartitions("kind").mapInArrow(run, PAIR_SCHEMA)
 
 
 def _cut(q, c, d, k: int) -> np.ndarray:

@@ -162,6 +162,16 @@ def test_hits_are_named_where_they_are_found(spark, emb):
     assert {r[4] for r in rows if r[1] % 7 == 0} == {"media"} and len(rows) == neighbours.within(emb, q, 1.2).count()
 
 
+def test_each_part_meets_its_queries_in_a_task_of_its_own(spark, emb, monkeypatch):
+    monkeypatch.setattr(neighbours, "PACK_ROWS", 16)
+    monkeypatch.setattr(neighbours, "PART_BLOBS", 2)
+    q = emb.select(F.col("vec_id").alias("query_id"), "embedding")
+    pairs = neighbours.within(emb, q, 1e9)
+    held = {frozenset(r["ids"]) for r in pairs.groupBy(F.spark_partition_id()).agg(F.collect_set("vec_id").alias("ids")).collect()}
+    assert sum(map(len, held)) == emb.count() and len(held) > 1  # no task holds two parts
+    assert pairs.count() == emb.count() ** 2
+
+
 def test_float32_narrowing(spark):
     from ranklight.functions.vectors import to_float32
 
