@@ -107,6 +107,15 @@ def tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", stopwo
     return t
 
 
+def kept_words(df: DataFrame, text_col: str, stopwords: tuple[str, ...], out: str) -> DataFrame:
+    """``df`` with the tokens that :func:`tokens` gives for ``text_col`` as one array ``out``, in place of the text (null for a
+    null text)."""
+    words = df.withColumn(out, F.filter(token_array(F.col(text_col)), is_word)).drop(text_col)
+    cut = F.flatten(F.transform(out, contraction_parts))
+    words = words.withColumn(out, F.when(F.exists(out, lambda t: t.isin(*CONTRACTIONS)), cut).otherwise(F.col(out)))
+    return words.withColumn(out, F.filter(out, lambda t: ~t.isin(*stopwords))) if stopwords else words
+
+
 @functools.lru_cache(maxsize=16)
 def _not_stopword(words: tuple[str, ...]) -> Column:
     """``term NOT IN (...)`` built as one SQL expression (one JVM call instead of one per word);

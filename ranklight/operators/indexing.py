@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ranklight.functions.text import tokens
+from ranklight.functions.text import kept_words, tokens
 from ranklight.functions.weighting import log_idf, log_tf
 from ranklight.operators.sizing import spread
 from ranklight.sources.scratch import materialize
@@ -60,6 +60,23 @@ def term_frequencies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return t.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def document_postings(docs: DataFrame, stopwords: tuple[str, ...], repeated: bool) -> DataFrame:
+    """``term, doc_id, tf, dl`` of rows ``doc_id, text`` that lie hashed by ``doc_id``.  A document's words are sorted in its own
+    row and counted by runs, so no table of all (document, term) pairs is held; rows of one id are put together first, if
+    ``repeated`` says that there are any."""
+    words = kept_words(docs, "text", stopwords, "words")
+    if repeated:
+        words = words.groupBy("doc_id").agg(F.flatten(F.collect_list("words")).alias("words"))
+    words = words.select("doc_id", F.size("words").alias("dl"), F.sort_array("words").alias("words"))
+    at = F.filter(F.sequence(F.lit(1), F.col("dl")), lambda i: (i == 1) | (F.get("words", i - 1) != F.get("words", i - 2)))
+    runs = words.withColumn("at", at)
+    ends = F.concat(F.slice("at", F.lit(2), F.size("at")), F.array(F.col("dl") + 1))
+    run = F.zip_with("at", ends, lambda a, b: F.struct(F.get("words", a - 1).alias("term"), (b - a).cast("bigint").alias("tf")))
+    # outer: an explode, like a filter on the words, would be checked below the exchange too, by analysing each text there as well
+    out = runs.select("doc_id", F.col("dl").cast("bigint").alias("dl"), F.explode_outer(run).alias("run"))
+    return out.select("run.term", "doc_id", "run.tf", "dl").filter("term IS NOT NULL")
+
+
 def document_frequencies(postings: DataFrame) -> DataFrame:
     """A2: ``(term, df, cf)``.  ``df`` counts ``tf`` (never NULL, so the same number as ``count(*)``):
     that keeps ``tf`` alive in this branch, the postings subtree stays identical to the one the weights

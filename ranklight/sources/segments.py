@@ -35,8 +35,9 @@ from pyspark.sql import functions as F
 
 from ranklight.functions.text import ANALYSIS, resolve_stopwords, tokens
 from ranklight.functions.weighting import bm25_idf, bm25_tf, log_idf, log_tf
+from ranklight.operators import indexing
 from ranklight.operators.ranking import HIT_COLS, top_k
-from ranklight.operators.sizing import MAX_BROADCAST_ROWS, bounded
+from ranklight.operators.sizing import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, bounded
 from ranklight.sources import manifest
 from ranklight.sources.index_store import SORTED
 from ranklight.sources.scratch import materialize
@@ -83,12 +84,17 @@ class Snapshot:
         return self._live(self._of_segments("docs", "doc_id bigint, copies bigint, dl bigint"))
 
     @property
-    def vocab(self) -> DataFrame:
-        """``term, df, cf``: sums over the segments less the replaced documents."""
+    def signed_counts(self) -> DataFrame:
+        """``term, df, cf`` of the segments, and negative of the replaced documents."""
         schema = "term string, df bigint, cf bigint"
         own = self._of_segments("vocab", schema).drop("seg")
         less = self._read([f"{f}/vocab" for f in self.state.gone], schema).select("term", (-F.col("df")).alias("df"), (-F.col("cf")).alias("cf"))
-        return own.unionAll(less).groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf")).filter("df > 0")
+        return own.unionAll(less)
+
+    @property
+    def vocab(self) -> DataFrame:
+        """``term, df, cf``: sums over the segments less the replaced documents."""
+        return self.signed_counts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf")).filter("df > 0")
 
     @property
     def statistics(self) -> DataFrame:
@@ -144,21 +150,56 @@ def create(spark: SparkSession, path: str, stopwords=None, buckets: int | None =
                    stopwords=list(words), buckets=buckets)
 
 
-def _write_postings(postings: DataFrame, folder: str, buckets: int) -> None:
-    (postings.select("term", "doc_id", "tf", "dl").repartition(buckets, "doc_id").sortWithinPartitions("term", "doc_id")
-        .write.options(**SORTED).parquet(f"{folder}/postings"))
+def _write_postings(postings: DataFrame, folder: str) -> None:
+    postings.select("term", "doc_id", "tf", "dl").sortWithinPartitions("term", "doc_id").write.options(**SORTED).parquet(f"{folder}/postings")
 
 
 def _counts(postings: DataFrame) -> DataFrame:
     return postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").cast("bigint").alias("cf"))
 
 
-def _statistics(postings: DataFrame, vocab: DataFrame) -> DataFrame:
-    """``seg, doc_id, a, b, c`` from postings and the counts that hold for them."""
+def _postings(own: DataFrame, rows: DataFrame, buckets: int, stopwords: tuple[str, ...]) -> DataFrame:
+    """``term, doc_id, tf, dl`` hashed by document.  Texts travel, which are smaller than their postings, and are counted where they
+    lie, unless one id has more than ``indexing.HOT_BYTES`` of them."""
+    own = own.filter("doc_id IS NOT NULL")
+    copies, size = rows.filter("doc_id IS NOT NULL").agg(F.coalesce(F.max("copies"), F.lit(0)), F.coalesce(F.max("size"), F.lit(0))).first()
+    if size <= indexing.HOT_BYTES:
+        return indexing.document_postings(own.repartition(buckets, "doc_id"), stopwords, copies > 1)
+    tf = materialize(indexing.term_frequencies(own, stopwords=stopwords), "segment-counts")
+    return tf.join(tf.groupBy("doc_id").agg(F.sum("tf").cast("bigint").alias("dl")), "doc_id").repartition(buckets, "doc_id")
+
+
+def _with_counts(postings: DataFrame, counts: DataFrame, max_rows: int, max_bytes: int) -> DataFrame:
+    """Postings with the columns of ``counts`` (``term, top, ...``), null where it lacks the term.
+
+    The counts are broadcast.  Where they are too many, those of the frequent terms are (by powers of two of ``top``, as many as the
+    bounds allow), and only the few postings of rarer terms are shuffled."""
+    power = F.floor(F.log2("top"))
+    held, rows, size = None, 0, 0
+    for r in counts.groupBy(power.alias("power")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("term")).alias("size")).orderBy(F.desc("power")).collect():
+        rows, size = rows + r.n, size + r.size
+        if rows > max_rows or size > max_bytes:
+            break
+        held = r.power  # one row for each power of two
+    else:
+        return postings.join(F.broadcast(counts), "term", "left")
+    often = F.lit(False) if held is None else power >= held
+    rest = postings.join(F.broadcast(counts.filter(often).select("term")), "term", "left_anti").join(counts.filter(~often), "term", "left")
+    return postings.join(F.broadcast(counts.filter(often)), "term").unionByName(rest)
+
+
+def _statistics(postings: DataFrame, counts: DataFrame, new: int, max_rows: int, max_bytes: int) -> DataFrame:
+    """``seg, doc_id, a, b, c``: the statistics of the documents of segment ``new``, and the changes to those of older ones, from
+    ``term, df, was, own``: the counts of this version, of the one before and of the new segment."""
+    fresh = F.col("seg") == new
+    log = lambda n: F.when(F.col(n) > 0, F.log10(F.col(n).cast("double"))).otherwise(0.0)
+    # a new term of one document has l = 0: it needs no row
+    used = counts.filter("df > 0 AND (own > 0 AND df > 1 OR was > 0 AND df <> was)").select(
+        "term", F.greatest("df", "was").alias("top"), log("df").alias("l"), log("was").alias("k"))
+    l, k = F.coalesce("l", F.lit(0.0)), F.when(fresh, 0.0).otherwise(F.coalesce("k", F.lit(0.0)))
     w2 = F.pow(log_tf(F.col("tf")), F.lit(2.0))
-    l = F.log10(F.col("df").cast("double"))
-    return postings.join(vocab.select("term", "df"), "term").groupBy("seg", "doc_id").agg(
-        F.sum(w2).alias("a"), F.sum(w2 * l).alias("b"), F.sum(w2 * l * l).alias("c"))
+    return _with_counts(postings, used, max_rows, max_bytes).filter(fresh | F.col("top").isNotNull()).groupBy("seg", "doc_id").agg(
+        F.sum(F.when(fresh, w2).otherwise(0.0)).alias("a"), F.sum(w2 * (l - k)).alias("b"), F.sum(w2 * (l * l - k * k)).alias("c"))
 
 
 def append(base: Snapshot, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Snapshot:
@@ -168,13 +209,12 @@ def append(base: Snapshot, docs: DataFrame, id_col: str = "doc_id", text_col: st
     spark, path, old = base.spark, base.path, base.state
     seg, folder = old.next_seg, manifest.new_folder(path, "seg")
     own = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    tf = tokens(own, "doc_id", "text", tuple(old.stopwords)).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    tf = materialize(tf, "segment-counts")  # the texts are analysed once
-    dl = tf.groupBy("doc_id").agg(F.sum("tf").cast("bigint").alias("dl"))
-    _write_postings(tf.join(dl, "doc_id"), folder, old.buckets)
-    rows = own.groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies"))
+    rows = own.groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies"), F.sum(F.octet_length("text")).alias("size"))
+    rows = materialize(rows, "segment-rows")
+    _write_postings(_postings(own, rows, old.buckets, tuple(old.stopwords)), folder)
+    postings = spark.read.parquet(f"{folder}/postings")
+    dl = postings.groupBy("doc_id").agg(F.max("dl").alias("dl"))
     rows.join(dl, "doc_id", "left").select("doc_id", "copies", F.coalesce("dl", F.lit(0)).cast("bigint").alias("dl")).write.parquet(f"{folder}/docs")
-    postings = spark.read.parquet(f"{folder}/postings").withColumn("seg", F.lit(seg).cast("bigint"))
     _counts(postings).repartition(old.buckets, "term").sortWithinPartitions("term").write.options(**SORTED).parquet(f"{folder}/vocab")
     new_docs = spark.read.parquet(f"{folder}/docs")
     added, length = new_docs.agg(F.coalesce(F.sum("copies"), F.lit(0)), F.coalesce(F.sum("dl"), F.lit(0))).first()
@@ -196,30 +236,23 @@ def append(base: Snapshot, docs: DataFrame, id_col: str = "doc_id", text_col: st
     next_ = Snapshot(spark, path, Row(**state, stats=list(old.stats), exact=[]))
 
     stats = manifest.new_folder(path, "stats")
-    vocab = next_.vocab
-    fresh = _statistics(postings, vocab)
-    if old.segments:
-        touched = spark.read.parquet(*[f"{folder}/vocab", *([f"{gone[-1]}/vocab"] if less else [])]).select("term").distinct()
-        before = base.vocab.select("term", F.col("df").alias("was"))
-        changed = touched.join(vocab.select("term", "df"), "term").join(before, "term").filter("df <> was")
-        kept = next_._live(Snapshot(spark, path, Row(**(state | {"segments": list(old.segments)}), stats=[], exact=[]))._of_segments(
-            "postings", "term string, doc_id bigint, tf bigint, dl bigint"))
-        w2 = F.pow(log_tf(F.col("tf")), F.lit(2.0))
-        l, was = F.log10(F.col("df").cast("double")), F.log10(F.col("was").cast("double"))
-        fresh = fresh.unionAll(kept.join(changed, "term").groupBy("seg", "doc_id").agg(
-            F.lit(0.0).alias("a"), F.sum(w2 * (l - was)).alias("b"), F.sum(w2 * (l * l - was * was)).alias("c")))
-    fresh.write.parquet(stats)
+    own_counts = spark.read.parquet(f"{folder}/vocab").select("term", "df", F.lit(0).alias("was"), F.col("df").alias("own"))
+    counts = base.signed_counts.select("term", "df", F.col("df").alias("was"), F.lit(0).alias("own")).unionByName(own_counts)
+    if less:
+        counts = counts.unionByName(spark.read.parquet(f"{gone[-1]}/vocab").select("term", (-F.col("df")).alias("df"), F.lit(0).alias("was"), F.lit(0).alias("own")))
+    counts = materialize(counts.groupBy("term").agg(*[F.sum(c).alias(c) for c in ("df", "was", "own")]), "segment-vocab")
+    _statistics(next_.postings, counts, seg, MAX_BROADCAST_ROWS, MAX_BROADCAST_BYTES).write.parquet(stats)
     state |= {"stats": [*old.stats, stats]}
-    return _commit(spark, path, old.version, **state, exact=_exact(Snapshot(spark, path, Row(**state, exact=[]))))
+    return _commit(spark, path, old.version, **state, exact=_exact(Snapshot(spark, path, Row(**state, exact=[])), counts.filter("df > 0")))
 
 
-def _exact(now: Snapshot) -> list[str]:
+def _exact(now: Snapshot, vocab: DataFrame) -> list[str]:
     """A folder with the squared norms of documents whose statistics cancel, summed from their postings."""
     folder = manifest.new_folder(now.path, "exact")
     big = F.log10(F.lit(float(max(1, now.state.n_docs))))
     close = now.statistics.filter(_squares(now.state.n_docs) <= CANCELLED * big * big * F.col("a")).select("seg", "doc_id")
     w = log_tf(F.col("tf")) * log_idf(F.lit(now.state.n_docs), F.col("df"))
-    own = now.postings.join(close, ["seg", "doc_id"], "left_semi").join(now.vocab.select("term", "df"), "term")
+    own = now.postings.join(close, ["seg", "doc_id"], "left_semi").join(vocab.select("term", "df"), "term")
     own.groupBy("seg", "doc_id").agg(F.sum(w * w).alias("squares")).write.parquet(folder)
     return [folder]
 
@@ -239,7 +272,7 @@ def merge(base: Snapshot, max_docs: int) -> Snapshot:
     def own(df: DataFrame) -> DataFrame:
         return df.filter(F.col("seg").isin(numbers)).drop("seg")
 
-    _write_postings(own(base.postings), folder, old.buckets)
+    _write_postings(own(base.postings).repartition(old.buckets, "doc_id"), folder)
     own(base.documents).select("doc_id", "copies", "dl").write.parquet(f"{folder}/docs")
     _counts(spark.read.parquet(f"{folder}/postings")).repartition(old.buckets, "term").sortWithinPartitions("term").write.options(
         **SORTED).parquet(f"{folder}/vocab")
@@ -248,7 +281,8 @@ def merge(base: Snapshot, max_docs: int) -> Snapshot:
     state = dict(segments=[s for s in old.segments if s.seg not in numbers] + [Row(seg=seg, folder=folder, docs=docs)], gone=[], stats=[stats],
                  next_seg=seg + 1, n_docs=old.n_docs, total_len=old.total_len, analysis=old.analysis, stopwords=list(old.stopwords),
                  buckets=old.buckets)
-    return _commit(spark, path, old.version, **state, exact=_exact(Snapshot(spark, path, Row(**state, exact=[]))))
+    now = Snapshot(spark, path, Row(**state, exact=[]))
+    return _commit(spark, path, old.version, **state, exact=_exact(now, now.vocab))
 
 
 def drop_unused(now: Snapshot) -> list[str]:

@@ -134,3 +134,41 @@ def test_wrong_bucket_declaration_is_replaced(spark, corpus, queries, tmp_path):
     spark.sql(f"CREATE TABLE {name} ({index_store.WEIGHTS}) USING parquet CLUSTERED BY (doc_id) SORTED BY (term, doc_id) INTO 16 BUCKETS "
               f"LOCATION '{folder}/weights'")
     assert rows(ranking.cosine_search(index_store.load_index(spark, path), queries)) == want
+
+
+def test_texts_of_an_append_are_analysed_once(spark):
+    """Below the exchange nothing is analysed; words are counted in their own row, rows of one id together."""
+    texts = ["red fox cannot can red", "red", None, "", "... --", "gonna go, go", "the fox"]
+    docs = spark.createDataFrame([(i % 5, t) for i, t in enumerate(texts)], DOCS)
+    moved = docs.repartition(3, "doc_id")
+    for stop in ((), ("the", "can")):
+        tf = indexing.term_frequencies(docs, stopwords=stop)
+        want = tf.join(tf.groupBy("doc_id").agg(F.sum("tf").alias("dl")), "doc_id").select("term", "doc_id", "tf", "dl")
+        got = indexing.document_postings(moved, stop, repeated=True)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    single = docs.limit(5)
+    tf = indexing.term_frequencies(single, stopwords=())
+    once = indexing.document_postings(single.repartition(3, "doc_id"), (), repeated=False)
+    assert sorted((r.term, r.doc_id, r.tf) for r in once.collect()) == sorted((r.term, r.doc_id, r.tf) for r in tf.collect())
+    plan = once._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and "lower" not in plan[plan.index("RepartitionByExpression"):]
+
+
+def test_statistics_where_the_counts_exceed_a_broadcast(spark, corpus, tmp_path, monkeypatch):
+    """Postings are not shuffled by term where counts can be broadcast; beyond that only those of rare terms are."""
+    counts = spark.createDataFrame([("a", 9), ("b", 4), ("c", 1)], "term string, top bigint")
+    postings = spark.createDataFrame([(t, d) for d in range(3) for t in "abcd"], "term string, doc_id bigint")
+    want = sorted((t, d, {"a": 9, "b": 4, "c": 1}.get(t) or 0) for d in range(3) for t in "abcd")
+    for max_rows in (9, 2, 1, 0):
+        got = segments._with_counts(postings, counts, max_rows, 1 << 20)
+        assert sorted((r.term, r.doc_id, r.top or 0) for r in got.collect()) == want
+        assert ("RightOuter" in got._jdf.queryExecution().optimizedPlan().toString() or "LeftOuter" in got._jdf.queryExecution().optimizedPlan().toString())
+    few = corpus.limit(60)
+    full = {r.doc_id: r.norm for r in indexing.build_index(few).norms.collect()}
+    for rows, hot in ((20, 64 << 20), (2_000_000, 10)):  # rare terms by a shuffle; an id with more text than one task should analyse
+        monkeypatch.setattr(segments, "MAX_BROADCAST_ROWS", rows)
+        monkeypatch.setattr(indexing, "HOT_BYTES", hot)
+        store = segments.create(spark, str(tmp_path / f"s{rows}"), buckets=3)
+        store = segments.append(segments.append(store, few.filter("doc_id % 2 = 0")), few.filter("doc_id % 2 = 1 OR doc_id % 3 = 0"))
+        got = {r.doc_id: r.norm for r in store.norms.collect()}
+        assert got.keys() == full.keys() and all(got[d] == pytest.approx(full[d], rel=1e-9, abs=1e-9) for d in full)
