@@ -15,3 +15,19 @@ def test_a_block_is_joined_once_for_its_pairs(spark, monkeypatch):
     assert sorted((r.term, r.doc_id, r.tf or 0) for r in got) == sorted((t, d, held.get((t, d), 0)) for t, d in pairs)
     # 3 + 1 + 1 blocks, visited by at most 256, 256, 88 pairs of "a", some 600 of "b" and 502 of "c": not one row a pair
     assert len(read) == 1 and read[0].count() <= 16
+
+
+def test_pairs_move_once(spark):
+    postings = spark.createDataFrame([(f"t{d % 7}", d, 1) for d in range(200)], "term string, doc_id bigint, tf bigint")
+    index = lookup.build(postings, block_size=8, fan=2)
+    pairs = spark.createDataFrame([("t1", d) for d in range(200)], "term string, doc_id bigint")
+    plan = lookup.lookup(index, pairs, block_size=8)._jdf.queryExecution().executedPlan().toString()
+    # the pairs to their blocks, the blocks to their pairs, and the directory's groups, which are broadcast then
+    assert plan.count("Exchange hashpartitioning") <= 3, plan
+
+
+def test_a_null_document_hides_no_posting_of_its_block(spark):
+    postings = spark.createDataFrame([("a", None, 1), ("a", 3, 2), ("a", 5, 1)], "term string, doc_id bigint, tf bigint")
+    pairs = spark.createDataFrame([("a", 3), ("a", 4), ("a", None)], "term string, doc_id bigint")
+    got = lookup.lookup(lookup.build(postings), pairs).collect()
+    assert sorted((r.doc_id or 0, r.tf) for r in got if r.tf) == [(3, 2)] and len(got) == 3
