@@ -185,3 +185,16 @@ def test_grid_on_principal_axes_equals_exact(spark, emb):
     assert _set(neighbours.grid_within(emb, q, 1.2, axes="pca", block_rows=64)) == _set(neighbours.within(emb, q, 1.2))
     assert _set(neighbours.grid_within(emb, q, 1.3, "sqeuclidean", axes="pca")) == \
         _set(neighbours.within(emb, q, 1.3, "sqeuclidean"))
+
+
+def _small_vectors(spark, n=120):
+    rng = np.random.default_rng(4)
+    return spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(n)], "vec_id bigint, embedding array<double>")
+
+
+def test_vectors_move_once_to_their_cells(spark):
+    coll = _small_vectors(spark)
+    qs = coll.select(F.col("vec_id").alias("query_id"), "embedding")
+    for axes in ("coordinates", "pca"):
+        plan = neighbours.grid_within(coll, qs, 0.8, axes=axes)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1, plan
