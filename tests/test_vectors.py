@@ -198,3 +198,20 @@ def test_vectors_move_once_to_their_cells(spark):
     for axes in ("coordinates", "pca"):
         plan = neighbours.grid_within(coll, qs, 0.8, axes=axes)._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning") == 1, plan
+
+
+def test_the_hits_of_a_vector_stand_together(spark):
+    coll = _small_vectors(spark).coalesce(1)
+    qs = coll.select(F.col("vec_id").alias("query_id"), "embedding")
+    rows = neighbours.within(coll, qs, 100.0).collect()
+    assert len(rows) == 120 * 120
+    assert sum(a.vec_id != b.vec_id for a, b in zip(rows, rows[1:])) < 120 * 4
+
+
+def test_packed_vectors_keep_every_bit(spark):
+    exact = [[0.1, 1e300], [float("nan"), 1.0], [0.5, None], [0.25, 2.0], [1e-50, -0.0]]
+    for v in exact:
+        df = spark.createDataFrame([(1, v)], "vec_id bigint, cv array<double>")
+        blob = neighbours._packed(df, "packed-test").first().blob
+        ids, back = neighbours._opened(bytes(blob))
+        assert ids.tolist() == [1] and np.array_equal(back[0], np.array(v, dtype=float), equal_nan=True)
