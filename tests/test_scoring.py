@@ -37,3 +37,14 @@ def test_a_large_batch_has_no_row_for_each_pair(spark):
     plan = ranking.cosine_search(indexing.build_index(docs, stopwords=()), queries, 10, max_pairs=0)._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan
     assert not [x for x in plan.splitlines() if "hashpartitioning(query_id" in x and "doc_id" in x]
+
+
+def test_queries_travel_in_blobs(spark, monkeypatch):
+    rows = [(f"q{i % 300}", f"w{i}", 1.0 / (i + 1), 1) for i in range(3000)]
+    queries = spark.createDataFrame(rows, "query_id string, term string, weight double, df bigint")
+    weights = spark.createDataFrame([(f"w{i}", i % 50, 0.5) for i in range(3000)], "term string, doc_id bigint, weight double")
+    written, save = [], scoring.materialize
+    monkeypatch.setattr(scoring, "materialize", lambda df, name, *a: written.append(out := save(df, name, *a)) or out)
+    assert scoring.best(queries, weights, 50, 3).count() == 300
+    blobs = [w for w in written if "blob" in w.columns]
+    assert len(blobs) == 1 and blobs[0].count() <= 8  # of 3000 terms, which were a row each in every part
