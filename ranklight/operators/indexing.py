@@ -134,7 +134,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``HOT_BYTES`` of them."""
     n_docs = docs.select(F.count(F.lit(1))).scalar()  # counted on the scan itself (row-group metadata)
     docs = docs.select(id_col, text_col)
-    if buckets and _heaviest(docs, id_col, text_col) <= HOT_BYTES:
+    if buckets and heaviest(docs, id_col, text_col) <= HOT_BYTES:
         postings = term_frequencies(docs.repartition(buckets, id_col), id_col, text_col, stopwords).select(*POSTINGS_COLS)
     else:
         postings = term_frequencies(spread(docs), id_col, text_col, stopwords).select(*POSTINGS_COLS)
@@ -155,7 +155,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return index
 
 
-def _heaviest(docs: DataFrame, id_col: str, text_col: str) -> int:
+def heaviest(docs: DataFrame, id_col: str, text_col: str) -> int:
     """The bytes of the texts under the id that has most."""
     own = docs.groupBy(id_col).agg(F.sum(F.octet_length(F.col(text_col))).alias("size"))
     return own.agg(F.coalesce(F.max("size"), F.lit(0))).first()[0]
